@@ -132,22 +132,26 @@ FROM (SELECT token, count(*) AS cnt
 """)
 
 
-def encode_sql(source: str, key: str, text: str, max_len: int | None,
-               special: bool, vocab: str = "v_vocab") -> str:
-    """ids per key: words -> vocabulary ids (unknown -> 3), optional leading
-    bos (2), truncated to ``max_len`` including the bos."""
+def encode_sql(source: str, keys, text: str, max_len: int | None,
+               special: bool, vocab: str = "v_vocab", out: str = "ids") -> str:
+    """Rows ``keys…, out``: words -> vocabulary ids (unknown -> 3), an
+    optional leading bos (2), cut to ``max_len`` including the bos."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    kl = ", ".join(keys)
     keep = None if max_len is None else (max_len - (1 if special else 0))
     toks = words(text)
     if keep is not None:
         toks = f"{toks}[1:{keep}]"
-    head = "[2] || " if special else ""
-    return f"""
-SELECT k.{key.replace(',', ', k.')}, {head}coalesce(e.ids, []) AS ids
-FROM (SELECT DISTINCT {key} FROM {source}) k
+    ids = "coalesce(e.ids, CAST([] AS BIGINT[]))"
+    if special:
+        ids = f"list_concat([CAST(2 AS BIGINT)], {ids})"
+    on = " AND ".join(f"s.{k} = e.{k}" for k in keys)
+    return f"""(
+SELECT {', '.join('s.' + k for k in keys)}, {ids} AS {out}
+FROM {source} s
 LEFT JOIN (
-  SELECT {key}, list(coalesce(v.id, 3) ORDER BY t.pos) AS ids
-  FROM (SELECT {key}, unnest(w) AS token, generate_subscripts(w, 1) AS pos
-        FROM (SELECT {key}, {toks} AS w FROM {source})) t
+  SELECT {kl}, list(CAST(coalesce(v.id, 3) AS BIGINT) ORDER BY t.pos) AS ids
+  FROM (SELECT {kl}, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+        FROM (SELECT {kl}, {toks} AS w FROM {source})) t
   LEFT JOIN {vocab} v ON v.token = t.token
-  GROUP BY {key}) e USING ({key})
-"""
+  GROUP BY {kl}) e ON {on})"""
