@@ -17,7 +17,10 @@ def _c(col) -> Column:
 
 
 def _n(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """Column as is, a name as a column, anything else as a literal."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def empty_ints() -> Column:
