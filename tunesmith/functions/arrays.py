@@ -139,18 +139,6 @@ def last_subarray_end(ids, marker) -> Column:
     return F.coalesce(last + k - 1, F.lit(0))
 
 
-def completion_only(ids, marker) -> Column:
-    """Labels with everything up to the end of the last marker set to -100;
-    no marker means every label is -100."""
-    arr = _c(ids)
-    end = last_subarray_end(arr, marker)
-    return F.when(
-        end > 0,
-        F.transform(arr, lambda x, i: F.when(i < end, F.lit(IGNORE_INDEX))
-                    .otherwise(x)),
-    ).otherwise(F.transform(arr, lambda x: F.lit(IGNORE_INDEX)))
-
-
 def continuation(ids, max_ngram: int = 3, num_pred: int = 10) -> Column:
     """Prompt-lookup candidate: for n = max_ngram..1 match the last n ids
     against earlier windows; the first window at p (0-based) with
@@ -164,13 +152,18 @@ def continuation(ids, max_ngram: int = 3, num_pred: int = 10) -> Column:
         starts = F.when(size >= n + num_pred,
                         F.sequence(F.lit(0), size - n - num_pred)
                         ).otherwise(empty_ints())
-        hits = F.filter(starts, lambda p, n=n, last=last:
-                        (p + n < size - n) & (F.slice(a, p + 1, n) == last))
+        hits = F.filter(starts, _window_match(a, size, n, last))
         p = F.get(hits, 0)
         found.append(F.slice(a, p + n + 1, num_pred))
     return F.coalesce(*found, empty_ints())
 
 
+def _window_match(a: Column, size: Column, n: int, last: Column):
+    def match(p):
+        return (p + n < size - n) & (F.slice(a, p + 1, n) == last)
+    return match
+
+
 def accepted_prefix(candidate, truth, cap) -> Column:
     """Leading candidate ids equal to the truth, capped at ``cap``."""
     c, g = _c(candidate), _c(truth)

@@ -150,6 +150,20 @@ def limit_pair(df: DataFrame, prompt="prompt_ids", chosen="chosen_ids",
                .drop("__still"))
 
 
+def completion_only(df: DataFrame, ids="input_ids", marker_ids=(),
+                    out: str = "labels") -> DataFrame:
+    """LAY5: labels = ids with everything up to the end of the *last*
+    response marker set to -100; no marker -> all -100."""
+    marker = F.array(*[F.lit(int(i)) for i in marker_ids]).cast("array<int>")
+    end = A.last_subarray_end(ids, marker)
+    keep = F.transform(F.col(ids), lambda x, i: F.when(i < F.col("__end"), F.lit(IGNORE_INDEX))
+                       .otherwise(x))
+    return (df.withColumn("__end", end)
+              .withColumn(out, F.when(F.col("__end") > 0, keep)
+                          .otherwise(F.transform(F.col(ids), lambda x: F.lit(IGNORE_INDEX))))
+              .drop("__end"))
+
+
 def limit_text(df: DataFrame, ids="input_ids", n: int = 1024) -> DataFrame:
     """LAY13: cut a single id array to ``n``."""
     return df.withColumn(ids, A.truncate(ids, n))

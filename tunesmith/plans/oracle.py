@@ -38,7 +38,10 @@ def with_views(sql: str) -> str:
     if not used:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0]}\n)" for n in _order(used))
-    return f"WITH {ctes}\n{sql.strip()}"
+    body = sql.strip()
+    if body[:4].upper() == "WITH":
+        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    return f"WITH {ctes}\n{body}"
 
 
 def md5_key(expr: str, seed: int = 42) -> str:

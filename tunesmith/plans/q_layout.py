@@ -253,8 +253,7 @@ def lay5(spark, d):
     vocab = VO.build_vocab(qa, "text")
     marker = marker_ids(vocab, T.RESPONSE_MARKER)
     enc = VO.encode(qa, KEY, {"input_ids": ("text", None, False)}, vocab)
-    labels = A.completion_only("input_ids", F.array(*[F.lit(i) for i in marker]))
-    return enc.withColumn("labels", labels).select(
+    return LA.completion_only(enc, "input_ids", marker).select(
         *KEY, A.ids_text("input_ids").alias("input_ids"),
         A.ids_text("labels").alias("labels"))
 

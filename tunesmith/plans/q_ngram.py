@@ -1 +1,69 @@
-"""Registered queries."""
+"""Queries: n-gram continuation lookup, accepted prefixes, run summaries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tunesmith.functions import arrays as A
+from tunesmith.operators import ngram as NG
+from tunesmith.plans.q_layout import KEY, runs, s
+from tunesmith.plans.registry import query
+
+
+def continuation_sql(a: str, max_n: int = 3, k: int = 10) -> str:
+    parts = []
+    for n in range(max_n, 0, -1):
+        hit = (f"list_filter(range(0, len({a}) - {n} - {k} + 1), lambda p: p + {n} < len({a}) - {n} "
+               f"AND {a}[p + 1:p + {n}] = {a}[len({a}) - {n} + 1:len({a})])[1]")
+        parts.append(f"CASE WHEN {hit} IS NOT NULL THEN {a}[{hit} + {n} + 1:{hit} + {n} + {k}] END")
+    return f"coalesce({', '.join(parts)}, CAST([] AS BIGINT[]))"
+
+
+@query("ngr1_continuation", f"""
+SELECT conv_id, turn, {s('c')} AS candidate, len(c) AS n_candidate
+FROM (SELECT conv_id, turn, {continuation_sql('output_ids')} AS c FROM v_runs)
+""")
+def ngr1(spark, d):
+    r = NG.continuation(runs(spark, d), "output_ids")
+    return r.select(*KEY, A.ids_text("candidate").alias("candidate"),
+                    F.size("candidate").cast("bigint").alias("n_candidate"))
+
+
+def _half(spark, d):
+    r = runs(spark, d)
+    ans = A.strip_prompt("output_ids", "prompt_ids")
+    h = F.floor(F.size(ans) / 2).cast("int")
+    r = r.withColumn("__ans", ans).withColumn("__h", h)
+    return (r.withColumn("context", F.concat("prompt_ids", F.slice("__ans", 1, F.col("__h"))))
+             .withColumn("truth", F.slice("__ans", F.col("__h") + 1, F.size("__ans")))
+             .withColumn("cap", F.size("truth") - 1)
+             .drop("__ans", "__h"))
+
+
+HALF_SQL = """(SELECT conv_id, turn, list_concat(prompt_ids, ans[1:h]) AS context,
+        ans[h + 1:] AS truth, len(ans) - h - 1 AS cap
+ FROM (SELECT conv_id, turn, prompt_ids, ans, len(ans) // 2 AS h
+       FROM (SELECT conv_id, turn, prompt_ids, output_ids[len(prompt_ids) + 1:] AS ans FROM v_runs)))"""
+
+
+@query("ngr2_accepted_prefix", f"""
+SELECT conv_id, turn, len(c) AS n_candidate,
+       least(cap, coalesce(nullif(list_position(list_transform(range(1, greatest(len(c), len(truth)) + 1),
+             lambda i: coalesce(c[i] = truth[i], false)), false), 0) - 1, least(len(c), len(truth)))) AS accepted
+FROM (SELECT conv_id, turn, truth, cap, {continuation_sql('context')} AS c FROM {HALF_SQL})
+""")
+def ngr2(spark, d):
+    r = NG.accepted_prefix(NG.continuation(_half(spark, d), "context"))
+    return r.select(*KEY, F.size("candidate").cast("bigint").alias("n_candidate"),
+                    F.col("accepted").cast("bigint"))
+
+
+@query("ngr3_run_summary", """
+SELECT count(*) AS n_runs, sum(len(output_ids) - len(prompt_ids)) AS generated,
+       CAST(sum(seconds) AS DOUBLE) AS seconds,
+       round(sum(len(output_ids) - len(prompt_ids)) / sum(seconds), 6) AS tokens_per_second
+FROM v_runs
+""")
+def ngr3(spark, d):
+    out = NG.run_summary(runs(spark, d))
+    return out.withColumn("tokens_per_second", F.round("tokens_per_second", 6))
