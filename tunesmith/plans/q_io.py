@@ -1 +1,214 @@
-"""Registered queries."""
+"""Queries: sources, sinks, union, file stream and user functions.
+
+Each round-trip query writes rows derived from the driver tables into a
+fresh folder below the shared checkpoint folder and reads them back through
+the operator under test.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tunesmith.operators import filters as FL
+from tunesmith.operators import preference as PR
+from tunesmith.operators import split as SP
+from tunesmith.operators import udf as UD
+from tunesmith.plans import views as V
+from tunesmith.plans.oracle import md5_key
+from tunesmith.plans.q_prompts import _split_case
+from tunesmith.plans.registry import query
+from tunesmith.session import scratch_path
+from tunesmith.sources import readers as R
+from tunesmith.sources import sinks as S
+from tunesmith.streaming import files as ST
+
+TURN_SCHEMA = T.StructType([
+    T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+    T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
+COMPARISON_SCHEMA = T.StructType([
+    T.StructField("conv_id", T.LongType()), T.StructField("instruction", T.StringType()),
+    T.StructField("output", T.ArrayType(T.StringType()))])
+INSTRUCTION_SCHEMA = T.StructType([
+    T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+    T.StructField("instruction", T.StringType()), T.StructField("input", T.StringType()),
+    T.StructField("output", T.StringType())])
+DOC_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+PAGE_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+    T.StructField("html", T.StringType())])
+
+
+@query("src1_read_jsonl", """
+SELECT conv_id, turn, role, text FROM conversations
+""")
+def src1(spark, d):
+    path = scratch_path(spark, "jsonl")
+    V.conversations(spark, d).write.mode("overwrite").json(path)
+    return R.read_jsonl(spark, path, TURN_SCHEMA)
+
+
+@query("src2_read_json", """
+SELECT conv_id, instruction, output[1] AS answer_0, output[2] AS answer_1, 'train' AS split
+FROM v_comparison
+""")
+def src2(spark, d):
+    path = scratch_path(spark, "json")
+    V.comparison_view(spark, d).write.mode("overwrite").json(path)
+    df = R.read_json(spark, [path], COMPARISON_SCHEMA)
+    return df.select("conv_id", "instruction", F.get("output", 0).alias("answer_0"),
+                     F.get("output", 1).alias("answer_1"), "split")
+
+
+@query("src3_read_splits", f"""
+SELECT doc_id, text, CASE WHEN {_split_case('doc_id')} = 'train' THEN 'train' ELSE 'validation' END AS split
+FROM documents
+""")
+def src3(spark, d):
+    base = scratch_path(spark, "splits")
+    docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "text"), "doc_id")
+    docs.filter(F.col("split") == "train").drop("split").write.mode("overwrite").json(
+        f"{base}/train.json")
+    S.write_csv(docs.filter(F.col("split") == "eval").drop("split"), f"{base}/validation.csv")
+    return R.read_splits(spark, {"train": f"{base}/train.json",
+                                 "validation": f"{base}/validation.csv"}, DOC_SCHEMA)
+
+
+ARRAY_FILE_ROWS = 50
+
+
+@query("src4_read_json_glob", """
+SELECT conv_id, turn, instruction, input, output FROM v_instruction
+""")
+def src4(spark, d):
+    base = scratch_path(spark, "json-arrays")
+    inst = V.instruction_view(spark, d).select("conv_id", "turn", "instruction", "input", "output")
+    files = S.with_shards(inst, ["conv_id", "turn"], ARRAY_FILE_ROWS, name="file")
+    arrays = files.groupBy("file").agg(
+        F.to_json(F.collect_list(F.struct("conv_id", "turn", "instruction", "input",
+                                          "output"))).alias("value"))
+    arrays.write.mode("overwrite").partitionBy("file").text(base)
+    # a truncated file: must contribute no rows
+    spark.createDataFrame([('[{"conv_id": 1, "turn": 0, "instruction": "cut',)], "value string") \
+        .write.mode("overwrite").text(f"{base}/file=broken")
+    return R.read_json_glob(spark, [f"{base}/file=*/*.txt"], INSTRUCTION_SCHEMA)
+
+
+@query("src5_read_csv", """
+SELECT page_id, url, html FROM pages
+""")
+def src5(spark, d):
+    path = scratch_path(spark, "csv")
+    S.write_csv(V.table(spark, d, "pages"), path)
+    return R.read_csv(spark, [path], PAGE_SCHEMA)
+
+
+@query("src6_read_dataset", f"""
+SELECT doc_id, lang, {_split_case('doc_id')} AS split FROM documents
+""")
+def src6(spark, d):
+    path = scratch_path(spark, "dataset")
+    docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "lang"), "doc_id")
+    docs.write.mode("overwrite").partitionBy("split").parquet(path)
+    return R.read_dataset(spark, path).select("doc_id", "lang", "split")
+
+
+@query("uni1_union_by_name", """
+SELECT doc_id, text, lang, 'documents' AS origin FROM documents
+UNION ALL
+SELECT item_id AS doc_id, text, NULL AS lang, 'benchmark' AS origin FROM benchmark
+""")
+def uni1(spark, d):
+    docs = V.documents(spark, d).select("doc_id", "text", "lang", F.lit("documents").alias("origin"))
+    bench = V.table(spark, d, "benchmark").select(
+        F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("origin"), "text")
+    return R.union_all(docs, bench)
+
+
+@query("snk1_write_shards", f"""
+SELECT doc_id, (row_number() OVER (ORDER BY {md5_key('doc_id')}, doc_id) - 1) // 666 AS shard, text
+FROM documents
+""")
+def snk1(spark, d):
+    path = scratch_path(spark, "shards")
+    docs = V.documents(spark, d).select("doc_id", "text", SP.seeded_hash("doc_id").alias("__h"))
+    S.write_shards(docs, path, [F.col("__h").asc(), F.col("doc_id").asc()], drop=("__h",))
+    # the shard folder comes back as a partition column
+    schema = T.StructType(DOC_SCHEMA.fields + [T.StructField("shard", T.LongType())])
+    return R.read_csv(spark, [path], schema).select("doc_id", "shard", "text")
+
+
+@query("snk2_overwrite", """
+SELECT conv_id, turn, instruction AS prompt FROM v_instruction
+""")
+def snk2(spark, d):
+    path = scratch_path(spark, "overwrite")
+    V.conversations(spark, d).select("conv_id", "turn", F.col("text").alias("prompt")) \
+        .write.mode("overwrite").json(path)
+    inst = V.instruction_view(spark, d, False).select(
+        "conv_id", "turn", F.col("instruction").alias("prompt"))
+    inst.write.mode("overwrite").json(path)
+    schema = "conv_id bigint, turn bigint, prompt string"
+    return spark.read.schema(schema).json(path)
+
+
+@query("snk3_write_predictions", r"""
+SELECT conv_id, turn, regexp_replace(labels, '^\s+|\s+$', '', 'g') AS labels,
+       regexp_replace(predict, '^\s+|\s+$', '', 'g') AS predict
+FROM v_predictions
+""")
+def snk3(spark, d):
+    path = scratch_path(spark, "predictions")
+    preds, refs = V.prediction_view(spark, d)
+    S.write_predictions(preds.join(refs, ["conv_id", "turn"]), path, keys=("conv_id", "turn"))
+    return spark.read.schema("conv_id bigint, turn bigint, labels string, predict string").json(path)
+
+
+@query("snk4_run_metrics", f"""
+SELECT split, least(50, count(*)) AS eval_samples, avg(n_chars) AS eval_chars, 'eval' AS phase
+FROM (SELECT {_split_case('doc_id')} AS split, n_chars FROM documents)
+GROUP BY split
+""")
+def snk4(spark, d):
+    docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "n_chars"), "doc_id")
+    return S.run_metrics(docs, "eval", cap=50, metrics={"chars": "n_chars"})
+
+
+@query("str1_stream_jsonl", """
+SELECT conv_id, instruction, output[length(instruction) % 2 + 1] AS answer,
+       length(instruction) % 2 = 0 AS label
+FROM v_comparison
+""")
+def str1(spark, d):
+    src = scratch_path(spark, "stream-in")
+    V.comparison_view(spark, d).repartition(4, "conv_id").write.mode("overwrite").json(src)
+    stream = ST.stream_jsonl(spark, src, COMPARISON_SCHEMA, max_files_per_trigger=1)
+    picked = PR.parity_pick(stream).select("conv_id", "instruction", "answer", "label")
+    sink = scratch_path(spark, "stream-out")
+    ST.run_available(picked, sink, scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(sink)
+
+
+def _count_lines(batch: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"conv_id": batch["conv_id"], "turn": batch["turn"],
+                         "n_lines": batch["text"].str.count("\n").astype("int64") + 1})
+
+
+@query("udf1_map_batches", """
+SELECT conv_id, turn, length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines
+FROM conversations
+""")
+def udf1(spark, d):
+    conv = V.conversations(spark, d).select("conv_id", "turn", "text")
+    return UD.map_batches(conv, _count_lines, "conv_id bigint, turn bigint, n_lines bigint")
+
+
+@query("udf1_filter_rows", """
+SELECT conv_id, turn, role FROM conversations WHERE role = 'assistant' AND length(text) > 500
+""")
+def udf1_filter(spark, d):
+    conv = V.conversations(spark, d).select("conv_id", "turn", "role", "text")
+    kept = UD.filter_rows(conv, lambda b: (b["role"] == "assistant") & (b["text"].str.len() > 500))
+    return FL.reshape(kept, ["conv_id", "turn", "role"])
