@@ -18,6 +18,7 @@ from tunesmith.operators.filters import drop_blank
 from tunesmith.operators.position import with_position
 from tunesmith.operators.split import seeded_hash
 from tunesmith.operators.vocab import Vocabulary, encode
+from tunesmith.streaming.files import require_static
 
 DEFAULT_SPEC = TokenSpec()
 
@@ -94,6 +95,7 @@ def collate(df: DataFrame, batch="batch_id", ids="input_ids", seq_len="seq_len",
     ``L = max(len) + 1``; inputs padded with eos to ``L``; labels
     ``-100×(seq_len-1) ‖ ids[seq_len-1:] ‖ eos ‖ -100×(L-len-1)``;
     2-D position ids; optional L×L prefix mask (quadratic, off by default)."""
+    require_static(df, "collate")
     w = Window.partitionBy(batch)
     n = F.size(ids)
     s = F.col(seq_len)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunesmith.session import ensure_checkpoint_dir
+from tunesmith.streaming.files import require_static
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -41,6 +42,7 @@ def with_position(df: DataFrame, order_by, name: str = "pos",
 
     ``total`` optionally names a column that receives the row count.
     """
+    require_static(df, "with_position")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = _sort_cols(order_by)

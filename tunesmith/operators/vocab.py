@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tunesmith.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
 from tunesmith.functions.text import words
 from tunesmith.operators.position import with_position
+from tunesmith.streaming.files import require_static
 
 HEAD_SIZE = 1 << 16
 HEAD_TOKEN_CHARS = 64
@@ -67,6 +68,7 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1,
     Counting is a partial + final hash aggregate (a frequent word is reduced
     map-side); ranking uses range-partitioned positions, not one task.
     """
+    require_static(df, "build_vocab")
     counts = (df.select(F.explode(words(text)).alias("token"))
                 .groupBy("token")
                 .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
