@@ -109,9 +109,10 @@ def test_bleu_matches_definition(spark):
              ("ééèè", "éèéè")]
     df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(pairs)],
                                "k int, predict string, labels string")
-    got = {r.k: r.bleu_4 for r in EV.bleu4(df, "k").collect()}
-    for i, (p, r) in enumerate(pairs):
-        assert got[i] == pytest.approx(py_bleu(p, r)), (p, r)
+    for method in ("arrow", "aggregate"):
+        got = {r.k: r.bleu_4 for r in EV.bleu4(df, "k", method=method).collect()}
+        for i, (p, r) in enumerate(pairs):
+            assert got[i] == pytest.approx(py_bleu(p, r)), (method, p, r)
 
 
 @pytest.mark.parametrize("seq_len", [1, 2, 3, 4, 6])

@@ -4,8 +4,9 @@ A DataFrame has no order, so every positional operator takes explicit sort
 keys.  Positions are assigned without a single-partition window:
 
 1. range-partition on the keys and sort inside each partition,
-2. checkpoint that (reliable checkpoint in the shared folder, so partition
-   contents stay fixed even if executors are lost),
+2. write that once, with partition number and index inside the partition,
+   as a parquet table in the shared checkpoint folder (the lineage is cut, so
+   positions stay fixed even if executors are lost),
 3. count rows per partition -- a table with one row per partition,
 4. running offsets over that tiny table, broadcast back (its size is the
    partition count, a proven bound),
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunesmith.session import ensure_checkpoint_dir
+from tunesmith.session import scratch_path
 from tunesmith.streaming.files import require_static
 
 _PID = "__pid"
@@ -41,23 +42,26 @@ def with_position(df: DataFrame, order_by, name: str = "pos",
     """POS2: add a 0-based position in ``order_by`` order (keys unique).
 
     ``total`` optionally names a column that receives the row count.
+    The range-partitioned rows are written once, together with their
+    partition number and index inside the partition, as a parquet table in
+    the shared checkpoint folder; everything after that reads the table, so
+    a lost executor never changes a position.
     """
     require_static(df, "with_position")
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = _sort_cols(order_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
-                .checkpoint(eager=True))
-    local = ranged.select(
-        "*",
-        F.spark_partition_id().alias(_PID),
-        (F.monotonically_increasing_id()
-         - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-         ).alias(_LOCAL))
-    counts = (ranged.select(F.spark_partition_id().alias(_PID))
-                    .groupBy(_PID).agg(F.count(F.lit(1)).alias("__n")))
+                .select("*",
+                        F.spark_partition_id().alias(_PID),
+                        (F.monotonically_increasing_id()
+                         - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+                         ).alias(_LOCAL)))
+    path = scratch_path(spark, "positions")
+    ranged.write.mode("overwrite").parquet(path)
+    local = spark.read.parquet(path)
+    counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: bounded by the partition count
     w = Window.orderBy(_PID)
     offsets = counts.select(
@@ -67,12 +71,11 @@ def with_position(df: DataFrame, order_by, name: str = "pos",
         ).alias("__offset"),
         F.sum("__n").over(Window.partitionBy(F.lit(1))).alias("__total"))
     out = local.join(F.broadcast(offsets), _PID, "left")
-    cols = [c for c in df.columns]
     extra = [(F.col("__offset") + F.col(_LOCAL)).cast("bigint").alias(name)]
     if total:
         extra.append(F.coalesce(F.col("__total"), F.lit(0)).cast("bigint")
                      .alias(total))
-    return out.select(*cols, *extra)
+    return out.select(*df.columns, *extra)
 
 
 def position_count(df: DataFrame) -> int:
