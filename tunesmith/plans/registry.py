@@ -29,7 +29,7 @@ def load_all() -> None:
     # importing the modules registers their queries
     from tunesmith.plans import (  # noqa: F401
         q_prompts, q_position, q_tokens, q_layout, q_evaluate, q_ngram,
-        q_io)
+        q_io, q_flows)
 
 
 def queries() -> dict[str, Callable]:
