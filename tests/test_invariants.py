@@ -47,7 +47,7 @@ def test_salted_lookup_equals_broadcast_lookup(spark, sf_dir):
     """A tiny head forces the head-broadcast + salted-tail join path."""
     conv = V.conversations(spark, sf_dir).select("conv_id", "turn", "text")
     vocab = VO.build_vocab(conv, "text")
-    small = VO.Vocabulary(vocab.table, head_size=25)
+    small = VO.Vocabulary(vocab.table, head_size=25, broadcast_bytes=0)
     assert vocab.fits_broadcast() and not small.fits_broadcast()
     spec = {"ids": ("text", None, True)}
     a = {(r.conv_id, r.turn): r.ids for r in

@@ -13,7 +13,9 @@ word:
 * rows it resolves get a spread-out salt key that cannot match, and only the
   remaining (rare-word) rows meet the *tail* in a shuffle join.
 
-When the whole vocabulary is within the head bound only the broadcast runs.
+When the whole vocabulary is within the head bound, or its measured size
+(words and bytes, one small aggregate) is under ``broadcast_bytes``, only
+the broadcast runs.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ from tunesmith.streaming.files import require_static
 
 HEAD_SIZE = 1 << 16
 HEAD_TOKEN_CHARS = 64
+# A whole vocabulary is broadcast only when its measured size is below this.
+BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD_BYTES = 32
 SALT_BUCKETS = 4096
 # Printable names of the reserved ids.
 SPECIAL_TOKENS = {PAD_ID: "<pad>", EOS_ID: "</s>", BOS_ID: "<s>", UNK_ID: "<unk>"}
@@ -41,19 +46,28 @@ class Vocabulary:
 
     table: DataFrame
     head_size: int = HEAD_SIZE
+    broadcast_bytes: int = BROADCAST_BYTES
     _stats: tuple | None = field(default=None, repr=False)
 
-    def stats(self) -> tuple[int, int]:
-        """(number of words, longest word) -- one small aggregate job."""
+    def stats(self) -> tuple[int, int, int]:
+        """(words, longest word, total UTF-8 bytes) -- one small aggregate."""
         if self._stats is None:
             r = self.table.agg(F.count(F.lit(1)),
-                               F.coalesce(F.max(F.length("token")), F.lit(0))).first()
-            self._stats = (int(r[0]), int(r[1]))
+                               F.coalesce(F.max(F.length("token")), F.lit(0)),
+                               F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
+            self._stats = (int(r[0]), int(r[1]), int(r[2]))
         return self._stats
 
+    def size_bytes(self) -> int:
+        n, _longest, text = self.stats()
+        return text + n * ROW_OVERHEAD_BYTES
+
     def fits_broadcast(self) -> bool:
-        n, longest = self.stats()
-        return n <= self.head_size and longest <= HEAD_TOKEN_CHARS
+        """True when the whole table has a measured size under the budget."""
+        n, longest, _text = self.stats()
+        if n <= self.head_size and longest <= HEAD_TOKEN_CHARS:
+            return True
+        return self.size_bytes() <= self.broadcast_bytes
 
     def head(self) -> DataFrame:
         return self.table.filter(
