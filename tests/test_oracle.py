@@ -10,6 +10,9 @@ from tunesmith.plans import registry
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 NAMES = sorted(registry.oracle_sql())
+# Spark type -> DuckDB type name the oracle must produce for the same column
+TYPE_NAMES = {"LongType()": "BIGINT", "StringType()": "VARCHAR", "DoubleType()": "DOUBLE",
+              "BooleanType()": "BOOLEAN", "IntegerType()": "INTEGER"}
 
 
 def _norm(v):
@@ -42,5 +45,8 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     got = [r.asDict() for r in df.collect()]
     rel = duck.sql(registry.oracle_sql()[name])
     assert cols == sorted(rel.columns)
+    spark_types = {f.name: TYPE_NAMES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
     want = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert _rows(got, cols) == _rows(want, cols)

@@ -43,8 +43,8 @@ def tok1_capped(spark, d):
 # -- seq2seq flow ---------------------------------------------------------------
 
 @query("e2e_seq2seq_rows", f"""
-SELECT split, count(*) AS n_rows, sum(len(a) + len(b) + 1) AS input_tokens,
-       sum(len(b) + 1) AS label_tokens
+SELECT split, count(*) AS n_rows, CAST(sum(len(a) + len(b) + 1) AS BIGINT) AS input_tokens,
+       CAST(sum(len(b) + 1) AS BIGINT) AS label_tokens
 FROM (SELECT *, CASE WHEN {md5_key(ROW_KEY)} < '{TRAIN_T}' THEN 'train' ELSE 'validation' END AS split
       FROM v_s2s)
 GROUP BY split
@@ -73,10 +73,10 @@ def e2e_seq2seq(spark, d):
 def _pref_len_sql(max_length: int = 512, max_prompt: int = 128) -> str:
     keep = max_length - max_prompt
     return f"""
-SELECT split, count(*) AS n_rows, sum(CASE WHEN over THEN 1 ELSE 0 END) AS n_truncated,
-       sum(lp) AS prompt_tokens,
-       sum(CASE WHEN lp + greatest(lc, lr) > {max_length} THEN least(lc, {keep}) ELSE lc END) AS chosen_tokens,
-       sum(CASE WHEN lp + greatest(lc, lr) > {max_length} THEN least(lr, {keep}) ELSE lr END) AS rejected_tokens
+SELECT split, count(*) AS n_rows, CAST(sum(CASE WHEN over THEN 1 ELSE 0 END) AS BIGINT) AS n_truncated,
+       CAST(sum(lp) AS BIGINT) AS prompt_tokens,
+       CAST(sum(CASE WHEN lp + greatest(lc, lr) > {max_length} THEN least(lc, {keep}) ELSE lc END) AS BIGINT) AS chosen_tokens,
+       CAST(sum(CASE WHEN lp + greatest(lc, lr) > {max_length} THEN least(lr, {keep}) ELSE lr END) AS BIGINT) AS rejected_tokens
 FROM (SELECT *, CASE WHEN over THEN least(lp0, {max_prompt}) ELSE lp0 END AS lp
       FROM (SELECT *, lp0 + greatest(lc, lr) > {max_length} AS over
             FROM (SELECT conv_id, len({words('instruction')}) + 1 AS lp0,
@@ -122,7 +122,7 @@ WHERE c.rk2 < 5
 
 @query("e2e_corpus_batches", f"""
 SELECT split, count(*) AS n_rows, count(DISTINCT batch) AS n_batches,
-       sum(len(ids) - seq_len + 2) AS label_tokens, sum(L) AS padded_tokens
+       CAST(sum(len(ids) - seq_len + 2) AS BIGINT) AS label_tokens, CAST(sum(L) AS BIGINT) AS padded_tokens
 FROM (SELECT *, max(len(ids)) OVER (PARTITION BY split, batch) + 1 AS L
       FROM (SELECT s.split, c.ids, c.seq_len,
                    (row_number() OVER (PARTITION BY s.split ORDER BY {md5_key('s.row_key')}, s.row_key) - 1) // 4 AS batch

@@ -176,10 +176,10 @@ BOUND = "CASE WHEN seq_len >= 3 THEN seq_len - 3 ELSE greatest(L + seq_len - 3,
 
 @query("lay7_prefix_mask", f"""
 SELECT conv_id, turn, seq_len, L,
-       list_sum(list_transform(range(L), lambda i:
-         len(list_filter(range(L), lambda j: j > i AND j >= {BOUND})))) AS n_hidden,
-       list_sum(list_transform(range(L), lambda i:
-         greatest(L - greatest(i + 1, {BOUND}), 0))) AS n_hidden_closed
+       CAST(list_sum(list_transform(range(L), lambda i:
+         len(list_filter(range(L), lambda j: j > i AND j >= {BOUND})))) AS BIGINT) AS n_hidden,
+       CAST(list_sum(list_transform(range(L), lambda i:
+         greatest(L - greatest(i + 1, {BOUND}), 0))) AS BIGINT) AS n_hidden_closed
 FROM (SELECT conv_id, turn, seq_len, seq_len + {MASK_WINDOW} AS L FROM v_causal)
 """)
 def lay7(spark, d):

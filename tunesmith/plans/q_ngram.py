@@ -59,7 +59,7 @@ def ngr2(spark, d):
 
 
 @query("ngr3_run_summary", """
-SELECT count(*) AS n_runs, sum(len(output_ids) - len(prompt_ids)) AS generated,
+SELECT count(*) AS n_runs, CAST(sum(len(output_ids) - len(prompt_ids)) AS BIGINT) AS generated,
        CAST(sum(seconds) AS DOUBLE) AS seconds,
        round(sum(len(output_ids) - len(prompt_ids)) / sum(seconds), 6) AS tokens_per_second
 FROM v_runs

@@ -54,7 +54,7 @@ def tok2(spark, d):
 
 
 @query("tok2_encode_documents", f"""
-SELECT doc_id, len(ids) AS n_ids, list_sum(ids) AS id_sum,
+SELECT doc_id, len(ids) AS n_ids, CAST(list_sum(ids) AS BIGINT) AS id_sum,
        list_count(list_filter(ids, lambda x: x = 3)) AS n_unknown
 FROM {encode_sql("documents", ["doc_id"], "text", None, True, "v_vocab")}
 """)
