@@ -212,3 +212,42 @@ def udf1_filter(spark, d):
     conv = V.conversations(spark, d).select("conv_id", "turn", "role", "text")
     kept = UD.filter_rows(conv, lambda b: (b["role"] == "assistant") & (b["text"].str.len() > 500))
     return FL.reshape(kept, ["conv_id", "turn", "role"])
+
+
+def _turn_summary(row: dict) -> dict:
+    text = row["text"]
+    return {"conv_id": row["conv_id"], "turn": row["turn"],
+            "n_chars": len(text), "first_line": text.split("\n", 1)[0]}
+
+
+@query("udf1_map_rows", r"""
+SELECT conv_id, turn, length(text) AS n_chars,
+       CASE WHEN strpos(text, chr(10)) > 0 THEN left(text, strpos(text, chr(10)) - 1) ELSE text END AS first_line
+FROM conversations
+""")
+def udf1_rows(spark, d):
+    conv = V.conversations(spark, d).select("conv_id", "turn", "text")
+    return UD.map_rows(conv, _turn_summary,
+                       "conv_id bigint, turn bigint, n_chars bigint, first_line string")
+
+
+@query("str1_stream_context", """
+SELECT conv_id, turn,
+       concat('Instruction: ', instruction, chr(10),
+              CASE WHEN input <> '' THEN concat('Input: ', input, chr(10)) ELSE '' END,
+              'Answer: ') AS context,
+       output AS target
+FROM v_instruction
+""")
+def str1_context(spark, d):
+    """Instruction rows streamed from JSON lines through PRM2 and FLT4."""
+    from tunesmith.operators import prompts as PM
+
+    src = scratch_path(spark, "stream-ctx-in")
+    V.instruction_view(spark, d).select("conv_id", "turn", "instruction", "input", "output") \
+        .repartition(4, "conv_id").write.json(src)
+    stream = ST.stream_jsonl(spark, src, INSTRUCTION_SCHEMA, max_files_per_trigger=2)
+    shaped = FL.drop_null(PM.context_target(stream).select("conv_id", "turn", "context", "target"))
+    sink = scratch_path(spark, "stream-ctx-out")
+    ST.run_available(shaped, sink, scratch_path(spark, "stream-ctx-ckpt"))
+    return spark.read.parquet(sink)

@@ -371,3 +371,43 @@ def lay12(spark, d):
 @query("lay12_limit_pair_tight", _limit_pair_sql(160, 24))
 def lay12_tight(spark, d):
     return _lay12(spark, d, 160, 24)
+
+
+@query("lay2_seq2seq_eval_left", f"""
+SELECT conv_id, turn, batch_id,
+       {s(cat(rep(0, 'L - len(a)'), 'a'))} AS input_ids,
+       {s(cat(rep(0, 'L - len(a)'), "list_transform(a, lambda x: 1)"))} AS attention_mask,
+       {s(MASK.format(x='b'))} AS labels
+FROM (SELECT *, max(len(a)) OVER (PARTITION BY batch_id) AS L
+      FROM (SELECT a.conv_id, a.turn, a.a, b.b,
+                   (row_number() OVER (ORDER BY a.conv_id, a.turn) - 1) // {EVAL_BATCH} AS batch_id
+            FROM {encode_sql("v_instruction", KEY, "instruction", 1024, True, out="a")} a
+            JOIN {encode_sql("v_instruction", KEY, "output", 128, True, out="b")} b
+            USING (conv_id, turn)))
+""")
+def lay2_left(spark, d):
+    """Left padding (the padding side some tokenizers default to)."""
+    rows = PO.with_batch_id(PO.with_position(_instruction_pairs(spark, d), KEY),
+                            EVAL_BATCH)
+    out = LA.seq2seq_eval(rows, KEY, conversation_vocab(spark, d),
+                          spec=TokenSpec(padding_side="left"))
+    return out.select(*KEY, "batch_id",
+                      A.ids_text("input_ids").alias("input_ids"),
+                      A.ids_text("attention_mask").alias("attention_mask"),
+                      A.ids_text("labels").alias("labels"))
+
+
+@query("lay8_position_ids_gmask", """
+SELECT conv_id, turn,
+       concat(array_to_string(range(L), ','), '|', array_to_string(list_transform(range(L),
+              lambda i: CASE WHEN i >= seq_len - 1 THEN i - seq_len + 2 ELSE 0 END), ',')) AS pos_2d,
+       array_to_string(range(L), ',') AS pos_1d
+FROM (SELECT conv_id, turn, seq_len, len(ids) + 1 AS L FROM v_causal)
+""")
+def lay8_gmask(spark, d):
+    rows = causal(spark, d).withColumn("L", F.size("input_ids") + 1)
+    p2 = A.position_ids("seq_len", F.col("L"), gmask=True)
+    p1 = A.position_ids("seq_len", F.col("L"), gmask=True, two_d=False)
+    return rows.select(*KEY, F.concat_ws("|", A.ids_text(F.get(p2, 0)),
+                                         A.ids_text(F.get(p2, 1))).alias("pos_2d"),
+                       A.ids_text(p1).alias("pos_1d"))

@@ -355,3 +355,13 @@ def spl3(spark, d):
         "doc_id",
         F.floor(F.col("pos") / HOLDOUT_SHARD_ROWS).cast("bigint").alias("shard"))
     return SP.shard_holdout(sharded, "shard").select("doc_id", "shard", "split")
+
+
+@query("prm4_chatml_generation", f"""
+SELECT conv_id,
+       concat(array_to_string(list_transform(messages, lambda m: {chatml_msg('m.role', 'm.content')}), ''),
+              '<|im_start|>assistant', {NL}) AS text
+FROM v_messages
+""")
+def prm4_generation(spark, d):
+    return PM.chatml(V.messages_view(spark, d), add_generation_prompt=True).select("conv_id", "text")
