@@ -148,3 +148,31 @@ def test_source_spec_checks():
         SourceSpec(train_file="x.txt")
     s = SourceSpec(train_file="a.json", max_target_length=64)
     assert s.val_max_target_length == 64 and s.splits() == {"train": "a.json"}
+
+
+def test_encode_and_collate_do_not_depend_on_partitioning(spark, sf_dir):
+    from tunesmith.operators import layout as LA
+
+    conv = V.conversations(spark, sf_dir).select("conv_id", "turn", "text")
+    vocab = VO.build_vocab(conv, "text")
+
+    def run(df):
+        enc = VO.encode(df, ["conv_id", "turn"], {"input_ids": ("text", 64, True)}, vocab)
+        rows = enc.withColumn("seq_len", F.least(F.size("input_ids"), F.lit(5)))
+        pos = PO.with_batch_id(PO.with_position(rows, ["conv_id", "turn"]), 4)
+        out = LA.collate(pos)
+        return sorted((r.conv_id, r.turn, tuple(r.input_ids), tuple(r.labels), r.row_in_batch)
+                      for r in out.collect())
+
+    assert run(conv.repartition(1)) == run(conv.repartition(17))
+
+
+def test_pad_generated_falls_back_to_eos(spark):
+    from tunesmith.config import TokenSpec
+    from tunesmith.operators import layout as LA
+
+    df = spark.createDataFrame([([5, 6],)], "generated_ids array<int>")
+    r = LA.pad_generated(df, max_new_tokens=3, spec=TokenSpec(pad=None)).first()
+    assert r.generated_ids == [5, 6, 1, 1]
+    with pytest.raises(ValueError):
+        LA.pad_generated(df, max_length=4, spec=TokenSpec(pad=None, eos=None))

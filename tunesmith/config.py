@@ -34,13 +34,21 @@ WORD_SPLIT_PATTERN = "[ \n\t\r]+"
 class TokenSpec:
     """Special token ids and padding side (pad may fall back to eos)."""
 
-    pad: int = PAD_ID
-    eos: int = EOS_ID
+    pad: int | None = PAD_ID
+    eos: int | None = EOS_ID
     bos: int = BOS_ID
     unk: int = UNK_ID
     padding_side: str = "right"
     ignore_pad_for_loss: bool = True
 
+    def pad_or_eos(self) -> int:
+        """Padding id for generated/label arrays: pad, else eos, else error."""
+        if self.pad is not None:
+            return self.pad
+        if self.eos is not None:
+            return self.eos
+        raise ValueError("padding needs a pad or an eos id")
+
     def with_pad_as_eos(self) -> "TokenSpec":
         return TokenSpec(self.eos, self.eos, self.bos, self.unk,
                          self.padding_side, self.ignore_pad_for_loss)

@@ -214,10 +214,12 @@ def _bleu4_grouped(pairs: DataFrame, key, pred, ref, out, mode) -> DataFrame:
 
 
 def score_summary(scores: DataFrame, metrics=("rouge_1", "rouge_2", "rouge_l", "bleu_4"),
-                  by=None) -> DataFrame:
-    """EVL6: mean of each metric (after per-row rounding), optionally by group."""
+                  by=None, rollup: bool = False) -> DataFrame:
+    """EVL6: mean of each metric (after per-row rounding), optionally by
+    group; ``rollup=True`` adds subtotal rows and a grand total (null keys)."""
     aggs = [F.avg(m).alias(m) for m in metrics] + [
         F.count(F.lit(1)).cast("bigint").alias("n_rows")]
     if by:
-        return scores.groupBy(*_keys(by)).agg(*aggs)
+        grouped = scores.rollup(*_keys(by)) if rollup else scores.groupBy(*_keys(by))
+        return grouped.agg(*aggs)
     return scores.agg(*aggs)

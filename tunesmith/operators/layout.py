@@ -166,6 +166,18 @@ def completion_only(df: DataFrame, ids="input_ids", marker_ids=(),
               .drop("__end"))
 
 
+def pad_generated(df: DataFrame, ids="generated_ids", max_length: int | None = None,
+                  max_new_tokens: int | None = None,
+                  spec: TokenSpec = DEFAULT_SPEC) -> DataFrame:
+    """LAY9: right-pad id arrays (generated tokens or labels) to the limit
+    ``max_length``, else ``max_new_tokens + 1``, with pad, else eos (error
+    when neither exists).  Longer arrays are left unchanged."""
+    if max_length is None and max_new_tokens is None:
+        raise ValueError("need max_length or max_new_tokens")
+    limit = max_length if max_length is not None else max_new_tokens + 1
+    return df.withColumn(ids, A.pad_to(ids, limit, spec.pad_or_eos()))
+
+
 def limit_text(df: DataFrame, ids="input_ids", n: int = 1024) -> DataFrame:
     """LAY13: cut a single id array to ``n``."""
     return df.withColumn(ids, A.truncate(ids, n))

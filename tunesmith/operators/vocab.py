@@ -186,3 +186,16 @@ def decode(df: DataFrame, key, ids: str, vocab: Vocabulary,
     if not keep_input:
         return grouped
     return df.join(grouped, key, "left")
+
+
+def preview(df: DataFrame, key, vocab: Vocabulary, ids: str = "input_ids",
+            labels: str | None = "labels", pad: int = PAD_ID) -> DataFrame:
+    """POS6: ids, decoded inputs and decoded labels (-100 read as pad, special
+    ids skipped) of the rows of ``df`` -- apply to ``row_at(df, 0)``."""
+    from tunesmith.functions.arrays import unmask
+
+    out = decode(df, key, ids, vocab, out="inputs")
+    if labels:
+        out = decode(out.withColumn("__lab", unmask(labels, pad)), key, "__lab", vocab,
+                     out="label_text").drop("__lab")
+    return out

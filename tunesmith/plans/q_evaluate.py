@@ -187,3 +187,20 @@ def evl6_by(spark, d):
     out = EV.score_summary(s, by="n_turns")
     return out.select("n_turns", *[F.round(c, 6).alias(c) for c in
                                    ("rouge_1", "rouge_2", "rouge_l", "bleu_4")], "n_rows")
+
+
+@query("evl6_score_rollup", """
+SELECT n_turns, round(avg(rouge_1), 6) AS rouge_1, round(avg(rouge_2), 6) AS rouge_2,
+       round(avg(rouge_l), 6) AS rouge_l, round(avg(bleu_4), 6) AS bleu_4, count(*) AS n_rows
+FROM v_scores s
+JOIN (SELECT conv_id, count(*) AS n_turns FROM conversations GROUP BY conv_id) t USING (conv_id)
+GROUP BY ROLLUP (n_turns)
+""")
+def evl6_rollup(spark, d):
+    """Means per conversation size plus the corpus total (null ``n_turns``)."""
+    sizes = V.conversations(spark, d).groupBy("conv_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_turns"))
+    s = scores(spark, d).join(sizes, "conv_id", "left")
+    out = EV.score_summary(s, by="n_turns", rollup=True)
+    return out.select("n_turns", *[F.round(c, 6).alias(c) for c in
+                                   ("rouge_1", "rouge_2", "rouge_l", "bleu_4")], "n_rows")

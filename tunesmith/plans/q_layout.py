@@ -281,7 +281,8 @@ def lay9(spark, d):
     conv = V.conversations(spark, d).select(*KEY, "text")
     enc = VO.encode(conv, KEY, {"ids": ("text", 1024, True)},
                     conversation_vocab(spark, d), keep_input=False)
-    return enc.select(*KEY, A.ids_text(A.pad_to("ids", PAD_TO, 0)).alias("padded"))
+    padded = LA.pad_generated(enc, "ids", max_new_tokens=PAD_TO - 1)
+    return padded.select(*KEY, A.ids_text("ids").alias("padded"))
 
 
 view("v_runs", f"""
@@ -411,3 +412,21 @@ def lay8_gmask(spark, d):
     return rows.select(*KEY, F.concat_ws("|", A.ids_text(F.get(p2, 0)),
                                          A.ids_text(F.get(p2, 1))).alias("pos_2d"),
                        A.ids_text(p1).alias("pos_1d"))
+
+
+@query("pos6_preview_labels", f"""
+SELECT conv_id, turn, {s(S2S_IDS)} AS input_ids,
+       array_to_string(list_concat({words('instruction')}[1:1023], {words('output')}[1:128]), ' ') AS inputs,
+       array_to_string({words('output')}[1:128], ' ') AS label_text
+FROM (SELECT s.*, i.instruction, i.output,
+             row_number() OVER (ORDER BY s.conv_id, s.turn) - 1 AS pos
+      FROM v_s2s s JOIN v_instruction i USING (conv_id, turn))
+WHERE pos = 0
+""")
+def pos6_labels(spark, d):
+    """First seq2seq training row: ids, decoded inputs and decoded labels."""
+    vocab = conversation_vocab(spark, d)
+    rows = LA.seq2seq_train(_instruction_pairs(spark, d), KEY, vocab)
+    first = PO.row_at(PO.with_position(rows.select(*KEY, "input_ids", "labels"), KEY), 0)
+    out = VO.preview(first, KEY, vocab)
+    return out.select(*KEY, A.ids_text("input_ids").alias("input_ids"), "inputs", "label_text")
