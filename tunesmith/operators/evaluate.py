@@ -170,8 +170,9 @@ def bleu4(pairs: DataFrame, key, pred="predict", ref="labels",
     """EVL5: sentence BLEU-4 per row (characters by default), smoothing 3.
 
     ``method="arrow"`` (default) counts clipped matches per row in an Arrow
-    batch -- no shuffle; measured ~20x faster than ``method="aggregate"``,
-    which explodes every n-gram and groups by (row, n, n-gram) in the JVM.
+    batch -- no shuffle; measured about 3x faster at sf0.1 than
+    ``method="aggregate"``, which explodes every n-gram and groups by
+    (row, n, n-gram) in the JVM.
     """
     if method == "aggregate":
         return _bleu4_grouped(pairs, key, pred, ref, out, mode)
