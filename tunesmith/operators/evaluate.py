@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tunesmith.functions.text import chars, ngram_keys, words
+from tunesmith.session import ship_package
 
 BLEU_ORDER = 4
 
@@ -123,6 +124,7 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
 def rouge_l(pairs: DataFrame, pred="predict", ref="labels", mode: str = "word",
             out: str = "rouge_l") -> DataFrame:
     """EVL4: ROUGE-L F x100 from the LCS length."""
+    ship_package(pairs.sparkSession)
     h, r = segment(pred, mode), segment(ref, mode)
     lcs = lcs_length(h, r)
     return pairs.withColumn(out, _f_score(lcs, F.size(h), F.size(r)))
@@ -176,6 +178,7 @@ def bleu4(pairs: DataFrame, key, pred="predict", ref="labels",
     """
     if method == "aggregate":
         return _bleu4_grouped(pairs, key, pred, ref, out, mode)
+    ship_package(pairs.sparkSession)
     if mode == "char":
         h, r = F.col(pred), F.col(ref)
         hl, rl = F.length(pred), F.length(ref)

@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tunesmith.session import ship_package
+
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                 schema) -> DataFrame:
@@ -22,6 +24,7 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
         for b in batches:
             yield fn(b)
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, schema)
 
 

@@ -9,6 +9,7 @@ has none, which is the local test situation.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,9 +42,32 @@ def build_session(master: str | None = None, app: str = "tunesmith",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tunesmith`` importable on every executor (once per context).
+
+    Python functions run by Arrow UDFs and ``mapInPandas`` are pickled by
+    module reference, so executors must import this package: it is zipped
+    on the driver and distributed with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tunesmith-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "tunesmith"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="tunesmith")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; pick a local one only if unset."""
     sc = spark.sparkContext
