@@ -167,13 +167,14 @@ def snk3(spark, d):
 
 
 @query("snk4_run_metrics", f"""
-SELECT split, least(50, count(*)) AS eval_samples, avg(n_chars) AS eval_chars, 'eval' AS phase
+SELECT split, least(50, count(*)) AS eval_samples, round(avg(n_chars), 6) AS eval_chars, 'eval' AS phase
 FROM (SELECT {_split_case('doc_id')} AS split, n_chars FROM documents)
 GROUP BY split
 """)
 def snk4(spark, d):
     docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "n_chars"), "doc_id")
-    return S.run_metrics(docs, "eval", cap=50, metrics={"chars": "n_chars"})
+    out = S.run_metrics(docs, "eval", cap=50, metrics={"chars": "n_chars"})
+    return out.withColumn("eval_chars", F.round("eval_chars", 6))
 
 
 @query("str1_stream_jsonl", """
