@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tunesmith.functions.text import chars, ngram_keys, words
+from tunesmith.operators.position import spread
 from tunesmith.session import ship_package
 
 BLEU_ORDER = 4
@@ -87,7 +88,7 @@ def rouge_n(pairs: DataFrame, n: int, pred="predict", ref="labels",
     after the other: a lambda or a repeated sub-expression that refers to
     an expression would evaluate it again for every use.
     """
-    tmp = (pairs.withColumn("__hw", segment(pred, mode))
+    tmp = (spread(pairs).withColumn("__hw", segment(pred, mode))
                 .withColumn("__rw", segment(ref, mode))
                 .withColumn("__hs", F.array_distinct(ngram_keys("__hw", n)))
                 .withColumn("__rs", F.array_distinct(ngram_keys("__rw", n)))
@@ -127,7 +128,7 @@ def rouge_l(pairs: DataFrame, pred="predict", ref="labels", mode: str = "word",
     ship_package(pairs.sparkSession)
     h, r = segment(pred, mode), segment(ref, mode)
     lcs = lcs_length(h, r)
-    return pairs.withColumn(out, _f_score(lcs, F.size(h), F.size(r)))
+    return spread(pairs).withColumn(out, _f_score(lcs, F.size(h), F.size(r)))
 
 
 def _clipped_matches(h, r, max_n: int = BLEU_ORDER) -> list[int]:
@@ -185,7 +186,7 @@ def bleu4(pairs: DataFrame, key, pred="predict", ref="labels",
     else:
         h, r = segment(pred, mode), segment(ref, mode)
         hl, rl = F.size(h), F.size(r)
-    tmp = pairs.withColumn("__m", clipped_matches(h, r))
+    tmp = spread(pairs, key).withColumn("__m", clipped_matches(h, r))
     score = _bleu_score(lambda n: F.get(F.col("__m"), n - 1), hl, rl)
     return tmp.withColumn(out, score).drop("__m")
 

@@ -31,6 +31,24 @@ def _sort_cols(order_by) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order_by]
 
 
+def spread(df: DataFrame, key=None) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` (round robin without one) when it
+    has fewer partitions than the cluster runs tasks at once.
+
+    A small single-file input is one scan task; the explode that follows
+    would run on one core.  Inputs that already have enough partitions --
+    any large table -- are returned unchanged, so this adds no shuffle at
+    scale.
+    """
+    if df.isStreaming:
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    keys = [key] if isinstance(key, str) else list(key or [])
+    return df.repartition(want, *keys)
+
+
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     """POS1: one row with the number of rows (partial + final count)."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias(name))

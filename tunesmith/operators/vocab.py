@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
 from tunesmith.functions.text import words
-from tunesmith.operators.position import with_position
+from tunesmith.operators.position import spread, with_position
 from tunesmith.streaming.files import require_static
 
 HEAD_SIZE = 1 << 16
@@ -83,7 +83,7 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1,
     map-side); ranking uses range-partitioned positions, not one task.
     """
     require_static(df, "build_vocab")
-    counts = (df.select(F.explode(words(text)).alias("token"))
+    counts = (spread(df.select(text)).select(F.explode(words(text)).alias("token"))
                 .groupBy("token")
                 .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     if min_count > 1:
@@ -141,7 +141,7 @@ def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
         if max_len is not None:
             toks = F.slice(toks, 1, max(max_len - (1 if special else 0), 0))
         parts.append(F.struct(F.lit(i).alias("f"), toks.alias("t")))
-    ex = (df.select(*key, F.explode(F.array(*parts)).alias("__p"))
+    ex = (spread(df, key).select(*key, F.explode(F.array(*parts)).alias("__p"))
             .select(*key, F.col("__p.f").alias("__f"),
                     F.posexplode_outer("__p.t").alias("__pos", "__token")))
     ided = _lookup(ex, "__token", vocab, "token", "id", "__id",
@@ -167,7 +167,8 @@ def decode(df: DataFrame, key, ids: str, vocab: Vocabulary,
     """TOK3: ids back to space-joined words; special ids are skipped (or
     printed by name), negative ids (label sentinels) are always skipped."""
     key = [key] if isinstance(key, str) else list(key)
-    ex = df.select(*key, F.posexplode_outer(ids).alias("__pos", "__id"))
+    ex = spread(df.select(*key, ids), key).select(
+        *key, F.posexplode_outer(ids).alias("__pos", "__id"))
     words_ = _lookup(ex, "__id", vocab, "id", "token", "__tok",
                      [*key, "__pos"])
     if skip_special:
