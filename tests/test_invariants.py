@@ -1,8 +1,5 @@
 """Invariants: positions, splits, vocabulary paths, sources, streams."""
 
-import os
-import tempfile
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -7,7 +7,6 @@ import hashlib
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tests.test_golden import py_bleu, py_continuation, py_lcs
 from tunesmith.operators import evaluate as EV
