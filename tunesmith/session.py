@@ -21,6 +21,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows per Arrow batch for the pandas UDFs: whole documents can be long
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
