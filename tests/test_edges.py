@@ -77,6 +77,15 @@ def test_metric_edges(spark):
     assert (got[3].rouge_1, got[3].bleu_4) == (0.0, 0.0)
 
 
+def test_pad_equal_to_eos_warns(spark):
+    from tunesmith.config import TokenSpec
+
+    df = spark.createDataFrame([(1, "a", "b")], "k int, prompt string, response string")
+    vocab = VO.build_vocab(df.select(F.lit("a b").alias("text")), "text")
+    with pytest.warns(UserWarning):
+        LA.seq2seq_train(df, "k", vocab, src=4, tgt=2, spec=TokenSpec().with_pad_as_eos())
+
+
 def test_orphans(spark):
     preds = spark.createDataFrame([(1, "p"), (2, "q")], "k int, predict string")
     refs = spark.createDataFrame([(2, "r"), (3, "s")], "k int, labels string")

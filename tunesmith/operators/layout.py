@@ -7,6 +7,8 @@ Rows stay rows: a batch is a ``batch_id`` column, and per-batch values
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ from tunesmith.streaming.files import require_static
 DEFAULT_SPEC = TokenSpec()
 
 
+def _warn_pad_is_eos(spec: TokenSpec) -> None:
+    if spec.pad is not None and spec.pad == spec.eos:
+        warnings.warn("pad id equals eos id: masking pad labels also masks the real "
+                      "end-of-sequence labels", stacklevel=3)
+
+
 def seq2seq_train(df: DataFrame, key, vocab: Vocabulary, prompt="prompt",
                   response="response", prefix: str = "",
                   src: int = SEQ2SEQ_SOURCE_LENGTH, tgt: int = SEQ2SEQ_TARGET_LENGTH,
@@ -44,6 +52,7 @@ def seq2seq_train(df: DataFrame, key, vocab: Vocabulary, prompt="prompt",
     ids = A.pad_to(ids, width, spec.pad)
     labels = A.pad_to(labels, width, spec.pad)
     if spec.ignore_pad_for_loss:
+        _warn_pad_is_eos(spec)
         labels = A.mask_pad(labels, spec.pad)
     return (enc.withColumn("input_ids", ids).withColumn("labels", labels)
                .drop("__a", "__b"))
