@@ -96,11 +96,6 @@ def with_position(df: DataFrame, order_by, name: str = "pos",
     return out.select(*df.columns, *extra)
 
 
-def position_count(df: DataFrame) -> int:
-    """Row count of a positioned frame from its per-partition counts."""
-    return int(df.agg(F.count(F.lit(1))).first()[0])
-
-
 def row_at(df: DataFrame, i: int, pos: str = "pos") -> DataFrame:
     """POS3: the row at position ``i``."""
     return df.filter(F.col(pos) == F.lit(i))

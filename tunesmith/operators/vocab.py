@@ -200,3 +200,14 @@ def preview(df: DataFrame, key, vocab: Vocabulary, ids: str = "input_ids",
         out = decode(out.withColumn("__lab", unmask(labels, pad)), key, "__lab", vocab,
                      out="label_text").drop("__lab")
     return out
+
+
+def ids_of(vocab: Vocabulary, text: str, unk: int = UNK_ID) -> list[int]:
+    """Ids of a short constant text (e.g. a response marker), fetched to the
+    driver so they can be used as a literal; only its few words travel."""
+    spark = vocab.table.sparkSession
+    toks = spark.createDataFrame([(text,)], "m string").select(
+        F.posexplode(words("m")).alias("p", "token"))
+    got = (toks.join(vocab.table, "token", "left").orderBy("p")
+               .select(F.coalesce("id", F.lit(unk)).alias("id")).collect())
+    return [int(r["id"]) for r in got]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tunesmith.config import TokenSpec
 from tunesmith.functions import arrays as A
 from tunesmith.functions import templates as T
-from tunesmith.functions.text import words as split_words
 from tunesmith.operators import filters as FL
 from tunesmith.operators import layout as LA
 from tunesmith.operators import position as PO
@@ -251,23 +250,13 @@ def lay5(spark, d):
     inst = V.instruction_view(spark, d, False)
     qa = PM.qa_prompt(inst, out="text").select(*KEY, "text")
     vocab = VO.build_vocab(qa, "text")
-    marker = marker_ids(vocab, T.RESPONSE_MARKER)
+    marker = VO.ids_of(vocab, T.RESPONSE_MARKER)
     enc = VO.encode(qa, KEY, {"input_ids": ("text", None, False)}, vocab)
     return LA.completion_only(enc, "input_ids", marker).select(
         *KEY, A.ids_text("input_ids").alias("input_ids"),
         A.ids_text("labels").alias("labels"))
 
 
-def marker_ids(vocab: VO.Vocabulary, marker: str) -> list[int]:
-    """Ids of a short marker text (a handful of words, fetched to the driver)."""
-    spark = vocab.table.sparkSession
-    toks = spark.createDataFrame([(marker,)], "m string").select(
-        F.posexplode(split_words("m")).alias("p", "token"))
-    got = (toks.join(vocab.table, "token", "left").orderBy("p")
-               .select(F.coalesce("id", F.lit(3)).alias("id")).collect())
-    return [int(r["id"]) for r in got]
-
-
 # -- LAY9 / LAY10 / LAY13 ----------------------------------------------------
 
 PAD_TO = 129  # max_new_tokens + 1 with the default target length 128
