@@ -25,6 +25,14 @@ from tunesmith.streaming.files import require_static
 DEFAULT_SPEC = TokenSpec()
 
 
+def _carry(df: DataFrame, key, *texts) -> list[str]:
+    """Columns passed through encoding: everything but the key and the
+    text columns, which are replaced by their ids (as a trainer's map with
+    ``remove_columns`` does)."""
+    key = [key] if isinstance(key, str) else list(key)
+    return [c for c in df.columns if c not in key and c not in texts]
+
+
 def _warn_pad_is_eos(spec: TokenSpec) -> None:
     if spec.pad is not None and spec.pad == spec.eos:
         warnings.warn("pad id equals eos id: masking pad labels also masks the real "
@@ -38,13 +46,14 @@ def seq2seq_train(df: DataFrame, key, vocab: Vocabulary, prompt="prompt",
     """LAY1: ``input_ids = a ‖ b ‖ eos``, ``labels = pad×|a| ‖ b ‖ eos``,
     both right-padded to ``src+tgt+1``; pad -> -100 in labels if enabled.
     ``a`` = prefix+prompt with special tokens (≤ src), ``b`` = answer
-    without (≤ tgt).  Blank rows are dropped first."""
+    without (≤ tgt).  Blank rows are dropped first.  The text columns are
+    replaced by the id columns; other columns are carried through."""
     rows = drop_blank(df, (prompt, response))
     if prefix:
         rows = rows.withColumn(prompt, F.concat(F.lit(prefix), F.col(prompt)))
     enc = encode(rows, key, {"__a": (prompt, src, True),
                              "__b": (response, tgt, False)}, vocab,
-                 bos=spec.bos, unk=spec.unk)
+                 bos=spec.bos, unk=spec.unk, keep_input=False, carry=_carry(rows, key, prompt, response))
     width = src + tgt + 1
     eos = F.array(F.lit(spec.eos))
     ids = F.concat("__a", "__b", eos)
@@ -69,7 +78,7 @@ def seq2seq_eval(df: DataFrame, key, vocab: Vocabulary, batch="batch_id",
         rows = rows.withColumn(prompt, F.concat(F.lit(prefix), F.col(prompt)))
     enc = encode(rows, key, {"__a": (prompt, src, True),
                              "__b": (response, tgt, True)}, vocab,
-                 bos=spec.bos, unk=spec.unk)
+                 bos=spec.bos, unk=spec.unk, keep_input=False, carry=_carry(rows, key, prompt, response))
     longest = F.max(F.size("__a")).over(Window.partitionBy(batch))
     side = spec.padding_side
     labels = F.col("__b")
@@ -90,7 +99,7 @@ def causal_rows(df: DataFrame, key, vocab: Vocabulary, context="context",
     each side cut to ``max_len`` on its own."""
     enc = encode(df, key, {"__p": (context, max_len, True),
                            "__t": (target, max_len, False)}, vocab,
-                 bos=spec.bos, unk=spec.unk)
+                 bos=spec.bos, unk=spec.unk, keep_input=False, carry=_carry(df, key, context, target))
     return (enc.withColumn("input_ids",
                            F.concat("__p", "__t", F.array(F.lit(spec.eos))))
                .withColumn("seq_len", F.size("__p"))

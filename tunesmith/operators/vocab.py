@@ -126,13 +126,19 @@ def _lookup(df: DataFrame, key: str, vocab: Vocabulary, table_key: str,
 
 
 def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
-           bos: int = BOS_ID, unk: int = UNK_ID, keep_input: bool = True) -> DataFrame:
+           bos: int = BOS_ID, unk: int = UNK_ID, keep_input: bool = True,
+           carry=()) -> DataFrame:
     """TOK2: word ids for one or more text columns in one pass.
 
     ``columns``: ``out_name -> (text_col, max_length or None, add_special)``.
     With ``add_special`` one ``bos`` id leads and counts in ``max_length``.
     Words are cut to ``max_length`` *before* the explode, so a very long
     text costs only what is kept.  ``key`` must be unique per row.
+
+    ``keep_input=True`` joins the ids back onto every input column (a
+    shuffle of the input).  ``carry`` instead passes a few small columns
+    (e.g. ``split``) through the regroup, and the output is key, carried
+    columns and ids only -- no join back.
     """
     key = [key] if isinstance(key, str) else list(key)
     parts = []
@@ -141,8 +147,9 @@ def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
         if max_len is not None:
             toks = F.slice(toks, 1, max(max_len - (1 if special else 0), 0))
         parts.append(F.struct(F.lit(i).alias("f"), toks.alias("t")))
-    ex = (spread(df, key).select(*key, F.explode(F.array(*parts)).alias("__p"))
-            .select(*key, F.col("__p.f").alias("__f"),
+    carry = [c for c in carry if c not in key]
+    ex = (spread(df, key).select(*key, *carry, F.explode(F.array(*parts)).alias("__p"))
+            .select(*key, *carry, F.col("__p.f").alias("__f"),
                     F.posexplode_outer("__p.t").alias("__pos", "__token")))
     ided = _lookup(ex, "__token", vocab, "token", "id", "__id",
                    [*key, "__f", "__pos"])
@@ -155,8 +162,8 @@ def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
         if special:
             ids = F.concat(F.array(F.lit(bos)), ids)
         aggs.append(ids.alias(name))
-    grouped = ided.groupBy(*key).agg(*aggs)
-    if not keep_input:
+    grouped = ided.groupBy(*key).agg(*[F.first(c).alias(c) for c in carry], *aggs)
+    if not keep_input or carry:
         return grouped
     return df.join(grouped, key, "left")
 
