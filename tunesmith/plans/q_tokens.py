@@ -37,7 +37,7 @@ def encoded_turns(spark, d, vocab=None):
     vocab = vocab or conversation_vocab(spark, d)
     conv = V.conversations(spark, d).select("conv_id", "turn", "text")
     return VO.encode(conv, ["conv_id", "turn"],
-                     {"input_ids": ("text", 1024, True)}, vocab), vocab
+                     {"input_ids": ("text", 1024, True)}, vocab, keep_input=False), vocab
 
 
 ENC_TURNS = encode_sql("conversations", ["conv_id", "turn"], "text", 1024, True)
