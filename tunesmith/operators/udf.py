@@ -44,3 +44,18 @@ def filter_rows(df: DataFrame, predicate: Callable[[pd.DataFrame], pd.Series]) -
         return b[predicate(b).astype(bool).values]
 
     return map_batches(df, run, df.schema)
+
+
+def row_metric(df: DataFrame, fn: Callable[[str, str], float], pred: str = "predict",
+               ref: str = "labels", out: str = "metric") -> DataFrame:
+    """Metric callback ``fn(prediction, reference) -> float`` per row, run on
+    Arrow batches (the scripts' ``compute_metrics`` hook)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DoubleType
+
+    @F.pandas_udf(DoubleType())
+    def apply(p: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series([float(fn(a, b)) for a, b in zip(p, r)], dtype="float64")
+
+    ship_package(df.sparkSession)
+    return df.withColumn(out, apply(F.col(pred), F.col(ref)))

@@ -252,3 +252,18 @@ def str1_context(spark, d):
     sink = scratch_path(spark, "stream-ctx-out")
     ST.run_available(shaped, sink, scratch_path(spark, "stream-ctx-ckpt"))
     return spark.read.parquet(sink)
+
+
+def _length_gap(prediction: str, reference: str) -> float:
+    return abs(len(prediction) - len(reference)) / max(len(reference), 1)
+
+
+@query("udf1_row_metric", """
+SELECT conv_id, turn, round(abs(length(predict) - length(labels)) / greatest(length(labels), 1), 6) AS length_gap
+FROM v_predictions
+""")
+def udf1_metric(spark, d):
+    preds, refs = V.prediction_view(spark, d)
+    pairs = preds.join(refs, ["conv_id", "turn"])
+    out = UD.row_metric(pairs, _length_gap, out="length_gap")
+    return out.select("conv_id", "turn", F.round("length_gap", 6).alias("length_gap"))
