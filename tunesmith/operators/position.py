@@ -31,22 +31,49 @@ def _sort_cols(order_by) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order_by]
 
 
-def spread(df: DataFrame, key=None) -> DataFrame:
-    """Hash-repartition ``df`` on ``key`` (round robin without one) when it
-    has fewer partitions than the cluster runs tasks at once.
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the relations ``df`` reads, from the optimizer's
+    statistics of its leaves (file sizes for scans); nothing is executed.
+    None when unavailable."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes()))
+                   for i in range(leaves.size()))
+    except Exception:  # noqa: BLE001 - estimate only
+        return None
+
 
-    A small single-file input is one scan task; the explode that follows
-    would run on one core.  Inputs that already have enough partitions --
-    any large table -- are returned unchanged, so this adds no shuffle at
-    scale.
+def spread(df: DataFrame, key=None) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` (round robin without one) over
+    all task slots when everything it reads is smaller than one file split.
+
+    Such an input is scanned by a single task, and the explode or per-row
+    metric that follows would run on one core.  Larger inputs are already
+    split by their scan (or by an earlier shuffle) and are returned
+    unchanged, so this adds no shuffle at scale.  The decision uses the
+    optimizer's leaf statistics only: counting partitions of an adaptive
+    plan would execute its upstream stages.
     """
     if df.isStreaming:
         return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
+    limit_bytes = _parse_bytes(limit)
+    size = input_bytes(df)
+    if size is None or size > limit_bytes:
         return df
     keys = [key] if isinstance(key, str) else list(key or [])
-    return df.repartition(want, *keys)
+    return df.repartition(spark.sparkContext.defaultParallelism, *keys)
+
+
+def _parse_bytes(text: str) -> int:
+    text = str(text).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("b", ""):
+        for u, mult in units.items():
+            if text.endswith(u + suffix) and text[:-len(u + suffix)].isdigit():
+                return int(text[:-len(u + suffix)]) * mult
+    return int(text.rstrip("b"))
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

@@ -5,6 +5,9 @@
 * :func:`preference_rows` -- comparison JSON -> chosen/rejected pairs ->
   seeded split -> token ids with preference length limits -> dataset folder
   partitioned by split.
+* :func:`evaluate_generations` -- generated ids minus the prompt and label
+  ids (-100 read as pad) decoded to text -> paired by key -> written as
+  JSON-line predictions -> ROUGE-1/2/L and BLEU-4 per row.
 * :func:`corpus_batches` -- JSON-array files (broken ones skipped) ->
   seeded shuffle -> 666-row CSV shards -> shard holdout -> context/target ->
   causal token rows -> batches of 4 -> collated rows.
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tunesmith.config import (
     HOLDOUT_CAP, HOLDOUT_FRACTION, PREF_MAX_LENGTH, PREF_MAX_PROMPT_LENGTH,
@@ -27,7 +30,9 @@ from tunesmith.operators import position as PO
 from tunesmith.operators import preference as PR
 from tunesmith.operators import prompts as PM
 from tunesmith.operators import split as SP
-from tunesmith.operators.vocab import Vocabulary, encode
+from tunesmith.functions import arrays as A
+from tunesmith.operators import evaluate as EV
+from tunesmith.operators.vocab import Vocabulary, decode, encode
 from tunesmith.session import scratch_path
 from tunesmith.sources import readers as R
 from tunesmith.sources import sinks as S
@@ -83,3 +88,21 @@ def corpus_batches(spark: SparkSession, globs, schema, key: str, vocab: Vocabula
     batched = parts[0].unionByName(parts[1])
     return LA.collate(batched.withColumn("batch_key", F.concat_ws(
         ":", F.col("split"), F.col("batch_id").cast("string"))), batch="batch_key", spec=spec)
+
+
+def evaluate_generations(gen: DataFrame, key, vocab: Vocabulary, out_dir: str,
+                         prompt: str = "prompt_ids", output: str = "output_ids",
+                         labels: str = "label_ids", spec: TokenSpec = DEFAULT_SPEC) -> DataFrame:
+    """Predict/evaluate path: decode, pair, write predictions, score."""
+    key = [key] if isinstance(key, str) else list(key)
+    g = gen.select(*key, A.strip_prompt(output, prompt).alias("__gen"),
+                   A.unmask(labels, spec.pad).alias("__lab"))
+    dec = decode(g, key, "__gen", vocab, out="predict")
+    dec = decode(dec, key, "__lab", vocab, out="labels")
+    S.write_predictions(dec.select(*key, "predict", "labels"), out_dir, keys=key)
+    # score what was written: the decode runs once and the lineage ends here
+    schema = StructType([gen.schema[k] for k in key] + [
+        StructField("labels", StringType()), StructField("predict", StringType())])
+    pairs = gen.sparkSession.read.schema(schema).json(out_dir)
+    scored = EV.rouge_l(EV.rouge_n(EV.rouge_n(pairs, 1), 2))
+    return EV.bleu4(scored, key)

@@ -62,19 +62,6 @@ def _rouge_sql(n: int) -> str:
             f"(({ov} / len({h})) + ({ov} / len({r}))) ELSE 0.0 END * 100, 4)")
 
 
-view("v_pred_words", f"""
-SELECT conv_id, turn, {words('predict')} AS hw, {words('labels')} AS rw FROM v_predictions
-""", ("v_predictions",))
-
-
-@query("evl3_rouge_n", f"""
-SELECT conv_id, turn, {_rouge_sql(1)} AS rouge_1, {_rouge_sql(2)} AS rouge_2 FROM v_pred_words
-""")
-def evl3(spark, d):
-    p = EV.rouge_n(EV.rouge_n(pairs(spark, d), 1), 2)
-    return p.select(*KEY, "rouge_1", "rouge_2")
-
-
 # DuckDB LCS: one DP row per hypothesis word, each row built left to right.
 LCS_SQL = """list_reduce(hw,
   lambda prev, t: list_reduce(range(1, len(rw) + 1),
@@ -89,26 +76,23 @@ def _f_sql(ov: str, nh: str, nr: str) -> str:
             f"(({ov} / {nh}) + ({ov} / {nr})) ELSE 0.0 END * 100, 4)")
 
 
-view("v_rouge", f"""
+def score_views(source: str, words_v: str, rouge_v: str, bleu_p: str, bleu_m: str,
+                bleu_v: str, scores_v: str) -> None:
+    """Register the DuckDB views that score ``source`` (conv_id, turn,
+    predict, labels): word lists, ROUGE-1/2/L, char BLEU-4, all scores."""
+    view(words_v, f"""
+SELECT conv_id, turn, {words('predict')} AS hw, {words('labels')} AS rw FROM {source}
+""", (source,))
+    view(rouge_v, f"""
 SELECT conv_id, turn, {_rouge_sql(1)} AS rouge_1, {_rouge_sql(2)} AS rouge_2,
        {_f_sql('lcs', 'len(hw)', 'len(rw)')} AS rouge_l
-FROM (SELECT *, {LCS_SQL}[-1] AS lcs FROM v_pred_words)
-""", ("v_pred_words",))
-
-
-@query("evl4_rouge_l", """
-SELECT conv_id, turn, rouge_l FROM v_rouge
-""")
-def evl4(spark, d):
-    return EV.rouge_l(pairs(spark, d)).select(*KEY, "rouge_l")
-
-
-def _bleu_views() -> None:
+FROM (SELECT *, {LCS_SQL}[-1] AS lcs FROM {words_v})
+""", (words_v,))
     grams = []
     for side, col in ((0, "h"), (1, "r")):
         grams.append(f"""SELECT conv_id, turn, n, {side} AS side,
        unnest(list_transform(range(1, len({col}) - n + 2), lambda i: array_to_string({col}[i:i + n - 1], ''))) AS g
-FROM v_bleu_p, (SELECT unnest([1, 2, 3, 4]) AS n)""")
+FROM {bleu_p}, (SELECT unnest([1, 2, 3, 4]) AS n)""")
     ms = ", ".join(f"sum(CASE WHEN n = {k} THEN least(ch, cr) ELSE 0 END) AS m{k}" for k in range(1, 5))
     z = [f"(CASE WHEN coalesce(m{k}, 0) = 0 THEN 1 ELSE 0 END)" for k in range(1, 5)]
     logs = []
@@ -117,10 +101,10 @@ FROM v_bleu_p, (SELECT unnest([1, 2, 3, 4]) AS n)""")
         den = f"greatest(len(h) - {k} + 1, 1)"
         logs.append(f"ln(CASE WHEN coalesce(m{k}, 0) = 0 THEN 1.0 / (pow(2, {zk}) * {den}) "
                     f"ELSE m{k} / {den} END)")
-    view("v_bleu_p", f"""
-SELECT conv_id, turn, {chars('predict')} AS h, {chars('labels')} AS r FROM v_predictions
-""", ("v_predictions",))
-    view("v_bleu_m", f"""
+    view(bleu_p, f"""
+SELECT conv_id, turn, {chars('predict')} AS h, {chars('labels')} AS r FROM {source}
+""", (source,))
+    view(bleu_m, f"""
 SELECT conv_id, turn, {ms} FROM (
   SELECT conv_id, turn, n, g, sum(1 - side) AS ch, sum(side) AS cr
   FROM ({grams[0]}
@@ -128,17 +112,37 @@ SELECT conv_id, turn, {ms} FROM (
         {grams[1]})
   GROUP BY conv_id, turn, n, g)
 GROUP BY conv_id, turn
-""", ("v_bleu_p",))
-    view("v_bleu", f"""
+""", (bleu_p,))
+    view(bleu_v, f"""
 SELECT conv_id, turn,
        round(CASE WHEN coalesce(m1, 0) = 0 THEN 0.0
              ELSE (CASE WHEN len(h) > len(r) THEN 1.0 ELSE exp(1 - len(r) / len(h)) END)
                   * exp(({' + '.join(logs)}) * 0.25) END * 100, 4) AS bleu_4
-FROM v_bleu_p LEFT JOIN v_bleu_m USING (conv_id, turn)
-""", ("v_bleu_p", "v_bleu_m"))
+FROM {bleu_p} LEFT JOIN {bleu_m} USING (conv_id, turn)
+""", (bleu_p, bleu_m))
+    view(scores_v, f"""
+SELECT r.conv_id, r.turn, r.rouge_1, r.rouge_2, r.rouge_l, b.bleu_4
+FROM {rouge_v} r JOIN {bleu_v} b USING (conv_id, turn)
+""", (rouge_v, bleu_v))
+
+
+score_views("v_predictions", "v_pred_words", "v_rouge", "v_bleu_p", "v_bleu_m", "v_bleu",
+            "v_scores")
 
 
-_bleu_views()
+@query("evl3_rouge_n", f"""
+SELECT conv_id, turn, {_rouge_sql(1)} AS rouge_1, {_rouge_sql(2)} AS rouge_2 FROM v_pred_words
+""")
+def evl3(spark, d):
+    p = EV.rouge_n(EV.rouge_n(pairs(spark, d), 1), 2)
+    return p.select(*KEY, "rouge_1", "rouge_2")
+
+
+@query("evl4_rouge_l", """
+SELECT conv_id, turn, rouge_l FROM v_rouge
+""")
+def evl4(spark, d):
+    return EV.rouge_l(pairs(spark, d)).select(*KEY, "rouge_l")
 
 
 @query("evl5_bleu4", """
@@ -155,12 +159,6 @@ def scores(spark, d):
     return EV.bleu4(p, KEY)
 
 
-view("v_scores", """
-SELECT r.conv_id, r.turn, r.rouge_1, r.rouge_2, r.rouge_l, b.bleu_4
-FROM v_rouge r JOIN v_bleu b USING (conv_id, turn)
-""", ("v_rouge", "v_bleu"))
-
-
 @query("evl6_score_summary", """
 SELECT round(avg(rouge_1), 6) AS rouge_1, round(avg(rouge_2), 6) AS rouge_2,
        round(avg(rouge_l), 6) AS rouge_l, round(avg(bleu_4), 6) AS bleu_4, count(*) AS n_rows

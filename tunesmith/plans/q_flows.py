@@ -11,7 +11,9 @@ from tunesmith.plans import flows as FW
 from tunesmith.plans import views as V
 from tunesmith.plans.oracle import md5_key, view, words
 from tunesmith.plans.q_io import COMPARISON_SCHEMA
-from tunesmith.plans.q_layout import KEY
+from tunesmith.operators import evaluate as EV
+from tunesmith.plans.q_evaluate import score_views
+from tunesmith.plans.q_layout import KEY, runs
 from tunesmith.plans.q_prompts import TRAIN_T
 from tunesmith.plans.q_tokens import conversation_vocab
 from tunesmith.plans.registry import query
@@ -151,3 +153,30 @@ def e2e_corpus(spark, d):
         F.countDistinct("batch_key").cast("bigint").alias("n_batches"),
         F.sum(F.size(F.filter("labels", lambda x: x != -100))).cast("bigint").alias("label_tokens"),
         F.sum("longest").cast("bigint").alias("padded_tokens"))
+
+
+# -- evaluation flow ----------------------------------------------------------
+
+view("v_gen", f"""
+SELECT conv_id, turn, array_to_string({words('predict')}, ' ') AS predict,
+       array_to_string({words('labels')}, ' ') AS labels
+FROM v_predictions
+""", ("v_predictions",))
+score_views("v_gen", "v_gen_words", "v_gen_rouge", "v_gen_bleu_p", "v_gen_bleu_m",
+            "v_gen_bleu", "v_gen_scores")
+
+
+@query("e2e_eval_generations", """
+SELECT round(avg(rouge_1), 6) AS rouge_1, round(avg(rouge_2), 6) AS rouge_2,
+       round(avg(rouge_l), 6) AS rouge_l, round(avg(bleu_4), 6) AS bleu_4, count(*) AS n_rows
+FROM v_gen_scores
+""")
+def e2e_eval(spark, d):
+    """Run logs (prompt ids, prompt + answer ids) with the reference ids as
+    labels -> decoded, paired, written and scored."""
+    gen = runs(spark, d).withColumn("label_ids", F.col("prompt_ids"))
+    scored = FW.evaluate_generations(gen, KEY, conversation_vocab(spark, d),
+                                     scratch_path(spark, "e2e-eval-predictions"))
+    out = EV.score_summary(scored)
+    return out.select(*[F.round(c, 6).alias(c) for c in
+                        ("rouge_1", "rouge_2", "rouge_l", "bleu_4")], "n_rows")
