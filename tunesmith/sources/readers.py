@@ -74,9 +74,11 @@ def read_json_glob(spark: SparkSession, globs, schema: StructType,
     if on_error == "skip":
         return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if on_error == "raise":
-        return df.withColumn(CORRUPT, F.when(
-            F.col(CORRUPT).isNotNull(),
-            F.raise_error(F.lit("a JSON file failed to parse")))).drop(CORRUPT)
+        # a filter predicate is evaluated for every row (a dropped column
+        # would be pruned away and never raise)
+        ok = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(
+            F.raise_error(F.lit("a JSON file failed to parse")).cast("boolean"))
+        return df.filter(ok).drop(CORRUPT)
     raise ValueError("on_error must be 'skip' or 'raise'")
 
 
