@@ -1,8 +1,7 @@
 """File sources (SRC1-SRC6) and union by name (UNI1).
 
-Schemas are always declared (no inference pass over the data); JSON keeps
-unparseable input in ``_corrupt_record`` so broken files can be skipped
-explicitly instead of failing the job.
+Schemas are always declared (no inference pass over the data); broken JSON
+files are skipped or fail the job explicitly, by reader mode.
 """
 
 from __future__ import annotations
@@ -11,9 +10,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-CORRUPT = "_corrupt_record"
 # Readers chosen by file extension.
 FORMATS = {"json": "json", "jsonl": "json", "csv": "csv", "parquet": "parquet"}
 
@@ -64,22 +62,15 @@ def read_splits(spark: SparkSession, splits: dict, schema: StructType) -> DataFr
 
 def read_json_glob(spark: SparkSession, globs, schema: StructType,
                    on_error: str = "skip") -> DataFrame:
-    """SRC4: files that each hold one JSON array; a file that does not parse
-    becomes a single corrupt row, which is dropped (``skip``) or raises."""
-    with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
-    df = (spark.read.schema(with_corrupt).option("multiLine", True)
-               .option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", CORRUPT)
-               .json(_as_list(globs)))
-    if on_error == "skip":
-        return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if on_error == "raise":
-        # a filter predicate is evaluated for every row (a dropped column
-        # would be pruned away and never raise)
-        ok = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.lit("a JSON file failed to parse")).cast("boolean"))
-        return df.filter(ok).drop(CORRUPT)
-    raise ValueError("on_error must be 'skip' or 'raise'")
+    """SRC4: files that each hold one JSON array.  A file that does not
+    parse is one malformed record as a whole: ``skip`` drops it (no partial
+    rows), ``raise`` fails the job.  Reader modes are used rather than the
+    corrupt-record column, so any projection (``count()`` included) works."""
+    modes = {"skip": "DROPMALFORMED", "raise": "FAILFAST"}
+    if on_error not in modes:
+        raise ValueError("on_error must be 'skip' or 'raise'")
+    return (spark.read.schema(schema).option("multiLine", True)
+                 .option("mode", modes[on_error]).json(_as_list(globs)))
 
 
 def read_csv(spark: SparkSession, files, schema: StructType) -> DataFrame:
