@@ -100,3 +100,14 @@ def test_map_rows(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "cde")], "k long, t string")
     out = UD.map_rows(df, lambda r: {"k": r["k"], "n": len(r["t"])}, "k long, n long")
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2), (2, 3)]
+
+
+def test_decode_specials_and_several_columns(spark):
+    df = spark.createDataFrame([(1, "x y")], "k int, text string")
+    vocab = VO.build_vocab(df, "text")
+    ids = spark.createDataFrame([(1, [2, 4, 3, 5, 1, 0], [4, -100, 5])],
+                                "k int, a array<int>, b array<int>")
+    out = VO.decode(ids, "k", {"da": "a", "db": "b"}, vocab, keep_input=False).first()
+    assert (out.da, out.db) == ("x y", "x y")
+    named = VO.decode(ids, "k", "a", vocab, skip_special=False, out="d").first()
+    assert named.d == "<s> x <unk> y </s> <pad>"

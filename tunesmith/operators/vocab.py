@@ -168,16 +168,24 @@ def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
     return df.join(grouped, key, "left")
 
 
-def decode(df: DataFrame, key, ids: str, vocab: Vocabulary,
+def decode(df: DataFrame, key, ids, vocab: Vocabulary,
            skip_special: bool = True, out: str = "decoded",
            keep_input: bool = True) -> DataFrame:
     """TOK3: ids back to space-joined words; special ids are skipped (or
-    printed by name), negative ids (label sentinels) are always skipped."""
+    printed by name), negative ids (label sentinels) are always skipped.
+
+    ``ids`` is one id column (output ``out``) or a dict ``out -> id column``
+    to decode several columns in one explode, lookup and regroup."""
     key = [key] if isinstance(key, str) else list(key)
-    ex = spread(df.select(*key, ids), key).select(
-        *key, F.posexplode_outer(ids).alias("__pos", "__id"))
+    cols = dict(ids) if isinstance(ids, dict) else {out: ids}
+    parts = [F.struct(F.lit(i).alias("f"), F.col(c).cast("array<bigint>").alias("a"))
+             for i, c in enumerate(cols.values())]
+    ex = (spread(df.select(*key, *set(cols.values())), key)
+          .select(*key, F.explode(F.array(*parts)).alias("__p"))
+          .select(*key, F.col("__p.f").alias("__f"),
+                  F.posexplode_outer("__p.a").alias("__pos", "__id")))
     words_ = _lookup(ex, "__id", vocab, "id", "token", "__tok",
-                     [*key, "__pos"])
+                     [*key, "__f", "__pos"])
     if skip_special:
         keep = F.col("__id") >= FIRST_WORD_ID
         tok = F.col("__tok")
@@ -185,12 +193,15 @@ def decode(df: DataFrame, key, ids: str, vocab: Vocabulary,
         keep = F.col("__id") >= 0
         special = F.try_element_at(
             F.create_map(*[x for k, v in SPECIAL_TOKENS.items()
-                           for x in (F.lit(k), F.lit(v))]), F.col("__id"))
+                           for x in (F.lit(k), F.lit(v))]), F.col("__id").cast("int"))
         tok = F.coalesce(F.col("__tok"), special)
-    item = F.when(keep & tok.isNotNull(), F.struct(F.col("__pos"), tok.alias("t")))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(item)),
-                                    lambda x: x["t"]), " ")
-    grouped = words_.groupBy(*key).agg(text.alias(out))
+    aggs = []
+    for i, name in enumerate(cols):
+        item = F.when((F.col("__f") == i) & keep & tok.isNotNull(),
+                      F.struct(F.col("__pos"), tok.alias("t")))
+        aggs.append(F.array_join(F.transform(F.array_sort(F.collect_list(item)),
+                                             lambda x: x["t"]), " ").alias(name))
+    grouped = words_.groupBy(*key).agg(*aggs)
     if not keep_input:
         return grouped
     return df.join(grouped, key, "left")
@@ -202,11 +213,11 @@ def preview(df: DataFrame, key, vocab: Vocabulary, ids: str = "input_ids",
     ids skipped) of the rows of ``df`` -- apply to ``row_at(df, 0)``."""
     from tunesmith.functions.arrays import unmask
 
-    out = decode(df, key, ids, vocab, out="inputs")
-    if labels:
-        out = decode(out.withColumn("__lab", unmask(labels, pad)), key, "__lab", vocab,
-                     out="label_text").drop("__lab")
-    return out
+    if not labels:
+        return decode(df, key, ids, vocab, out="inputs")
+    out = decode(df.withColumn("__lab", unmask(labels, pad)), key,
+                 {"inputs": ids, "label_text": "__lab"}, vocab)
+    return out.drop("__lab")
 
 
 def ids_of(vocab: Vocabulary, text: str, unk: int = UNK_ID) -> list[int]:

@@ -97,9 +97,8 @@ def evaluate_generations(gen: DataFrame, key, vocab: Vocabulary, out_dir: str,
     key = [key] if isinstance(key, str) else list(key)
     g = gen.select(*key, A.strip_prompt(output, prompt).alias("__gen"),
                    A.unmask(labels, spec.pad).alias("__lab"))
-    dec = decode(g, key, "__gen", vocab, out="predict")
-    dec = decode(dec, key, "__lab", vocab, out="labels")
-    S.write_predictions(dec.select(*key, "predict", "labels"), out_dir, keys=key)
+    dec = decode(g, key, {"predict": "__gen", "labels": "__lab"}, vocab, keep_input=False)
+    S.write_predictions(dec, out_dir, keys=key)
     # score what was written: the decode runs once and the lineage ends here
     schema = StructType([gen.schema[k] for k in key] + [
         StructField("labels", StringType()), StructField("predict", StringType())])
