@@ -178,3 +178,20 @@ def test_pad_generated_falls_back_to_eos(spark):
     assert r.generated_ids == [5, 6, 1, 1]
     with pytest.raises(ValueError):
         LA.pad_generated(df, max_length=4, spec=TokenSpec(pad=None, eos=None))
+
+
+def test_vocabulary_save_and_load(spark, sf_dir):
+    from tunesmith.session import scratch_path
+
+    conv = V.conversations(spark, sf_dir).select("conv_id", "turn", "text")
+    vocab = VO.build_vocab(conv, "text")
+    path = scratch_path(spark, "t-vocab")
+    vocab.save(path)
+    loaded = VO.Vocabulary.load(spark, path)
+    assert sorted(tuple(r) for r in loaded.table.collect()) == \
+        sorted(tuple(r) for r in vocab.table.collect())
+    spec = {"ids": ("text", None, True)}
+    a = VO.encode(conv, ["conv_id", "turn"], spec, vocab, keep_input=False)
+    b = VO.encode(conv, ["conv_id", "turn"], spec, loaded, keep_input=False)
+    assert sorted((r.conv_id, r.turn, tuple(r.ids)) for r in a.collect()) == \
+        sorted((r.conv_id, r.turn, tuple(r.ids)) for r in b.collect())

@@ -69,6 +69,17 @@ class Vocabulary:
             return True
         return self.size_bytes() <= self.broadcast_bytes
 
+    def save(self, path: str, mode: str = "overwrite") -> None:
+        """Write the vocabulary (token, count, id) as a parquet table, so
+        later jobs reuse it instead of recounting the corpus."""
+        self.table.write.mode(mode).parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str, head_size: int = HEAD_SIZE) -> "Vocabulary":
+        """Read a vocabulary written by :meth:`save`."""
+        return cls(spark.read.schema("token string, count bigint, id int").parquet(path),
+                   head_size)
+
     def head(self) -> DataFrame:
         return self.table.filter(
             (F.col("id") < FIRST_WORD_ID + self.head_size)
