@@ -177,3 +177,11 @@ def test_limit_pair(spark):
     assert r.truncated
     r = LA.limit_pair(df, max_length=10, max_prompt_length=4).first()
     assert r.chosen_ids == list(range(6)) and r.rejected_ids == [0, 1, 2]
+
+
+def test_collate_with_mask(spark):
+    rows = [(0, 0, [10, 11, 12, 13], 2), (1, 0, [20, 21], 1)]
+    df = spark.createDataFrame(rows, "pos int, batch_id int, input_ids array<int>, seq_len int")
+    out = {r.pos: r for r in LA.collate(df, with_mask=True).collect()}
+    for pos, _b, _ids, s in rows:
+        assert out[pos].attention_mask == py_mask(s, out[pos].longest)
