@@ -42,7 +42,8 @@ SPECIAL_TOKENS = {PAD_ID: "<pad>", EOS_ID: "</s>", BOS_ID: "<s>", UNK_ID: "<unk>
 
 @dataclass
 class Vocabulary:
-    """``table``: token string, count bigint, id int (checkpointed)."""
+    """``table``: token string, count bigint, id int, read from the written
+    position table (or a saved vocabulary)."""
 
     table: DataFrame
     head_size: int = HEAD_SIZE
