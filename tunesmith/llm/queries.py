@@ -38,3 +38,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.quality import quality_rules
     return quality_rules(common.documents(spark, sf_dir))
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.linededup import line_dedup
+    return line_dedup(common.documents(spark, sf_dir))
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.simhash import near_duplicates
+    return near_duplicates(common.documents(spark, sf_dir), shingle=4, max_bits=4)
+
+
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.blobscan import scan_secrets
+    return scan_secrets(common.documents(spark, sf_dir))
