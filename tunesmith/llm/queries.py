@@ -56,3 +56,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.blobscan import scan_secrets
     return scan_secrets(common.documents(spark, sf_dir))
+
+
+def multilingual_ranks() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tunesmith.llm.bpe import digests
+    return digests(common.documents(spark, sf_dir), multilingual_ranks(),
+                   public_tokenizers.PATTERN)
+
+
+@query("op6_token_codes")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from tunesmith.llm.dac import read_documents, write_tokens
+    from tunesmith.session import scratch_path
+    path = scratch_path(spark, "dac")
+    write_tokens(common.documents(spark, sf_dir), path,
+                 public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_documents(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
