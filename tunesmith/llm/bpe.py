@@ -39,7 +39,6 @@ from tunesmith.llm.common import prepare
 
 FOLD_BYTES = 32
 _BUCKETS = 1 << 14
-_NONE = 2**31 - 1
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -78,27 +77,44 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(word: Column, ranks: Column) -> Column:
-    """Ids of one match given as a hexadecimal byte string."""
+    """Ids of one match given as a hexadecimal byte string.
+
+    The state is the pieces so far and the rank of every adjacent pair (null:
+    none); joining a pair asks for the ranks of its two new neighbours only.
+    """
     size = (F.length(word) / 2).cast("int")
-    single = F.transform(F.sequence(F.lit(0), size - 1),
+    none = F.array().cast("array<int>")
+    bytes_ = F.transform(F.sequence(F.lit(0), size - 1),
                          lambda i: F.substring(word, i * 2 + 1, F.lit(2)))
+    pairs = F.when(size > 1, F.transform(
+        F.sequence(F.lit(0), size - 2),
+        lambda i: _rank(ranks, F.substring(word, i * 2 + 1, F.lit(4))))).otherwise(none)
+
+    def join_at(acc: Column, at: Column) -> Column:
+        toks, known = acc["toks"], acc["known"]
+
+        def state(new: Column) -> Column:
+            left = F.when(at > 1, F.array(_rank(ranks, F.concat(F.get(toks, at - 2), new))))
+            right = F.when(at < F.size(known), F.array(
+                _rank(ranks, F.concat(new, F.get(toks, at + 1)))))
+            return F.struct(
+                F.concat(F.slice(toks, F.lit(1), at - 1), F.array(new),
+                         F.slice(toks, at + 2, F.size(toks))).alias("toks"),
+                F.concat(F.slice(known, F.lit(1), F.greatest(at - 2, F.lit(0))),
+                         F.coalesce(left, none), F.coalesce(right, none),
+                         F.slice(known, at + 2, F.size(toks))).alias("known"))
+
+        return _let(F.concat(F.get(toks, at - 1), F.get(toks, at)), state)
 
     def merge(acc: Column, _: Column) -> Column:
-        toks = acc["toks"]
-        pairs = F.transform(F.slice(toks, F.lit(1), F.size(toks) - 1), lambda a, i: F.struct(
-            F.coalesce(_rank(ranks, F.concat(a, F.get(toks, i + 1))), F.lit(_NONE)).alias("r"),
-            i.alias("i")))
-        joined = lambda at: F.struct(F.concat(
-            F.slice(toks, F.lit(1), at), F.array(F.concat(F.get(toks, at), F.get(toks, at + 1))),
-            F.slice(toks, at + 3, F.size(toks))).alias("toks"), F.lit(False).alias("done"))
-        ended = F.struct(toks.alias("toks"), F.lit(True).alias("done"))
-        step = F.when(F.size(toks) < 2, ended).otherwise(_let(
-            F.array_min(pairs), lambda best: F.when(best["r"] == _NONE, ended)
-            .otherwise(joined(best["i"]))))
-        return F.when(acc["done"], acc).otherwise(step)
-
-    start = F.struct(single.alias("toks"), F.lit(False).alias("done"))
-    merged = F.aggregate(F.sequence(F.lit(1), size), start, merge, lambda acc: acc["toks"])
+        # lowest rank and its first place in one number (places are under 64)
+        lowest = F.array_min(F.transform(acc["known"], lambda r, i: r * 64 + i))
+        return _let(lowest, lambda x: F.when(x.isNull(), acc).otherwise(
+            _let((x % 64 + 1).cast("int"), lambda at: join_at(acc, at))))
+
+    merged = F.aggregate(F.sequence(F.lit(1), size),
+                         F.struct(bytes_.alias("toks"), pairs.alias("known")),
+                         merge, lambda acc: acc["toks"])
     return _let(_rank(ranks, word), lambda whole: F.when(whole.isNotNull(), F.array(whole))
                 .otherwise(F.transform(merged, lambda t: _rank(ranks, t))))
 
@@ -224,7 +240,7 @@ def _assembler(id_col: str):
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", batch_chars: int = 1 << 23) -> DataFrame:
+           text_col: str = "text", batch_chars: int = 1 << 24) -> DataFrame:
     """id, n_tokens and input_ids of every text."""
     prepare(docs.sparkSession)
     pieces = load_ranks(ranks_path)
