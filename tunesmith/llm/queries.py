@@ -84,3 +84,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                  public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return read_documents(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op1_embedding_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.embed import near_duplicates
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
