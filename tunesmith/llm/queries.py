@@ -90,3 +90,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.embed import near_duplicates
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tunesmith.llm.repeats import remove_repeats
+    rows = remove_repeats(common.documents(spark, sf_dir))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
