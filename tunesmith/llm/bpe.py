@@ -11,8 +11,14 @@ document from the indexes; decoding concatenates the byte pieces of the ids.
 
 The fold costs the square of a match's length, so matches of more than
 ``FOLD_BYTES`` bytes are merged with a heap in the same pass; the ids are the
-same.  Nothing is shuffled: a row holds about ``batch_chars`` characters, or
-one longer document, and a lost task is simply run again.
+same.  Texts are not shuffled: a row holds about ``batch_chars`` characters,
+or one longer document, and a lost task is simply run again.
+
+Words that many batches share would be folded in each of them, so at most
+``head_words`` of them are folded beforehand and broadcast with their ids.
+They are the most frequent of a bounded sample of documents (``head_docs``);
+this is a cache only: ids do not depend on it.  Its size is bounded by
+``head_words`` entries of at most ``FOLD_BYTES`` bytes and as many ids.
 
 Defined results: null text encodes as the empty text (no ids, no bytes);
 repeated rows are rows of their own; an empty table gives an empty result;
@@ -24,6 +30,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tunesmith.llm.chunks import split_chunks
-from tunesmith.llm.common import prepare
+from tunesmith.llm.common import prepare, stored
 
 FOLD_BYTES = 32
 _BUCKETS = 1 << 14
@@ -153,27 +160,30 @@ def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[t] for t in toks if t is not None]
 
 
-def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.DataType):
+def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.DataType,
+             head):
     schema = pa.schema([("ids", pa.list_(id_type)), ("index", pa.list_(pa.binary())),
                         ("words", pa.list_(pa.string())),
                         ("longer", pa.list_(pa.list_(pa.int32())))])
 
-    def row(ids: pa.Array, texts: list, ranks: dict) -> pa.RecordBatch:
+    def row(ids: pa.Array, texts: list, ranks: dict, common: dict) -> pa.RecordBatch:
         import regex
 
         find = regex.compile(pattern).findall
-        # places of matches: those to fold from 0 up, longer ones from -1 down
+        # places of matches: frequent words, those to fold, longer ones from -1 down
         place: dict[str, int] = {}
-        words, longer = [], []
+        words, longer, n_common = [], [], len(common)
 
         def places(part: str) -> bytes:
             out = []
             for m in find(part):
-                at = place.get(m)
+                at = common.get(m)
+                if at is None:
+                    at = place.get(m)
                 if at is None:
                     data = m.encode()
                     if len(data) <= FOLD_BYTES:
-                        at = len(words)
+                        at = n_common + len(words)
                         words.append(data.hex())
                     else:
                         longer.append(merge_long(data, ranks))
@@ -192,6 +202,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {p: i for i, p in enumerate(pieces) if p}
+        common = {w: i for i, w in enumerate(head.value[0])}
         ids, texts, held = [], [], 0
         for batch in batches:
             values = [t or "" for t in batch.column(1).to_pylist()]
@@ -200,26 +211,28 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                 held += len(text)
                 if held >= batch_chars:
                     ids.append(batch.column(0).slice(low, i + 1 - low))
-                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks)
+                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks, common)
                     ids, texts, held, low = [], [], 0, i + 1
             if low < len(values):
                 ids.append(batch.column(0).slice(low))
                 texts += values[low:]
         if texts:
-            yield row(pa.concat_arrays(ids), texts, ranks)
+            yield row(pa.concat_arrays(ids), texts, ranks, common)
     return run
 
 
-def _assembler(id_col: str):
+def _assembler(id_col: str, head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, head_sizes, head_flat = head.value
         for batch in batches:
             for r in range(batch.num_rows):
                 names, index, folded, longer = (c[r].values for c in batch.columns)
                 # a negative place counts from the end, where the longer ones are reversed
                 back = pa.array(np.arange(len(longer))[::-1])
                 both = pa.concat_arrays([folded, longer.take(back)])
-                flat = both.flatten().to_numpy(zero_copy_only=False)
-                sizes = np.asarray(both.value_lengths().fill_null(0), np.int64)
+                flat = np.r_[head_flat, both.flatten().to_numpy(zero_copy_only=False)]
+                sizes = np.r_[head_sizes, np.asarray(both.value_lengths().fill_null(0))].astype(
+                    np.int64)
                 starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
                 for low in range(0, len(names), 256):
                     docs = index.slice(low, 256).to_pylist()
@@ -239,23 +252,75 @@ def _assembler(id_col: str):
     return run
 
 
+def _word_counts(pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        find = regex.compile(pattern).findall
+        for batch in batches:
+            parts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                head, *rest = split_chunks(text or "")
+                parts[head] += 1
+                parts.update([" " + p for p in rest])
+            counts: Counter = Counter()
+            for part, n in parts.items():
+                for m in find(part):
+                    counts[m] += n
+            kept = [(m.encode().hex(), n) for m, n in counts.items()
+                    if len(m.encode()) <= FOLD_BYTES]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in kept], pa.string()),
+                 pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
+    return run
+
+
+def _head(docs: DataFrame, pattern: str, ranks: Column, id_col: str, text_col: str,
+          head_docs: int, head_words: int):
+    """Broadcast (words, id counts, ids) of the sample's most frequent words."""
+    spark = docs.sparkSession
+    every = max(docs.count() // head_docs, 1)
+    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0).limit(2 * head_docs)
+    counts = stored(sample.select(text_col).mapInArrow(_word_counts(pattern), "word string, n bigint")
+                    .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    least, room = None, head_words
+    # one row per count: there are at most some square root of the sample's size
+    for row in counts.groupBy("n").count().orderBy(F.col("n").desc()).collect():
+        if row["count"] > room:
+            break
+        room, least = room - row["count"], row["n"]
+    if least is None:
+        return spark.sparkContext.broadcast(([], np.zeros(0, np.int64), np.zeros(0, np.int32)))
+    table = (counts.filter(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
+             .select("word", fold_merges(F.col("word"), ranks).alias("ids")).toArrow()
+             .combine_chunks())
+    ids = table["ids"].combine_chunks()
+    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+    words = [bytes.fromhex(w).decode() for w in table["word"].to_pylist()]
+    return spark.sparkContext.broadcast(
+        (words, np.asarray(ids.value_lengths(), np.int64),
+         ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", batch_chars: int = 1 << 24) -> DataFrame:
+           text_col: str = "text", batch_chars: int = 1 << 24, head_docs: int = 16384,
+           head_words: int = 400_000) -> DataFrame:
     """id, n_tokens and input_ids of every text."""
     prepare(docs.sparkSession)
     pieces = load_ranks(ranks_path)
     kind = docs.schema[id_col].dataType
     name = kind.simpleString()
     asked = docs.select(F.col(id_col), F.col(text_col))
+    ranks = rank_literal(pieces)
+    head = _head(asked, pattern, ranks, id_col, text_col, head_docs, head_words)
     rows = asked.mapInArrow(
-        _batcher(pattern, pieces, batch_chars, to_arrow_type(kind)),
+        _batcher(pattern, pieces, batch_chars, to_arrow_type(kind), head),
         f"ids array<{name}>, index array<binary>, words array<string>, "
         "longer array<array<int>>")
-    ranks = rank_literal(pieces)
     folded = rows.select("ids", "index", F.transform(
         "words", lambda w: fold_merges(w, ranks)).alias("folded"), "longer")
     return folded.mapInArrow(
-        _assembler(id_col), f"`{id_col}` {name}, n_tokens bigint, input_ids array<int>")
+        _assembler(id_col, head), f"`{id_col}` {name}, n_tokens bigint, input_ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "input_ids") -> DataFrame:
