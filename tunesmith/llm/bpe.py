@@ -275,12 +275,12 @@ def _word_counts(pattern: str):
     return run
 
 
-def _head(docs: DataFrame, pattern: str, ranks: Column, id_col: str, text_col: str,
-          head_docs: int, head_words: int):
+def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs: int,
+          head_words: int):
     """Broadcast (words, id counts, ids) of the sample's most frequent words."""
     spark = docs.sparkSession
-    every = max(docs.count() // head_docs, 1)
-    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0).limit(2 * head_docs)
+    # about head_docs rows: a Bernoulli sample with a fixed seed
+    sample = docs.sample(fraction=min(1.0, head_docs / max(docs.count(), 1)), seed=7)
     counts = stored(sample.select(text_col).mapInArrow(_word_counts(pattern), "word string, n bigint")
                     .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     least, room = None, head_words
@@ -312,7 +312,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     name = kind.simpleString()
     asked = docs.select(F.col(id_col), F.col(text_col))
     ranks = rank_literal(pieces)
-    head = _head(asked, pattern, ranks, id_col, text_col, head_docs, head_words)
+    head = _head(asked, pattern, ranks, text_col, head_docs, head_words)
     rows = asked.mapInArrow(
         _batcher(pattern, pieces, batch_chars, to_arrow_type(kind), head),
         f"ids array<{name}>, index array<binary>, words array<string>, "
