@@ -9,8 +9,8 @@ line is a template of its own.  A template found in at least ``min_docs``
 documents recurs: its first line (by id, then place) stays, all others go, so
 content survives once.  Lines without a word always stay.
 
-Scale: lines travel as digests; text is shuffled only for leaves with several
-lines and once for the documents that lose lines.  Counts are combined before
+Scale: lines travel as digests; documents are shuffled twice, to look up one
+occurrence of every different line of a leaf that has several, and to cut.  Counts are combined before
 the shuffle; the template of a leaf is an array as long as its line.  Only
 DataFrame functions are used.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import fresh, prepare, row_key, stored
+from tunesmith.llm.common import SPACES, fresh, prepare, row_key, stored
 
 DEPTH = 3
 SIMILARITY = 0.8
@@ -34,31 +34,48 @@ MIN_DOCS = 3
 
 
 def _masked(line: Column) -> Column:
-    """Words joined by single spaces, those with a digit as ``<*>``."""
-    flat = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    return F.regexp_replace(flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")
+    """Words joined by single spaces, those with a digit as ``<*>``.  Lines
+    that have nothing to replace are not rewritten."""
+    odd = F.contains(line, F.lit("  "))
+    for c in SPACES[1:]:
+        odd = odd | F.contains(line, F.lit(c))
+    flat = F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+    return F.when(F.rlike(flat, F.lit("[0-9]")), F.regexp_replace(
+        flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(flat)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("rk"),
                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
     rows = rows.withColumn("masked", _masked(F.col("line"))).filter(F.col("masked") != "")
-    count = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    return rows.select("id", "rk", "line_no", "masked",
+    count = F.octet_length("masked") - F.octet_length(
+        F.replace("masked", F.lit(" "), F.lit("")))
+    return rows.select("id", "rk", "line_no",
                        F.xxhash64(count, F.substring_index("masked", " ", depth)).alias("leaf"),
                        F.unhex(F.md5("masked")).alias("line"))
 
 
-def line_templates(lines: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+                   similarity: float) -> DataFrame:
     """(line, leaf) of the lines that belong to their leaf's template.
 
-    ``lines`` has (leaf, line, rk); ``texts`` the same lines with ``masked``.
+    ``lines`` has (leaf, line, rk, line_no); of every different line in a leaf
+    with several, one occurrence is looked up in ``docs``.
     """
     crowded = (lines.groupBy("leaf").agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
                .filter(F.col("lo") != F.col("hi")).select("leaf"))
-    different = (texts.join(crowded, "leaf", "left_semi").groupBy("leaf", "line")
-                 .agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n")))
-    different = stored(different, "leaf-lines")
+    wanted = (lines.join(crowded, "leaf", "left_semi").groupBy("leaf", "line")
+              .agg(F.min(F.struct("rk", "line_no")).alias("at"), F.count(F.lit(1)).alias("n"))
+              .groupBy(F.col("at.rk").alias("rk")).agg(F.collect_list(F.struct(
+                  F.col("at.line_no").alias("line_no"), "leaf", "line", "n")).alias("items")))
+    texts = docs.select(row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
+    found = texts.join(wanted, "rk").withColumn("all", F.split("text", "\n", -1)).select(
+        F.explode(F.transform("items", lambda x: F.struct(
+            x["leaf"].alias("leaf"), x["line"].alias("line"), x["n"].alias("n"),
+            F.get(F.col("all"), x["line_no"]).alias("raw")))).alias("x")).select("x.*")
+    # rows that stand twice in the table were looked up twice
+    different = stored(found.select("leaf", "line", "n", _masked(F.col("raw")).alias("masked"))
+                       .dropDuplicates(["leaf", "line"]), "leaf-lines")
     words = different.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("at", "tok"))
     usual = (words.groupBy("leaf", "at", "tok").agg(F.sum("n").alias("n"))
              .groupBy("leaf", "at").agg(F.min(F.struct((-F.col("n")).alias("n"), "tok")).alias("top"))
@@ -74,9 +91,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   depth: int = DEPTH, similarity: float = SIMILARITY,
                   min_docs: int = MIN_DOCS) -> DataFrame:
     """(rk, drop): per row key the line numbers that go."""
-    texts = _lines(docs, id_col, text_col, depth)
-    lines = stored(texts.drop("masked"), "lines")
-    own = line_templates(lines, texts, similarity).withColumnRenamed("leaf", "tree")
+    lines = stored(_lines(docs, id_col, text_col, depth), "lines")
+    own = line_templates(lines, docs, id_col, text_col, similarity).withColumnRenamed("leaf", "tree")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
         F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string"))
