@@ -40,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    rows = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    rows = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return rows.select("doc_id", "n_tokens", F.col("ids_bytes").alias("ids"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

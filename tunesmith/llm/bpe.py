@@ -30,6 +30,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,6 +47,7 @@ from tunesmith.llm.common import prepare, stored
 
 FOLD_BYTES = 32
 _BUCKETS = 1 << 14
+_MEMO = 200_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -166,7 +168,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                         ("words", pa.list_(pa.string())),
                         ("longer", pa.list_(pa.list_(pa.int32())))])
 
-    def row(ids: pa.Array, texts: list, ranks: dict, common: dict) -> pa.RecordBatch:
+    def row(ids: pa.Array, texts: list, ranks: dict, common: dict, memo: dict) -> pa.RecordBatch:
         import regex
 
         find = regex.compile(pattern).findall
@@ -190,11 +192,18 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                         at = -len(longer)
                     place[m] = at
                 out.append(at)
-            return np.array(out, "<i4").tobytes()
+            data = array("i", out).tobytes()
+            # places of frequent words are the same in every batch
+            if len(memo) < _MEMO and 0 <= min(out) and max(out) < n_common:
+                memo[part] = data
+            return data
 
         cut = [split_chunks(t) for t in texts]
-        known = {p: places(" " + p) for p in {p for c in cut for p in c[1:]}}
-        index = [places(c[0]) + b"".join([known[p] for p in c[1:]]) for c in cut]
+        known: dict[str, bytes] = {}
+        for p in {p for c in cut for p in c[1:]}:
+            known[p] = memo.get(" " + p) or places(" " + p)
+        index = [(places(c[0]) if c[0] else b"") + b"".join([known[p] for p in c[1:]])
+                 for c in cut]
         return pa.RecordBatch.from_arrays(
             [pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([index], schema.field(1).type),
              pa.array([words], schema.field(2).type), pa.array([longer], schema.field(3).type)],
@@ -202,28 +211,32 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {p: i for i, p in enumerate(pieces) if p}
-        common = {w: i for i, w in enumerate(head.value[0])}
+        common = {bytes.fromhex(w).decode(): i for i, w in enumerate(head.value[0].split())}
+        memo: dict[str, bytes] = {}
         ids, texts, held = [], [], 0
-        for batch in batches:
+        slices = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
+        for batch in slices:
             values = [t or "" for t in batch.column(1).to_pylist()]
             low = 0
             for i, text in enumerate(values):
                 held += len(text)
                 if held >= batch_chars:
                     ids.append(batch.column(0).slice(low, i + 1 - low))
-                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks, common)
+                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks, common, memo)
                     ids, texts, held, low = [], [], 0, i + 1
             if low < len(values):
                 ids.append(batch.column(0).slice(low))
                 texts += values[low:]
         if texts:
-            yield row(pa.concat_arrays(ids), texts, ranks, common)
+            yield row(pa.concat_arrays(ids), texts, ranks, common, memo)
     return run
 
 
-def _assembler(id_col: str, head):
+def _assembler(id_col: str, head, pieces: list[bytes] | None = None):
+    """Ids per document; with ``pieces`` packed ids and decoded bytes instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, head_sizes, head_flat = head.value
+        table = None if pieces is None else pa.array(pieces, pa.large_binary())
         for batch in batches:
             for r in range(batch.num_rows):
                 names, index, folded, longer = (c[r].values for c in batch.columns)
@@ -245,13 +258,28 @@ def _assembler(id_col: str, head):
                     ids = flat[where].astype(np.int32)
                     words = np.cumsum([len(d) // 4 for d in docs])
                     offsets = np.r_[0, np.r_[0, ends][words]].astype(np.int32)
+                    first = [names.slice(low, 256), pa.array(np.diff(offsets).astype(np.int64))]
+                    if table is not None:
+                        yield pa.RecordBatch.from_arrays(
+                            [*first, *_unpacked(ids, offsets.astype(np.int64), table)],
+                            [id_col, "n_tokens", "ids_bytes", "decoded"])
+                        continue
                     yield pa.RecordBatch.from_arrays(
-                        [names.slice(low, 256), pa.array(np.diff(offsets).astype(np.int64)),
-                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
+                        [*first, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
                         [id_col, "n_tokens", "input_ids"])
     return run
 
 
+def _unpacked(ids: np.ndarray, bounds: np.ndarray, table: pa.Array) -> list[pa.Array]:
+    """Packed ids and concatenated byte pieces of documents at ``bounds``."""
+    taken = table.take(pa.array(ids))
+    ends = np.r_[0, np.cumsum(np.asarray(pc.binary_length(taken), np.int64))]
+    data = taken.buffers()[2].to_pybytes() if len(taken) else b""
+    packed, at = ids.astype("<u4").tobytes(), ends[bounds]
+    return [pa.array([packed[a * 4:b * 4] for a, b in zip(bounds, bounds[1:])], pa.binary()),
+            pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())]
+
+
 def _word_counts(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -290,39 +318,60 @@ def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs
             break
         room, least = room - row["count"], row["n"]
     if least is None:
-        return spark.sparkContext.broadcast(([], np.zeros(0, np.int64), np.zeros(0, np.int32)))
+        return spark.sparkContext.broadcast(("", np.zeros(0, np.int64), np.zeros(0, np.int32)))
     table = (counts.filter(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
-             .select("word", fold_merges(F.col("word"), ranks).alias("ids")).toArrow()
-             .combine_chunks())
+             .select("word", _let(ranks, lambda r: fold_merges(F.col("word"), r)).alias("ids"))
+             .toArrow().combine_chunks())
     ids = table["ids"].combine_chunks()
     ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    words = [bytes.fromhex(w).decode() for w in table["word"].to_pylist()]
+    # one string: the driver keeps the value as long as the broadcast
     return spark.sparkContext.broadcast(
-        (words, np.asarray(ids.value_lengths(), np.int64),
+        (" ".join(table["word"].to_pylist()), np.asarray(ids.value_lengths(), np.int64),
          ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", batch_chars: int = 1 << 24, head_docs: int = 16384,
-           head_words: int = 400_000) -> DataFrame:
-    """id, n_tokens and input_ids of every text."""
+def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, text_col: str,
+            batch_chars: int, head_docs: int, head_words: int):
+    """Rows of batches with the ids of their distinct matches, and the cache."""
     prepare(docs.sparkSession)
-    pieces = load_ranks(ranks_path)
     kind = docs.schema[id_col].dataType
-    name = kind.simpleString()
     asked = docs.select(F.col(id_col), F.col(text_col))
     ranks = rank_literal(pieces)
     head = _head(asked, pattern, ranks, text_col, head_docs, head_words)
     rows = asked.mapInArrow(
         _batcher(pattern, pieces, batch_chars, to_arrow_type(kind), head),
-        f"ids array<{name}>, index array<binary>, words array<string>, "
+        f"ids array<{kind.simpleString()}>, index array<binary>, words array<string>, "
         "longer array<array<int>>")
-    folded = rows.select("ids", "index", F.transform(
-        "words", lambda w: fold_merges(w, ranks)).alias("folded"), "longer")
+    # the literal stands in the plan once
+    folded = _let(ranks, lambda r: F.transform(F.col("words"), lambda w: fold_merges(w, r)))
+    return rows.select("ids", "index", folded.alias("folded"), "longer"), head
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+           text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = 16384,
+           head_words: int = 100_000) -> DataFrame:
+    """id, n_tokens and input_ids of every text."""
+    folded, head = _folded(docs, load_ranks(ranks_path), pattern, id_col, text_col, batch_chars,
+                           head_docs, head_words)
+    name = docs.schema[id_col].dataType.simpleString()
     return folded.mapInArrow(
         _assembler(id_col, head), f"`{id_col}` {name}, n_tokens bigint, input_ids array<int>")
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = 16384,
+               head_words: int = 100_000) -> DataFrame:
+    """id, n_tokens, ids_bytes (32-bit little-endian ids) and the bytes that
+    the ids decode to, in one pass."""
+    pieces = load_ranks(ranks_path)
+    folded, head = _folded(docs, pieces, pattern, id_col, text_col, batch_chars, head_docs,
+                           head_words)
+    name = docs.schema[id_col].dataType.simpleString()
+    return folded.mapInArrow(
+        _assembler(id_col, head, pieces),
+        f"`{id_col}` {name}, n_tokens bigint, ids_bytes binary, decoded binary")
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "input_ids") -> DataFrame:
     """``encoded`` with ids_bytes (32-bit little-endian ids) and decoded
     (bytes) in place of the ids."""
@@ -335,17 +384,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "input_ids") -> D
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 ids = part.column(0)
-                flat = ids.flatten()
                 bounds = np.r_[0, np.cumsum(np.asarray(ids.value_lengths().fill_null(0), np.int64))]
-                taken = table.take(flat)
-                ends = np.r_[0, np.cumsum(np.asarray(pc.binary_length(taken), np.int64))]
-                data = b"".join(taken.to_pylist()) if len(taken) else b""
-                packed = flat.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-                at = ends[bounds]
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:],
-                     pa.array([packed[a * 4:b * 4] for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                     pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())],
+                    [*part.columns[1:], *_unpacked(flat, bounds, table)],
                     [*others, "ids_bytes", "decoded"])
 
     fields = encoded.select(*others).schema.fields
@@ -357,6 +399,6 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "input_ids") -> D
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             text_col: str = "text", **options) -> DataFrame:
     """id, n_tokens and SHA-256 of the packed ids and of the decoded bytes."""
-    both = decode(encode(docs, ranks_path, pattern, id_col, text_col, **options), ranks_path)
+    both = round_trip(docs, ranks_path, pattern, id_col, text_col, **options)
     return both.select(id_col, "n_tokens", F.sha2("ids_bytes", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
