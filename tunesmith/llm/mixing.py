@@ -180,30 +180,31 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the text.  Documents without words are not part of a mix.
     """
     plan = plan_mix(docs, id_col, text_col, source_col, block=block, **options)
+    ident, size, nth, mix, copy = (fresh(docs, c) for c in (
+        "__mix_id", "__mix_size", "__mix_nth", "__mix", "__mix_copy"))
+    # rows of equal id and size are paired one to one
+    alike = Window.partitionBy(ident, size)
     taken = (plan.filter(F.col("taken") > 0)
-             .select(F.col(id_col).alias("__id"), F.col("size").alias("__size"),
+             .select(F.col(id_col).alias(ident), F.col("size").alias(size),
                      F.struct("offset", "size", "source_size", "passes", "run_words",
-                              "run_start", "rest", "n_blocks").alias("__m")))
-    # rows of equal id and size are paired one to one
-    nth = Window.partitionBy("__id", "__size")
-    taken = taken.withColumn("__nth", F.row_number().over(nth.orderBy("__m")))
-    src = docs.select("*", F.col(id_col).alias("__id"),
-                      word_count(F.col(text_col)).alias("__size"))
-    src = src.withColumn("__nth", F.row_number().over(nth.orderBy(
+                              "run_start", "rest", "n_blocks").alias(mix))
+             .withColumn(nth, F.row_number().over(alike.orderBy(mix))))
+    src = docs.select("*", F.col(id_col).alias(ident), word_count(F.col(text_col)).alias(size))
+    src = src.withColumn(nth, F.row_number().over(alike.orderBy(
         F.coalesce(F.col(source_col), F.lit("")), F.md5(F.col(text_col)))))
     both = src.alias("a").join(
-        taken.alias("b"), F.col("a.__id").eqNullSafe(F.col("b.__id"))
-        & (F.col("a.__size") == F.col("b.__size")) & (F.col("a.__nth") == F.col("b.__nth"))
-    ).select(*[F.col(f"a.`{c}`") for c in docs.columns], F.col("b.__m").alias("__m"))
-    m = F.col("__m")
+        taken.alias("b"), F.col(f"a.{ident}").eqNullSafe(F.col(f"b.{ident}"))
+        & (F.col(f"a.{size}") == F.col(f"b.{size}")) & (F.col(f"a.{nth}") == F.col(f"b.{nth}"))
+    ).select(*[F.col(f"a.`{c}`") for c in docs.columns], F.col(f"b.{mix}").alias(mix))
+    m = F.col(mix)
     low, count = m["run_start"] * block, m["rest"] * block
     span = F.greatest(m["n_blocks"], F.lit(1)) * block
     inside = F.filter(word_array(F.col(text_col)), lambda w, i: F.pmod(
         m["offset"] + i - low, span) < count)
     copies = F.when(m["run_words"] > 0, m["passes"] + 1).otherwise(m["passes"])
-    part = F.when((F.col("__copy") <= m["passes"]) | (m["run_words"] == m["size"]),
+    part = F.when((F.col(copy) <= m["passes"]) | (m["run_words"] == m["size"]),
                   F.col(text_col)).otherwise(F.array_join(inside, " "))
-    out = both.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
+    out = both.withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
     out = out.withColumn(text_col, part)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(text_col)).cast("bigint"))
