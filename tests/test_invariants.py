@@ -112,6 +112,40 @@ def test_corrupt_json_file_is_skipped(spark, tmp_path):
     assert ok.count() == 2
 
 
+def test_mistyped_values_keep_their_rows(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string("k bigint, t string")
+    (tmp_path / "a.json").write_text('[{"k":1,"t":"x"},{"k":"two","t":"y"},{"k":3}]')
+    (tmp_path / "b.json").write_text("[]")
+    (tmp_path / "c.json").write_text("")
+    (tmp_path / "d.json").write_text('[{"k":4')
+    glob = [str(tmp_path / "*.json")]
+    df = R.read_json_glob(spark, glob, st)
+    assert [(r.k, r.t) for r in df.orderBy(F.col("k").asc_nulls_last()).collect()] == [
+        (1, "x"), (3, None), (None, "y")]
+    assert df.count() == 3
+    bad = R.json_glob_rejects(spark, glob, st).collect()
+    assert sum(r.record is not None for r in bad) == 1
+
+
+def test_malformed_lines(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string("k bigint, t string")
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"k":1,"t":"x"}\n{"k":2,\n\n{"k":"z"}\n{"k":3}\n')
+    with pytest.raises(Exception):
+        R.read_jsonl(spark, str(path), st).count()
+    kept = R.read_jsonl(spark, str(path), st, on_error="reject")
+    assert kept.count() == 2 and sorted(r.k for r in kept.collect()) == [1, 3]
+    assert R.jsonl_rejects(spark, str(path), st).count() == 2
+
+
+def test_unicode_strip(spark):
+    from tunesmith.sources.sinks import strip_ws
+    df = spark.createDataFrame([("\u3000\u4f60\u597d\u3000",), ("\xa0x\xa0",)], "t string")
+    assert [r[0] for r in df.select(strip_ws("t")).collect()] == ["\u4f60\u597d", "x"]
+
+
 def test_stream_equals_batch(spark, sf_dir):
     from tunesmith.operators import preference as PR
     from tunesmith.plans.q_io import COMPARISON_SCHEMA

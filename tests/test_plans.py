@@ -63,9 +63,12 @@ def test_hash_split_is_narrow(spark, sf_dir):
     assert "Exchange" not in p and "md5" in p
 
 
-def test_cap_per_split_uses_group_limit(spark, sf_dir):
+def test_cap_has_one_plan_for_any_size(spark, sf_dir):
     from tunesmith.operators import split as SP
 
     docs = SP.train_eval_split(V.documents(spark, sf_dir).select("doc_id"), "doc_id")
-    p = plan(FL.cap(docs, 50, F.col("doc_id"), by="split"))
-    assert "WindowGroupLimit" in p and "Partial" in p
+    # one plan for any cap; no window over a whole split
+    for n in (50, 1001, 50_000):
+        p = plan(FL.cap(docs, n, F.col("doc_id"), by="split"))
+        assert "Window" not in p.split("AdaptiveSparkPlan")[-1].replace("Window [sum", "")
+        assert "TakeOrdered" not in p

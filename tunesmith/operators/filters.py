@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunesmith.operators.position import with_position
+
 
 def reshape(df: DataFrame, cols) -> DataFrame:
     """FLT1: keep only the mapped columns (Catalyst prunes the rest)."""
@@ -38,17 +40,19 @@ def drop_null(df: DataFrame, cols=("context", "target")) -> DataFrame:
 def cap(df: DataFrame, n: int, order_by, by: str | None = None) -> DataFrame:
     """FLT5: first ``n`` rows in ``order_by`` order, per ``by`` group.
 
-    With a group column the row_number filter is planned as a window group
-    limit: every map task keeps only its own first ``n`` per group before
-    the shuffle, so a group holding most rows does not reach one task.
+    One plan for every ``n``: rows get their position in (``by``, ``order_by``)
+    order from range partitions, so a group holding most rows, or a large
+    ``n``, is never sorted in one task.  Null is a group of its own.
     """
     keys = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     if by is None:
-        return df.orderBy(*keys).limit(n)
-    w = Window.partitionBy(by).orderBy(*keys)
-    return (df.withColumn("__rn", F.row_number().over(w))
-              .filter(F.col("__rn") <= n).drop("__rn"))
+        return with_position(df, keys, "__pos").filter(F.col("__pos") < n).drop("__pos")
+    ranked = with_position(df, [F.col(by), *keys], "__pos")
+    first = ranked.groupBy(F.col(by).alias("__by")).agg(F.min("__pos").alias("__first"))
+    return (ranked.join(first, F.col(by).eqNullSafe(F.col("__by")))
+            .filter(F.col("__pos") - F.col("__first") < n)
+            .drop("__pos", "__by", "__first"))
 
 
 def with_prefix(df: DataFrame, prefix: str, col: str = "prompt") -> DataFrame:

@@ -7,11 +7,12 @@ data is partitioned, so reruns after executor loss give the same result.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.config import DEFAULT_SEED, HOLDOUT_CAP, HOLDOUT_FRACTION, TRAIN_FRACTION
+from tunesmith.config import DEFAULT_SEED, HOLDOUT_FRACTION, TRAIN_FRACTION
 from tunesmith.operators.position import with_position
 
 
@@ -23,7 +24,9 @@ def seeded_hash(key, seed: int = DEFAULT_SEED) -> Column:
 
 def hash_threshold(frac: float) -> str:
     """Hex string t such that ``md5 < t`` holds for a ``frac`` share."""
-    value = min(int(frac * (1 << 128)), (1 << 128) - 1)
+    # the shortest decimal of ``frac`` as an exact ratio: 0.8 is 4/5
+    ratio = Fraction(str(frac))
+    value = min((ratio.numerator << 128) // ratio.denominator, (1 << 128) - 1)
     return format(value, "032x")
 
 
@@ -56,10 +59,11 @@ def shuffle(df: DataFrame, key: str, seed: int = DEFAULT_SEED,
 
 
 def shard_holdout(df: DataFrame, shard: str = "shard",
-                  frac: float = HOLDOUT_FRACTION, cap: int | None = HOLDOUT_CAP,
+                  frac: float = HOLDOUT_FRACTION, cap: int | None = None,
                   seed: int = DEFAULT_SEED, name: str = "split") -> DataFrame:
     """SPL3: ``floor(frac * shards)`` shards (in seeded hash order) become
-    test, the rest train; at most ``cap`` shards each.
+    test, the rest train; with ``cap`` at most so many shards each (the
+    default keeps all).
 
     The distinct-shard table is ranked with positions (range partitioned,
     not one task).  With a cap the chosen table has at most ``2*cap`` rows,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tunesmith.config import (
-    HOLDOUT_CAP, HOLDOUT_FRACTION, PREF_MAX_LENGTH, PREF_MAX_PROMPT_LENGTH,
+    HOLDOUT_FRACTION, PREF_MAX_LENGTH, PREF_MAX_PROMPT_LENGTH,
     SEQ2SEQ_SOURCE_LENGTH, SEQ2SEQ_TARGET_LENGTH, SHARD_ROWS, TokenSpec)
 from tunesmith.operators import filters as FL
 from tunesmith.operators import layout as LA
@@ -54,8 +54,12 @@ def seq2seq_rows(spark: SparkSession, splits: dict, schema, key, vocab: Vocabula
 def preference_rows(spark: SparkSession, files, schema, vocab: Vocabulary, out_dir: str,
                     key: str = "conv_id", max_length: int = PREF_MAX_LENGTH,
                     max_prompt_length: int = PREF_MAX_PROMPT_LENGTH) -> DataFrame:
-    """Preference pairs with ids, written as a dataset partitioned by split."""
+    """Preference pairs with ids, written as a dataset partitioned by split.
+
+    Records without two answers are written as JSON to ``<out_dir>-rejects``.
+    """
     comp = R.read_json(spark, files, schema).drop("split")
+    PR.pair_rejects(comp).write.mode("overwrite").json(f"{out_dir.rstrip('/')}-rejects")
     pairs = SP.train_eval_split(PR.split_pair(comp), key)
     ids = encode(pairs, key, {"prompt_ids": ("prompt", None, True),
                               "chosen_ids": ("chosen", None, False),
@@ -67,7 +71,7 @@ def preference_rows(spark: SparkSession, files, schema, vocab: Vocabulary, out_d
 
 def corpus_batches(spark: SparkSession, globs, schema, key: str, vocab: Vocabulary,
                    shard_rows: int = SHARD_ROWS, batch_size: int = 4,
-                   holdout: float = HOLDOUT_FRACTION, cap: int | None = HOLDOUT_CAP,
+                   holdout: float = HOLDOUT_FRACTION, cap: int | None = None,
                    spec: TokenSpec = DEFAULT_SPEC) -> DataFrame:
     """Collated causal-LM rows for the held-out shard splits."""
     raw = R.read_json_glob(spark, globs, schema)

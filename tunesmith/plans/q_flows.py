@@ -111,14 +111,12 @@ view("v_corpus_split", f"""
 SELECT i.conv_id, i.turn, c.split, (i.conv_id * 1000 + i.turn) AS row_key
 FROM (SELECT *, (row_number() OVER (ORDER BY {md5_key(ROW_KEY)}, {ROW_KEY}) - 1) // {CORPUS_SHARD_ROWS} AS shard
       FROM v_instruction) i
-JOIN (SELECT shard, CASE WHEN rk < floor(n * 0.25) THEN 'test' ELSE 'train' END AS split,
-             CASE WHEN rk < floor(n * 0.25) THEN rk ELSE rk - floor(n * 0.25) END AS rk2
+JOIN (SELECT shard, CASE WHEN rk < floor(n * 0.25) THEN 'test' ELSE 'train' END AS split
       FROM (SELECT shard, row_number() OVER (ORDER BY {md5_key('shard')}, shard) - 1 AS rk,
                    count(*) OVER () AS n
             FROM (SELECT DISTINCT (row_number() OVER (ORDER BY {md5_key(ROW_KEY)}, {ROW_KEY}) - 1) // {CORPUS_SHARD_ROWS} AS shard
                   FROM v_instruction))) c
   ON i.shard = c.shard
-WHERE c.rk2 < 5
 """, ("v_instruction",))
 
 

@@ -154,9 +154,9 @@ def snk2(spark, d):
     return spark.read.schema(schema).json(path)
 
 
-@query("snk3_write_predictions", r"""
-SELECT conv_id, turn, regexp_replace(labels, '^\s+|\s+$', '', 'g') AS labels,
-       regexp_replace(predict, '^\s+|\s+$', '', 'g') AS predict
+@query("snk3_write_predictions", rf"""
+SELECT conv_id, turn, regexp_replace(labels, '^[{S.WHITE}]+|[{S.WHITE}]+$', '', 'g') AS labels,
+       regexp_replace(predict, '^[{S.WHITE}]+|[{S.WHITE}]+$', '', 'g') AS predict
 FROM v_predictions
 """)
 def snk3(spark, d):
@@ -167,13 +167,15 @@ def snk3(spark, d):
 
 
 @query("snk4_run_metrics", f"""
-SELECT split, least(50, count(*)) AS eval_samples, round(avg(n_chars), 6) AS eval_chars, 'eval' AS phase
-FROM (SELECT {_split_case('doc_id')} AS split, n_chars FROM documents)
+SELECT split, count(*) AS eval_samples, round(avg(n_chars), 6) AS eval_chars, 'eval' AS phase
+FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS place
+      FROM (SELECT {_split_case('doc_id')} AS split, doc_id, n_chars FROM documents))
+WHERE place <= 50
 GROUP BY split
 """)
 def snk4(spark, d):
     docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "n_chars"), "doc_id")
-    out = S.run_metrics(docs, "eval", cap=50, metrics={"chars": "n_chars"})
+    out = S.run_metrics(docs, "eval", cap=50, metrics={"chars": "n_chars"}, order_by="doc_id")
     return out.withColumn("eval_chars", F.round("eval_chars", 6))
 
 

@@ -13,7 +13,8 @@ from tunesmith.plans.oracle import chatml_msg, md5_key
 from tunesmith.plans.registry import query
 
 NL = "chr(10)"
-TRAIN_T = SP.hash_threshold(0.8)
+# fixed value: md5 below it holds for four fifths of all keys
+TRAIN_T = "c" * 32
 
 
 def _split_case(key: str) -> str:
@@ -344,10 +345,9 @@ r AS (
          count(*) OVER () AS n
   FROM (SELECT DISTINCT shard FROM s)),
 c AS (
-  SELECT shard, CASE WHEN rk < floor(n * 0.25) THEN 'test' ELSE 'train' END AS split,
-         CASE WHEN rk < floor(n * 0.25) THEN rk ELSE rk - floor(n * 0.25) END AS rk2
+  SELECT shard, CASE WHEN rk < floor(n * 0.25) THEN 'test' ELSE 'train' END AS split
   FROM r)
-SELECT s.doc_id, s.shard, c.split FROM s JOIN c ON s.shard = c.shard WHERE c.rk2 < 5
+SELECT s.doc_id, s.shard, c.split FROM s JOIN c ON s.shard = c.shard
 """)
 def spl3(spark, d):
     shuffled = SP.shuffle(V.documents(spark, d).select("doc_id"), "doc_id")

@@ -9,6 +9,7 @@ has none, which is the local test situation.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -82,6 +83,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
+    if not configured and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                           "executors share")
     if not configured:
         # Local runs and tests only: a cluster names a shared folder.
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")

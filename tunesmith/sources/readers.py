@@ -1,7 +1,7 @@
 """File sources (SRC1-SRC6) and union by name (UNI1).
 
 Schemas are always declared (no inference pass over the data); broken JSON
-files are skipped or fail the job explicitly, by reader mode.
+records are reported, left out or fail the job, as the caller asks.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Readers chosen by file extension.
 FORMATS = {"json": "json", "jsonl": "json", "csv": "csv", "parquet": "parquet"}
@@ -20,10 +20,41 @@ def _as_list(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_jsonl(spark: SparkSession, path, schema: StructType) -> DataFrame:
-    """SRC1: JSON lines, one object per line, UTF-8."""
-    return (spark.read.schema(schema).option("encoding", "UTF-8")
-                 .option("mode", "PERMISSIVE").json(_as_list(path)))
+def read_jsonl(spark: SparkSession, path, schema: StructType,
+               on_error: str = "raise") -> DataFrame:
+    """SRC1: JSON lines, one object per line, UTF-8.
+
+    A line that does not parse, or has a value of another type, fails the job
+    (``on_error="raise"``) or is left out (``"reject"``); ``jsonl_rejects``
+    gives the lines left out.  Blank lines are no records.
+    """
+    lines = _parsed_lines(spark, path, schema)
+    bad = F.col("__row.__bad").isNotNull()
+    if on_error == "raise":
+        # in a filter, so that no projection can prune the check
+        lines = lines.filter(F.when(bad, F.raise_error(F.concat(
+            F.lit("malformed JSON line: "), F.col("value"))).isNull()).otherwise(True))
+    elif on_error == "reject":
+        lines = lines.filter(~bad)
+    else:
+        raise ValueError("on_error must be 'raise' or 'reject'")
+    return lines.select(*[F.col("__row")[f.name].alias(f.name) for f in schema.fields])
+
+
+def jsonl_rejects(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """Lines that ``read_jsonl`` leaves out, as ``record``."""
+    return (_parsed_lines(spark, path, schema).filter(F.col("__row.__bad").isNotNull())
+            .select(F.col("value").alias("record")))
+
+
+def _with_bad(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("__bad", StringType())])
+
+
+def _parsed_lines(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    return (spark.read.text(_as_list(path)).filter(F.trim("value") != "")
+            .withColumn("__row", F.from_json("value", _with_bad(schema), options)))
 
 
 def read_json(spark: SparkSession, files, schema: StructType,
@@ -62,15 +93,42 @@ def read_splits(spark: SparkSession, splits: dict, schema: StructType) -> DataFr
 
 def read_json_glob(spark: SparkSession, globs, schema: StructType,
                    on_error: str = "skip") -> DataFrame:
-    """SRC4: files that each hold one JSON array.  A file that does not
-    parse is one malformed record as a whole: ``skip`` drops it (no partial
-    rows), ``raise`` fails the job.  Reader modes are used rather than the
-    corrupt-record column, so any projection (``count()`` included) works."""
-    modes = {"skip": "DROPMALFORMED", "raise": "FAILFAST"}
-    if on_error not in modes:
+    """SRC4: files that each hold one JSON array, one task per file.
+
+    Only a file that does not parse as an array is left out (``skip``) or
+    fails the job (``raise``).  In a parsed file every element is a row; a
+    value of another type becomes null (see ``json_glob_rejects``).
+    """
+    if on_error not in ("skip", "raise"):
         raise ValueError("on_error must be 'skip' or 'raise'")
-    return (spark.read.schema(schema).option("multiLine", True)
-                 .option("mode", modes[on_error]).json(_as_list(globs)))
+    files = _array_files(spark, globs)
+    if on_error == "raise":
+        files = files.filter(F.when(F.col("items").isNull(), F.raise_error(
+            F.lit("a file does not hold a JSON array")).isNull()).otherwise(True))
+    rows = _elements(files, schema)
+    return rows.select(*[F.col("__row")[f.name].alias(f.name) for f in schema.fields])
+
+
+def json_glob_rejects(spark: SparkSession, globs, schema: StructType) -> DataFrame:
+    """(file, record): files that do not parse (record null) and elements with
+    a value of another type."""
+    files = _array_files(spark, globs)
+    broken = files.filter(F.col("items").isNull()).select("file", F.lit(None).cast("string")
+                                                          .alias("record"))
+    return broken.union(_elements(files, schema).filter(F.col("__row.__bad").isNotNull())
+                        .select("file", F.col("item").alias("record")))
+
+
+def _array_files(spark: SparkSession, globs) -> DataFrame:
+    text = spark.read.text(_as_list(globs), wholetext=True)
+    return text.select(F.input_file_name().alias("file"),
+                       F.from_json("value", "array<string>").alias("items"))
+
+
+def _elements(files: DataFrame, schema: StructType) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    return files.select("file", F.explode("items").alias("item")).withColumn(
+        "__row", F.from_json("item", _with_bad(schema), options))
 
 
 def read_csv(spark: SparkSession, files, schema: StructType) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunesmith.config import SHARD_ROWS
+from tunesmith.operators.filters import cap as first_rows
 from tunesmith.operators.position import with_position
 
 
@@ -38,10 +39,15 @@ def write_shards(df: DataFrame, directory: str, order_by, rows: int = SHARD_ROWS
     return sharded
 
 
+# The Unicode white space that is stripped from both ends.
+WHITE = (r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+         r"\x{202F}\x{205F}\x{3000}")
+
+
 def strip_ws(col) -> F.Column:
-    """Remove leading and trailing whitespace."""
+    """Remove leading and trailing Unicode white space."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"^[{WHITE}]+|[{WHITE}]+$", "")
 
 
 def write_predictions(df: DataFrame, directory: str, labels: str = "labels",
@@ -54,12 +60,15 @@ def write_predictions(df: DataFrame, directory: str, labels: str = "labels",
 
 
 def run_metrics(df: DataFrame, phase: str, cap: int | None = None,
-                split: str = "split", metrics: dict | None = None) -> DataFrame:
-    """SNK4: per split, samples used = ``min(cap, n)`` plus metric means,
-    tagged with the phase name."""
-    n = F.count(F.lit(1))
-    used = F.least(F.lit(cap).cast("bigint"), n) if cap is not None else n
-    aggs = [used.cast("bigint").alias(f"{phase}_samples")]
+                split: str = "split", metrics: dict | None = None, order_by=None) -> DataFrame:
+    """SNK4: per split, the number of samples and the metric means, tagged
+    with the phase name.  With ``cap`` both are over the first ``cap`` rows of
+    each split in ``order_by`` order."""
+    if cap is not None:
+        if order_by is None:
+            raise ValueError("a capped run needs order_by")
+        df = first_rows(df, cap, order_by, by=split)
+    aggs = [F.count(F.lit(1)).cast("bigint").alias(f"{phase}_samples")]
     for name, col in (metrics or {}).items():
         aggs.append(F.avg(col).alias(f"{phase}_{name}"))
     return df.groupBy(split).agg(*aggs).withColumn("phase", F.lit(phase))
