@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +181,12 @@ class Encoder:
         return [head + b"".join([look[p] for p in c[1:]]) for head, c in zip(heads, cut)]
 
 
+@lru_cache(maxsize=1)
+def _encoder(content: str) -> Encoder:
+    """A Python worker keeps the tokenizer and its memo for its next tasks."""
+    return Encoder(content)
+
+
 _SEGMENT = ("part int, seq int, part_start bigint, n_tokens bigint, doc_ids array<{id}>, "
             "doc_starts array<bigint>, image binary")
 
@@ -193,7 +200,7 @@ def _writer(content: str, end_id: int, segment_tokens: int, id_type: pa.DataType
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, end = Encoder(content), struct.pack("<I", end_id)
+        encoder, end = _encoder(content), struct.pack("<I", end_id)
         names, parts, starts, held, before, seq = [], [], [], 0, 0, 0
 
         def segment():
