@@ -33,6 +33,7 @@ import json
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ from tunesmith.llm.common import prepare, stored
 FOLD_BYTES = 32
 _BUCKETS = 1 << 14
 _MEMO = 200_000
+HEAD_DOCS = 1 << 15
+HEAD_WORDS = 250_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -162,6 +165,13 @@ def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[t] for t in toks if t is not None]
 
 
+@lru_cache(maxsize=1)
+def _known(words: str, pattern: str) -> tuple[dict[str, int], dict[str, bytes]]:
+    """Places of the cache's words, and an empty memo of parts made of such
+    words alone.  A Python worker keeps both for its next tasks."""
+    return {bytes.fromhex(w).decode(): i for i, w in enumerate(words.split())}, {}
+
+
 def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.DataType,
              head):
     schema = pa.schema([("ids", pa.list_(id_type)), ("index", pa.list_(pa.binary())),
@@ -211,8 +221,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {p: i for i, p in enumerate(pieces) if p}
-        common = {bytes.fromhex(w).decode(): i for i, w in enumerate(head.value[0].split())}
-        memo: dict[str, bytes] = {}
+        common, memo = _known(head.value[0], pattern)
         ids, texts, held = [], [], 0
         slices = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
         for batch in slices:
@@ -348,8 +357,8 @@ def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, tex
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = 16384,
-           head_words: int = 100_000) -> DataFrame:
+           text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = HEAD_DOCS,
+           head_words: int = HEAD_WORDS) -> DataFrame:
     """id, n_tokens and input_ids of every text."""
     folded, head = _folded(docs, load_ranks(ranks_path), pattern, id_col, text_col, batch_chars,
                            head_docs, head_words)
@@ -359,8 +368,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = 16384,
-               head_words: int = 100_000) -> DataFrame:
+               text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = HEAD_DOCS,
+               head_words: int = HEAD_WORDS) -> DataFrame:
     """id, n_tokens, ids_bytes (32-bit little-endian ids) and the bytes that
     the ids decode to, in one pass."""
     pieces = load_ranks(ranks_path)
