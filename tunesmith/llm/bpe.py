@@ -48,6 +48,8 @@ from tunesmith.llm.common import prepare, stored
 
 FOLD_BYTES = 32
 _BUCKETS = 1 << 14
+#: above every rank
+_NONE = 1 << 31
 _MEMO = 200_000
 HEAD_DOCS = 1 << 15
 HEAD_WORDS = 250_000
@@ -91,44 +93,46 @@ def _let(value: Column, body) -> Column:
 def fold_merges(word: Column, ranks: Column) -> Column:
     """Ids of one match given as a hexadecimal byte string.
 
-    The state is the pieces so far and the rank of every adjacent pair (null:
-    none); joining a pair asks for the ranks of its two new neighbours only.
+    The state has a number for every boundary between two pieces: the rank of
+    the piece that they would make (``_NONE``: no rank) and, in the low six
+    bits, the boundary's place.  The least number is the next merge; its
+    boundary goes and the two beside it get new ranks.
     """
     size = (F.length(word) / 2).cast("int")
-    none = F.array().cast("array<int>")
-    bytes_ = F.transform(F.sequence(F.lit(0), size - 1),
-                         lambda i: F.substring(word, i * 2 + 1, F.lit(2)))
-    pairs = F.when(size > 1, F.transform(
-        F.sequence(F.lit(0), size - 2),
-        lambda i: _rank(ranks, F.substring(word, i * 2 + 1, F.lit(4))))).otherwise(none)
-
-    def join_at(acc: Column, at: Column) -> Column:
-        toks, known = acc["toks"], acc["known"]
-
-        def state(new: Column) -> Column:
-            left = F.when(at > 1, F.array(_rank(ranks, F.concat(F.get(toks, at - 2), new))))
-            right = F.when(at < F.size(known), F.array(
-                _rank(ranks, F.concat(new, F.get(toks, at + 1)))))
-            return F.struct(
-                F.concat(F.slice(toks, F.lit(1), at - 1), F.array(new),
-                         F.slice(toks, at + 2, F.size(toks))).alias("toks"),
-                F.concat(F.slice(known, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                         F.coalesce(left, none), F.coalesce(right, none),
-                         F.slice(known, at + 2, F.size(toks))).alias("known"))
-
-        return _let(F.concat(F.get(toks, at - 1), F.get(toks, at)), state)
-
-    def merge(acc: Column, _: Column) -> Column:
-        # lowest rank and its first place in one number (places are under 64)
-        lowest = F.array_min(F.transform(acc["known"], lambda r, i: r * 64 + i))
-        return _let(lowest, lambda x: F.when(x.isNull(), acc).otherwise(
-            _let((x % 64 + 1).cast("int"), lambda at: join_at(acc, at))))
-
-    merged = F.aggregate(F.sequence(F.lit(1), size),
-                         F.struct(bytes_.alias("toks"), pairs.alias("known")),
-                         merge, lambda acc: acc["toks"])
+    none = F.array().cast("array<bigint>")
+
+    def piece(low: Column, high: Column) -> Column:
+        return _rank(ranks, F.substring(word, low * 2 + 1, (high - low) * 2))
+
+    def boundary(low: Column, at: Column, high: Column) -> Column:
+        return F.coalesce(piece(low, high).cast("bigint"), F.lit(_NONE)) * 64 + at
+
+    def place(known: Column, i: Column, outside: Column) -> Column:
+        return F.coalesce(F.get(known, i).bitwiseAND(63).cast("int"), outside)
+
+    def without(known: Column, k: Column) -> Column:
+        low, high = place(known, k - 2, F.lit(0)), place(known, k, size)
+        left = F.when(k > 1, F.array(boundary(place(known, k - 3, F.lit(0)), low, high)))
+        right = F.when(k < F.size(known), F.array(
+            boundary(low, high, place(known, k + 1, size))))
+        return F.concat(F.slice(known, F.lit(1), F.greatest(k - 2, F.lit(0))),
+                        F.coalesce(left, none), F.coalesce(right, none),
+                        F.slice(known, k + 2, F.size(known)))
+
+    def merge(known: Column, _: Column) -> Column:
+        return _let(F.array_min(known), lambda x: F.when(
+            x < _NONE * 64, _let(F.array_position(known, x).cast("int"),
+                                 lambda k: without(known, k))).otherwise(known))
+
+    def ids(known: Column) -> Column:
+        ends = F.concat(F.transform(known, lambda x: x.bitwiseAND(63).cast("int")), F.array(size))
+        return _let(ends, lambda e: F.transform(e, lambda high, i: piece(
+            F.coalesce(F.get(e, i - 1), F.lit(0)), high)))
+
+    start = F.when(size > 1, F.transform(
+        F.sequence(F.lit(1), size - 1), lambda at: boundary(at - 1, at, at + 1))).otherwise(none)
     return _let(_rank(ranks, word), lambda whole: F.when(whole.isNotNull(), F.array(whole))
-                .otherwise(F.transform(merged, lambda t: _rank(ranks, t))))
+                .otherwise(F.aggregate(F.sequence(F.lit(1), size), start, merge, ids)))
 
 
 def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
