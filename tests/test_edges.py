@@ -111,3 +111,13 @@ def test_decode_specials_and_several_columns(spark):
     assert (out.da, out.db) == ("x y", "x y")
     named = VO.decode(ids, "k", "a", vocab, skip_special=False, out="d").first()
     assert named.d == "<s> x <unk> y </s> <pad>"
+
+
+def test_preference_needs_two_answers(spark):
+    rows = [(1, "ab", ["x", "y", "z"]), (2, "ab", ["x"]), (3, "ab", []), (4, "ab", None),
+            (5, "ab", [None, "y"]), (6, "abc", ["x", "y"])]
+    df = spark.createDataFrame(rows, "k int, instruction string, output array<string>")
+    for op, copies in ((PR.split_pair, 1), (PR.parity_pick, 1), (PR.paired_lists, 1),
+                       (PR.explode_unpaired, 2)):
+        assert sorted(r.k for r in op(df).collect()) == sorted([1, 6] * copies)
+    assert sorted(r.k for r in PR.pair_rejects(df).collect()) == [2, 3, 4, 5]
