@@ -270,6 +270,44 @@ def test_repeats_random(spark):
     assert out == brute_repeats(rows, 100)
 
 
+def row_halves(i, text):
+    digest = hashlib.md5(f"{'n' if i is None else f'i{i}'}|t{text}".encode()).digest()
+    return np.frombuffer(digest, ">i8").tolist()
+
+
+def brute_rows(rows, length):
+    """As ``brute_repeats``; an occurrence is (id, row key, place)."""
+    seen, gone = {}, {}
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, row_halves(*r))):
+        data = t.encode()
+        cut = gone[i, t] = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            first = seen.setdefault(data[p:p + length], (i, t, p))
+            if first != (i, t, p):
+                cut[p:p + length] = b"\1" * length
+    return Counter((i, len(gone[i, t]), sum(gone[i, t]),
+                    bytes(c for c, g in zip(t.encode(), gone[i, t]) if not g)) for i, t in rows)
+
+
+def kept_rows(df):
+    return Counter((r[0], r[1], r[2], bytes(r[4])) for r in df.collect())
+
+
+def shared_passage(n, ident):
+    rng = np.random.default_rng(3)
+    passage = "".join(rng.choice(list("abcdefgh "), 300))
+    return [(ident(i), "".join(rng.choice(list("mnopqrst"), rng.integers(5, 150))) + passage
+             + "".join(rng.choice(list("mnopqrst"), 120))) for i in range(n)]
+
+
+def test_repeats_rows_of_one_id(spark):
+    from tunesmith.llm.repeats import remove_repeats
+    rows = shared_passage(24, lambda i: (None, 7, i)[i % 3])
+    rows += [rows[0], rows[0], rows[1], (None, "clean " * 9), (7, "short")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert kept_rows(remove_repeats(table)) == brute_rows(rows, 100)
+
+
 def test_suffix_array():
     from tunesmith.llm.gsaca import suffix_array
     rng = np.random.default_rng(2)

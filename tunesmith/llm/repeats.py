@@ -1,7 +1,7 @@
 """Exact removal of repeated strings with suffix arrays (Lyndon grouping).
 
 A byte goes when it lies in a ``length``-byte string that also starts
-earlier (smaller id, or earlier in the same document).  No pass sees the
+earlier (smaller id, or earlier in the same row).  No pass sees the
 corpus as one text; equal strings are brought together by their content:
 
 1. Every window of ``length`` bytes selects an anchor, the leftmost ``GRAM``
@@ -20,14 +20,15 @@ corpus as one text; equal strings are brought together by their content:
    16-byte blocks, whose suffix array (see ``gsaca``) sorts the members; byte
    prefixes shared by neighbours give, for every window offset, the members
    with equal windows.  All but the earliest are repeats.
-4. Repeats are gathered per document and their bytes cut out.
+4. Repeats are gathered per row and their bytes cut out.
 
 Equal content is compared by 128 bits of hash in step 2 and by the bytes
 themselves in step 3.
 
 Defined results: null and empty texts have no bytes; null ids come first in
 the order; rows with equal id and text are the same occurrence, so neither is
-a repeat of the other; ids must otherwise be unique integers; texts shorter
+a repeat of the other; rows with equal id (or none) and other texts are told
+apart and ordered by ``row_key`` (its halves as signed integers); texts shorter
 than ``length`` lose nothing; an empty table gives an empty result; clashing
 input columns are ignored.
 """
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import prepare, stored
+from tunesmith.llm.common import prepare, row_key, stored
 from tunesmith.llm.gsaca import suffix_array
 
 GRAM = 32
@@ -107,9 +108,11 @@ def window_runs(data: np.ndarray, table: np.ndarray, length: int):
 
 
 #: kind 0: a run; kind 1: windows ``lo`` to ``hi`` of ``doc`` are repeats
-_ROWS = "kind int, part bigint, digest bigint, doc bigint, anchor int, lo int, hi int"
-_NAMES = ["kind", "part", "digest", "doc", "anchor", "lo", "hi"]
-_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+_ROWS = ("kind int, part bigint, digest bigint, doc bigint, r1 bigint, r2 bigint, "
+         "anchor int, lo int, hi int")
+_NAMES = ["kind", "part", "digest", "doc", "r1", "r2", "anchor", "lo", "hi"]
+_TYPES = [pa.int32(), *[pa.int64()] * 5, *[pa.int32()] * 3]
+_ORDER = ["part", "digest", "doc", "r1", "r2", "anchor"]
 
 
 def _batch(columns) -> pa.RecordBatch:
@@ -117,13 +120,27 @@ def _batch(columns) -> pa.RecordBatch:
                                        for c, t in zip(columns, _TYPES)], _NAMES)
 
 
-def _split(part, digest, doc, anchor, lo, hi):
-    """Masks over rows sorted by (part, digest, doc, anchor): the first of
-    every digest, and the repeats (later in order than the first)."""
+def _split(part, digest, doc, r1, r2, anchor, lo, hi):
+    """Masks over rows sorted by ``_ORDER``: the first of every digest, and
+    the repeats (later in order than the first)."""
     n = len(part)
     first = np.r_[True, (part[1:] != part[:-1]) | (digest[1:] != digest[:-1])]
     head = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    return first, (doc != doc[head]) | (anchor != anchor[head])
+    return first, ((doc != doc[head]) | (r1 != r1[head]) | (r2 != r2[head])
+                   | (anchor != anchor[head]))
+
+
+def _reduced(held) -> Iterator[pa.RecordBatch]:
+    """Rows that are the first of their digest (kind 0) and, already known to
+    be repeats, the others (kind 1)."""
+    cols = [np.concatenate([h[i] for h in held]) for i in range(8)]
+    order = np.lexsort(cols[5::-1])
+    cols = [c[order] for c in cols]
+    first, repeat = _split(*cols)
+    yield _batch([np.zeros(first.sum()), *[c[first] for c in cols]])
+    k = int(repeat.sum())
+    if k:
+        yield _batch([np.ones(k), cols[2][repeat], np.zeros(k), *[c[repeat] for c in cols[2:]]])
 
 
 def _find_runs(length: int):
@@ -131,21 +148,11 @@ def _find_runs(length: int):
         table = _byte_table()
         digest_of = xxhash.xxh64_intdigest
 
-        def out(held):
-            cols = [np.concatenate([h[i] for h in held]) for i in range(6)]
-            order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
-            cols = [c[order] for c in cols]
-            first, repeat = _split(*cols)
-            yield _batch([np.zeros(first.sum()), *[c[first] for c in cols]])
-            k = int(repeat.sum())
-            if k:
-                yield _batch([np.ones(k), cols[2][repeat], np.zeros(k),
-                              *[c[repeat] for c in cols[2:]]])
-
         for batch in batches:
             held, size = [], 0
-            texts = batch.column(1).cast(pa.large_binary())
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
+            texts = batch.column(3).cast(pa.large_binary())
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for row, text in zip(rows, texts):
                 raw = text.as_py()
                 if raw is None or len(raw) < length:
                     continue
@@ -155,13 +162,13 @@ def _find_runs(length: int):
                 # the anchor's place in the run tells runs of equal bytes apart
                 digests += (anchor - lo).astype(np.uint64)
                 held.append((hashes.view(np.int64), digests.view(np.int64),
-                             np.full(len(lo), doc, np.int64), anchor, lo, hi))
+                             *(np.full(len(lo), v, np.int64) for v in row), anchor, lo, hi))
                 size += len(lo)
                 if size > 1 << 18:
-                    yield from out(held)
+                    yield from _reduced(held)
                     held, size = [], 0
             if held:
-                yield from out(held)
+                yield from _reduced(held)
     return run
 
 
@@ -172,7 +179,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        kind, *cols = (batch.column(i).to_numpy() for i in range(7))
+        kind, *cols = (batch.column(i).to_numpy() for i in range(9))
         marks = kind == 1
         if marks.any():
             yield _batch([kind[marks], *[c[marks] for c in cols]])
@@ -209,20 +216,29 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "shares": bool(several[last])}
 
 
+def _wanted_rows(batch: pa.RecordBatch):
+    """(row, bytes, runs) of a batch; copies of a row (equal id and text, so
+    the same occurrences) are passed over."""
+    rows = zip(*(batch.column(i).to_pylist() for i in range(3)))
+    texts = batch.column(3).cast(pa.large_binary())
+    seen = set()
+    for row, text, runs in zip(rows, texts, batch.column(4)):
+        if row not in seen:
+            seen.add(row)
+            yield row, text.as_py(), runs.as_py()
+
+
 def _cut_members(length: int):
-    """(text, wanted runs) -> member rows: key, doc, anchor, window offsets and
-    the bytes around the anchor."""
+    """(row, text, wanted runs) -> member rows: key, row, anchor, window offsets
+    and the bytes around the anchor."""
     before = length - GRAM
     half = before // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "doc", "anchor", "least", "most", "left", "right"]
+        names = ["key", "doc", "r1", "r2", "anchor", "least", "most", "left", "right"]
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.large_binary())
             out = [[] for _ in names]
-            for doc, text, runs in zip(docs, texts, batch.column(2).to_pylist()):
-                raw = text.as_py()
+            for row, raw, runs in _wanted_rows(batch):
                 for r in runs:
                     a = r["anchor"]
                     least, most = a - r["hi"], a - r["lo"]      # offsets of its windows
@@ -234,8 +250,8 @@ def _cut_members(length: int):
                         shared = raw[a:a + length - half] if kind == 0 \
                             else raw[a - half - 1:a + GRAM]
                         key = xxhash.xxh64_intdigest(shared, kind)
-                        for col, v in zip(out, (key - (1 << 64) if key >> 63 else key, doc, a, low,
-                                                high, raw[a - high:a][::-1],
+                        for col, v in zip(out, (key - (1 << 64) if key >> 63 else key, *row, a,
+                                                low, high, raw[a - high:a][::-1],
                                                 raw[a:a + length - low])):
                             col.append(v)
                 if len(out[0]) >= 1 << 15:
@@ -247,7 +263,7 @@ def _cut_members(length: int):
 
 
 def _members(out, names) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    kinds = [*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
 
 
@@ -282,7 +298,7 @@ def content_order(key: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.n
     return order, np.where(k[1:] == k[:-1], shared, 0)
 
 
-def repeated_offsets(key, doc, anchor, least, most, left, right, length: int):
+def repeated_offsets(key, doc, r1, r2, anchor, least, most, left, right, length: int):
     """(member, offset) of every window that also starts earlier."""
     n = len(key)
     sides = []
@@ -293,9 +309,9 @@ def repeated_offsets(key, doc, anchor, least, most, left, right, length: int):
         new = np.r_[True, key[order][1:] != key[order][:-1]]
         sides.append((order, shared, place, new))
     rank = np.empty(n, np.int64)
-    when = np.lexsort((anchor, doc))
-    changed = np.r_[True, (doc[when][1:] != doc[when][:-1])
-                    | (anchor[when][1:] != anchor[when][:-1])]
+    place = (doc, r1, r2, anchor)
+    when = np.lexsort(place[::-1])
+    changed = np.r_[True, np.any([c[when][1:] != c[when][:-1] for c in place], axis=0)]
     rank[when] = np.cumsum(changed)
     out_m, out_r = [], []
     for r in range(int(least.min()), int(most.max()) + 1):
@@ -323,8 +339,9 @@ def repeated_offsets(key, doc, anchor, least, most, left, right, length: int):
 def _compare(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(held):
-            key, doc, anchor, least, most = (np.concatenate([h[i] for h in held]) for i in range(5))
-            left, right = (sum((h[i] for h in held), []) for i in (5, 6))
+            key, doc, r1, r2, anchor, least, most = (
+                np.concatenate([h[i] for h in held]) for i in range(7))
+            left, right = (sum((h[i] for h in held), []) for i in (7, 8))
             # keys of one member have nothing to compare
             new = np.r_[True, key[1:] != key[:-1]]
             alone = new & np.r_[new[1:], True]
@@ -332,7 +349,7 @@ def _compare(length: int):
             if not len(pick):
                 return
             member, offset = repeated_offsets(
-                key[pick], doc[pick], anchor[pick], least[pick], most[pick],
+                *(c[pick] for c in (key, doc, r1, r2, anchor, least, most)),
                 [left[i] for i in pick.tolist()], [right[i] for i in pick.tolist()], length)
             if not len(member):
                 return
@@ -344,16 +361,25 @@ def _compare(length: int):
             begin = np.flatnonzero(cut)
             end = np.r_[begin[1:], len(at)] - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[member[begin]]), pa.array(at[begin], pa.int32()),
-                 pa.array(at[end], pa.int32())], ["doc", "lo", "hi"])
+                [pa.array(r1[member[begin]]), pa.array(r2[member[begin]]),
+                 pa.array(at[begin], pa.int32()), pa.array(at[end], pa.int32())],
+                ["r1", "r2", "lo", "hi"])
 
-        held, size = [], 0
+        held, size, last = [], 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy() for i in range(5)]
-            cols[2:] = [c.astype(np.int64) for c in cols[2:]]
-            left, right = (batch.column(i).to_pylist() for i in (5, 6))
+            # copies of a member, from copies of its row, stand next to it
+            who = [batch.column(i).to_numpy() for i in range(5)]
+            other = np.any([np.r_[last is None or last[i] != c[0], c[1:] != c[:-1]]
+                            for i, c in enumerate(who)], axis=0)
+            last = [c[-1] for c in who]
+            batch = batch.filter(pa.array(other))
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(i).to_numpy() for i in range(7)]
+            cols[4:] = [c.astype(np.int64) for c in cols[4:]]
+            left, right = (batch.column(i).to_pylist() for i in (7, 8))
             # cut at the start of the last key, which may go on
             cut = int(np.searchsorted(cols[0], cols[0][-1]))
             if cut:
@@ -400,33 +426,47 @@ def _digest(length: int):
     return run
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, r1, r2, text: the id decides the order of rows, the two halves of
+    ``row_key`` tell rows of one id (or of none) apart."""
+    digest = F.hex(row_key(id_col, text_col))
+    return docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_FIRST)).alias("doc"),
+        *[F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint").alias(name)
+          for at, name in ((1, "r1"), (17, "r2"))],
+        F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+
+
+def _met(runs: DataFrame) -> DataFrame:
+    return runs.repartition("part").sortWithinPartitions(*_ORDER).mapInArrow(_meet, _ROWS)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH) -> DataFrame:
     """id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
     prepare(docs.sparkSession)
-    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_FIRST))
-    texts = docs.select(key.alias("doc"), F.col(text_col).alias("text"))
-    runs = texts.mapInArrow(_find_runs(length), _ROWS)
-    met = stored(runs.repartition("part").sortWithinPartitions(
-        "part", "digest", "doc", "anchor").mapInArrow(_meet, _ROWS)
-        .select("kind", "doc", "anchor", "lo", "hi"), "runs")
-    wanted = met.filter("kind = 2").groupBy("doc").agg(F.collect_set(
+    whole = _rows(docs, id_col, text_col)
+    texts = whole.select("doc", "r1", "r2", "text")
+    met = stored(_met(texts.mapInArrow(_find_runs(length), _ROWS)).select(
+        "kind", "r1", "r2", "anchor", "lo", "hi"), "runs")
+    wanted = met.filter("kind = 2").groupBy("r1", "r2").agg(F.collect_set(
         F.struct("anchor", "lo", "hi")).alias("runs"))
-    # both joins with the texts read the same exchange
-    members = texts.dropna(subset=["text"]).join(wanted, "doc").select("doc", "text", "runs")
-    members = members.mapInArrow(
-        _cut_members(length), "key bigint, doc bigint, anchor int, least int, most int, "
-                              "left binary, right binary")
-    partial = members.repartition("key").sortWithinPartitions("key", "doc", "anchor").mapInArrow(
-        _compare(length), "doc bigint, lo int, hi int")
-    marks = met.filter("kind = 1").select("doc", "lo", "hi").union(partial)
-    cuts = stored(marks.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("marks")),
-                  "cuts")
+    members = texts.dropna(subset=["text"]).join(wanted, ["r1", "r2"]).select(
+        "doc", "r1", "r2", "text", "runs").mapInArrow(
+        _cut_members(length),
+        "key bigint, doc bigint, r1 bigint, r2 bigint, anchor int, least int, most int, "
+        "left binary, right binary")
+    partial = members.repartition("key").sortWithinPartitions(
+        "key", "doc", "r1", "r2", "anchor").mapInArrow(
+        _compare(length), "r1 bigint, r2 bigint, lo int, hi int")
+    marks = met.filter("kind = 1").select("r1", "r2", "lo", "hi").union(partial)
+    # a set: copies of a row bring the same marks
+    cuts = stored(marks.groupBy("r1", "r2").agg(
+        F.collect_set(F.struct("lo", "hi")).alias("marks")), "cuts")
     kind = docs.schema[id_col].dataType.simpleString()
-    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("doc"))
-    return whole.join(cuts, "doc", "left").select("id", "text", "marks").mapInArrow(
+    return whole.join(cuts, ["r1", "r2"], "left").select("id", "text", "marks").mapInArrow(
         _digest(length),
         f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     ).withColumnRenamed("id", id_col)
