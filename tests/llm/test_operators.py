@@ -300,12 +300,34 @@ def shared_passage(n, ident):
              + "".join(rng.choice(list("mnopqrst"), 120))) for i in range(n)]
 
 
-def test_repeats_rows_of_one_id(spark):
+@pytest.mark.parametrize("crowd", [8192, 3])
+def test_repeats_rows_of_one_id(spark, crowd):
     from tunesmith.llm.repeats import remove_repeats
     rows = shared_passage(24, lambda i: (None, 7, i)[i % 3])
     rows += [rows[0], rows[0], rows[1], (None, "clean " * 9), (7, "short")]
     table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    assert kept_rows(remove_repeats(table)) == brute_rows(rows, 100)
+    assert kept_rows(remove_repeats(table, crowd=crowd)) == brute_rows(rows, 100)
+
+
+def test_repeats_crowded_passage(spark, monkeypatch):
+    from tunesmith.llm import repeats as R
+    rows = shared_passage(60, lambda i: i)
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    parts, sizes = R.partial_repeats, []
+
+    def watched(*args):
+        members, windows = parts(*args)
+        sizes.append((members.groupBy("key").count().agg({"count": "max"}).first()[0] or 0,
+                      windows.count()))
+        return members, windows
+
+    monkeypatch.setattr(R, "partial_repeats", watched)
+    want = brute_rows(rows, 100)
+    for crowd in (8192, 20, 1):
+        assert kept_rows(R.remove_repeats(table, crowd=crowd)) == want
+    # one group of all members, then none above the limit and windows instead
+    assert sizes[0][0] > 20 and sizes[0][1] == 0
+    assert sizes[1][0] <= 20 and sizes[2][0] <= 1 and sizes[1][1] > 0
 
 
 def test_suffix_array():

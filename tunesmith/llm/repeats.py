@@ -20,10 +20,13 @@ corpus as one text; equal strings are brought together by their content:
    16-byte blocks, whose suffix array (see ``gsaca``) sorts the members; byte
    prefixes shared by neighbours give, for every window offset, the members
    with equal windows.  All but the earliest are repeats.
+   Of an anchor with more than ``crowd`` runs no members are made, so that no
+   key holds more: every window of these runs is met by its own 128-bit digest
+   as in step 2, batch by batch before the shuffle, then as a sorted stream.
 4. Repeats are gathered per row and their bytes cut out.
 
-Equal content is compared by 128 bits of hash in step 2 and by the bytes
-themselves in step 3.
+Equal content is compared by 128 bits of hash in step 2 and for crowded
+anchors, and by the bytes themselves in the rest of step 3.
 
 Defined results: null and empty texts have no bytes; null ids come first in
 the order; rows with equal id and text are the same occurrence, so neither is
@@ -51,8 +54,10 @@ GRAM = 32
 LENGTH = 100
 _BLOCK = 16
 _FIRST = -(1 << 63)
-#: members whose suffix array is built at once, unless one group has more
+#: members whose suffix array is built at once, and one key more
 _MEMBERS = 8192
+#: runs of one anchor up to which they become members; no key has more members
+CROWD = 8192
 
 
 def _byte_table() -> np.ndarray:
@@ -228,6 +233,27 @@ def _wanted_rows(batch: pa.RecordBatch):
             yield row, text.as_py(), runs.as_py()
 
 
+def _cut_windows(length: int):
+    """(row, text, wanted runs) -> every window of the runs as a run of its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest_of = xxhash.xxh3_128_digest
+        held, size = [], 0
+        for batch in batches:
+            for row, raw, runs in _wanted_rows(batch):
+                at = np.array([w for r in runs for w in range(r["lo"], r["hi"] + 1)], np.int64)
+                digests = np.frombuffer(b"".join(digest_of(raw[a:a + length])
+                                                 for a in at.tolist()), np.int64).reshape(-1, 2)
+                held.append((digests[:, 0], digests[:, 1],
+                             *(np.full(len(at), v, np.int64) for v in row), at, at, at))
+                size += len(at)
+                if size > 1 << 18:
+                    yield from _reduced(held)
+                    held, size = [], 0
+        if held:
+            yield from _reduced(held)
+    return run
+
+
 def _cut_members(length: int):
     """(row, text, wanted runs) -> member rows: key, row, anchor, window offsets
     and the bytes around the anchor."""
@@ -437,12 +463,34 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(text_col).alias("text"), F.col(id_col).alias("id"))
 
 
+def partial_repeats(texts: DataFrame, met: DataFrame, length: int, crowd: int):
+    """Members of the anchors with at most ``crowd`` runs, and the windows of
+    the runs of all others."""
+    runs = met.filter("kind = 2")
+    crowded = runs.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > crowd).select("part", F.lit(True).alias("crowded"))
+    # at most one anchor in ``crowd`` runs
+    runs = runs.join(F.broadcast(crowded), "part", "left")
+    some = F.collect_set(F.struct("anchor", "lo", "hi"))
+    own = texts.dropna(subset=["text"])
+
+    def cut(chosen, fn, schema):
+        wanted = runs.filter(chosen).groupBy("r1", "r2").agg(some.alias("runs"))
+        return own.join(wanted, ["r1", "r2"]).select("doc", "r1", "r2", "text", "runs") \
+            .mapInArrow(fn(length), schema)
+
+    members = cut(F.col("crowded").isNull(), _cut_members,
+                  "key bigint, doc bigint, r1 bigint, r2 bigint, anchor int, least int, "
+                  "most int, left binary, right binary")
+    return members, cut(F.col("crowded").isNotNull(), _cut_windows, _ROWS)
+
+
 def _met(runs: DataFrame) -> DataFrame:
     return runs.repartition("part").sortWithinPartitions(*_ORDER).mapInArrow(_meet, _ROWS)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH) -> DataFrame:
+                   length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
@@ -450,20 +498,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = _rows(docs, id_col, text_col)
     texts = whole.select("doc", "r1", "r2", "text")
     met = stored(_met(texts.mapInArrow(_find_runs(length), _ROWS)).select(
-        "kind", "r1", "r2", "anchor", "lo", "hi"), "runs")
-    wanted = met.filter("kind = 2").groupBy("r1", "r2").agg(F.collect_set(
-        F.struct("anchor", "lo", "hi")).alias("runs"))
-    members = texts.dropna(subset=["text"]).join(wanted, ["r1", "r2"]).select(
-        "doc", "r1", "r2", "text", "runs").mapInArrow(
-        _cut_members(length),
-        "key bigint, doc bigint, r1 bigint, r2 bigint, anchor int, least int, most int, "
-        "left binary, right binary")
+        "kind", F.when(F.col("kind") == 2, F.col("part")).alias("part"),
+        "r1", "r2", "anchor", "lo", "hi"), "runs")
+    members, windows = partial_repeats(texts, met, length, crowd)
     partial = members.repartition("key").sortWithinPartitions(
         "key", "doc", "r1", "r2", "anchor").mapInArrow(
         _compare(length), "r1 bigint, r2 bigint, lo int, hi int")
-    marks = met.filter("kind = 1").select("r1", "r2", "lo", "hi").union(partial)
+    again = _met(windows).filter("kind = 1")
+    marks = [m.select("r1", "r2", "lo", "hi") for m in (met.filter("kind = 1"), partial, again)]
     # a set: copies of a row bring the same marks
-    cuts = stored(marks.groupBy("r1", "r2").agg(
+    cuts = stored(marks[0].union(marks[1]).union(marks[2]).groupBy("r1", "r2").agg(
         F.collect_set(F.struct("lo", "hi")).alias("marks")), "cuts")
     kind = docs.schema[id_col].dataType.simpleString()
     return whole.join(cuts, ["r1", "r2"], "left").select("id", "text", "marks").mapInArrow(
