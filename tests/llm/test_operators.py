@@ -82,6 +82,25 @@ def test_leaf_template(spark):
     assert out == {0: 0, 1: 1, 2: 1, 3: 1, 9: 0}
 
 
+def names(n):
+    return ["".join(chr(97 + int(c)) for c in str(i)) for i in range(n)]
+
+
+def test_leaf_with_several_templates(spark):
+    from tunesmith.llm.linededup import line_dedup
+    forms = ["posted by user {} in the general news section today",
+             "posted by user {} on a forum for sports fans",
+             "posted by user {} while reading about some old ships"]
+    for sizes in ((30, 20, 0), (12, 12, 12), (25, 5, 4)):
+        data = [(100 * k + i, forms[k].format(w)) for k, n in enumerate(sizes)
+                for i, w in enumerate(names(n))]
+        prose = [(900 + i, f"posted by user {w} {w}a {w}b {w}c {w}d {w}e {w}f") for i, w in
+                 enumerate(names(20))]
+        out = {r["doc_id"]: r["n_dropped"] for r in line_dedup(spark.createDataFrame(
+            data + prose, "doc_id bigint, text string")).collect()}
+        assert out == {**{i: int(i % 100 > 0) for i, _ in data}, **{i: 0 for i, _ in prose}}
+
+
 # 3 -------------------------------------------------------------------------
 
 def test_sharding(docs, rows, empty):

@@ -2,17 +2,23 @@
 
 A line's tokens with a digit become ``<*>``.  The tree has fixed depth: token
 count, then the leading ``depth`` tokens.  In a leaf with several different
-lines each position's most frequent token (ties: the smallest) makes the
-leaf's template; a line that agrees with it in at least ``similarity`` of the
-positions belongs to it, its other positions being variable.  Every other
-line is a template of its own.  A template found in at least ``min_docs``
+lines each position's most frequent token (ties: the smallest) makes a
+template; a line that agrees with it in at least ``similarity`` of the
+positions belongs to it, its other positions being variable.  If fewer than
+``min_docs`` lines do, the tokens of several templates are mixed: each line
+then goes with the most frequent of these tokens that it holds and that not
+all lines hold, and the parts are leaves of their own.  Otherwise the lines
+left over get the next template.  This is repeated until no leaf can give a
+template of ``min_docs`` lines any more.  Every other line is a template of
+its own.  A template found in at least ``min_docs``
 documents recurs: its first line (by id, then place) stays, all others go, so
 content survives once.  Lines without a word always stay.
 
 Scale: lines travel as digests; documents are shuffled twice, to look up one
 occurrence of every different line of a leaf that has several, and to cut.  Counts are combined before
 the shuffle; the template of a leaf is an array as long as its line.  Only
-DataFrame functions are used.
+DataFrame functions are used.  There is a round for every template of the
+fullest leaf and for every split; only undecided lines take part in it.
 
 Defined results: null text stays null with no lines; empty text stays empty;
 repeated rows (equal id and text) count as one document and are cut alike;
@@ -23,6 +29,8 @@ are ignored or carried unchanged.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +64,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame
 
 
 def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-                   similarity: float) -> DataFrame:
-    """(line, leaf) of the lines that belong to their leaf's template.
+                   similarity: float, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(line, leaf) of the lines that belong to a template of their leaf; each
+    template has a ``leaf`` of its own.
 
     ``lines`` has (leaf, line, rk, line_no); of every different line in a leaf
     with several, one occurrence is looked up in ``docs``.
@@ -76,15 +85,43 @@ def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str
     # rows that stand twice in the table were looked up twice
     different = stored(found.select("leaf", "line", "n", _masked(F.col("raw")).alias("masked"))
                        .dropDuplicates(["leaf", "line"]), "leaf-lines")
-    words = different.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("at", "tok"))
-    usual = (words.groupBy("leaf", "at", "tok").agg(F.sum("n").alias("n"))
-             .groupBy("leaf", "at").agg(F.min(F.struct((-F.col("n")).alias("n"), "tok")).alias("top"))
-             .groupBy("leaf").agg(F.sort_array(F.collect_list(
-                 F.struct("at", F.col("top.tok").alias("tok")))).alias("template")))
-    both = different.join(usual, "leaf").withColumn("words", F.split("masked", " "))
-    same = F.size(F.filter(F.zip_with("words", "template", lambda w, t: w == t["tok"]),
-                           lambda x: x))
-    return both.filter(same >= F.size("words") * F.lit(similarity)).select("line", "leaf")
+    left, found = different.withColumn("node", F.col("leaf")).drop("leaf"), []
+    while found == [] or not left.isEmpty():
+        step = stored(_matched(left, similarity, min_docs), "leaf-round")
+        won = step.groupBy("node").agg((F.sum(F.when(F.col("match"), F.col("n")).otherwise(0))
+                                        >= min_docs).alias("won"))
+        step = step.join(won, "node")
+        found.append(step.filter("won and match").select(
+            "line", F.xxhash64("node", F.lit(len(found))).alias("leaf")))
+        left = stored(step.filter("not (won and match)").select(
+            "line", "n", "masked", F.when(F.col("won"), F.col("node")).otherwise(
+                F.xxhash64("node", F.lit(len(found)), "branch")).alias("node")), "leaf-left")
+    return reduce(DataFrame.union, found)
+
+
+def _matched(left: DataFrame, similarity: float, min_docs: int) -> DataFrame:
+    """``left`` with ``match``, whether a line agrees with its node's most
+    frequent tokens, and ``branch``, the place of the most frequent of them that
+    it holds (null: none); without nodes that cannot give a template."""
+    words = left.select("node", "n", F.posexplode(F.split("masked", " ")).alias("at", "tok"))
+    usual = (words.groupBy("node", "at", "tok").agg(F.sum("n").alias("n"))
+             .groupBy("node", "at").agg(F.min(F.struct((-F.col("n")).alias("n"), "tok")).alias("top"),
+                                        F.sum("n").alias("all"))
+             .groupBy("node").agg(F.max("all").alias("all"), F.sort_array(F.collect_list(F.struct(
+                 "at", F.col("top.tok").alias("tok"), (-F.col("top.n")).alias("n")))).alias("template")))
+    # of m lines that agree with a template, no more positions than this share
+    # (the bound is widest for the least m) can have a different token in each
+    least = max(min_docs, 2)
+    alone = F.size(F.filter("template", lambda t: t["n"] < 2))
+    usual = usual.filter((F.col("all") >= min_docs) & (
+        alone <= F.size("template") * F.lit((1 - similarity) * least / (least - 1) + 1e-9)))
+    both = left.join(usual, "node").withColumn("words", F.split("masked", " "))
+    both = both.withColumn("held", F.filter(F.zip_with(
+        "words", "template", lambda w, t: F.when(w == t["tok"], F.struct(
+            (-t["n"]).alias("n"), t["at"].alias("at")))), lambda x: x.isNotNull()))
+    part = F.array_min(F.filter("held", lambda h: -h["n"] < F.col("all")))
+    return both.select("line", "n", "masked", "node", part["at"].alias("branch"), (
+        F.size("held") >= F.size("words") * F.lit(similarity)).alias("match"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -92,7 +129,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   min_docs: int = MIN_DOCS) -> DataFrame:
     """(rk, drop): per row key the line numbers that go."""
     lines = stored(_lines(docs, id_col, text_col, depth), "lines")
-    own = line_templates(lines, docs, id_col, text_col, similarity).withColumnRenamed("leaf", "tree")
+    own = line_templates(lines, docs, id_col, text_col, similarity, min_docs).withColumnRenamed("leaf", "tree")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
         F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string"))
