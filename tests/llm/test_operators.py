@@ -101,6 +101,24 @@ def test_leaf_with_several_templates(spark):
         assert out == {**{i: int(i % 100 > 0) for i, _ in data}, **{i: 0 for i, _ in prose}}
 
 
+def test_long_lines_recur_from_two_documents(spark):
+    from tunesmith.llm.linededup import line_dedup
+    passage = " ".join(f"word{w}" for w in names(52)) + " in 1999"
+    short = "a line of six words here"
+    table = " ".join(str(100 + i) for i in range(30))
+    data = [(1, f"alpha beta\n{passage}\n{short}\n{table}"),
+            (2, f"gamma\n {passage.replace(' ', '  ')}\n{short}\n{table[::-1]}"),
+            (3, f"delta epsilon\n{passage[:-4]}2001")]
+    out = {r["doc_id"]: tuple(r)[2:] for r in line_dedup(spark.createDataFrame(
+        data[:2], "doc_id bigint, text string")).collect()}
+    assert out == {1: (0, data[0][1]), 2: (1, f"gamma\n{short}\n{table[::-1]}")}
+    # three of the generalised line: only the first stays
+    out = {r["doc_id"]: r["text"] for r in line_dedup(spark.createDataFrame(
+        data, "doc_id bigint, text string")).collect()}
+    assert out[1] == data[0][1] and out[3] == "delta epsilon"
+    assert out[2] == f"gamma\n{short}\n{table[::-1]}"
+
+
 # 3 -------------------------------------------------------------------------
 
 def test_sharding(docs, rows, empty):

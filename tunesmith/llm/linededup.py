@@ -12,7 +12,9 @@ left over get the next template.  This is repeated until no leaf can give a
 template of ``min_docs`` lines any more.  Every other line is a template of
 its own.  A template found in at least ``min_docs``
 documents recurs: its first line (by id, then place) stays, all others go, so
-content survives once.  Lines without a word always stay.
+content survives once.  A line of at least ``long_words`` words recurs from two
+documents on if it is equal word by word, digits included.  Lines without a
+word always stay.
 
 Scale: lines travel as digests; documents are shuffled twice, to look up one
 occurrence of every different line of a leaf that has several, and to cut.  Counts are combined before
@@ -39,20 +41,28 @@ from tunesmith.llm.common import SPACES, fresh, prepare, row_key, stored
 DEPTH = 3
 SIMILARITY = 0.8
 MIN_DOCS = 3
+#: words from which two equal lines are no chance
+LONG_WORDS = 20
 
 
-def _masked(line: Column) -> Column:
-    """Words joined by single spaces, those with a digit as ``<*>``.  Lines
-    that have nothing to replace are not rewritten."""
+def _flat(line: Column) -> Column:
+    """Words joined by single spaces.  Lines that have nothing to replace are
+    not rewritten."""
     odd = F.contains(line, F.lit("  "))
     for c in SPACES[1:]:
         odd = odd | F.contains(line, F.lit(c))
-    flat = F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+
+
+def _masked(line: Column) -> Column:
+    """``_flat``, with ``<*>`` for words with a digit."""
+    flat = _flat(line)
     return F.when(F.rlike(flat, F.lit("[0-9]")), F.regexp_replace(
         flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(flat)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int,
+           long_words: int = LONG_WORDS) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("rk"),
                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
     rows = rows.withColumn("masked", _masked(F.col("line"))).filter(F.col("masked") != "")
@@ -60,7 +70,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame
         F.replace("masked", F.lit(" "), F.lit("")))
     return rows.select("id", "rk", "line_no",
                        F.xxhash64(count, F.substring_index("masked", " ", depth)).alias("leaf"),
-                       F.unhex(F.md5("masked")).alias("line"))
+                       F.unhex(F.md5("masked")).alias("line"),
+                       F.when(count >= long_words - 1, F.unhex(F.md5(_flat(F.col("line")))))
+                       .alias("exact"))
 
 
 def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str,
@@ -126,21 +138,27 @@ def _matched(left: DataFrame, similarity: float, min_docs: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   depth: int = DEPTH, similarity: float = SIMILARITY,
-                  min_docs: int = MIN_DOCS) -> DataFrame:
+                  min_docs: int = MIN_DOCS, long_words: int = LONG_WORDS) -> DataFrame:
     """(rk, drop): per row key the line numbers that go."""
-    lines = stored(_lines(docs, id_col, text_col, depth), "lines")
+    lines = stored(_lines(docs, id_col, text_col, depth, long_words), "lines")
     own = line_templates(lines, docs, id_col, text_col, similarity, min_docs).withColumnRenamed("leaf", "tree")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
         F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string"))
         .cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
     marked = stored(marked, "templates")
-    recurring = (marked.groupBy("template", "rk").agg(F.min(place).alias("first"))
-                 .groupBy("template").agg(F.count(F.lit(1)).alias("n"),
-                                          F.min("first").alias("first"))
-                 .filter(F.col("n") >= min_docs))
-    gone = marked.join(recurring, "template").filter(
-        (F.col("rk") != F.col("first.rk")) | (F.col("line_no") != F.col("first.line_no")))
+
+    def later(rows: DataFrame, by: str, least: int) -> DataFrame:
+        recurring = (rows.groupBy(by, "rk").agg(F.min(place).alias("first"))
+                     .groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
+                     .filter(F.col("n") >= least))
+        return rows.join(recurring, by).filter(
+            (F.col("rk") != F.col("first.rk")) | (F.col("line_no") != F.col("first.line_no"))
+        ).select("rk", "line_no")
+
+    # a template's first line is the first of its exact line too, so it stays
+    gone = later(marked, "template", min_docs).union(
+        later(lines.filter(F.col("exact").isNotNull()), "exact", min(min_docs, 2)))
     return gone.groupBy("rk").agg(F.collect_set("line_no").alias("drop"))
 
 
