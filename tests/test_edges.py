@@ -121,3 +121,22 @@ def test_preference_needs_two_answers(spark):
                        (PR.explode_unpaired, 2)):
         assert sorted(r.k for r in op(df).collect()) == sorted([1, 6] * copies)
     assert sorted(r.k for r in PR.pair_rejects(df).collect()) == [2, 3, 4, 5]
+
+
+def test_long_turns_stay_whole(spark, tmp_path):
+    """Decoding, preview and padding do not cut; only encoding (TOK2) does."""
+    from tunesmith.plans.registry import queries
+    named = queries()
+    text = " ".join(f"w{i}" for i in range(1500))
+    spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", "w1 w2")],
+                          "conv_id bigint, turn bigint, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+
+    def first(name):
+        return named[name](spark, str(tmp_path)).filter("turn = 0").first()
+
+    assert first("tok3_decode")["decoded"] == text
+    preview = first("pos6_preview")
+    assert preview["decoded"] == text and preview["input_ids"].count(",") == 1500
+    assert first("lay9_pad_to")["padded"].count(",") == 1500
+    assert first("tok2_encode")["n_ids"] == 1024

@@ -268,7 +268,7 @@ FROM {encode_sql("conversations", KEY, "text", 1024, True)}
 """)
 def lay9(spark, d):
     conv = V.conversations(spark, d).select(*KEY, "text")
-    enc = VO.encode(conv, KEY, {"ids": ("text", 1024, True)},
+    enc = VO.encode(conv, KEY, {"ids": ("text", None, True)},
                     conversation_vocab(spark, d), keep_input=False)
     padded = LA.pad_generated(enc, "ids", max_new_tokens=PAD_TO - 1)
     return padded.select(*KEY, A.ids_text("ids").alias("padded"))

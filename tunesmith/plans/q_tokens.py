@@ -33,11 +33,11 @@ def tok1_docs(spark, d):
         "token", "count", F.col("id").cast("bigint"))
 
 
-def encoded_turns(spark, d, vocab=None):
+def encoded_turns(spark, d, vocab=None, max_length=1024):
     vocab = vocab or conversation_vocab(spark, d)
     conv = V.conversations(spark, d).select("conv_id", "turn", "text")
     return VO.encode(conv, ["conv_id", "turn"],
-                     {"input_ids": ("text", 1024, True)}, vocab, keep_input=False), vocab
+                     {"input_ids": ("text", max_length, True)}, vocab, keep_input=False), vocab
 
 
 ENC_TURNS = encode_sql("conversations", ["conv_id", "turn"], "text", 1024, True)
@@ -76,7 +76,7 @@ SELECT conv_id, turn, array_to_string({words('text')}[1:1023], ' ') AS decoded
 FROM conversations
 """)
 def tok3(spark, d):
-    enc, vocab = encoded_turns(spark, d)
+    enc, vocab = encoded_turns(spark, d, max_length=None)
     dec = VO.decode(enc.select("conv_id", "turn", "input_ids"), ["conv_id", "turn"],
                     "input_ids", vocab)
     return dec.select("conv_id", "turn", "decoded")
@@ -90,7 +90,7 @@ FROM (SELECT e.*, c.text, row_number() OVER (ORDER BY e.conv_id, e.turn) - 1 AS
 WHERE pos = 0
 """)
 def pos6(spark, d):
-    enc, vocab = encoded_turns(spark, d)
+    enc, vocab = encoded_turns(spark, d, max_length=None)
     first = PO.row_at(PO.with_position(enc.select("conv_id", "turn", "input_ids"),
                                        ["conv_id", "turn"]), 0)
     dec = VO.decode(first, ["conv_id", "turn"], "input_ids", vocab)
