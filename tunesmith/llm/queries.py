@@ -100,3 +100,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeats(common.documents(spark, sf_dir))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans",
                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tunesmith.llm.merkle import manifest
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest(common.documents(spark, sf_dir), tamper=third)
