@@ -7,7 +7,7 @@ their own, so no row is lost or doubled in a join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunesmith.session import ensure_checkpoint_dir, scratch_path, ship_package
@@ -32,6 +32,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``idx``, the place in their ``group`` by ``order`` (nulls
+    first), and ``n``, the group's size.  Range partitions divide large groups; they
+    are written once, so places stay when executors are lost."""
+    keys, pid = [group, *order], F.spark_partition_id()
+    ranged = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
+        *rows.columns, pid.alias("pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("at")), "placed")
+    parts = ranged.groupBy(group, "pid").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
+    own = Window.partitionBy(group)
+    before = F.sum("rows").over(own.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(group, "pid", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"),
+                         F.sum("rows").over(own).alias("n"))
+    return ranged.join(parts, [group, "pid"]).select(
+        *rows.columns, (F.col("at") + F.col("shift")).alias("idx"), "n")
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """16-byte digest of (id, text), defined for nulls too."""
     ident = F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("n"))

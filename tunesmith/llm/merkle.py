@@ -24,10 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import prepare, stored
+from tunesmith.llm.common import placed, prepare, stored
 
 ARITY = 8
 #: levels that one stream of appends closes
@@ -50,23 +50,6 @@ def leaf_digest(*values: Column) -> Column:
     return F.sha2(F.concat(*[_field(v) for v in values]), 256)
 
 
-def _placed(nodes: DataFrame, order: list[str]) -> DataFrame:
-    """``nodes`` with ``idx``, the place in their ``grp`` by ``order``, and ``n``,
-    the group's size; written once, so places stay when executors are lost."""
-    keys = ["grp", *order]
-    pid = F.spark_partition_id()
-    ranged = stored(nodes.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
-        *nodes.columns, pid.alias("pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("at")), "merkle-order")
-    parts = ranged.groupBy("grp", "pid").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
-    group = Window.partitionBy("grp")
-    before = F.sum("rows").over(group.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1))
-    parts = parts.select("grp", "pid", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"),
-                         F.sum("rows").over(group).alias("n"))
-    return ranged.join(parts, ["grp", "pid"]).select(
-        *nodes.columns, (F.col("at") + F.col("shift")).alias("idx"), "n")
-
-
 class _Appends:
     """Aligned appends of one block: open subtrees with partial witnesses."""
 
@@ -228,11 +211,11 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang",
         F.col(id_col).alias("id"), leaf.alias("digest"),
         F.when(F.lit(False) if tamper is None else tamper, bad).alias("altered"),
         F.monotonically_increasing_id().alias("salt")), "merkle-leaves")
-    rounds, subroots = _rounds(_placed(leaves, ["id", "digest", "salt"]), payload=True)
+    rounds, subroots = _rounds(placed(leaves, "grp", ["id", "digest", "salt"]), payload=True)
     subroots = stored(subroots, "merkle-subroots")
     # the groups, null first, are the leaves of the upper tree
-    tree = _placed(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("name"),
-                                   F.col("root").alias("digest")), ["name"])
+    tree = placed(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("name"),
+                                   F.col("root").alias("digest")), "grp", ["name"])
     tree = stored(tree, "merkle-groups")
     upper, root = _rounds(tree)
     whole = root.select(F.lit("").alias("grp"), F.array().cast(f"array<{STEP}>").alias("witness"), "root")

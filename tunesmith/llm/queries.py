@@ -109,3 +109,15 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.merkle import manifest
     third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return manifest(common.documents(spark, sf_dir), tamper=third)
+
+
+@query("op11_threshold_topk")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.topk import top_products
+    return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=5, every=50)
+
+
+@query("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tunesmith.llm.trie import prefix_trie
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
