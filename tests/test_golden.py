@@ -15,18 +15,18 @@ from tunesmith.operators import ngram as NG
 
 # -- plain Python definitions used as the expected values -------------------
 
-def py_continuation(ids, max_n=3, k=10):
-    L = len(ids)
-    for n in range(max_n, 0, -1):
-        if L < n:
-            continue
-        tail = ids[L - n:]
-        for p in range(0, L - n + 1):
-            if ids[p:p + n] == tail:
-                start, end = p + n, p + n + k
-                if end <= L and start < L - n:
-                    return ids[start:end]
-    return []
+def candidate_of(ids, max_n=3, k=10):
+    """The longest suffix that has an admissible place wins, then the first place.
+    Place p is admissible for n if ids[p:p+n] is the suffix, k ids follow the
+    copy, and the copy ends before the suffix begins."""
+    size = len(ids)
+    places = {(-n, p) for n in range(1, max_n + 1) for p in range(size)
+              if p + n + k <= size and p + n < size - n
+              and all(ids[p + j] == ids[size - n + j] for j in range(n))}
+    if not places:
+        return []
+    n, p = min(places)
+    return ids[p - n:p - n + k]
 
 
 def py_lcs(a, b):
@@ -59,14 +59,21 @@ def py_bleu(hyp, ref):
     return round(bp * math.exp(sum(logs) / 4) * 100, 4)
 
 
-def py_mask(seq_len, L):
-    m = [[1.0 if j <= i else 0.0 for j in range(L)] for i in range(L)]
-    stop = seq_len - 3
-    cols = range(L)[:stop] if stop != 0 else []
-    for i in range(L):
-        for j in cols:
-            m[i][j] = 1.0
-    return [[v < 0.5 for v in row] for row in m]
+# hidden cells, written by hand: (seq_len, row by row)
+MASKS = [
+    (1, ["..xx", "..xx", "...x", "...."]),
+    (2, ["...x", "...x", "...x", "...."]),
+    (3, [".xxx", "..xx", "...x", "...."]),
+    (1, [".xx", "..x", "..."]),
+    (5, ["..xxx", "..xxx", "...xx", "....x", "....."]),
+    (6, ["...xx", "...xx", "...xx", "....x", "....."]),
+]
+
+
+def hidden(seq_len, length):
+    """Cell (i, j) is hidden if j > i and j >= bound."""
+    bound = seq_len - 3 if seq_len >= 3 else length + seq_len - 3
+    return [[j > i and j >= bound for j in range(length)] for i in range(length)]
 
 
 # -- tests -------------------------------------------------------------------
@@ -79,7 +86,7 @@ def test_continuation_matches_definition(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "k int, ids array<int>")
     got = {r.k: r.candidate for r in NG.continuation(df, "ids").collect()}
     for i, s in enumerate(seqs):
-        assert got[i] == py_continuation(s), (i, s)
+        assert got[i] == candidate_of(s), (i, s)
 
 
 def test_accepted_prefix(spark):
@@ -115,15 +122,19 @@ def test_bleu_matches_definition(spark):
             assert got[i] == pytest.approx(py_bleu(p, r)), (method, p, r)
 
 
-@pytest.mark.parametrize("seq_len", [1, 2, 3, 4, 6])
-def test_prefix_mask_small_seq_len(spark, seq_len):
-    for L in range(3, 9):
-        df = spark.range(1).select(A.prefix_mask(F.lit(seq_len), F.lit(L)).alias("m"),
-                                   A.hidden_cells(F.lit(seq_len), F.lit(L)).alias("n"))
-        row = df.first()
-        want = py_mask(seq_len, L)
-        assert row.m == want, (seq_len, L)
-        assert row.n == sum(sum(r) for r in want)
+@pytest.mark.parametrize("seq_len,rows", MASKS)
+def test_prefix_mask_by_hand(spark, seq_len, rows):
+    got = spark.range(1).select(A.prefix_mask(F.lit(seq_len), F.lit(len(rows))).alias("m")).first().m
+    assert got == [[c == "x" for c in row] for row in rows]
+
+
+def test_prefix_mask_rule(spark):
+    cases = [(s, n) for s in (1, 2, 3, 4, 6) for n in range(3, 9)]
+    df = spark.createDataFrame(cases, "s int, n int").select(
+        "s", "n", A.prefix_mask("s", "n").alias("m"), A.hidden_cells("s", "n").alias("cells"))
+    for r in df.collect():
+        want = hidden(r.s, r.n)
+        assert r.m == want and r.cells == sum(map(sum, want)), (r.s, r.n)
 
 
 def test_position_ids(spark):
@@ -137,16 +148,18 @@ def test_position_ids(spark):
 
 
 def test_collate_labels(spark):
-    spec = TokenSpec()
     rows = [(0, 0, [10, 11, 12, 13], 2), (1, 0, [20, 21], 1), (2, 0, [30, 31, 32, 33, 34, 35], 3)]
     df = spark.createDataFrame(rows, "pos int, batch_id int, input_ids array<int>, seq_len int")
-    out = {r.pos: r for r in LA.collate(df, spec=spec).collect()}
-    longest = 7
-    for pos, _b, ids, s in rows:
-        r = out[pos]
-        want = [-100] * (s - 1) + ids[s - 1:] + [spec.eos] + [-100] * (longest - len(ids) - 1)
-        assert r.labels == want
-        assert r.input_ids == ids + [spec.eos] * (longest - len(ids))
+    out = {r.pos: r for r in LA.collate(df).collect()}
+    # 1 is the end id; the batch is one wider than its longest row
+    assert {p: r.labels for p, r in out.items()} == {
+        0: [-100, 11, 12, 13, 1, -100, -100],
+        1: [20, 21, 1, -100, -100, -100, -100],
+        2: [-100, -100, 32, 33, 34, 35, 1]}
+    assert {p: r.input_ids for p, r in out.items()} == {
+        0: [10, 11, 12, 13, 1, 1, 1],
+        1: [20, 21, 1, 1, 1, 1, 1],
+        2: [30, 31, 32, 33, 34, 35, 1]}
     assert [out[p].row_in_batch for p in (2, 0, 1)] == [1, 2, 3]
 
 
@@ -184,4 +197,4 @@ def test_collate_with_mask(spark):
     df = spark.createDataFrame(rows, "pos int, batch_id int, input_ids array<int>, seq_len int")
     out = {r.pos: r for r in LA.collate(df, with_mask=True).collect()}
     for pos, _b, _ids, s in rows:
-        assert out[pos].attention_mask == py_mask(s, out[pos].longest)
+        assert out[pos].attention_mask == hidden(s, out[pos].longest)

@@ -8,7 +8,7 @@ import hashlib
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tests.test_golden import py_bleu, py_continuation, py_lcs
+from tests.test_golden import py_bleu, candidate_of, py_lcs
 from tunesmith.operators import evaluate as EV
 from tunesmith.operators import ngram as NG
 from tunesmith.operators import position as PO
@@ -50,7 +50,7 @@ def test_continuation_property(spark, seqs):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "k int, ids array<int>")
     got = {r.k: r.candidate for r in NG.continuation(df, "ids").collect()}
     for i, s in enumerate(seqs):
-        assert got[i] == py_continuation(s)
+        assert got[i] == candidate_of(s)
 
 
 @SETTINGS
