@@ -1,5 +1,6 @@
 """Threshold algorithm against all scores."""
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ def brute(rows, k, every, scale=256):
     good = []
     for at, (i, v) in enumerate(rows):
         if v and all(x is not None and math.isfinite(x) for x in v):
-            good.append((at, i, [math.floor(scale * x) for x in v]))
+            good.append((at, i, [math.floor(scale * Fraction(x)) for x in v]))
     out = []
     for at, i, q in good:
         if i is None or i % every:
