@@ -404,11 +404,7 @@ def test_simhash(spark, docs, rows, empty, tile):
         if r[0] is not None:
             ids[root[i]] = min(ids.get(root[i], 1 << 60), r[0])
     want = Counter((r[0], f"{p:016x}", ids.get(root[i])) for i, (r, p) in enumerate(zip(both, prints)))
-    old, S.similar_classes.__defaults__ = S.similar_classes.__defaults__, (4, S.BLOCKS, tile)
-    try:
-        out = Counter(tuple(r) for r in S.near_duplicates(table).collect())
-    finally:
-        S.similar_classes.__defaults__ = old
+    out = Counter(tuple(r) for r in S.near_duplicates(table, tile=tile).collect())
     assert out == want
     if tile > 3:
         kept = S.keep_representatives(docs)
@@ -416,6 +412,20 @@ def test_simhash(spark, docs, rows, empty, tile):
         assert S.near_duplicates(empty).count() == 0
 
 
+def test_representatives_by_row(spark):
+    from tunesmith.llm.simhash import keep_representatives
+    a, b, c, d = (" ".join(f"{x}{i * 7 % 83}{x}" for i in range(60)) for x in "abcd")
+    schema = "doc_id bigint, text string, `__keep_same` string, `meta.lang` string, fingerprint string"
+    rows = [(3, a, "k", "m", "f"), (7, a, "k", "m", "f"), (7, b, "k", "m", "f"), (9, c, "k", "m", "f"),
+            (9, d, "k", "m", "f"), (None, d, "k", "m", "f"), (None, "alone here", "k", "m", "f"),
+            (11, b, "k", "m", "f"), (7, b, "k", "m", "f")]
+    for n in (1, 4):
+        out = keep_representatives(spark.createDataFrame(rows, schema).repartition(n))
+        assert out.columns == ["doc_id", "text", "__keep_same", "meta.lang", "fingerprint"]
+        assert sorted(((r[0], r[1]) for r in out.collect()), key=str) == sorted(
+            [(3, a), (7, b), (9, c), (9, d), (None, "alone here")], key=str)
+
+
 # 9 -------------------------------------------------------------------------
 
 def test_quality(spark, docs, rows, empty):

@@ -74,5 +74,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def free_prefix(df: DataFrame, name: str) -> str:
+    """A prefix that no column of ``df`` begins with (case-insensitively)."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
+def quoted(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, also those with dots or back-ticks in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

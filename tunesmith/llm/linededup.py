@@ -1,26 +1,25 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line's tokens with a digit become ``<*>``.  The tree has fixed depth: token
-count, then the leading ``depth`` tokens.  In a leaf with several different
-lines each position's most frequent token (ties: the smallest) makes a
-template; a line that agrees with it in at least ``similarity`` of the
-positions belongs to it, its other positions being variable.  If fewer than
-``min_docs`` lines do, the tokens of several templates are mixed: each line
-then goes with the most frequent of these tokens that it holds and that not
-all lines hold, and the parts are leaves of their own.  Otherwise the lines
-left over get the next template.  This is repeated until no leaf can give a
-template of ``min_docs`` lines any more.  Every other line is a template of
-its own.  A template found in at least ``min_docs``
-documents recurs: its first line (by id, then place) stays, all others go, so
-content survives once.  A line of at least ``long_words`` words recurs from two
-documents on if it is equal word by word, digits included.  Lines without a
-word always stay.
+count, then the leading ``depth`` tokens.  In a leaf with several different lines
+a token that fewer than ``min_docs`` of its lines hold at that place is variable,
+``<*>`` too; the line so generalised is its template, if no more than
+``1 - similarity`` of its places are variable.  Where fewer than ``min_docs`` lines
+have a line's template, one place more may be variable, if enough lines agree in the
+others: of such places the one that most lines agree on, of equal ones the first
+(a variable field whose values recur has tokens that many lines hold).  Every
+other line is a template of its own.  A template found in at least
+``min_docs`` documents recurs: its first line (by id, then place) stays, all
+others go, so content survives once.  A line of at least ``long_words`` words
+recurs from two documents on if it is equal word by word, digits included.
+Lines without a word always stay.
 
 Scale: lines travel as digests; documents are shuffled twice, to look up one
-occurrence of every different line of a leaf that has several, and to cut.  Counts are combined before
-the shuffle; the template of a leaf is an array as long as its line.  Only
-DataFrame functions are used.  There is a round for every template of the
-fullest leaf and for every split; only undecided lines take part in it.
+occurrence of every different line of a leaf that has several, and to cut.
+Tokens are counted, and templates found, for all leaves at once, so the number
+of jobs does not depend on the data.  Counts are combined before the shuffle;
+joins have a line, a rare token or a template as their key on the smaller side.
+Only DataFrame functions are used.
 
 Defined results: null text stays null with no lines; empty text stays empty;
 repeated rows (equal id and text) count as one document and are cut alike;
@@ -31,12 +30,10 @@ are ignored or carried unchanged.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import SPACES, fresh, prepare, row_key, stored
+from tunesmith.llm.common import SPACES, free_prefix, prepare, quoted, row_key, stored
 
 DEPTH = 3
 SIMILARITY = 0.8
@@ -54,9 +51,8 @@ def _flat(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
 
 
-def _masked(line: Column) -> Column:
-    """``_flat``, with ``<*>`` for words with a digit."""
-    flat = _flat(line)
+def _masked(flat: Column) -> Column:
+    """A flat line with ``<*>`` for words with a digit."""
     return F.when(F.rlike(flat, F.lit("[0-9]")), F.regexp_replace(
         flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(flat)
 
@@ -65,20 +61,25 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int,
            long_words: int = LONG_WORDS) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("rk"),
                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
-    rows = rows.withColumn("masked", _masked(F.col("line"))).filter(F.col("masked") != "")
+    # the filter looks at the raw line: on a derived one it would derive it twice
+    rows = rows.filter(F.btrim("line", F.lit(SPACES)) != "")
+    rows = rows.select("id", "rk", "line_no", _flat(F.col("line")).alias("flat"))
+    rows = rows.select("*", _masked(F.col("flat")).alias("masked"))
     count = F.octet_length("masked") - F.octet_length(
         F.replace("masked", F.lit(" "), F.lit("")))
+    rows = rows.select("*", count.alias("count"), F.unhex(F.md5("masked")).alias("digest"))
     return rows.select("id", "rk", "line_no",
-                       F.xxhash64(count, F.substring_index("masked", " ", depth)).alias("leaf"),
-                       F.unhex(F.md5("masked")).alias("line"),
-                       F.when(count >= long_words - 1, F.unhex(F.md5(_flat(F.col("line")))))
-                       .alias("exact"))
+                       F.xxhash64("count", F.substring_index("masked", " ", depth)).alias("leaf"),
+                       F.col("digest").alias("line"),
+                       F.when(F.col("count") >= long_words - 1, F.when(
+                           F.col("flat") == F.col("masked"), F.col("digest"))
+                           .otherwise(F.unhex(F.md5("flat")))).alias("exact"))
 
 
 def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str,
                    similarity: float, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(line, leaf) of the lines that belong to a template of their leaf; each
-    template has a ``leaf`` of its own.
+    """(line, tree) of the lines of leaves with several that have a template
+    other than themselves, or share theirs.
 
     ``lines`` has (leaf, line, rk, line_no); of every different line in a leaf
     with several, one occurrence is looked up in ``docs``.
@@ -94,46 +95,58 @@ def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str
         F.explode(F.transform("items", lambda x: F.struct(
             x["leaf"].alias("leaf"), x["line"].alias("line"), x["n"].alias("n"),
             F.get(F.col("all"), x["line_no"]).alias("raw")))).alias("x")).select("x.*")
+    words = found.select("leaf", "line", "n", F.split(_masked(_flat(F.col("raw"))), " ").alias("words"))
     # rows that stand twice in the table were looked up twice
-    different = stored(found.select("leaf", "line", "n", _masked(F.col("raw")).alias("masked"))
-                       .dropDuplicates(["leaf", "line"]), "leaf-lines")
-    left, found = different.withColumn("node", F.col("leaf")).drop("leaf"), []
-    while found == [] or not left.isEmpty():
-        step = stored(_matched(left, similarity, min_docs), "leaf-round")
-        won = step.groupBy("node").agg((F.sum(F.when(F.col("match"), F.col("n")).otherwise(0))
-                                        >= min_docs).alias("won"))
-        step = step.join(won, "node")
-        found.append(step.filter("won and match").select(
-            "line", F.xxhash64("node", F.lit(len(found))).alias("leaf")))
-        left = stored(step.filter("not (won and match)").select(
-            "line", "n", "masked", F.when(F.col("won"), F.col("node")).otherwise(
-                F.xxhash64("node", F.lit(len(found)), "branch")).alias("node")), "leaf-left")
-    return reduce(DataFrame.union, found)
-
-
-def _matched(left: DataFrame, similarity: float, min_docs: int) -> DataFrame:
-    """``left`` with ``match``, whether a line agrees with its node's most
-    frequent tokens, and ``branch``, the place of the most frequent of them that
-    it holds (null: none); without nodes that cannot give a template."""
-    words = left.select("node", "n", F.posexplode(F.split("masked", " ")).alias("at", "tok"))
-    usual = (words.groupBy("node", "at", "tok").agg(F.sum("n").alias("n"))
-             .groupBy("node", "at").agg(F.min(F.struct((-F.col("n")).alias("n"), "tok")).alias("top"),
-                                        F.sum("n").alias("all"))
-             .groupBy("node").agg(F.max("all").alias("all"), F.sort_array(F.collect_list(F.struct(
-                 "at", F.col("top.tok").alias("tok"), (-F.col("top.n")).alias("n")))).alias("template")))
-    # of m lines that agree with a template, no more positions than this share
-    # (the bound is widest for the least m) can have a different token in each
-    least = max(min_docs, 2)
-    alone = F.size(F.filter("template", lambda t: t["n"] < 2))
-    usual = usual.filter((F.col("all") >= min_docs) & (
-        alone <= F.size("template") * F.lit((1 - similarity) * least / (least - 1) + 1e-9)))
-    both = left.join(usual, "node").withColumn("words", F.split("masked", " "))
-    both = both.withColumn("held", F.filter(F.zip_with(
-        "words", "template", lambda w, t: F.when(w == t["tok"], F.struct(
-            (-t["n"]).alias("n"), t["at"].alias("at")))), lambda x: x.isNotNull()))
-    part = F.array_min(F.filter("held", lambda h: -h["n"] < F.col("all")))
-    return both.select("line", "n", "masked", "node", part["at"].alias("branch"), (
-        F.size("held") >= F.size("words") * F.lit(similarity)).alias("match"))
+    words = words.dropDuplicates(["leaf", "line"])
+    return templates(stored(words, "leaf-lines"), similarity, min_docs)
+
+
+def _any(at: Column) -> Column:
+    """Hash of a place that holds any token."""
+    return F.xxhash64(at, F.lit("<*>"))
+
+
+def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFrame:
+    """(line, tree) for ``different``: (leaf, line, n, words), a row for each
+    different line with its number of occurrences; ``tree`` is the template.
+
+    A line's pattern is the exclusive or of its places' hashes, so a place is made
+    variable by exchanging its hash.
+    """
+    spots = F.transform("words", lambda w, i: F.xxhash64(i, w))
+    hashed = different.select("leaf", "line", "n", spots.alias("spots"))
+    hashed = stored(hashed.withColumn("whole", F.aggregate(
+        "spots", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))), "leaf-spots")
+    tokens = hashed.select("leaf", "line", "n", F.posexplode("spots").alias("at", "spot"))
+    rare = (tokens.groupBy("leaf", "spot").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") < min_docs).select("leaf", "spot"))
+    # a rare spot has fewer than min_docs lines
+    loose = tokens.join(rare, ["leaf", "spot"]).groupBy("line").agg(
+        F.bit_xor(F.col("spot").bitwiseXOR(_any(F.col("at")))).alias("change"),
+        F.collect_list("at").alias("open"))
+    most = F.floor(F.size("spots") * F.lit(1 - similarity + 1e-9)).cast("int")
+    own = hashed.join(loose, "line", "left").select(
+        "leaf", "line", "n", "spots", most.alias("most"),
+        F.coalesce("open", F.array().cast("array<int>")).alias("open"),
+        F.col("whole").bitwiseXOR(F.coalesce("change", F.lit(0))).alias("tree"))
+    own = stored(own.filter(F.size("open") <= F.col("most")), "leaf-patterns")
+    shared = own.groupBy("leaf", "tree").agg(F.sum("n").alias("n"))
+    enough = shared.filter(F.col("n") >= min_docs).select("leaf", "tree")
+    settled = own.join(enough, ["leaf", "tree"], "left_semi").select("line", "tree")
+    left = own.join(enough, ["leaf", "tree"], "left_anti")
+    # one place more: every choice is a pattern, and also each line's own
+    choices = left.filter(F.size("open") < F.col("most")).select(
+        "leaf", "line", "n", "tree", "open", F.posexplode("spots").alias("at", "spot"))
+    choices = stored(choices.filter(~F.array_contains("open", F.col("at"))).select(
+        "leaf", "line", "n", "at", F.col("tree").bitwiseXOR(F.col("spot")).bitwiseXOR(_any(F.col("at"))).alias("tree"))
+        .unionByName(left.select("leaf", "line", "n", F.lit(-1).alias("at"), "tree")), "leaf-choices")
+    ready = shared.join(enough, ["leaf", "tree"], "left_semi")
+    agreed = (choices.select("leaf", "tree", "n").unionByName(ready.select("leaf", "tree", "n"))
+              .groupBy("leaf", "tree").agg(F.sum("n").alias("agree")).filter(F.col("agree") >= min_docs))
+    best = choices.join(agreed, ["leaf", "tree"]).groupBy("line").agg(
+        F.max(F.struct("agree", (-F.col("at")).alias("at"), "tree")).alias("best"))
+    return settled.unionByName(best.select("line", F.col("best.tree").alias("tree"))).select(
+        "line", "tree")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -141,11 +154,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   min_docs: int = MIN_DOCS, long_words: int = LONG_WORDS) -> DataFrame:
     """(rk, drop): per row key the line numbers that go."""
     lines = stored(_lines(docs, id_col, text_col, depth, long_words), "lines")
-    own = line_templates(lines, docs, id_col, text_col, similarity, min_docs).withColumnRenamed("leaf", "tree")
+    own = line_templates(lines, docs, id_col, text_col, similarity, min_docs)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
-        F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string"))
-        .cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
+        F.col("tree").isNotNull(), F.concat(F.col("leaf").cast("string"), F.lit("t"), F.col("tree")
+        .cast("string")).cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
     marked = stored(marked, "templates")
 
     def later(rows: DataFrame, by: str, least: int) -> DataFrame:
@@ -192,8 +205,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          **options) -> DataFrame:
     """``docs`` with recurring lines cut from the text (n_chars follows)."""
     prepare(docs.sparkSession)
-    key = fresh(docs, "__rk")
+    key = free_prefix(docs, "__rk")
     rows = _cut(docs, id_col, text_col, key, **options).withColumn(text_col, _rest(key, text_col))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(F.col(text_col)).cast("bigint"))
-    return rows.select(*docs.columns)
+    return rows.select(*quoted(docs))

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import fresh, prepare, stored, word_array, word_count
+from tunesmith.llm.common import fresh, prepare, quoted, stored, word_array, word_count
 
 BLOCK = 32
 SEED = 17
@@ -208,4 +208,4 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = out.withColumn(text_col, part)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(text_col)).cast("bigint"))
-    return out.select(*docs.columns)
+    return out.select(*quoted(docs))

@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import SPACES, fresh, prepare, row_key, stored, word_array
+from tunesmith.llm.common import SPACES, fresh, prepare, quoted, row_key, stored, word_array
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -235,4 +235,4 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = fresh(docs, "__key")
     rejected = verdict.filter(~F.col("kept")).select(F.col("row_key").alias(key)).distinct()
     return (docs.withColumn(key, row_key(id_col, text_col))
-            .join(rejected, key, "left_anti").select(*docs.columns))
+            .join(rejected, key, "left_anti").select(*quoted(docs)))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import fresh, prepare, stored
+from tunesmith.llm.common import free_prefix, prepare, quoted, row_key, stored
 from tunesmith.llm.components import connected_components
 
 BITS = 64
@@ -216,19 +216,28 @@ def similar_classes(classes: DataFrame, max_bits: int = 4, blocks: int = BLOCKS,
     return dealt.mapInArrow(_link_groups(max_bits), "a bigint, b bigint")
 
 
+def _grouped(marked: DataFrame, text_col: str, shingle: int, max_bits: int, seed: int,
+             blocks: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``marked`` with ``fingerprint`` for the text, and (fingerprint,
+    group) of every class."""
+    rows = stored(fingerprints(marked, text_col, shingle, seed), "fingerprints")
+    classes = stored(rows.select("fingerprint").distinct(), "classes")
+    links = stored(similar_classes(classes, max_bits, blocks, tile), "links")
+    roots = connected_components(links)
+    named = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("group"))
+    return rows, stored(named, "groups")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
+                    shingle: int = 4, max_bits: int = 4, seed: int = 42,
+                    blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
     """id, fingerprint (16 hex digits) and component_id of every row."""
     prepare(docs.sparkSession)
-    rows = stored(fingerprints(docs.select(F.col(id_col).alias("__id"),
-                                           F.col(text_col).alias("__text")),
-                               "__text", shingle, seed), "fingerprints")
-    classes = stored(rows.groupBy("fingerprint").agg(F.min("__id").alias("first")), "classes")
-    links = stored(similar_classes(classes, max_bits), "links")
-    roots = connected_components(links)
-    named = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").withColumn(
-        "group", F.coalesce("root", "fingerprint"))
-    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    rows, named = _grouped(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")),
+                           "__text", shingle, max_bits, seed, blocks, tile)
+    first = rows.groupBy("fingerprint").agg(F.min("__id").alias("first")).join(named, "fingerprint")
+    least = first.groupBy("group").agg(F.min("first").alias("component_id"))
     label = stored(named.join(least, "group").select("fingerprint", "component_id"), "labels")
     return rows.join(label, "fingerprint").select(
         F.col("__id").alias(id_col),
@@ -236,14 +245,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         **options) -> DataFrame:
-    """One document of each component (the smallest id; of repeated rows with
-    that id, one).  Rows with a null id stay: nothing can name them."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    key = fresh(docs, "__keep")
-    chosen = found.filter(F.col(id_col) == F.col("component_id")).select(
-        F.col(id_col).alias(key)).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    # ids that stand twice would keep both rows, so one row per id goes on
-    kept = named.join(chosen, F.col(id_col) == F.col(key), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+                         shingle: int = 4, max_bits: int = 4, seed: int = 42,
+                         blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+    """One row of each component: the smallest id (null last), of equal ids the
+    smallest row key, of equal texts too the smallest digest of all columns.  Rows of
+    one id are judged each for itself; of rows that repeat in all columns one stays."""
+    prepare(docs.sparkSession)
+    key = free_prefix(docs, "__keep")
+    same = f"{key}_same"
+    marked = docs.withColumns({key: row_key(id_col, text_col), same: F.xxhash64(F.to_json(
+        F.struct(*quoted(docs))))})
+    own = marked.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"),
+                        F.col(key).alias("rk"), F.col(same).alias("same"))
+    rows, named = _grouped(own, "__text", shingle, max_bits, seed, blocks, tile)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "same")
+    first = rows.groupBy("fingerprint").agg(F.min(place).alias("first")).join(named, "fingerprint")
+    chosen = first.groupBy("group").agg(F.min("first").alias("first")).select(
+        F.col("first.rk").alias(key), F.col("first.same").alias(same))
+    return (marked.join(chosen, [key, same], "left_semi").dropDuplicates([key, same])
+            .select(*quoted(docs)))
