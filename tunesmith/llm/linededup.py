@@ -102,26 +102,26 @@ def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str
 
 
 def _any(at: Column) -> Column:
-    """Hash of a place that holds any token."""
-    return F.xxhash64(at, F.lit("<*>"))
+    """Hash of a place of a leaf that holds any token."""
+    return F.xxhash64("leaf", at, F.lit("<*>"))
 
 
 def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFrame:
     """(line, tree) for ``different``: (leaf, line, n, words), a row for each
     different line with its number of occurrences; ``tree`` is the template.
 
-    A line's pattern is the exclusive or of its places' hashes, so a place is made
-    variable by exchanging its hash.
+    A spot is the hash of leaf, place and token; a line's pattern is the exclusive or
+    of its spots, so a place is made variable by exchanging its spot.
     """
-    spots = F.transform("words", lambda w, i: F.xxhash64(i, w))
+    spots = F.transform("words", lambda w, i: F.xxhash64("leaf", i, w))
     hashed = different.select("leaf", "line", "n", spots.alias("spots"))
     hashed = stored(hashed.withColumn("whole", F.aggregate(
         "spots", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))), "leaf-spots")
-    tokens = hashed.select("leaf", "line", "n", F.posexplode("spots").alias("at", "spot"))
-    rare = (tokens.groupBy("leaf", "spot").agg(F.sum("n").alias("n"))
-            .filter(F.col("n") < min_docs).select("leaf", "spot"))
-    # a rare spot has fewer than min_docs lines
-    loose = tokens.join(rare, ["leaf", "spot"]).groupBy("line").agg(
+    rare = (hashed.select("n", F.explode("spots").alias("spot")).groupBy("spot").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") < min_docs).select("spot"))
+    # a rare spot has fewer than min_docs lines; no column beside the line's is shuffled
+    tokens = hashed.select("leaf", "line", F.posexplode("spots").alias("at", "spot"))
+    loose = tokens.join(rare, "spot").groupBy("line").agg(
         F.bit_xor(F.col("spot").bitwiseXOR(_any(F.col("at")))).alias("change"),
         F.collect_list("at").alias("open"))
     most = F.floor(F.size("spots") * F.lit(1 - similarity + 1e-9)).cast("int")
@@ -130,23 +130,21 @@ def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFra
         F.coalesce("open", F.array().cast("array<int>")).alias("open"),
         F.col("whole").bitwiseXOR(F.coalesce("change", F.lit(0))).alias("tree"))
     own = stored(own.filter(F.size("open") <= F.col("most")), "leaf-patterns")
-    shared = own.groupBy("leaf", "tree").agg(F.sum("n").alias("n"))
-    enough = shared.filter(F.col("n") >= min_docs).select("leaf", "tree")
-    settled = own.join(enough, ["leaf", "tree"], "left_semi").select("line", "tree")
-    left = own.join(enough, ["leaf", "tree"], "left_anti")
+    shared = own.groupBy("tree").agg(F.sum("n").alias("n"))
+    enough = shared.filter(F.col("n") >= min_docs)
+    settled = own.join(enough.select("tree"), "tree", "left_semi").select("line", "tree")
+    left = own.join(enough.select("tree"), "tree", "left_anti")
     # one place more: every choice is a pattern, and also each line's own
     choices = left.filter(F.size("open") < F.col("most")).select(
         "leaf", "line", "n", "tree", "open", F.posexplode("spots").alias("at", "spot"))
     choices = stored(choices.filter(~F.array_contains("open", F.col("at"))).select(
-        "leaf", "line", "n", "at", F.col("tree").bitwiseXOR(F.col("spot")).bitwiseXOR(_any(F.col("at"))).alias("tree"))
-        .unionByName(left.select("leaf", "line", "n", F.lit(-1).alias("at"), "tree")), "leaf-choices")
-    ready = shared.join(enough, ["leaf", "tree"], "left_semi")
-    agreed = (choices.select("leaf", "tree", "n").unionByName(ready.select("leaf", "tree", "n"))
-              .groupBy("leaf", "tree").agg(F.sum("n").alias("agree")).filter(F.col("agree") >= min_docs))
-    best = choices.join(agreed, ["leaf", "tree"]).groupBy("line").agg(
+        "line", "n", "at", F.col("tree").bitwiseXOR(F.col("spot")).bitwiseXOR(_any(F.col("at"))).alias("tree"))
+        .unionByName(left.select("line", "n", F.lit(-1).alias("at"), "tree")), "leaf-choices")
+    agreed = (choices.select("tree", "n").unionByName(enough.select("tree", "n"))
+              .groupBy("tree").agg(F.sum("n").alias("agree")).filter(F.col("agree") >= min_docs))
+    best = choices.join(agreed, "tree").groupBy("line").agg(
         F.max(F.struct("agree", (-F.col("at")).alias("at"), "tree")).alias("best"))
-    return settled.unionByName(best.select("line", F.col("best.tree").alias("tree"))).select(
-        "line", "tree")
+    return settled.unionByName(best.select("line", F.col("best.tree").alias("tree")))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,8 +155,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = line_templates(lines, docs, id_col, text_col, similarity, min_docs)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
-        F.col("tree").isNotNull(), F.concat(F.col("leaf").cast("string"), F.lit("t"), F.col("tree")
-        .cast("string")).cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
+        F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string")).cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
     marked = stored(marked, "templates")
 
     def later(rows: DataFrame, by: str, least: int) -> DataFrame:

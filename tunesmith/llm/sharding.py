@@ -22,8 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import prepare
-from tunesmith.operators.position import with_position
+from tunesmith.llm.common import placed, prepare
 
 _UNIT = float(1 << 53)
 
@@ -54,18 +53,13 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
         raise ValueError("one weight per shard")
     text = F.coalesce(F.col(text_col), F.lit(""))
     grown = [*weights, sum(weights) / len(weights)]
-    placed = docs.select(
-        F.col(id_col),
+    rows = docs.select(
+        F.col(id_col).alias("id"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).cast("bigint").alias("text_crc32"),
         F.lit("key").alias("law"),
         rendezvous(F.col(id_col), weights).alias("shard"),
         rendezvous(F.col(id_col), grown).alias("grown_shard"))
-    ordered = with_position(placed, ["shard", id_col, "text_crc32", "size"], "__pos")
-    first = ordered.groupBy(F.col("shard").alias("__shard")).agg(
-        F.min("__pos").alias("__first"))
-    # one row per shard: bounded by the shard count
-    return (ordered.join(F.broadcast(first), F.col("shard") == F.col("__shard"))
-            .select(id_col, "size", "text_crc32", "law", "shard",
-                    (F.col("__pos") - F.col("__first")).cast("bigint").alias("slot"),
-                    "grown_shard"))
+    ordered = placed(rows, "shard", ["id", "text_crc32", "size"])
+    return ordered.select(F.col("id").alias(id_col), "size", "text_crc32", "law", "shard",
+                          F.col("idx").cast("bigint").alias("slot"), "grown_shard")
