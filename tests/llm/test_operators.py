@@ -230,7 +230,6 @@ def test_dac_files(spark, docs, rows, empty):
     path, model = scratch_path(spark, "dac"), P.path("byte_bpe_50k.json")
     write_tokens(docs, path, model, segment_tokens=700)
     lib = Tokenizer.from_file(model)
-    lib.encode_special_tokens = True
     want = Counter()
     for i, t, _, _ in rows:
         ids = lib.encode(t or "", add_special_tokens=False).ids + [2]
@@ -249,6 +248,53 @@ def test_dac_files(spark, docs, rows, empty):
     assert read_documents(spark, none).count() == 0
 
 
+def test_dac_ids_are_the_librarys_own(monkeypatch):
+    """Special tokens spelled in texts, white space of all kinds, memos that
+    overflow, and texts that share no batch."""
+    import pyarrow as pa
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from tunesmith.llm import dac
+    model = P.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(model)
+    assert lib.encode("it <|endoftext|> ends", add_special_tokens=False).ids == [270, 220, 50256, 5645]
+    rng = np.random.default_rng(9)
+    pieces = ["it", "ends", "<|endoftext|>", "don't", "a1", "\u3000", "\xa0", "\n", "\n\n", " ", "  ", "\t",
+              "\x1c", "\x85", "日本", "🙂", "x" * 90, "<|endof", "text|>", "Ünï", "\u2028", "'s", "!", "..."]
+    texts = ["", " ", "<|endoftext|>", "it <|endoftext|> ends", "a  b", " lead", "trail "]
+    texts += ["".join(p if rng.random() < 0.4 else p + " " for p in rng.choice(pieces, rng.integers(1, 30)))
+              for _ in range(400)]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    for memo in (dac._MEMO, 12):
+        monkeypatch.setattr(dac, "_MEMO", memo)
+        encoder = dac.Encoder(open(model, encoding="utf-8").read())
+        for size in (1, 50, 400):
+            got = []
+            for low in range(0, len(texts), size):
+                ids, ends = encoder.encode(pa.array(texts[low:low + size]))
+                got += [x.tolist() for x in np.split(ids, ends[:-1])]
+            assert got == want
+        assert len(encoder.parts) <= max(memo, 12)
+    assert encoder.encode(pa.array([], pa.string()))[0].size == 0
+
+
+def test_dac_divides_rows_of_one_id(spark):
+    import public_tokenizers as P
+
+    from tunesmith.llm.dac import read_documents, write_tokens
+    from tunesmith.session import scratch_path
+    rows = [(None if i % 3 else i, f"text number {i}") for i in range(4000)] + [(None, "same text")] * 2000
+    path = scratch_path(spark, "dac")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    write_tokens(df, path, P.path("byte_bpe_50k.json"))
+    parts = {r["part"]: r["n"] for r in spark.read.parquet(path).selectExpr(
+        "part", "size(doc_ids) AS n").groupBy("part").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert sum(parts.values()) == 6000 and max(parts.values()) < 6000 / 3
+    out = read_documents(spark, path).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(i for i, _ in rows)
+
+
 def test_dac_image_random():
     from tunesmith.llm.dac import Image, pack
     rng = np.random.default_rng(0)

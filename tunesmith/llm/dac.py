@@ -15,12 +15,14 @@ of partitions are one small aggregate, one row per partition.
 
 Encoding uses the public ``tokenizers`` file at a path that is a parameter;
 its content travels with the tasks.  Texts are cut where the pattern cuts,
-equal parts of a batch are encoded once, and a memo of bounded size carries
-parts over to later batches.
+equal parts of a batch are encoded once, and a memo of bounded size keeps the
+parts that recur for later batches.  Ids are those that the library gives with
+``add_special_tokens=False``: text that spells a special token becomes its id.
 
 Defined results: null and empty texts hold the end id alone; null document
-ids come first; repeated rows are stored each; an empty table gives an empty
-file set; clashing input columns are ignored.
+ids come first; documents of one id are ordered by a digest of their texts;
+repeated rows are stored each; an empty table gives an empty file set; clashing
+input columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,15 @@ from tunesmith.llm.common import prepare
 
 _MAGIC = b"DAC1"
 _BLOCK = 512
-_MEMO = 400_000
+#: parts and ids that the memo holds, at most
+_MEMO = 600_000
+_MEMO_IDS = 6_000_000
+#: parts encoded together
+_TOGETHER = 64
+#: characters of the texts encoded at a time
+_ENCODE_CHARS = 8 << 20
+#: white space by str.isspace(): cuts beside any of it are left to split_chunks
+_WHITE = "\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 SEGMENT_TOKENS = 1 << 20
 
 
@@ -131,54 +142,136 @@ class Image:
 
 
 class Encoder:
-    """Ids of whole texts from a ``tokenizers`` file's content."""
+    """Ids of whole texts from a ``tokenizers`` file's content.
+
+    The memo holds the ids of parts of texts: an Arrow array of the parts, and
+    where their ids lie in ``bank``.  When it is full, the parts not used for the
+    longest time go.
+    """
 
     def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         # byte-level vocabularies write the space byte as U+0120
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
-        self.memo: dict[str, bytes] = {}
+        self.parts = pa.array([], pa.string())
+        self.begin = self.size = self.used = np.zeros(0, np.int64)
+        self.bank = np.zeros(0, "<u4")
+        self.turn = 0
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, "<u4") for e in found]
 
-    def _spaced(self, parts: list[str]) -> dict[str, bytes]:
+    def _spaced(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of every part with a leading space; parts without a space of
         their own are encoded many at a time and cut where a space starts."""
-        alone = [p for p in parts if " " in p]
-        known = dict(zip(alone, self._ids([" " + p for p in alone])))
-        plain = [p for p in parts if " " not in p]
-        groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
-        for group, data in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
-            ids = np.frombuffer(data, "<u4")
+        found: list = [None] * len(parts)
+        alone = [k for k, p in enumerate(parts) if " " in p]
+        plain = [k for k, p in enumerate(parts) if " " not in p]
+        groups = [plain[i:i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        joined = [" " + " ".join([parts[k] for k in g]) for g in groups]
+        for group, ids in zip(groups, self._ids(joined)):
             cuts = np.flatnonzero(self.spaced[ids])
             if len(cuts) != len(group) or cuts[0] != 0:
-                known.update(zip(group, self._ids([" " + p for p in group])))
+                alone += group
                 continue
-            ends = [*(cuts[1:] * 4).tolist(), len(data)]
-            known.update(zip(group, [data[a:b] for a, b in zip((cuts * 4).tolist(), ends)]))
-        return known
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        cut = [split_chunks(t) for t in texts]
-        heads = self._ids([c[0] for c in cut])
-        memo = self.memo
-        new = list({p for c in cut for p in c[1:] if p not in memo})
-        extra = self._spaced(new)
-        if len(memo) + len(extra) <= _MEMO:
-            memo.update(extra)
-            look = memo
-        else:
-            look = {**{p: memo[p] for c in cut for p in c[1:] if p in memo}, **extra}
-        return [head + b"".join([look[p] for p in c[1:]]) for head, c in zip(heads, cut)]
+            cuts = [*cuts.tolist(), len(ids)]
+            for k, low, high in zip(group, cuts, cuts[1:]):
+                found[k] = ids[low:high]
+        for k, ids in zip(alone, self._ids([" " + parts[k] for k in alone])):
+            found[k] = ids
+        return found
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bank, begin, size) of the ids of different ``words``, each with a
+        leading space."""
+        self.turn += 1
+        at = pc.fill_null(pc.index_in(words, value_set=self.parts), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        self.used[at[~new]] = self.turn
+        fresh = words.filter(pa.array(new))
+        ids = self._spaced(fresh.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        at[new] = len(self.parts) + np.arange(len(ids))
+        self.parts = pa.concat_arrays([self.parts, fresh])
+        self.begin = np.concatenate([self.begin, len(self.bank) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used = np.concatenate([self.used, np.full(len(ids), self.turn)])
+        self.bank = np.concatenate([self.bank, *ids])
+        bank, begin, size = self.bank, self.begin[at], self.size[at]
+        if len(self.parts) > _MEMO or len(self.bank) > _MEMO_IDS:
+            self._forget()
+        return bank, begin, size
+
+    def _forget(self) -> None:
+        """Keep the parts used last, half of what the memo may hold."""
+        order = np.argsort(-self.used, kind="stable")
+        keep = order[:_MEMO // 2]
+        keep = keep[np.cumsum(self.size[keep]) <= _MEMO_IDS // 2]
+        self.bank = self.bank[_ranges(self.begin[keep], self.size[keep])]
+        self.size, self.used = self.size[keep], self.used[keep]
+        self.begin = np.cumsum(self.size) - self.size
+        self.parts = self.parts.take(pa.array(keep))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` (no nulls) one after the other, and where each
+        text's ids end."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        # texts with white space beside a single space are cut with more care
+        odd = pc.match_substring_regex(texts, f"(?:^| )(?:[{_WHITE}]|$)|[{_WHITE}] ")
+        odd = odd.to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), bool)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(~odd & ~whole), np.flatnonzero(odd & ~whole)])
+        plain = pc.split_pattern(texts.filter(pa.array(~odd & ~whole)), " ")
+        careful = pa.array([split_chunks(t) for t in texts.filter(pa.array(odd & ~whole)).to_pylist()],
+                           plain.type)
+        cut = pa.concat_arrays([plain, careful])
+        sizes = pc.list_value_length(cut).to_numpy()
+        flat = cut.flatten()
+        last = np.cumsum(sizes)
+        first = last - sizes
+        heads = flat.take(pa.array(first)).dictionary_encode()
+        parts = flat.dictionary_encode()
+        codes = parts.indices.to_numpy().astype(np.int64)
+        codes[first] = len(parts.dictionary) + heads.indices.to_numpy()
+        used = np.zeros(len(parts.dictionary), bool)
+        used[codes[codes < len(used)]] = True
+        bank, own, length = self._known(parts.dictionary.filter(pa.array(used)))
+        begin, size = np.zeros((2, len(used)), np.int64)
+        begin[used], size[used] = own, length
+        # texts with special tokens come last, each one part
+        rest = np.flatnonzero(whole)
+        more = self._ids(heads.dictionary.to_pylist() + texts.take(pa.array(rest)).to_pylist())
+        lengths = np.fromiter(map(len, more), np.int64, len(more))
+        begin = np.concatenate([begin, len(bank) + np.cumsum(lengths) - lengths])
+        length = np.concatenate([size, lengths])
+        bank = np.concatenate([bank, *more])
+        codes = np.concatenate([codes, np.arange(len(length) - len(rest), len(length))])
+        last = np.concatenate([last, (last[-1] if len(last) else 0) + np.arange(1, len(rest) + 1)])
+        order = np.concatenate([order, rest])
+        # parts in the order of the texts
+        first = np.concatenate([[0], last[:-1]])
+        back = np.argsort(order)
+        turn = _ranges(first[back], (last - first)[back])
+        codes = codes[turn]
+        ids = bank[_ranges(begin[codes], length[codes])]
+        ends = np.cumsum(length[codes])[np.cumsum((last - first)[back]) - 1]
+        return ids, ends
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 @lru_cache(maxsize=1)
@@ -200,28 +293,36 @@ def _writer(content: str, end_id: int, segment_tokens: int, id_type: pa.DataType
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, end = _encoder(content), struct.pack("<I", end_id)
+        encoder, end = _encoder(content), np.array([end_id], "<u4")
         names, parts, starts, held, before, seq = [], [], [], 0, 0, 0
 
         def segment():
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_pydict(
                 {"part": [part], "seq": [seq], "part_start": [before], "n_tokens": [len(ids)],
                  "doc_ids": [names], "doc_starts": [starts], "image": [pack(ids)]}, schema)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for low in range(0, len(keys), 512):
-                texts = [t or "" for t in batch.column(1).slice(low, 512).to_pylist()]
-                for key, data in zip(keys[low:low + 512], encoder.encode(texts)):
+            texts = pc.fill_null(batch.column(1), "")
+            chars = np.cumsum(pc.utf8_length(texts).to_numpy())
+            low = 0
+            while low < len(texts):
+                # at least one text, else as many as the limit lets in
+                limit = (chars[low - 1] if low else 0) + _ENCODE_CHARS
+                high = max(low + 1, int(np.searchsorted(chars, limit, "right")))
+                ids, ends = encoder.encode(texts.slice(low, high - low))
+                begin = 0
+                for key, stop in zip(batch.column(0).slice(low, high - low).to_pylist(), ends.tolist()):
                     names.append(key)
                     starts.append(held)
-                    parts.append(data + end)
-                    held += len(data) // 4 + 1
+                    parts += [ids[begin:stop], end]
+                    held += stop - begin + 1
+                    begin = stop
                     if held >= segment_tokens:
                         yield segment()
                         names, parts, starts, before = [], [], [], before + held
                         held, seq = 0, seq + 1
+                low = high
         if names:
             yield segment()
     return run
@@ -238,8 +339,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
     kind = docs.schema[id_col].dataType
     from pyspark.sql.pandas.types import to_arrow_type
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-               .repartitionByRange(n, "id").sortWithinPartitions("id", "text"))
+    # rows of one id, also null, are divided by their texts, equal ones by place
+    keys = ["id", "digest", "place"]
+    ordered = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                           F.xxhash64(text_col).alias("digest"),
+                           F.monotonically_increasing_id().alias("place"))
+               .repartitionByRange(n, *keys).sortWithinPartitions(*keys).select("id", "text"))
     ordered.mapInArrow(_writer(content, end_id, segment_tokens, to_arrow_type(kind)),
                        _SEGMENT.format(id=kind.simpleString())
                        ).write.mode("errorifexists").parquet(path)
