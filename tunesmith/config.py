@@ -23,7 +23,8 @@ CAUSAL_MAX_LENGTH = 1024
 # Rows per CSV shard and the shard holdout settings.
 SHARD_ROWS = 666
 HOLDOUT_FRACTION = 0.25
-HOLDOUT_CAP = 5
+# Shards per folder: a folder is written by one task.
+FOLDER_SHARDS = 150
 DEFAULT_SEED = 42
 TRAIN_FRACTION = 0.8
 # Whitespace that separates words in the corpus vocabulary.

@@ -40,11 +40,18 @@ def generation_header(role: str = "assistant") -> Column:
     return F.lit(f"{IM_START}{role}\n")
 
 
+def whole_message(role, content) -> Column:
+    """A message that keeps its place: null role or content is empty, as a
+    list of turns without one would pair the others wrongly."""
+    return chatml_message(F.coalesce(_c(role), F.lit("")), F.coalesce(_c(content), F.lit("")))
+
+
 def chatml(messages, add_generation_prompt: bool = False) -> Column:
-    """Render an ``array<struct<role,content>>`` in ChatML."""
+    """Render an ``array<struct<role,content>>`` in ChatML; every element is a
+    message, also a null one (:func:`whole_message`)."""
     body = F.array_join(
         F.transform(_c(messages),
-                    lambda m: chatml_message(m["role"], m["content"])), "")
+                    lambda m: whole_message(m["role"], m["content"])), "")
     if add_generation_prompt:
         body = F.concat(body, generation_header())
     return body

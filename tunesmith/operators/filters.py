@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.operators.position import with_position
+from tunesmith.operators.select import first_rows
 
 
 def reshape(df: DataFrame, cols) -> DataFrame:
@@ -40,19 +40,11 @@ def drop_null(df: DataFrame, cols=("context", "target")) -> DataFrame:
 def cap(df: DataFrame, n: int, order_by, by: str | None = None) -> DataFrame:
     """FLT5: first ``n`` rows in ``order_by`` order, per ``by`` group.
 
-    One plan for every ``n``: rows get their position in (``by``, ``order_by``)
-    order from range partitions, so a group holding most rows, or a large
-    ``n``, is never sorted in one task.  Null is a group of its own.
+    One plan for every ``n``: the n-th key of each group is selected from
+    counts, then rows are compared with it (:mod:`tunesmith.operators.select`).
+    Null is a group of its own.
     """
-    keys = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
-    if by is None:
-        return with_position(df, keys, "__pos").filter(F.col("__pos") < n).drop("__pos")
-    ranked = with_position(df, [F.col(by), *keys], "__pos")
-    first = ranked.groupBy(F.col(by).alias("__by")).agg(F.min("__pos").alias("__first"))
-    return (ranked.join(first, F.col(by).eqNullSafe(F.col("__by")))
-            .filter(F.col("__pos") - F.col("__first") < n)
-            .drop("__pos", "__by", "__first"))
+    return first_rows(df, n, order_by, by)
 
 
 def with_prefix(df: DataFrame, prefix: str, col: str = "prompt") -> DataFrame:

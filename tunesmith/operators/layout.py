@@ -19,7 +19,7 @@ from tunesmith.functions import arrays as A
 from tunesmith.operators.filters import drop_blank
 from tunesmith.operators.position import with_position
 from tunesmith.operators.split import seeded_hash
-from tunesmith.operators.vocab import Vocabulary, encode
+from tunesmith.operators.vocab import Vocabulary, encode, word_arrays
 from tunesmith.streaming.files import require_static
 
 DEFAULT_SPEC = TokenSpec()
@@ -151,14 +151,20 @@ def length_grouped(df: DataFrame, key: str, n: int, length,
 
 def limit_pair(df: DataFrame, prompt="prompt_ids", chosen="chosen_ids",
                rejected="rejected_ids", max_length: int = PREF_MAX_LENGTH,
-               max_prompt_length: int = PREF_MAX_PROMPT_LENGTH) -> DataFrame:
-    """LAY12: if prompt + longer answer exceeds ``max_length`` keep the
-    last ``max_prompt_length`` prompt ids; if still over, cut both answers
-    to ``max_length - max_prompt_length``.  ``truncated`` marks changed rows."""
-    longer = F.greatest(F.size(chosen), F.size(rejected))
-    over = F.size(prompt) + longer > max_length
-    p2 = F.when(over, A.keep_last(prompt, max_prompt_length)).otherwise(F.col(prompt))
-    out = df.withColumn("__over", over).withColumn(prompt, p2)
+               max_prompt_length: int = PREF_MAX_PROMPT_LENGTH,
+               max_target_length: int | None = None) -> DataFrame:
+    """LAY12: both answers are cut to ``max_target_length``; if prompt + longer
+    answer then exceeds ``max_length`` keep the last ``max_prompt_length`` prompt
+    elements; if still over, cut both answers to ``max_length -
+    max_prompt_length``.  ``truncated`` marks rows over ``max_length``.  The columns are
+    arrays of ids, or of words before any id is looked up (:func:`pair_rows`)."""
+    out = df
+    if max_target_length is not None:
+        out = out.withColumns({c: A.truncate(c, max_target_length) for c in (chosen, rejected)})
+    over = F.size(prompt) + F.greatest(F.size(chosen), F.size(rejected)) > max_length
+    out = out.withColumn("__over", over)
+    p2 = F.when(F.col("__over"), A.keep_last(prompt, max_prompt_length)).otherwise(F.col(prompt))
+    out = out.withColumn(prompt, p2)
     still = F.size(prompt) + F.greatest(F.size(chosen), F.size(rejected)) > max_length
     keep = max_length - max_prompt_length
     return (out.withColumn("__still", still)
@@ -170,6 +176,40 @@ def limit_pair(df: DataFrame, prompt="prompt_ids", chosen="chosen_ids",
                .drop("__still"))
 
 
+#: stands for the leading special id among words, none of which has a space
+_BOS_WORD = "<s> "
+
+
+def pair_rows(df: DataFrame, key, vocab: Vocabulary, prompt="prompt", chosen="chosen",
+              rejected="rejected", max_length: int = PREF_MAX_LENGTH,
+              max_prompt_length: int = PREF_MAX_PROMPT_LENGTH,
+              max_target_length: int | None = None, spec: TokenSpec = DEFAULT_SPEC) -> DataFrame:
+    """Preference pairs as ``prompt_ids`` (bos first), ``chosen_ids`` and
+    ``rejected_ids`` within the limits of LAY12, and ``truncated``.  Lengths and cuts are
+    those of the words, so only words that stay are looked up.  The texts are
+    replaced; other columns are carried."""
+    named = {"prompt_ids": prompt, "chosen_ids": chosen, "rejected_ids": rejected}
+    rows = word_arrays(df, named)
+    none = F.array().cast("array<string>")
+    rows = rows.withColumns({c: F.coalesce(c, none) for c in named})
+    rows = rows.withColumn("prompt_ids", F.concat(F.array(F.lit(_BOS_WORD)), "prompt_ids"))
+    rows = limit_pair(rows, *named, max_length, max_prompt_length, max_target_length)
+    led = F.coalesce(F.get("prompt_ids", 0) == _BOS_WORD, F.lit(False))
+    rows = rows.withColumn("__led", led).withColumn("prompt_ids", F.filter(
+        "prompt_ids", lambda w: w != _BOS_WORD)).drop(prompt, chosen, rejected)
+    carried = [c for c in rows.columns if c not in named and c not in ([key] if isinstance(key, str) else key)]
+    ids = encode(rows, key, {c: (c, None, False) for c in named}, vocab, unk=spec.unk, carry=carried)
+    return ids.withColumn("prompt_ids", F.when(F.col("__led"), F.concat(
+        F.array(F.lit(spec.bos)), "prompt_ids")).otherwise(F.col("prompt_ids"))).drop("__led")
+
+
+def truncated_share(pairs: DataFrame, by=None) -> DataFrame:
+    """Rows, truncated rows and their share."""
+    n, cut = F.count(F.lit(1)), F.sum(F.col("truncated").cast("bigint"))
+    return pairs.groupBy(*([by] if isinstance(by, str) else by or [])).agg(
+        n.alias("n_rows"), cut.alias("n_truncated"), (cut / n).alias("truncated_share"))
+
+
 def completion_only(df: DataFrame, ids="input_ids", marker_ids=(),
                     out: str = "labels") -> DataFrame:
     """LAY5: labels = ids with everything up to the end of the *last*
@@ -197,5 +237,6 @@ def pad_generated(df: DataFrame, ids="generated_ids", max_length: int | None = N
 
 
 def limit_text(df: DataFrame, ids="input_ids", n: int = 1024) -> DataFrame:
-    """LAY13: cut a single id array to ``n``."""
+    """LAY13: cut a single array to ``n``: ids, or words before they are looked
+    up."""
     return df.withColumn(ids, A.truncate(ids, n))

@@ -2,16 +2,32 @@
 
 The prompt-lookup step of speculative decoding, re-aimed as data work:
 the candidate continuation of every sequence, how much of a candidate a
-stored continuation accepts, and tokens-per-second summaries of run logs.
-All per-row expressions are built-in array functions (no shuffle).
+stored continuation accepts, and token counts of run logs.  Per-row
+expressions are built-in array functions (no shuffle).
+
+Over a whole corpus the lookup is an index: for every n-gram that ``num_pred``
+ids follow, the continuation at its earliest place.  It is a table bucketed by
+n-gram, so probes are shuffled to it and it is never shuffled again.  Probes go
+through :mod:`tunesmith.operators.lookup`: a suffix that many sequences share is
+one probe for each batch of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunesmith.functions import arrays as A
+from tunesmith.operators.lookup import resolve
+from tunesmith.session import scratch_path
+from tunesmith.streaming.files import require_static
+
+#: buckets of an index
+BUCKETS = 64
 
 
 def continuation(df: DataFrame, ids="input_ids", max_ngram: int = 3,
@@ -21,6 +37,80 @@ def continuation(df: DataFrame, ids="input_ids", max_ngram: int = 3,
     return df.withColumn(out, A.continuation(ids, max_ngram, num_pred))
 
 
+@dataclass
+class NgramIndex:
+    """``table``: gram (its ids, joined by commas), hit (struct of place, that is
+    the keys and the 0-based position ``at``, and the ids following); one row
+    per n-gram, bucketed by it."""
+
+    table: DataFrame
+    name: str
+    path: str
+    keys: tuple[str, ...]
+    max_ngram: int
+    num_pred: int
+
+    @classmethod
+    def build(cls, df: DataFrame, key, ids: str = "input_ids", max_ngram: int = 3,
+              num_pred: int = 10, path: str | None = None, buckets: int = BUCKETS) -> "NgramIndex":
+        """Index all sequences of ``df``.  "Earliest" goes by ``key`` (nulls
+        first), then by position; of sequences with one key the smaller
+        continuation counts.  Grams are reduced before they are shuffled, so a
+        gram that all sequences hold is one row for each task.  ``path`` keeps
+        the index for later sessions (:meth:`load`)."""
+        require_static(df, "NgramIndex.build")
+        if num_pred <= max_ngram:
+            raise ValueError("num_pred must exceed max_ngram, or a suffix could continue itself")
+        keys = (key,) if isinstance(key, str) else tuple(key)
+        spark = df.sparkSession
+        sized = df.select(*keys, F.col(ids).alias("__ids"), F.size(ids).alias("__size"))
+        starts = F.when(F.col("__size") > num_pred, F.sequence(
+            F.lit(0), F.col("__size") - num_pred - 1)).otherwise(A.empty_ints())
+        at = sized.select("*", F.explode(starts).alias("at"))
+        grams = at.select(*keys, "at", "__ids", F.explode(F.sequence(
+            F.lit(1), F.least(F.lit(max_ngram), F.col("__size") - num_pred - F.col("at")))).alias("__n"))
+        grams = grams.select(A.ids_text(F.slice("__ids", F.col("at") + 1, F.col("__n"))).alias("gram"), F.struct(
+            *keys, "at", F.slice("__ids", F.col("at") + F.col("__n") + 1, num_pred)
+            .alias("following")).alias("first"))
+        first = grams.groupBy("gram").agg(F.min("first").alias("first")).select("gram", F.struct(
+            F.struct(*[F.col("first")[c].alias(c) for c in (*keys, "at")]).alias("place"),
+            F.col("first.following").alias("following")).alias("hit"))
+        path = path or scratch_path(spark, "ngram-index")
+        name = f"ngrams_{uuid.uuid4().hex[:12]}"
+        (first.repartition(buckets, "gram").write.bucketBy(buckets, "gram").sortBy("gram")
+         .option("path", path).mode("overwrite").saveAsTable(name))
+        return cls(spark.table(name), name, path, keys, max_ngram, num_pred)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, keys: dict, max_ngram: int = 3,
+             num_pred: int = 10, buckets: int = BUCKETS) -> "NgramIndex":
+        """An index kept at ``path``; ``keys``: name -> SQL type of the keys."""
+        name = f"ngrams_{uuid.uuid4().hex[:12]}"
+        place = ", ".join(f"`{k}`: {t}" for k, t in {**keys, "at": "int"}.items())
+        where = re.sub(r"(['\\])", r"\\\1", path)
+        spark.sql(f"CREATE TABLE {name} (gram string, "
+                  f"hit struct<place: struct<{place}>, following: array<int>>) USING parquet "
+                  f"CLUSTERED BY (gram) SORTED BY (gram) INTO {buckets} BUCKETS LOCATION '{where}'")
+        return cls(spark.table(name), name, path, tuple(keys), max_ngram, num_pred)
+
+    def probe(self, df: DataFrame, ids: str = "input_ids", out: str = "candidate",
+              place: str | None = None) -> DataFrame:
+        """``df`` with the ids that followed the earliest copy in the corpus of
+        a row's last n ids, for the largest n that has one; empty if none has.
+        ``place`` names a column for where that copy stands."""
+        suffixes = F.filter(F.array(*[F.when(F.size(ids) >= n, A.ids_text(A.keep_last(ids, n)))
+                                      for n in range(self.max_ngram, 0, -1)]), lambda g: g.isNotNull())
+        hits = resolve(df.withColumn("__hits", suffixes), "__hits", self.table, "gram", "hit")
+        hits = hits.withColumn("__hit", F.get(F.filter("__hits", lambda h: h.isNotNull()), 0))
+        extra = [F.col("__hit.place").alias(place)] if place else []
+        return hits.select(*[c for c in df.columns if c not in (out, place)], F.coalesce(
+            "__hit.following", A.empty_ints()).alias(out), *extra)
+
+    def drop(self) -> None:
+        """Forget the table's name; the files at ``path`` stay."""
+        self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def accepted_prefix(df: DataFrame, candidate="candidate", truth="truth",
                     cap="cap", out: str = "accepted") -> DataFrame:
     """NGR2: number of leading candidate ids that equal the truth, at most
@@ -29,12 +119,14 @@ def accepted_prefix(df: DataFrame, candidate="candidate", truth="truth",
 
 
 def run_summary(runs: DataFrame, prompt="prompt_ids", output="output_ids",
-                seconds="seconds", by=None) -> DataFrame:
-    """NGR3: generated tokens (output minus prompt) and tokens per second."""
+                seconds: str | None = None, by=None) -> DataFrame:
+    """NGR3: runs and generated tokens (output minus prompt).  Where the log has
+    measured ``seconds``, also their sum and tokens per second."""
     gen = F.size(output) - F.size(prompt)
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_runs"),
-            F.sum(gen).cast("bigint").alias("generated"),
-            F.sum(seconds).cast("double").alias("seconds"),
-            (F.sum(gen) / F.sum(seconds)).alias("tokens_per_second")]
+            F.sum(gen).cast("bigint").alias("generated")]
+    if seconds:
+        aggs += [F.sum(seconds).cast("double").alias("seconds"),
+                 (F.sum(gen) / F.sum(seconds)).alias("tokens_per_second")]
     grouped = runs.groupBy(by) if by else runs
     return grouped.agg(*aggs)

@@ -1,111 +1,79 @@
 """Row count, stable global positions, lookups, slices and fixed batches.
 
 A DataFrame has no order, so every positional operator takes explicit sort
-keys.  Positions are assigned without a single-partition window:
-
-1. range-partition on the keys and sort inside each partition,
-2. write that once, with partition number and index inside the partition,
-   as a parquet table in the shared checkpoint folder (the lineage is cut, so
-   positions stay fixed even if executors are lost),
-3. count rows per partition -- a table with one row per partition,
-4. running offsets over that tiny table, broadcast back (its size is the
-   partition count, a proven bound),
-5. position = offset + index inside the partition.
+keys.  Positions are numbers of keys, in two passes and without a
+single-partition window:
+
+1. the keys alone are range-partitioned, sorted and written once, with
+   partition number and index inside the partition, as a parquet table in the
+   shared checkpoint folder (the lineage is cut, so positions stay fixed even
+   if executors are lost);
+2. rows per partition are counted -- a table with one row per partition --
+   and running offsets broadcast back (its size is the partition count, a
+   proven bound): position = offset + index inside the partition;
+3. the rows themselves meet the number of their key when they are next read;
+   rows of one key take consecutive numbers.
+
+No column but the keys is ever written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunesmith.session import scratch_path
+from tunesmith.operators.order import SortKey, sort_keys
+from tunesmith.session import scratch_table
 from tunesmith.streaming.files import require_static
 
 _PID = "__pid"
 _LOCAL = "__local"
 
 
-def _sort_cols(order_by) -> list[Column]:
-    if isinstance(order_by, (str, Column)):
-        order_by = [order_by]
-    return [F.col(c).asc() if isinstance(c, str) else c for c in order_by]
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the relations ``df`` reads, from the optimizer's
-    statistics of its leaves (file sizes for scans); nothing is executed.
-    None when unavailable."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes()))
-                   for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - estimate only
-        return None
-
+def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
+    """POS1: one row with the number of rows (partial + final count)."""
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias(name))
 
-def spread(df: DataFrame, key=None) -> DataFrame:
-    """Hash-repartition ``df`` on ``key`` (round robin without one) over
-    all task slots when everything it reads is smaller than one file split.
 
-    Such an input is scanned by a single task, and the explode or per-row
-    metric that follows would run on one core.  Larger inputs are already
-    split by their scan (or by an earlier shuffle) and are returned
-    unchanged, so this adds no shuffle at scale.  The decision uses the
-    optimizer's leaf statistics only: counting partitions of an adaptive
-    plan would execute its upstream stages.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
-    limit_bytes = _parse_bytes(limit)
-    size = input_bytes(df)
-    if size is None or size > limit_bytes:
-        return df
-    keys = [key] if isinstance(key, str) else list(key or [])
-    return df.repartition(spark.sparkContext.defaultParallelism, *keys)
-
-
-def _parse_bytes(text: str) -> int:
-    text = str(text).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("b", ""):
-        for u, mult in units.items():
-            if text.endswith(u + suffix) and text[:-len(u + suffix)].isdigit():
-                return int(text[:-len(u + suffix)]) * mult
-    return int(text.rstrip("b"))
+def plan_bytes(df: DataFrame) -> int | None:
+    """The optimizer's estimate of ``df``'s size, None where it has none;
+    nothing is executed."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else None
 
 
-def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
-    """POS1: one row with the number of rows (partial + final count)."""
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias(name))
+def ranged_keys(df: DataFrame, keys: list[SortKey], names: list[str], num_partitions: int | None = None,
+                partition_bytes: int | None = None) -> DataFrame:
+    """The columns ``names`` of ``df``, that hold the values of ``keys``, in
+    range partitions, sorted and written with their place (``__pid``,
+    ``__local``)."""
+    narrow = df.select(*names)
+    if num_partitions is None and partition_bytes is not None:
+        size = plan_bytes(narrow)
+        num_partitions = None if size is None else max(1, -(-size // partition_bytes))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [k.column(name) for k, name in zip(keys, names)]
+    pid = F.spark_partition_id()
+    return scratch_table(narrow.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+        "*", pid.alias(_PID), (F.monotonically_increasing_id()
+                               - F.shiftleft(pid.cast("bigint"), 33)).alias(_LOCAL)), "positions")
 
 
 def with_position(df: DataFrame, order_by, name: str = "pos",
-                  num_partitions: int | None = None,
-                  total: str | None = None) -> DataFrame:
-    """POS2: add a 0-based position in ``order_by`` order (keys unique).
-
-    ``total`` optionally names a column that receives the row count.
-    The range-partitioned rows are written once, together with their
-    partition number and index inside the partition, as a parquet table in
-    the shared checkpoint folder; everything after that reads the table, so
-    a lost executor never changes a position.
+                  num_partitions: int | None = None, total: str | None = None,
+                  partition_bytes: int | None = None) -> DataFrame:
+    """POS2: add a 0-based position in ``order_by`` order.
+
+    ``total`` optionally names a column that receives the row count.  The
+    keys go to ``num_partitions`` range partitions, else to as many as their
+    estimated size over ``partition_bytes``, else to the session's shuffle
+    partitions.  Rows of one key are in no particular order.
     """
     require_static(df, "with_position")
-    spark = df.sparkSession
-    keys = _sort_cols(order_by)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .select("*",
-                        F.spark_partition_id().alias(_PID),
-                        (F.monotonically_increasing_id()
-                         - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-                         ).alias(_LOCAL)))
-    path = scratch_path(spark, "positions")
-    ranged.write.mode("overwrite").parquet(path)
-    local = spark.read.parquet(path)
+    keys = sort_keys(order_by)
+    names = [f"__k{i}" for i in range(len(keys))]
+    keyed = df.select("*", *[k.value.alias(n) for k, n in zip(keys, names)])
+    local = ranged_keys(keyed, keys, names, num_partitions, partition_bytes)
     counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: bounded by the partition count
     w = Window.orderBy(_PID)
@@ -115,12 +83,23 @@ def with_position(df: DataFrame, order_by, name: str = "pos",
             w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__offset"),
         F.sum("__n").over(Window.partitionBy(F.lit(1))).alias("__total"))
-    out = local.join(F.broadcast(offsets), _PID, "left")
-    extra = [(F.col("__offset") + F.col(_LOCAL)).cast("bigint").alias(name)]
+    number = (F.col("__offset") + F.col(_LOCAL)).cast("bigint")
+    held = {k.name: n for k, n in zip(keys, names)}
+    if set(df.columns) <= set(held):
+        # the keys are the whole rows
+        out = [F.col(held[c]).alias(c) for c in df.columns] + [number.alias(name)]
+        return local.join(F.broadcast(offsets), _PID).select(
+            *out, *([F.col("__total").cast("bigint").alias(total)] if total else []))
+    key = F.struct(*names).alias("__key")
+    first = local.join(F.broadcast(offsets), _PID).select(
+        key, number.alias("__pos"), "__total").groupBy("__key").agg(
+        F.min("__pos").alias("__pos"), F.first("__total").alias("__total"))
+    rows = keyed.withColumn("__key", key).drop(*names).join(first, "__key")
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key")) - 1
+    extra = [(F.col("__pos") + nth).cast("bigint").alias(name)]
     if total:
-        extra.append(F.coalesce(F.col("__total"), F.lit(0)).cast("bigint")
-                     .alias(total))
-    return out.select(*df.columns, *extra)
+        extra.append(F.col("__total").cast("bigint").alias(total))
+    return rows.select(*df.columns, *extra)
 
 
 def row_at(df: DataFrame, i: int, pos: str = "pos") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunesmith.functions import templates as T
+from tunesmith.functions.text import words
 
 
 def qa_prompt(df: DataFrame, instruction="instruction", output="output",
@@ -78,13 +79,43 @@ def history_prompt(df: DataFrame, key="conv_id", turn="turn", role="role",
     """
     w = (Window.partitionBy(key).orderBy(turn)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    piece = T.chatml_message(F.col(role), F.col(text))
+    piece = T.whole_message(role, text)
     hist = F.array_join(F.collect_list(piece).over(w), "")
     if add_generation_prompt:
         hist = F.concat(hist, T.generation_header())
     return df.withColumn(out, hist)
 
 
+def history_column(df: DataFrame, history="history", prompt="prompt", out="prompt",
+                   max_tokens: int | None = None) -> DataFrame:
+    """PRM9 for rows that carry their history: ChatML of an
+    ``array<struct<user,assistant>>``, then the prompt and the generation header.
+
+    With ``max_tokens`` the oldest exchanges go until the words of the rest fit;
+    the prompt itself always stays.  Row by row: no window, and nothing is looked up
+    for what is cut.  A null history is empty; null texts are empty messages.
+    """
+    pieces = F.transform(F.coalesce(F.col(history), F.array()), lambda h: F.concat(
+        T.whole_message(F.lit("user"), h["user"]), T.whole_message(F.lit("assistant"), h["assistant"])))
+    now = F.concat(T.whole_message(F.lit("user"), prompt), T.generation_header())
+    rows = df.withColumns({"__pieces": pieces, "__now": now})
+    kept = F.col("__pieces")
+    if max_tokens is not None:
+        rows = rows.withColumns({"__sizes": F.transform("__pieces", lambda p: F.size(words(p))),
+                                 "__used": F.size(words("__now"))})
+
+        def fits(acc, size):
+            more = acc["open"] & (acc["used"] + size <= max_tokens)
+            return F.struct(F.when(more, acc["used"] + size).otherwise(acc["used"]).alias("used"),
+                            F.when(more, acc["n"] + 1).otherwise(acc["n"]).alias("n"), more.alias("open"))
+
+        start = F.struct(F.col("__used").alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+        rows = rows.withColumn("__n", F.aggregate(F.reverse("__sizes"), start, fits, lambda a: a["n"]))
+        kept = F.slice("__pieces", F.size("__pieces") - F.col("__n") + 1, F.col("__n"))
+    return rows.withColumn(out, F.concat(F.array_join(kept, ""), "__now")).drop(
+        "__pieces", "__now", "__sizes", "__used", "__n")
+
+
 def code_edit_prompt(df: DataFrame, code="code", question="question",
                      out="prompt") -> DataFrame:
     """PRM10: ``[INST] Code:`` + fenced code + question + ``[/INST]``."""

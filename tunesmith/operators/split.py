@@ -6,7 +6,6 @@ data is partitioned, so reruns after executor loss give the same result.
 
 from __future__ import annotations
 
-import math
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.config import DEFAULT_SEED, HOLDOUT_FRACTION, TRAIN_FRACTION
 from tunesmith.operators.position import with_position
+from tunesmith.operators.select import divided
 
 
 def seeded_hash(key, seed: int = DEFAULT_SEED) -> Column:
@@ -36,18 +36,18 @@ def train_eval_split(df: DataFrame, key: str, frac: float = TRAIN_FRACTION,
     """SPL1: ``frac`` of the rows to ``labels[0]``, the rest to ``labels[1]``.
 
     Default: narrow hash test, no shuffle, expected share ``frac``.
-    ``exact=True``: positions in hash order, first ``ceil(frac*n)`` rows.
+    ``exact=True``: the first ``ceil(frac*n)`` rows in hash order, by selection
+    of the last one's hash.
     """
     if not exact:
         cond = seeded_hash(key, seed) < F.lit(hash_threshold(frac))
         return df.withColumn(name, F.when(cond, labels[0]).otherwise(labels[1]))
-    ranked = with_position(df.withColumn("__h", seeded_hash(key, seed)),
-                           [F.col("__h").asc(), F.col(key).asc()],
-                           name="__pos", total="__n")
-    cut = F.ceil(F.col("__n") * F.lit(frac))
-    return (ranked.withColumn(name, F.when(F.col("__pos") < cut, labels[0])
-                              .otherwise(labels[1]))
-                  .drop("__h", "__pos", "__n"))
+    hashed = df.withColumn("__h", seeded_hash(key, seed))
+    share = Fraction(str(frac))
+    up = F.lit(share.denominator)
+    rows = divided(hashed, ["__h", key], lambda n: F.floor(
+        (n * F.lit(share.numerator) + up - 1) / up).cast("bigint"))
+    return rows.withColumn(name, F.when(F.col("__in"), labels[0]).otherwise(labels[1])).drop("__h", "__in")
 
 
 def shuffle(df: DataFrame, key: str, seed: int = DEFAULT_SEED,
@@ -86,7 +86,3 @@ def shard_holdout(df: DataFrame, shard: str = "shard",
     if cap is not None and 2 * cap <= 100_000:
         chosen = F.broadcast(chosen)
     return df.join(chosen, shard, "inner")
-
-
-def expected_train_rows(n: int, frac: float = TRAIN_FRACTION) -> int:
-    return math.ceil(n * frac)

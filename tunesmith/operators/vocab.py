@@ -4,38 +4,25 @@ The reference loads pretrained tokenizers; here the vocabulary is built from
 the data: whitespace words counted over the whole corpus, ids by
 (count desc, token asc) after four reserved ids.
 
-Lookups are joins.  Frequent words make the join key skewed (one word can be
-a large share of all tokens), so a lookup never shuffles those rows on the
-word:
-
-* the *head* of the vocabulary -- the ``head_size`` most frequent words, each
-  at most ``HEAD_TOKEN_CHARS`` long, a proven size bound -- is broadcast;
-* rows it resolves get a spread-out salt key that cannot match, and only the
-  remaining (rare-word) rows meet the *tail* in a shuffle join.
-
-When the whole vocabulary is within the head bound, or its measured size
-(words and bytes, one small aggregate) is under ``broadcast_bytes``, only
-the broadcast runs.
+Encoding and decoding look the elements of whole arrays up by the distinct
+elements of each batch of rows (:mod:`tunesmith.operators.lookup`), so a frequent
+word is one entry for each batch, no row per token is shuffled and rows keep
+their identity.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunesmith.config import BOS_ID, EOS_ID, FIRST_WORD_ID, PAD_ID, UNK_ID
 from tunesmith.functions.text import words
-from tunesmith.operators.position import spread, with_position
+from tunesmith.operators.lookup import resolve
+from tunesmith.operators.position import with_position
 from tunesmith.streaming.files import require_static
 
-HEAD_SIZE = 1 << 16
-HEAD_TOKEN_CHARS = 64
-# A whole vocabulary is broadcast only when its measured size is below this.
-BROADCAST_BYTES = 64 << 20
-ROW_OVERHEAD_BYTES = 32
-SALT_BUCKETS = 4096
 # Printable names of the reserved ids.
 SPECIAL_TOKENS = {PAD_ID: "<pad>", EOS_ID: "</s>", BOS_ID: "<s>", UNK_ID: "<unk>"}
 
@@ -46,29 +33,6 @@ class Vocabulary:
     position table (or a saved vocabulary)."""
 
     table: DataFrame
-    head_size: int = HEAD_SIZE
-    broadcast_bytes: int = BROADCAST_BYTES
-    _stats: tuple | None = field(default=None, repr=False)
-
-    def stats(self) -> tuple[int, int, int]:
-        """(words, longest word, total UTF-8 bytes) -- one small aggregate."""
-        if self._stats is None:
-            r = self.table.agg(F.count(F.lit(1)),
-                               F.coalesce(F.max(F.length("token")), F.lit(0)),
-                               F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
-            self._stats = (int(r[0]), int(r[1]), int(r[2]))
-        return self._stats
-
-    def size_bytes(self) -> int:
-        n, _longest, text = self.stats()
-        return text + n * ROW_OVERHEAD_BYTES
-
-    def fits_broadcast(self) -> bool:
-        """True when the whole table has a measured size under the budget."""
-        n, longest, _text = self.stats()
-        if n <= self.head_size and longest <= HEAD_TOKEN_CHARS:
-            return True
-        return self.size_bytes() <= self.broadcast_bytes
 
     def save(self, path: str, mode: str = "overwrite") -> None:
         """Write the vocabulary (token, count, id) as a parquet table, so
@@ -76,27 +40,20 @@ class Vocabulary:
         self.table.write.mode(mode).parquet(path)
 
     @classmethod
-    def load(cls, spark, path: str, head_size: int = HEAD_SIZE) -> "Vocabulary":
+    def load(cls, spark, path: str) -> "Vocabulary":
         """Read a vocabulary written by :meth:`save`."""
-        return cls(spark.read.schema("token string, count bigint, id int").parquet(path),
-                   head_size)
-
-    def head(self) -> DataFrame:
-        return self.table.filter(
-            (F.col("id") < FIRST_WORD_ID + self.head_size)
-            & (F.length("token") <= HEAD_TOKEN_CHARS))
+        return cls(spark.read.schema("token string, count bigint, id int").parquet(path))
 
 
 def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1,
-                max_size: int | None = None, head_size: int = HEAD_SIZE) -> Vocabulary:
+                max_size: int | None = None) -> Vocabulary:
     """TOK1: word counts over the whole corpus and ids by rank.
 
     Counting is a partial + final hash aggregate (a frequent word is reduced
     map-side); ranking uses range-partitioned positions, not one task.
     """
     require_static(df, "build_vocab")
-    counts = (spread(df.select(text)).select(F.explode(words(text)).alias("token"))
-                .groupBy("token")
+    counts = (df.select(F.explode(words(text)).alias("token")).groupBy("token")
                 .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     if min_count > 1:
         counts = counts.filter(F.col("count") >= min_count)
@@ -106,35 +63,7 @@ def build_vocab(df: DataFrame, text: str = "text", min_count: int = 1,
         ranked = ranked.filter(F.col("rank") < max_size)
     table = ranked.select("token", "count",
                           (F.col("rank") + FIRST_WORD_ID).cast("int").alias("id"))
-    return Vocabulary(table, head_size)
-
-
-def _salt(cols, as_string: bool) -> Column:
-    bucket = F.pmod(F.xxhash64(*cols), F.lit(SALT_BUCKETS))
-    if as_string:
-        return F.concat(F.lit("\u0000#"), bucket.cast("string"))
-    return -(bucket + 1000)
-
-
-def _lookup(df: DataFrame, key: str, vocab: Vocabulary, table_key: str,
-            value: str, out: str, salt_cols) -> DataFrame:
-    """Left-join ``vocab.table[value]`` onto ``df`` by ``df[key] ==
-    table[table_key]``, broadcasting the head and salting resolved rows."""
-    if vocab.fits_broadcast():
-        t = vocab.table.select(F.col(table_key).alias("__k"), F.col(value).alias(out))
-        return (df.join(F.broadcast(t), F.col(key) == F.col("__k"), "left")
-                  .drop("__k"))
-    head = vocab.head().select(F.col(table_key).alias("__hk"),
-                               F.col(value).alias("__hv"))
-    tail = vocab.table.select(F.col(table_key).alias("__tk"),
-                              F.col(value).alias("__tv"))
-    as_string = table_key == "token"
-    j = df.join(F.broadcast(head), F.col(key) == F.col("__hk"), "left")
-    jk = F.when(F.col("__hk").isNull() & F.col(key).isNotNull(), F.col(key)) \
-          .otherwise(_salt(salt_cols, as_string))
-    j = j.withColumn("__jk", jk).join(tail, F.col("__jk") == F.col("__tk"), "left")
-    return (j.withColumn(out, F.coalesce(F.col("__hv"), F.col("__tv")))
-             .drop("__hk", "__hv", "__jk", "__tk", "__tv"))
+    return Vocabulary(table)
 
 
 def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
@@ -144,40 +73,35 @@ def encode(df: DataFrame, key, columns: dict, vocab: Vocabulary,
 
     ``columns``: ``out_name -> (text_col, max_length or None, add_special)``.
     With ``add_special`` one ``bos`` id leads and counts in ``max_length``.
-    Words are cut to ``max_length`` *before* the explode, so a very long
-    text costs only what is kept.  ``key`` must be unique per row.
+    Words are cut to ``max_length`` before anything is looked up, so a very long
+    text costs only what is kept.  A null text has no words.  ``text_col`` may
+    also be a column of word arrays (see :func:`word_arrays`).
 
-    ``keep_input=True`` joins the ids back onto every input column (a
-    shuffle of the input).  ``carry`` instead passes a few small columns
-    (e.g. ``split``) through the regroup, and the output is key, carried
-    columns and ids only -- no join back.
+    The output has every input column and the ids; without ``keep_input`` (or
+    with ``carry``) only ``key``, the carried columns and the ids.  Rows are
+    rebuilt where they stand, so ``key`` need not be unique.
     """
     key = [key] if isinstance(key, str) else list(key)
-    parts = []
-    for i, (name, (src, max_len, special)) in enumerate(columns.items()):
-        toks = words(src)
+    kept = df.columns if keep_input and not carry else [*key, *[c for c in carry if c not in key]]
+    arrays = []
+    for name, (src, max_len, special) in columns.items():
+        held = df.schema[src].dataType.simpleString() == "array<string>"
+        toks = F.col(src) if held else words(src)
         if max_len is not None:
             toks = F.slice(toks, 1, max(max_len - (1 if special else 0), 0))
-        parts.append(F.struct(F.lit(i).alias("f"), toks.alias("t")))
-    carry = [c for c in carry if c not in key]
-    ex = (spread(df, key).select(*key, *carry, F.explode(F.array(*parts)).alias("__p"))
-            .select(*key, *carry, F.col("__p.f").alias("__f"),
-                    F.posexplode_outer("__p.t").alias("__pos", "__token")))
-    ided = _lookup(ex, "__token", vocab, "token", "id", "__id",
-                   [*key, "__f", "__pos"])
-    ided = ided.withColumn("__id", F.coalesce(F.col("__id"), F.lit(unk)))
-    aggs = []
-    for i, (name, (_src, _max, special)) in enumerate(columns.items()):
-        item = F.when((F.col("__f") == i) & F.col("__pos").isNotNull(),
-                      F.struct(F.col("__pos"), F.col("__id")))
-        ids = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["__id"])
-        if special:
-            ids = F.concat(F.array(F.lit(bos)), ids)
-        aggs.append(ids.alias(name))
-    grouped = ided.groupBy(*key).agg(*[F.first(c).alias(c) for c in carry], *aggs)
-    if not keep_input or carry:
-        return grouped
-    return df.join(grouped, key, "left")
+        arrays.append(F.coalesce(toks, F.array().cast("array<string>")).alias(name))
+    rows = df.select(*[c for c in kept if c not in columns], *arrays)
+    found = resolve(rows, list(columns), vocab.table, "token", "id")
+    for name, (_src, _max, special) in columns.items():
+        ids = F.transform(name, lambda x: F.coalesce(x, F.lit(unk)))
+        found = found.withColumn(name, F.concat(F.array(F.lit(bos)), ids) if special else ids)
+    return found
+
+
+def word_arrays(df: DataFrame, columns: dict) -> DataFrame:
+    """``df`` with a column of words for each ``out -> text column``: lengths and
+    cuts can be decided on them before any id is looked up."""
+    return df.withColumns({out: words(src) for out, src in columns.items()})
 
 
 def decode(df: DataFrame, key, ids, vocab: Vocabulary,
@@ -187,36 +111,22 @@ def decode(df: DataFrame, key, ids, vocab: Vocabulary,
     printed by name), negative ids (label sentinels) are always skipped.
 
     ``ids`` is one id column (output ``out``) or a dict ``out -> id column``
-    to decode several columns in one explode, lookup and regroup."""
+    to decode several columns in one pass.  Ids that are skipped are filtered
+    out of the arrays before anything is looked up."""
     key = [key] if isinstance(key, str) else list(key)
     cols = dict(ids) if isinstance(ids, dict) else {out: ids}
-    parts = [F.struct(F.lit(i).alias("f"), F.col(c).cast("array<bigint>").alias("a"))
-             for i, c in enumerate(cols.values())]
-    ex = (spread(df.select(*key, *set(cols.values())), key)
-          .select(*key, F.explode(F.array(*parts)).alias("__p"))
-          .select(*key, F.col("__p.f").alias("__f"),
-                  F.posexplode_outer("__p.a").alias("__pos", "__id")))
-    words_ = _lookup(ex, "__id", vocab, "id", "token", "__tok",
-                     [*key, "__f", "__pos"])
-    if skip_special:
-        keep = F.col("__id") >= FIRST_WORD_ID
-        tok = F.col("__tok")
-    else:
-        keep = F.col("__id") >= 0
-        special = F.try_element_at(
-            F.create_map(*[x for k, v in SPECIAL_TOKENS.items()
-                           for x in (F.lit(k), F.lit(v))]), F.col("__id").cast("int"))
-        tok = F.coalesce(F.col("__tok"), special)
-    aggs = []
-    for i, name in enumerate(cols):
-        item = F.when((F.col("__f") == i) & keep & tok.isNotNull(),
-                      F.struct(F.col("__pos"), tok.alias("t")))
-        aggs.append(F.array_join(F.transform(F.array_sort(F.collect_list(item)),
-                                             lambda x: x["t"]), " ").alias(name))
-    grouped = words_.groupBy(*key).agg(*aggs)
-    if not keep_input:
-        return grouped
-    return df.join(grouped, key, "left")
+    least = FIRST_WORD_ID if skip_special else 0
+    arrays = [F.filter(F.coalesce(F.col(c), F.array().cast("array<int>")).cast("array<bigint>"),
+                       lambda x: x >= least).alias(name) for name, c in cols.items()]
+    rows = df.select(*[c for c in (df.columns if keep_input else key) if c not in cols], *arrays)
+    table = vocab.table.select(F.col("id").cast("bigint").alias("id"), "token")
+    if not skip_special:
+        named = F.explode(F.create_map(*[x for k, v in SPECIAL_TOKENS.items()
+                                         for x in (F.lit(k).cast("bigint"), F.lit(v))]))
+        table = table.union(df.sparkSession.range(1).select(named.alias("id", "token")))
+    found = resolve(rows, list(cols), table, "id", "token")
+    # unknown ids resolve to null, which a join of words leaves out
+    return found.withColumns({name: F.array_join(name, " ") for name in cols})
 
 
 def preview(df: DataFrame, key, vocab: Vocabulary, ids: str = "input_ids",

@@ -135,9 +135,8 @@ def snk1(spark, d):
     path = scratch_path(spark, "shards")
     docs = V.documents(spark, d).select("doc_id", "text", SP.seeded_hash("doc_id").alias("__h"))
     S.write_shards(docs, path, [F.col("__h").asc(), F.col("doc_id").asc()], drop=("__h",))
-    # the shard folder comes back as a partition column
-    schema = T.StructType(DOC_SCHEMA.fields + [T.StructField("shard", T.LongType())])
-    return R.read_csv(spark, [path], schema).select("doc_id", "shard", "text")
+    # the shard comes back from the folder and the file's place in it
+    return S.read_shards(spark, path, DOC_SCHEMA).select("doc_id", "shard", "text")
 
 
 @query("snk2_overwrite", """
@@ -179,6 +178,55 @@ def snk4(spark, d):
     return out.withColumn("eval_chars", F.round("eval_chars", 6))
 
 
+_PHASES = """SELECT run, phase, split, count(*) AS n, avg(x) AS mean FROM (
+  SELECT 'a' AS run, 'eval' AS phase, {0} AS split, n_chars AS x FROM documents
+  UNION ALL SELECT 'a', 'test', {0}, 2 * n_chars FROM documents
+  UNION ALL SELECT 'b', 'eval', {0}, n_chars FROM documents) GROUP BY run, phase, split"""
+
+
+@query("snk4_metrics_store", f"""
+SELECT run, phase, split, concat(phase, '_samples') AS metric, CAST(n AS DOUBLE) AS value
+FROM ({_PHASES.format(_split_case('doc_id'))})
+UNION ALL
+SELECT run, phase, split, concat(phase, '_chars') AS metric, round(mean, 6) AS value
+FROM ({_PHASES.format(_split_case('doc_id'))})
+""")
+def snk4_store(spark, d):
+    """Three phases of two runs; the first is run twice and stands once."""
+    store = scratch_path(spark, "metrics")
+    docs = SP.train_eval_split(V.documents(spark, d).select("doc_id", "n_chars"), "doc_id")
+    twice = docs.withColumn("n_chars", F.col("n_chars") * 2)
+    for run, phase, rows in (("a", "eval", twice), ("a", "test", twice), ("b", "eval", docs),
+                             ("a", "eval", docs)):
+        S.save_metrics(S.run_metrics(rows, phase, metrics={"chars": "n_chars"}), store, run)
+    return S.read_metrics(spark, store).withColumn("value", F.round("value", 6))
+
+
+BROKEN_EVERY = 7
+
+
+@query("src2_rejects", f"""
+SELECT CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN 'rejected' ELSE 'kept' END AS kind, count(*) AS n,
+       CAST(sum(CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN length(text) ELSE conv_id END) AS BIGINT) AS checksum
+FROM conversations GROUP BY 1
+""")
+def src2_rejects(spark, d):
+    """Every turn of some conversations is written as a line that is no record."""
+    path = scratch_path(spark, "json-broken")
+    conv = V.conversations(spark, d)
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    # the text stands after the record, without line breaks
+    broken = F.concat(line, F.regexp_replace("text", r"[^\n]|\n", "#"))
+    conv.select(F.when(F.col("conv_id") % BROKEN_EVERY == 0, broken).otherwise(line).alias("value")) \
+        .write.mode("overwrite").text(path)
+    kept = R.read_json(spark, [path], TURN_SCHEMA, on_error="reject").agg(
+        F.lit("kept").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("conv_id").alias("checksum"))
+    junk = F.length(F.regexp_extract("record", "#*$", 0))
+    bad = R.json_rejects(spark, [path], TURN_SCHEMA).agg(
+        F.lit("rejected").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum(junk).alias("checksum"))
+    return kept.unionByName(bad).filter("n > 0")
+
+
 @query("str1_stream_jsonl", """
 SELECT conv_id, instruction, output[length(instruction) % 2 + 1] AS answer,
        length(instruction) % 2 = 0 AS label
@@ -187,7 +235,7 @@ FROM v_comparison
 def str1(spark, d):
     src = scratch_path(spark, "stream-in")
     V.comparison_view(spark, d).repartition(4, "conv_id").write.mode("overwrite").json(src)
-    stream = ST.stream_jsonl(spark, src, COMPARISON_SCHEMA, max_files_per_trigger=1)
+    stream = ST.stream_jsonl(spark, src, COMPARISON_SCHEMA)
     picked = PR.parity_pick(stream).select("conv_id", "instruction", "answer", "label")
     sink = scratch_path(spark, "stream-out")
     ST.run_available(picked, sink, scratch_path(spark, "stream-ckpt"))

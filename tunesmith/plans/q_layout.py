@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tunesmith.config import TokenSpec
+from tunesmith.config import PREF_MAX_TARGET_LENGTH, TokenSpec
 from tunesmith.functions import arrays as A
 from tunesmith.functions import templates as T
 from tunesmith.operators import filters as FL
@@ -17,6 +17,7 @@ from tunesmith.plans import views as V
 from tunesmith.plans.oracle import encode_sql, md5_key, view, words
 from tunesmith.plans.q_tokens import conversation_vocab
 from tunesmith.plans.registry import query
+from tunesmith.session import scratch_table
 
 KEY = ["conv_id", "turn"]
 
@@ -129,10 +130,13 @@ USING (conv_id, turn)
 """, ("v_context", "v_vocab"))
 
 
-def causal(spark, d):
+def contexts(spark, d):
     ctx = PM.context_target(V.instruction_view(spark, d)).select(*KEY, "context", "target")
-    ctx = FL.drop_null(ctx)
-    return LA.causal_rows(ctx, KEY, conversation_vocab(spark, d))
+    return FL.drop_null(ctx)
+
+
+def causal(spark, d):
+    return LA.causal_rows(contexts(spark, d), KEY, conversation_vocab(spark, d))
 
 
 @query("lay3_causal_rows", f"""
@@ -160,8 +164,9 @@ FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) + 1 AS L,
             FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos FROM v_causal)))
 """)
 def lay6(spark, d):
-    rows = PO.with_batch_id(PO.with_position(causal(spark, d), KEY), COLLATE_BATCH)
-    out = LA.collate(rows)
+    # batches are numbered before the ids are there
+    rows = PO.with_batch_id(PO.with_position(contexts(spark, d), KEY), COLLATE_BATCH)
+    out = LA.collate(LA.causal_rows(rows, KEY, conversation_vocab(spark, d)))
     pos = F.concat_ws("|", A.ids_text(F.get("position_ids", 0)),
                       A.ids_text(F.get("position_ids", 1)))
     return out.select(*KEY, "batch_id", F.col("row_in_batch").cast("bigint"),
@@ -214,8 +219,10 @@ FROM (SELECT *, sp // 200 AS mega_batch
             FROM v_causal))
 """)
 def lay11(spark, d):
-    rows = causal(spark, d).withColumn("row_key", F.col("conv_id") * 1000 + F.col("turn"))
-    out = LA.length_grouped(rows, "row_key", 4, F.size("input_ids"))
+    rows = scratch_table(causal(spark, d).select(
+        *KEY, (F.col("conv_id") * 1000 + F.col("turn")).alias("row_key"),
+        F.size("input_ids").alias("length")), "lengths")
+    out = LA.length_grouped(rows, "row_key", 4, "length")
     return out.select(*KEY, "mega_batch", "batch")
 
 
@@ -264,7 +271,7 @@ PAD_TO = 129  # max_new_tokens + 1 with the default target length 128
 
 @query("lay9_pad_to", f"""
 SELECT conv_id, turn, {s(f"list_resize(ids, greatest(len(ids), {PAD_TO}), 0)")} AS padded
-FROM {encode_sql("conversations", KEY, "text", 1024, True)}
+FROM {encode_sql("conversations", KEY, "text", None, True)}
 """)
 def lay9(spark, d):
     conv = V.conversations(spark, d).select(*KEY, "text")
@@ -275,8 +282,7 @@ def lay9(spark, d):
 
 
 view("v_runs", f"""
-SELECT p.conv_id, p.turn, p.p AS prompt_ids, list_concat(p.p, o.o) AS output_ids,
-       1 + p.turn AS seconds
+SELECT p.conv_id, p.turn, p.p AS prompt_ids, list_concat(p.p, o.o) AS output_ids
 FROM {encode_sql("v_predictions", KEY, "labels", None, True, out="p")} p
 JOIN {encode_sql("v_predictions", KEY, "predict", None, False, out="o")} o
 USING (conv_id, turn)
@@ -284,16 +290,14 @@ USING (conv_id, turn)
 
 
 def runs(spark, d):
-    """``v_runs``: per assistant turn, prompt ids (the user turn), output ids
-    (prompt followed by the answer) and synthetic seconds ``1 + turn``."""
+    """``v_runs``: per assistant turn, prompt ids (the user turn) and output ids
+    (prompt followed by the answer)."""
     preds, refs = V.prediction_view(spark, d)
     pairs = preds.join(refs, KEY, "inner")
     enc = VO.encode(pairs, KEY, {"prompt_ids": ("labels", None, True),
                                  "__o": ("predict", None, False)},
                     conversation_vocab(spark, d), keep_input=False)
-    return (enc.withColumn("output_ids", F.concat("prompt_ids", "__o"))
-               .withColumn("seconds", (F.col("turn") + 1).cast("double"))
-               .drop("__o"))
+    return enc.withColumn("output_ids", F.concat("prompt_ids", "__o")).drop("__o")
 
 
 @query("lay10_strip_prompt", f"""
@@ -312,25 +316,19 @@ FROM {encode_sql("documents", ["doc_id"], "text", 1024, True, vocab="v_doc_vocab
 def lay13(spark, d):
     docs = V.documents(spark, d).select("doc_id", "text")
     vocab = VO.build_vocab(docs, "text")
-    enc = VO.encode(docs, "doc_id", {"input_ids": ("text", None, True)}, vocab,
+    # the words are cut, with room for the leading id, before the lookup
+    cut = LA.limit_text(VO.word_arrays(docs, {"input_ids": "text"}), "input_ids", 1023)
+    out = VO.encode(cut, "doc_id", {"input_ids": ("input_ids", None, True)}, vocab,
                     keep_input=False)
-    out = LA.limit_text(enc, "input_ids", 1024)
     return out.select("doc_id", F.size("input_ids").cast("bigint").alias("n_ids"),
                       A.ids_text("input_ids").alias("input_ids"))
 
 
 # -- LAY12 ------------------------------------------------------------------
 
-def _pair_ids(spark, d):
-    pairs = PR.split_pair(V.comparison_view(spark, d))
-    return VO.encode(pairs, "conv_id", {"prompt_ids": ("prompt", None, True),
-                                        "chosen_ids": ("chosen", None, False),
-                                        "rejected_ids": ("rejected", None, False)},
-                     conversation_vocab(spark, d))
-
-
-def _limit_pair_sql(max_length: int, max_prompt: int) -> str:
+def _limit_pair_sql(max_length: int, max_prompt: int, max_target: int | None = None) -> str:
     keep = max_length - max_prompt
+    cut = "" if max_target is None else f"[1:{max_target}]"
     return f"""
 SELECT conv_id, {s('p2')} AS prompt_ids,
        {s(f'CASE WHEN len(p2) + greatest(len(c), len(r)) > {max_length} THEN c[1:{keep}] ELSE c END')} AS chosen_ids,
@@ -338,16 +336,21 @@ SELECT conv_id, {s('p2')} AS prompt_ids,
        truncated
 FROM (SELECT conv_id, c, r, over AS truncated,
              CASE WHEN over THEN p[greatest(len(p) - {max_prompt} + 1, 1):] ELSE p END AS p2
-      FROM (SELECT p.conv_id, p.p, c.c, r.r, len(p.p) + greatest(len(c.c), len(r.r)) > {max_length} AS over
-            FROM {encode_sql("v_comparison", ["conv_id"], "instruction", None, True, out="p")} p
-            JOIN {encode_sql("v_comparison", ["conv_id"], "output[1]", None, False, out="c")} c USING (conv_id)
-            JOIN {encode_sql("v_comparison", ["conv_id"], "output[2]", None, False, out="r")} r USING (conv_id)))
+      FROM (SELECT *, len(p) + greatest(len(c), len(r)) > {max_length} AS over
+            FROM (SELECT p.conv_id, p.p, c.c{cut} AS c, r.r{cut} AS r
+                  FROM {encode_sql("v_comparison", ["conv_id"], "instruction", None, True, out="p")} p
+                  JOIN {encode_sql("v_comparison", ["conv_id"], "output[1]", None, False, out="c")} c USING (conv_id)
+                  JOIN {encode_sql("v_comparison", ["conv_id"], "output[2]", None, False, out="r")} r USING (conv_id))))
 """
 
 
-def _lay12(spark, d, max_length, max_prompt):
-    out = LA.limit_pair(_pair_ids(spark, d), max_length=max_length,
-                        max_prompt_length=max_prompt)
+def _pair_rows(spark, d, max_length, max_prompt, max_target=None):
+    return LA.pair_rows(PR.split_pair(V.comparison_view(spark, d)), "conv_id", conversation_vocab(spark, d),
+                        max_length=max_length, max_prompt_length=max_prompt, max_target_length=max_target)
+
+
+def _lay12(spark, d, *limits):
+    out = _pair_rows(spark, d, *limits)
     return out.select("conv_id", A.ids_text("prompt_ids").alias("prompt_ids"),
                       A.ids_text("chosen_ids").alias("chosen_ids"),
                       A.ids_text("rejected_ids").alias("rejected_ids"), "truncated")
@@ -363,6 +366,21 @@ def lay12_tight(spark, d):
     return _lay12(spark, d, 160, 24)
 
 
+@query("lay12_limit_pair_target", _limit_pair_sql(140, 24, PREF_MAX_TARGET_LENGTH))
+def lay12_target(spark, d):
+    return _lay12(spark, d, 140, 24, PREF_MAX_TARGET_LENGTH)
+
+
+@query("lay12_truncated_share", f"""
+SELECT count(*) AS n_rows, CAST(sum(CASE WHEN truncated THEN 1 ELSE 0 END) AS BIGINT) AS n_truncated,
+       round(sum(CASE WHEN truncated THEN 1 ELSE 0 END) / count(*), 6) AS truncated_share
+FROM ({_limit_pair_sql(160, 24)})
+""")
+def lay12_share(spark, d):
+    out = LA.truncated_share(_pair_rows(spark, d, 160, 24))
+    return out.withColumn("truncated_share", F.round("truncated_share", 6))
+
+
 @query("lay2_seq2seq_eval_left", f"""
 SELECT conv_id, turn, batch_id,
        {s(cat(rep(0, 'L - len(a)'), 'a'))} AS input_ids,
@@ -415,7 +433,6 @@ WHERE pos = 0
 def pos6_labels(spark, d):
     """First seq2seq training row: ids, decoded inputs and decoded labels."""
     vocab = conversation_vocab(spark, d)
-    rows = LA.seq2seq_train(_instruction_pairs(spark, d), KEY, vocab)
-    first = PO.row_at(PO.with_position(rows.select(*KEY, "input_ids", "labels"), KEY), 0)
-    out = VO.preview(first, KEY, vocab)
+    first = PO.row_at(PO.with_position(_instruction_pairs(spark, d), KEY), 0).drop("pos")
+    out = VO.preview(LA.seq2seq_train(first, KEY, vocab), KEY, vocab)
     return out.select(*KEY, A.ids_text("input_ids").alias("input_ids"), "inputs", "label_text")

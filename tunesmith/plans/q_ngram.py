@@ -59,11 +59,39 @@ def ngr2(spark, d):
 
 
 @query("ngr3_run_summary", """
-SELECT count(*) AS n_runs, CAST(sum(len(output_ids) - len(prompt_ids)) AS BIGINT) AS generated,
-       CAST(sum(seconds) AS DOUBLE) AS seconds,
-       round(sum(len(output_ids) - len(prompt_ids)) / sum(seconds), 6) AS tokens_per_second
-FROM v_runs
+SELECT turn, count(*) AS n_runs, CAST(sum(len(output_ids) - len(prompt_ids)) AS BIGINT) AS generated
+FROM v_runs GROUP BY turn
 """)
 def ngr3(spark, d):
-    out = NG.run_summary(runs(spark, d))
-    return out.withColumn("tokens_per_second", F.round("tokens_per_second", 6))
+    """Token counts by turn; the tables hold no measured durations."""
+    return NG.run_summary(runs(spark, d), by="turn")
+
+
+def _gram_sql(n: int) -> str:
+    return f"array_to_string(ids[len(ids) - {n - 1}:], ',')"
+
+
+@query("ngr1_corpus_continuation", f"""
+WITH seqs AS (SELECT conv_id, turn, output_ids AS ids FROM v_runs),
+grams AS (
+  SELECT array_to_string(ids[p + 1:p + n], ',') AS gram,
+         min({{'conv_id': conv_id, 'turn': turn, 'p': p, 'f': ids[p + n + 1:p + n + 10]}}) AS hit
+  FROM (SELECT *, unnest(range(1, 4)) AS n
+        FROM (SELECT *, unnest(range(0, len(ids))) AS p FROM seqs))
+  WHERE p + n + 10 <= len(ids) GROUP BY 1)
+SELECT conv_id, turn, coalesce({s('hit.f')}, '') AS candidate, hit.conv_id AS from_conv,
+       hit.turn AS from_turn, hit.p AS from_at
+FROM (SELECT q.conv_id, q.turn, coalesce(c3.hit, c2.hit, c1.hit) AS hit
+      FROM seqs q
+      LEFT JOIN grams c3 ON len(ids) >= 3 AND c3.gram = {_gram_sql(3)}
+      LEFT JOIN grams c2 ON len(ids) >= 2 AND c2.gram = {_gram_sql(2)}
+      LEFT JOIN grams c1 ON len(ids) >= 1 AND c1.gram = {_gram_sql(1)})
+""")
+def ngr1_corpus(spark, d):
+    """Every run's suffix probed in an index over all runs."""
+    r = runs(spark, d).select(*KEY, "output_ids")
+    index = NG.NgramIndex.build(r, KEY, "output_ids")
+    out = index.probe(r, "output_ids", place="place")
+    return out.select(*KEY, A.ids_text("candidate").alias("candidate"),
+                      F.col("place.conv_id").alias("from_conv"), F.col("place.turn").alias("from_turn"),
+                      F.col("place.at").cast("bigint").alias("from_at"))

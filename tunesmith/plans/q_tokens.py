@@ -72,7 +72,7 @@ def tok2_docs(spark, d):
 
 
 @query("tok3_decode", f"""
-SELECT conv_id, turn, array_to_string({words('text')}[1:1023], ' ') AS decoded
+SELECT conv_id, turn, array_to_string({words('text')}, ' ') AS decoded
 FROM conversations
 """)
 def tok3(spark, d):
@@ -82,17 +82,21 @@ def tok3(spark, d):
     return dec.select("conv_id", "turn", "decoded")
 
 
+WHOLE_TURNS = encode_sql("conversations", ["conv_id", "turn"], "text", None, True)
+
+
 @query("pos6_preview", f"""
 SELECT conv_id, turn, array_to_string(ids, ',') AS input_ids,
-       array_to_string({words('text')}[1:1023], ' ') AS decoded
+       array_to_string({words('text')}, ' ') AS decoded
 FROM (SELECT e.*, c.text, row_number() OVER (ORDER BY e.conv_id, e.turn) - 1 AS pos
-      FROM {ENC_TURNS} e JOIN conversations c USING (conv_id, turn))
+      FROM {WHOLE_TURNS} e JOIN conversations c USING (conv_id, turn))
 WHERE pos = 0
 """)
 def pos6(spark, d):
-    enc, vocab = encoded_turns(spark, d, max_length=None)
-    first = PO.row_at(PO.with_position(enc.select("conv_id", "turn", "input_ids"),
-                                       ["conv_id", "turn"]), 0)
-    dec = VO.decode(first, ["conv_id", "turn"], "input_ids", vocab)
-    return dec.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"),
-                      "decoded")
+    """The row is chosen before anything is encoded."""
+    vocab, key = conversation_vocab(spark, d), ["conv_id", "turn"]
+    conv = V.conversations(spark, d).select(*key, "text")
+    first = PO.row_at(PO.with_position(conv, key), 0)
+    enc = VO.encode(first, key, {"input_ids": ("text", None, True)}, vocab, keep_input=False)
+    dec = VO.decode(enc, key, "input_ids", vocab)
+    return dec.select(*key, ids_text("input_ids").alias("input_ids"), "decoded")

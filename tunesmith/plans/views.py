@@ -15,7 +15,12 @@ from tunesmith.functions import templates as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  ``spark.tunesmith.read.partitions`` deals its rows to so
+    many partitions (unset: as the files are split), for tables whose one
+    row group a single task would read and explode."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get("spark.tunesmith.read.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def conversations(spark, sf_dir) -> DataFrame:

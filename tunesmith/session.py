@@ -13,8 +13,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -93,16 +94,60 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: folders made by scopes that are still open, innermost last
+_SCOPES: list[list[str]] = []
+#: applications whose scratch folder is marked for removal
+_MARKED: set[str] = set()
+
+
+def _folder(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tunesmith-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open local test files."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+    """A fresh, unique folder below the shared checkpoint folder.
+
+    It is removed when the innermost open :func:`scratch_scope` ends, and in any
+    case when the driver's JVM does."""
+    app = spark.sparkContext.applicationId
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tunesmith-{app}"
+    if app not in _MARKED:
+        folder, fs = _folder(spark, base)
+        fs.mkdirs(folder)           # only a folder that exists can be marked
+        fs.deleteOnExit(folder)
+        _MARKED.add(app)
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders made inside as soon as the block ends: what is
+    computed from them has to be written or fetched by then."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder."""
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back:
+    later steps neither recompute it nor depend on the executors that made it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+

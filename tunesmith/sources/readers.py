@@ -1,7 +1,9 @@
 """File sources (SRC1-SRC6) and union by name (UNI1).
 
-Schemas are always declared (no inference pass over the data); broken JSON
-records are reported, left out or fail the job, as the caller asks.
+Schemas are always declared (no inference pass over the data).  One policy holds
+for all JSON sources: a record that is not one JSON value of the schema's type
+fails the job (``on_error="raise"``) or is left out (``"reject"``), and a second
+function lists what was left out.
 """
 
 from __future__ import annotations
@@ -24,46 +26,83 @@ def read_jsonl(spark: SparkSession, path, schema: StructType,
                on_error: str = "raise") -> DataFrame:
     """SRC1: JSON lines, one object per line, UTF-8.
 
-    A line that does not parse, or has a value of another type, fails the job
-    (``on_error="raise"``) or is left out (``"reject"``); ``jsonl_rejects``
-    gives the lines left out.  Blank lines are no records.
+    A line that does not parse, holds more than one value, or has a value of
+    another type, fails the job (``on_error="raise"``) or is left out
+    (``"reject"``); ``jsonl_rejects`` gives the lines left out.  Blank lines are
+    no records.
     """
-    lines = _parsed_lines(spark, path, schema)
-    bad = F.col("__row.__bad").isNotNull()
-    if on_error == "raise":
-        # in a filter, so that no projection can prune the check
-        lines = lines.filter(F.when(bad, F.raise_error(F.concat(
-            F.lit("malformed JSON line: "), F.col("value"))).isNull()).otherwise(True))
-    elif on_error == "reject":
-        lines = lines.filter(~bad)
-    else:
-        raise ValueError("on_error must be 'raise' or 'reject'")
-    return lines.select(*[F.col("__row")[f.name].alias(f.name) for f in schema.fields])
+    return good_records(parsed_lines(spark.read.text(_as_list(path)), schema), schema, on_error)
 
 
 def jsonl_rejects(spark: SparkSession, path, schema: StructType) -> DataFrame:
     """Lines that ``read_jsonl`` leaves out, as ``record``."""
-    return (_parsed_lines(spark, path, schema).filter(F.col("__row.__bad").isNotNull())
-            .select(F.col("value").alias("record")))
+    return bad_records(parsed_lines(spark.read.text(_as_list(path)), schema))
 
 
 def _with_bad(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField("__bad", StringType())])
 
 
-def _parsed_lines(spark: SparkSession, path, schema: StructType) -> DataFrame:
+def _typed(item, schema: StructType):
+    """A JSON text as a struct; its ``__bad`` is set where a value does not fit."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
-    return (spark.read.text(_as_list(path)).filter(F.trim("value") != "")
-            .withColumn("__row", F.from_json("value", _with_bad(schema), options)))
+    return F.from_json(item, _with_bad(schema), options)
+
+
+def parsed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
+    """``record``, ``__row`` and ``__ok`` of every line (column ``value``) that
+    is not blank; also on a stream.
+
+    In brackets a line is an array; text after its record makes that
+    malformed, and a second record makes it longer."""
+    items = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
+    rows = lines.filter(F.trim("value") != "").select(F.col("value").alias("record"), items.alias("__items"))
+    single = F.coalesce(F.size("__items") == 1, F.lit(False))
+    rows = rows.withColumn("__row", _typed(F.when(single, F.get("__items", 0)), schema))
+    ok = single & F.get("__items", 0).isNotNull() & F.col("__row.__bad").isNull()
+    return rows.select("record", "__row", F.coalesce(ok, F.lit(False)).alias("__ok"))
+
+
+def good_records(parsed: DataFrame, schema: StructType, on_error: str = "raise") -> DataFrame:
+    """The rows of ``parsed`` records."""
+    if on_error == "raise":
+        # in a filter, so that no projection can prune the check
+        parsed = parsed.filter(F.when(~F.col("__ok"), F.raise_error(F.concat(
+            F.lit("malformed JSON record: "), F.col("record"))).isNull()).otherwise(True))
+    elif on_error == "reject":
+        parsed = parsed.filter("__ok")
+    else:
+        raise ValueError("on_error must be 'raise' or 'reject'")
+    return parsed.select(*[F.col("__row")[f.name].alias(f.name) for f in schema.fields])
+
+
+def bad_records(parsed: DataFrame) -> DataFrame:
+    return parsed.filter("not __ok").select("record")
 
 
-def read_json(spark: SparkSession, files, schema: StructType,
-              multiline: bool = False, split: str = "train") -> DataFrame:
+def read_json(spark: SparkSession, files, schema: StructType, multiline: bool = False,
+              split: str = "train", on_error: str = "raise") -> DataFrame:
     """SRC2: a JSON dataset from a file set, all rows in split ``split``;
-    ``multiline`` when each file is one JSON array."""
-    df = (spark.read.schema(schema).option("multiLine", multiline)
-               .json(_as_list(files)))
-    return df.withColumn("split", F.lit(split))
+    ``multiline`` when each file is one JSON array.  Bad records as in SRC1;
+    a file that is no array is one bad record."""
+    return good_records(_json_records(spark, files, schema, multiline), schema,
+                        on_error).withColumn("split", F.lit(split))
+
+
+def json_rejects(spark: SparkSession, files, schema: StructType, multiline: bool = False) -> DataFrame:
+    """What ``read_json`` leaves out, as ``record``."""
+    return bad_records(_json_records(spark, files, schema, multiline))
+
+
+def _json_records(spark: SparkSession, files, schema: StructType, multiline: bool) -> DataFrame:
+    if not multiline:
+        return parsed_lines(spark.read.text(_as_list(files)), schema)
+    found = _array_files(spark, files)
+    broken = found.filter(F.col("items").isNull()).select(
+        F.col("text").alias("record"), F.lit(None).cast(_with_bad(schema)).alias("__row"),
+        F.lit(False).alias("__ok"))
+    return _elements(found, schema).select(
+        F.coalesce("item", F.lit("null")).alias("record"), "__row", "__ok").unionByName(broken)
 
 
 def extension(path: str) -> str:
@@ -95,9 +134,10 @@ def read_json_glob(spark: SparkSession, globs, schema: StructType,
                    on_error: str = "skip") -> DataFrame:
     """SRC4: files that each hold one JSON array, one task per file.
 
-    Only a file that does not parse as an array is left out (``skip``) or
-    fails the job (``raise``).  In a parsed file every element is a row; a
-    value of another type becomes null (see ``json_glob_rejects``).
+    Only a file that is not one array (also if text follows it) is left out
+    (``skip``) or fails the job (``raise``).  In a parsed file every element but
+    null is a row; a value of another type becomes null (see
+    ``json_glob_rejects``).
     """
     if on_error not in ("skip", "raise"):
         raise ValueError("on_error must be 'skip' or 'raise'")
@@ -105,30 +145,33 @@ def read_json_glob(spark: SparkSession, globs, schema: StructType,
     if on_error == "raise":
         files = files.filter(F.when(F.col("items").isNull(), F.raise_error(
             F.lit("a file does not hold a JSON array")).isNull()).otherwise(True))
-    rows = _elements(files, schema)
+    rows = _elements(files, schema).filter(F.col("item").isNotNull())
     return rows.select(*[F.col("__row")[f.name].alias(f.name) for f in schema.fields])
 
 
 def json_glob_rejects(spark: SparkSession, globs, schema: StructType) -> DataFrame:
-    """(file, record): files that do not parse (record null) and elements with
-    a value of another type."""
+    """(file, record): files that do not parse (record null), null elements and
+    elements with a value of another type."""
     files = _array_files(spark, globs)
     broken = files.filter(F.col("items").isNull()).select("file", F.lit(None).cast("string")
                                                           .alias("record"))
-    return broken.union(_elements(files, schema).filter(F.col("__row.__bad").isNotNull())
-                        .select("file", F.col("item").alias("record")))
+    return broken.union(_elements(files, schema).filter("not __ok").select(
+        "file", F.coalesce("item", F.lit("null")).alias("record")))
 
 
 def _array_files(spark: SparkSession, globs) -> DataFrame:
+    """(file, text, items): the elements' JSON texts; null where the file is not
+    one array.  In brackets, text after the array makes the file malformed."""
     text = spark.read.text(_as_list(globs), wholetext=True)
-    return text.select(F.input_file_name().alias("file"),
-                       F.from_json("value", "array<string>").alias("items"))
+    arrays = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<array<string>>")
+    return text.select(F.input_file_name().alias("file"), F.col("value").alias("text"), arrays.alias("arrays")
+                       ).select("file", "text", F.when(F.size("arrays") == 1, F.get("arrays", 0)).alias("items"))
 
 
 def _elements(files: DataFrame, schema: StructType) -> DataFrame:
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
-    return files.select("file", F.explode("items").alias("item")).withColumn(
-        "__row", F.from_json("item", _with_bad(schema), options))
+    rows = files.select("file", F.explode("items").alias("item")).withColumn("__row", _typed("item", schema))
+    ok = F.col("item").isNotNull() & F.col("__row.__bad").isNull()
+    return rows.withColumn("__ok", F.coalesce(ok, F.lit(False)))
 
 
 def read_csv(spark: SparkSession, files, schema: StructType) -> DataFrame:

@@ -1,12 +1,13 @@
 """Sinks (SNK1-SNK4): sharded CSV, overwrite, prediction JSON lines, run
-metrics.  Writers run in parallel tasks; nothing is collected."""
+metrics and their store.  Writers run in parallel tasks; nothing is collected."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tunesmith.config import SHARD_ROWS
+from tunesmith.config import FOLDER_SHARDS, SHARD_ROWS
 from tunesmith.operators.filters import cap as first_rows
 from tunesmith.operators.position import with_position
 
@@ -30,13 +31,33 @@ def write_csv(df: DataFrame, directory: str, partition_by=None,
 
 
 def write_shards(df: DataFrame, directory: str, order_by, rows: int = SHARD_ROWS,
-                 mode: str = "overwrite", drop=()) -> DataFrame:
-    """SNK1/SNK2: CSV shards of ``rows`` rows in ``shard=<n>`` folders, with
-    header and no row index; an existing folder is replaced.  ``drop``
-    names helper columns (e.g. sort keys) that are not written."""
-    sharded = with_shards(df, order_by, rows).drop(*drop)
-    write_csv(sharded, directory, partition_by="shard", mode=mode)
-    return sharded
+                 mode: str = "overwrite", drop=(), folder_shards: int = FOLDER_SHARDS) -> None:
+    """SNK1/SNK2: CSV shards of ``rows`` rows, one file each, with header and no
+    row index; an existing folder is replaced.  ``drop`` names helper columns
+    (e.g. sort keys) that are not written.
+
+    Shards are grouped into ``folder=<n>`` folders of ``folder_shards``, so their number
+    does not grow with the rows of a shard.  A folder is written by one task in
+    ``order_by`` order, which closes a file after every ``rows`` rows: the k-th
+    file of a folder is its k-th shard (:func:`read_shards`)."""
+    pos = with_position(df, order_by, name="__pos")
+    placed = pos.withColumn("folder", F.floor(F.col("__pos") / (rows * folder_shards)).cast("bigint"))
+    dealt = placed.repartition("folder").sortWithinPartitions("folder", "__pos").drop("__pos", *drop)
+    (dealt.write.mode(mode).option("header", True).option("escape", '"').option("quote", '"')
+     .option("maxRecordsPerFile", rows).partitionBy("folder").csv(directory))
+
+
+def read_shards(spark: SparkSession, directory: str, schema: StructType, folders=None,
+                folder_shards: int = FOLDER_SHARDS) -> DataFrame:
+    """Rows of the shards at ``directory`` with their ``shard`` number, from
+    the folder and the file's place in it.  ``folders`` opens only these."""
+    df = (spark.read.schema(StructType([*schema.fields, StructField("folder", LongType())]))
+          .option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"')
+          .csv(directory))
+    if folders is not None:
+        df = df.filter(F.col("folder").isin([int(f) for f in folders]))
+    file = F.regexp_extract("_metadata.file_name", r"\.?-?c([0-9]+)\.csv$", 1).cast("bigint")
+    return df.select(*[f.name for f in schema.fields], (F.col("folder") * folder_shards + file).alias("shard"))
 
 
 # The Unicode white space that is stripped from both ends.
@@ -72,3 +93,25 @@ def run_metrics(df: DataFrame, phase: str, cap: int | None = None,
     for name, col in (metrics or {}).items():
         aggs.append(F.avg(col).alias(f"{phase}_{name}"))
     return df.groupBy(split).agg(*aggs).withColumn("phase", F.lit(phase))
+
+
+def save_metrics(metrics: DataFrame, store: str, run: str, split: str = "split") -> None:
+    """Append the result of :func:`run_metrics` to the metrics table at
+    ``store``, one row for each run, phase, split and metric.  The rows of a run
+    and phase that are there already are replaced, so a phase that ran again
+    stands once."""
+    names = [c for c in metrics.columns if c not in (split, "phase")]
+    rows = metrics.select(
+        F.lit(run).alias("run"), "phase", F.col(split).alias("split"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+                            for c in names])).alias("m")).select("run", "phase", "split", "m.*")
+    # each (run, phase) is a folder; only folders with new rows are replaced
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "phase").parquet(store))
+
+
+def read_metrics(spark: SparkSession, store: str) -> DataFrame:
+    """run, phase, split, metric and value; a filter on run or phase opens only
+    their folders."""
+    schema = "split string, metric string, value double, run string, phase string"
+    return spark.read.schema(schema).parquet(store).select("run", "phase", "split", "metric", "value")
