@@ -4,6 +4,7 @@ Each hypothesis example is a whole batch of cases run as one Spark job.
 """
 
 import hashlib
+import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -90,3 +91,30 @@ def test_encode_decode_property(spark, texts):
     order = sorted(want, key=lambda w: (-want[w], w.encode()))
     assert [t for _i, t in ids] == order
     assert [i for i, _t in ids] == list(range(4, 4 + len(order)))
+
+
+def test_clipped_counts_match_counters():
+    """One sort over a batch against a counter for each row, also where codes
+    are too many to be packed."""
+    from collections import Counter
+
+    from tunesmith.operators.evaluate import clipped_counts
+
+    def counted(h, r):
+        out = []
+        for n in range(1, 5):
+            ch = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
+            cr = Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
+            out.append(sum((ch & cr).values()))
+        return out
+
+    rnd = random.Random(3)
+    for alphabet in ("ab", "abc déf日🙂\n", "".join(map(chr, range(0x4E00, 0x9000)))):
+        pairs = [["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(50))) for _ in "hr"]
+                 for _ in range(200)]
+        pairs += [[None, "x"], ["x", None], ["", ""], ["a", "aaaa"], ["aaaa", "a"]]
+        for split in (False, True):
+            rows = [[x and x.split("b") if split else x for x in p] for p in pairs]
+            got = clipped_counts([h for h, _ in rows], [r for _, r in rows]).tolist()
+            assert got == [[0] * 4 if h is None or r is None else counted(h, r) for h, r in rows]
+    assert clipped_counts([], []).shape == (0, 4)

@@ -139,16 +139,20 @@ def last_subarray_end(ids, marker) -> Column:
     return F.coalesce(last + k - 1, F.lit(0))
 
 
-def continuation(ids, max_ngram: int = 3, num_pred: int = 10) -> Column:
+def continuation(ids, max_ngram: int = 3, num_pred: int = 10, size: Column | None = None,
+                 suffixes: dict | None = None) -> Column:
     """Prompt-lookup candidate: for n = max_ngram..1 match the last n ids
     against earlier windows; the first window at p (0-based) with
     ``p+n+k <= L`` and ``p+n < L-n`` yields ids ``[p+n, p+n+k)``.
-    Empty when nothing matches."""
+    Empty when nothing matches.
+
+    ``size`` and ``suffixes`` (n -> last n ids) are columns that hold these; an
+    expression in a lambda would be evaluated for every window."""
     a = _c(ids)
-    size = F.size(a)
+    size = F.size(a) if size is None else size
     found = []
     for n in range(max_ngram, 0, -1):
-        last = F.when(size >= n, F.slice(a, size - n + 1, n))
+        last = suffixes[n] if suffixes else F.when(size >= n, F.slice(a, size - n + 1, n))
         starts = F.when(size >= n + num_pred,
                         F.sequence(F.lit(0), size - n - num_pred)
                         ).otherwise(empty_ints())

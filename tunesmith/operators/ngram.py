@@ -34,7 +34,11 @@ def continuation(df: DataFrame, ids="input_ids", max_ngram: int = 3,
                  num_pred: int = 10, out: str = "candidate") -> DataFrame:
     """NGR1: candidate ids that followed an earlier copy of the last n ids
     (n = max_ngram..1, first valid match); empty when nothing matches."""
-    return df.withColumn(out, A.continuation(ids, max_ngram, num_pred))
+    ns = range(1, max_ngram + 1)
+    rows = df.withColumn("__size", F.size(ids))
+    rows = rows.withColumns({f"__last{n}": F.when(F.col("__size") >= n, A.keep_last(ids, n)) for n in ns})
+    found = A.continuation(ids, max_ngram, num_pred, F.col("__size"), {n: F.col(f"__last{n}") for n in ns})
+    return rows.withColumn(out, found).drop("__size", *[f"__last{n}" for n in ns])
 
 
 @dataclass
