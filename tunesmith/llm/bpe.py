@@ -50,9 +50,9 @@ FOLD_BYTES = 32
 _BUCKETS = 1 << 14
 #: above every rank
 _NONE = 1 << 31
-_MEMO = 200_000
+_MEMO = 60_000
 HEAD_DOCS = 1 << 15
-HEAD_WORDS = 250_000
+HEAD_WORDS = 120_000
 
 
 def load_ranks(path: str) -> list[bytes]:
