@@ -71,9 +71,10 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int,
     return rows.select("id", "rk", "line_no",
                        F.xxhash64("count", F.substring_index("masked", " ", depth)).alias("leaf"),
                        F.col("digest").alias("line"),
-                       F.when(F.col("count") >= long_words - 1, F.when(
-                           F.col("flat") == F.col("masked"), F.col("digest"))
-                           .otherwise(F.unhex(F.md5("flat")))).alias("exact"))
+                       (F.col("count") >= long_words - 1).alias("long"),
+                       # null where it is the line's own digest
+                       F.when((F.col("count") >= long_words - 1) & (F.col("flat") != F.col("masked")),
+                              F.unhex(F.md5("flat"))).alias("exact"))
 
 
 def line_templates(lines: DataFrame, docs: DataFrame, id_col: str, text_col: str,
@@ -159,6 +160,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = stored(marked, "templates")
 
     def later(rows: DataFrame, by: str, least: int) -> DataFrame:
+        # most lines stand in one document only; what is counted by document is little
+        several = (rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("rk").alias("lo"),
+                                        F.max("rk").alias("hi"))
+                   .filter((F.col("n") >= least) & (F.col("lo") != F.col("hi"))).select(by))
+        rows = stored(rows.join(several, by, "left_semi"), "several")
         recurring = (rows.groupBy(by, "rk").agg(F.min(place).alias("first"))
                      .groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
                      .filter(F.col("n") >= least))
@@ -167,8 +173,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ).select("rk", "line_no")
 
     # a template's first line is the first of its exact line too, so it stays
-    gone = later(marked, "template", min_docs).union(
-        later(lines.filter(F.col("exact").isNotNull()), "exact", min(min_docs, 2)))
+    exact = lines.filter("long").select("id", "rk", "line_no", F.coalesce("exact", "line").alias("exact"))
+    gone = later(marked, "template", min_docs).union(later(exact, "exact", min(min_docs, 2)))
     return gone.groupBy("rk").agg(F.collect_set("line_no").alias("drop"))
 
 
