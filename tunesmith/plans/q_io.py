@@ -205,26 +205,47 @@ def snk4_store(spark, d):
 BROKEN_EVERY = 7
 
 
-@query("src2_rejects", f"""
-SELECT CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN 'rejected' ELSE 'kept' END AS kind, count(*) AS n,
-       CAST(sum(CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN length(text) ELSE conv_id END) AS BIGINT) AS checksum
-FROM conversations GROUP BY 1
-""")
+REJECTS_SQL = f"""
+SELECT CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN 'rejected' ELSE 'kept' END AS kind, conv_id, turn,
+       CASE WHEN conv_id % {BROKEN_EVERY} = 0 THEN length(text) END AS junk
+FROM conversations
+"""
+
+
+def _broken_lines(spark, d, path):
+    """Conversations as JSON lines; every turn of some is followed by as many
+    ``#`` as its text has characters (and one), so its line is no record."""
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    junk = F.concat(line, F.repeat(F.lit("#"), F.length("text") + 1))
+    V.conversations(spark, d).select(F.when(F.col("conv_id") % BROKEN_EVERY == 0, junk).otherwise(line)
+                                     .alias("value")).write.mode("overwrite").text(path)
+
+
+def _kept_and_rejected(kept, bad):
+    def number(name):
+        return F.regexp_extract("record", f'"{name}":([0-9]+)', 1).cast("bigint").alias(name)
+
+    none = F.lit(None).cast("bigint").alias("junk")
+    junk = (F.length(F.regexp_extract("record", "#*$", 0)) - 1).cast("bigint").alias("junk")
+    return kept.select(F.lit("kept").alias("kind"), "conv_id", "turn", none).unionByName(
+        bad.select(F.lit("rejected").alias("kind"), number("conv_id"), number("turn"), junk))
+
+
+@query("src2_rejects", REJECTS_SQL)
 def src2_rejects(spark, d):
-    """Every turn of some conversations is written as a line that is no record."""
     path = scratch_path(spark, "json-broken")
-    conv = V.conversations(spark, d)
-    line = F.to_json(F.struct("conv_id", "turn", "role", "text"))
-    # the text stands after the record, without line breaks
-    broken = F.concat(line, F.regexp_replace("text", r"[^\n]|\n", "#"))
-    conv.select(F.when(F.col("conv_id") % BROKEN_EVERY == 0, broken).otherwise(line).alias("value")) \
-        .write.mode("overwrite").text(path)
-    kept = R.read_json(spark, [path], TURN_SCHEMA, on_error="reject").agg(
-        F.lit("kept").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("conv_id").alias("checksum"))
-    junk = F.length(F.regexp_extract("record", "#*$", 0))
-    bad = R.json_rejects(spark, [path], TURN_SCHEMA).agg(
-        F.lit("rejected").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum(junk).alias("checksum"))
-    return kept.unionByName(bad).filter("n > 0")
+    _broken_lines(spark, d, path)
+    return _kept_and_rejected(R.read_json(spark, [path], TURN_SCHEMA, on_error="reject"),
+                              R.json_rejects(spark, [path], TURN_SCHEMA))
+
+
+@query("str1_stream_rejects", REJECTS_SQL)
+def str1_rejects(spark, d):
+    """The same lines as a stream with two sinks."""
+    path, kept, bad = (scratch_path(spark, f"stream-{n}") for n in ("broken", "kept", "rejects"))
+    _broken_lines(spark, d, path)
+    ST.run_with_rejects(spark, path, TURN_SCHEMA, kept, bad, scratch_path(spark, "stream-broken-ckpt"))
+    return _kept_and_rejected(spark.read.parquet(kept), spark.read.parquet(bad))
 
 
 @query("str1_stream_jsonl", """
