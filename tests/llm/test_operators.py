@@ -213,10 +213,52 @@ def test_quotas_are_highest_quotients(spark):
     for _ in range(sum(out[k]["quota"] for k in sizes)):
         seats[max(sizes, key=lambda k: target[k] / (2 * seats[k] + 1))] += 1
     assert {k: out[k]["quota"] for k in sizes} == dict(seats)
-    dealt = shard_quotas(source_quotas(table, block=100), 3).collect()
-    for k in sizes:
-        mine = [r["blocks"] for r in dealt if r["source_key"] == k]
-        assert sum(mine) == out[k]["quota"] and max(mine) - min(mine) <= 1
+    for n in (3, 16, 100):
+        dealt = shard_quotas(source_quotas(table, block=100), n).collect()
+        for k in sizes:
+            mine = sorted((r for r in dealt if r["source_key"] == k), key=lambda r: r["shard"])
+            quota, blocks = out[k]["quota"], out[k]["n_blocks"]
+            assert sum(r["blocks"] for r in mine) == quota
+            assert [r["first"] for r in mine] == [0, *[r["last"] for r in mine[:-1]]]
+            assert mine[-1]["last"] == blocks
+            for r in mine:
+                own = r["last"] - r["first"]
+                assert abs(r["blocks"] - quota * own / blocks) < 1 and r["blocks"] <= 2 * own
+                assert r["blocks"] == r["passes"] * own + r["rest"] and 0 <= r["start"] < own
+
+
+@pytest.mark.parametrize("shards,block", [(1, 5), (4, 3), (16, 8)])
+def test_blocks_are_taken_shard_by_shard(spark, shards, block):
+    """Every word's takes from the quotas, in plain Python."""
+    import hashlib
+
+    from tunesmith.llm.mixing import mix_documents, plan_mix, shard_quotas, source_quotas
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(rng.integers(0, 40))), "abc"[i % 3] if i % 7 else None)
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    plan = {r["doc_id"]: r for r in plan_mix(df, block=block, shards=shards).collect()}
+    sized = spark.createDataFrame([(f'{{"s":"{s}"}}' if s else "{}", s, len(words(t))) for _, t, s in rows],
+                                  "source_key string, source string, size bigint")
+    quotas = source_quotas(sized, block=block)
+    takes = Counter()
+    for r in shard_quotas(quotas, shards).collect():
+        key, own = r["source_key"], r["last"] - r["first"]
+        start = int(hashlib.md5(f"17:start:{r['shard']}:{key}".encode()).hexdigest()[:12], 16) % own
+        for i in range(r["blocks"]):
+            turn = i - r["passes"] * own
+            at = r["first"] + (i % own if turn < 0 else (start + turn) % own)
+            takes.update((key, at * block + w) for w in range(block))
+    want = Counter()
+    for i, t, s in rows:
+        key, ws = f'{{"s":"{s}"}}' if s else "{}", words(t)
+        mine = [takes[(key, plan[i]["offset"] + k)] for k in range(len(ws))]
+        assert plan[i]["taken"] == sum(mine) and max(mine, default=0) <= 2
+        for c in range(1, max(mine, default=0) + 1):
+            want[(i, t if min(mine) >= c else " ".join(w for w, n in zip(ws, mine) if n >= c), s)] += 1
+    for n in (4, 1):                              # reruns agree, also dealt otherwise
+        got = mix_documents(df.repartition(n), block=block, shards=shards).collect()
+        assert Counter(tuple(r) for r in got) == want
 
 
 # 6 -------------------------------------------------------------------------

@@ -5,10 +5,12 @@ at most ``max_repeat`` times its own size, the excess reshared by weight).
 The mix is cut into blocks of equal size, and blocks go to sources by the
 highest quotients target / (2k + 1): integer quotas, exact in total.  The
 documents of a source are laid out in a seeded order and cut into blocks of
-``block`` words.  A quota of q blocks over n blocks is q div n whole passes
-plus a run of q mod n blocks from a seeded start (wrapping round), so a block
-is taken at most ``max_repeat`` times and all but two documents of a run are
-taken whole.
+``block`` words.  ``shards`` output shards get the source's blocks in equal parts,
+and the quota in proportion, again as whole blocks: integer quotas per shard.  A
+shard's quota of q blocks over its n blocks is q div n whole passes plus a run of
+q mod n blocks from a start seeded by source and shard (wrapping round), so a
+block is taken at most ``max_repeat`` times, and all but a few documents at the
+ends of runs and shards are taken whole.
 
 Scale: the seeded order is a uniform digest, so its leading bits cut every
 source, also a hot one, into buckets of about ``bucket_rows`` rows in that
@@ -32,11 +34,12 @@ from tunesmith.llm.common import fresh, prepare, quoted, stored, word_array, wor
 
 BLOCK = 32
 SEED = 17
+SHARDS = 16
 
 
 def source_quotas(sized: DataFrame, weights: Sequence[float] = (5, 2, 1),
                   share: float = 1.5, max_repeat: int = 2,
-                  block: int = BLOCK, seed: int = SEED) -> DataFrame:
+                  block: int = BLOCK) -> DataFrame:
     """Targets and Sainte-Laguë quotas from rows of (source_key, source, size).
 
     One row per source; the windows without a partition run over sources,
@@ -98,47 +101,54 @@ def source_quotas(sized: DataFrame, weights: Sequence[float] = (5, 2, 1),
                .agg(F.sum(F.signum("diff")).cast("bigint").alias("change")))
     src = (src.join(changed, F.col("source_key") == F.col("changed_key"), "left")
            .withColumn("quota", F.col("base") + F.coalesce(F.col("change"), F.lit(0))))
-    turns = F.greatest(F.col("n_blocks"), F.lit(1))
-    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:start:"),
-                                              F.col("source_key"))), 1, 12), 16, 10)
-    return (src.withColumn("passes", F.floor(F.col("quota") / turns).cast("bigint"))
-            .withColumn("rest", (F.col("quota") % turns).cast("bigint"))
-            .withColumn("run_start", (start.cast("bigint") % turns).cast("bigint"))
-            .select("source_key", "source_size", "target", "n_blocks", "quota",
-                    "passes", "rest", "run_start"))
-
-
-def shard_quotas(quotas: DataFrame, n_shards: int) -> DataFrame:
-    """Integer block quotas per (source, output shard), at most one apart."""
-    shard = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
-    share = F.floor(F.col("quota") / n_shards) + F.when(
-        F.col("shard") < F.col("quota") % n_shards, 1).otherwise(0)
-    return (quotas.withColumn("shard", shard)
-            .select("source_key", "shard", share.cast("bigint").alias("blocks")))
+    return src.select("source_key", "source_size", "target", "n_blocks", "quota")
+
+
+def shard_quotas(quotas: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """Per (source, output shard) with blocks: its blocks ``first`` to ``last``
+    (exclusive) of the source's order, its integer quota ``blocks``, and how the quota
+    is filled: ``passes`` over all of them and a run of ``rest`` blocks from
+    ``start``.  Quotas add up to the source's; none exceeds the source's rate by a
+    block."""
+    parts = quotas.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
+    edge = [F.expr(f"(shard + {k}) * n_blocks div {n_shards}") for k in (0, 1)]
+    parts = parts.withColumns({"first": edge[0], "last": edge[1]}).filter(F.col("last") > F.col("first"))
+    parts = parts.withColumn("blocks", F.expr("quota * last div n_blocks - quota * first div n_blocks"))
+    own = F.col("last") - F.col("first")
+    start = F.conv(F.substring(F.md5(F.concat_ws(
+        ":", F.lit(f"{seed}:start"), F.col("shard").cast("string"), F.col("source_key"))), 1, 12), 16, 10)
+    return parts.withColumn("own", own).select(
+        "source_key", "shard", "first", "last", "blocks", F.expr("blocks div own").alias("passes"),
+        (F.col("blocks") % F.col("own")).alias("rest"), (start.cast("bigint") % F.col("own")).alias("start"))
 
 
 def _clip(x: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.least(x, high), low)
 
 
-def _run_words(pos: Column, block: int) -> Column:
-    """Words of the seeded run that lie before word position ``pos``."""
-    size = F.col("source_size")
-    low = F.col("run_start") * block
-    end = (F.col("run_start") + F.col("rest")) * block
-    total = F.col("n_blocks") * block
-    first = _clip(pos, low, F.least(end, size)) - low
-    # the part that wraps round to the start of the order
-    wrapped = F.when(end > total, F.least(pos, end - total)).otherwise(0)
-    return F.when(F.col("rest") > 0, first + wrapped).otherwise(0)
+def _words_before(runs: Column, pos: Column, size: Column, block: int) -> Column:
+    """Words that the shards' ``runs`` take before word position ``pos`` of a
+    source of ``size`` words, repeats counted."""
+    def taken(r: Column) -> Column:
+        low, high = r["first"] * block, F.least(r["last"] * block, size)
+        begin = (r["first"] + r["start"]) * block
+        end = begin + r["rest"] * block
+        run = _clip(pos, begin, F.least(end, high)) - begin
+        # the part that wraps round to the shard's first block
+        over = F.greatest(end - r["last"] * block, F.lit(0))
+        return r["passes"] * (_clip(pos, low, high) - low) + F.when(
+            r["rest"] > 0, run + _clip(pos, low, low + over) - low).otherwise(0)
+
+    return F.aggregate(runs, F.lit(0).cast("bigint"), lambda acc, r: acc + taken(r))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", weights: Sequence[float] = (5, 2, 1),
              share: float = 1.5, max_repeat: int = 2, block: int = BLOCK,
-             seed: int = SEED, bucket_rows: int = 16384) -> DataFrame:
-    """One row per document: id, size, source_size, target, taken, and the
-    layout (order digest, word offset, passes, run) that decides it."""
+             seed: int = SEED, bucket_rows: int = 16384, shards: int = SHARDS) -> DataFrame:
+    """One row per document: id, size, source_size, target, taken, and what
+    decides it: its word ``offset`` in the source's order and the ``runs`` of the
+    shards that hold its blocks."""
     prepare(docs.sparkSession)
     size = word_count(F.col(text_col))
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
@@ -151,7 +161,11 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_buckets = -(-max(sized.count(), 1) // bucket_rows)
     lead = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("bigint")
     sized = sized.withColumn("bucket", F.floor(lead * n_buckets / F.lit(1 << 32)).cast("bigint"))
-    quotas = source_quotas(sized, weights, share, max_repeat, block, seed)
+    quotas = stored(source_quotas(sized, weights, share, max_repeat, block), "mix-quotas")
+    # one row per source, with one entry per shard
+    runs = shard_quotas(quotas, shards, seed).groupBy("source_key").agg(F.array_sort(F.collect_list(
+        F.struct("shard", "first", "last", "passes", "rest", "start"))).alias("runs"))
+    quotas = quotas.join(runs, "source_key", "left")
     so_far = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (sized.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"))
@@ -162,21 +176,21 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = (sized.join(offsets, ["source_key", "bucket"])
               .withColumn("offset", (F.col("bucket_start") + F.coalesce(
                   F.sum("size").over(inside), F.lit(0))).cast("bigint")))
-    run = (_run_words(F.col("offset") + F.col("size"), block)
-           - _run_words(F.col("offset"), block))
-    return placed.withColumn("run_words", run.cast("bigint")).select(
-        id_col, "size", "source_size", "target",
-        (F.col("passes") * F.col("size") + F.col("run_words")).cast("bigint").alias("taken"),
-        "offset", "passes", "run_words", "run_start", "rest", "n_blocks")
+    end = F.col("offset") + F.col("size")
+    mine = F.filter(F.coalesce("runs", F.array()), lambda r: (r["first"] * block < F.col("end"))
+                    & (r["last"] * block > F.col("offset")))
+    placed = placed.withColumn("end", end).withColumn("runs", mine)
+    taken = [_words_before(F.col("runs"), F.col(c), F.col("source_size"), block) for c in ("end", "offset")]
+    return placed.select(id_col, "size", "source_size", "target",
+                         (taken[0] - taken[1]).cast("bigint").alias("taken"), "offset", "runs")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   source_col: str = "source", block: int = BLOCK, **options) -> DataFrame:
     """The mixed table itself, with the columns of ``docs``.
 
-    A document appears once per whole pass, and once more with the words of
-    the seeded run; a document cut by the run's ends gives its words inside
-    the run, joined by single spaces.  Character counts (``n_chars``) follow
+    A document appears as often as its words are taken: whole where all are,
+    else the words taken so often, joined by single spaces.  Character counts (``n_chars``) follow
     the text.  Documents without words are not part of a mix.
     """
     plan = plan_mix(docs, id_col, text_col, source_col, block=block, **options)
@@ -186,8 +200,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     alike = Window.partitionBy(ident, size)
     taken = (plan.filter(F.col("taken") > 0)
              .select(F.col(id_col).alias(ident), F.col("size").alias(size),
-                     F.struct("offset", "size", "source_size", "passes", "run_words",
-                              "run_start", "rest", "n_blocks").alias(mix))
+                     F.struct("offset", "size", "taken", "runs").alias(mix))
              .withColumn(nth, F.row_number().over(alike.orderBy(mix))))
     src = docs.select("*", F.col(id_col).alias(ident), word_count(F.col(text_col)).alias(size))
     src = src.withColumn(nth, F.row_number().over(alike.orderBy(
@@ -197,14 +210,29 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         & (F.col(f"a.{size}") == F.col(f"b.{size}")) & (F.col(f"a.{nth}") == F.col(f"b.{nth}"))
     ).select(*[F.col(f"a.`{c}`") for c in docs.columns], F.col(f"b.{mix}").alias(mix))
     m = F.col(mix)
-    low, count = m["run_start"] * block, m["rest"] * block
-    span = F.greatest(m["n_blocks"], F.lit(1)) * block
-    inside = F.filter(word_array(F.col(text_col)), lambda w, i: F.pmod(
-        m["offset"] + i - low, span) < count)
-    copies = F.when(m["run_words"] > 0, m["passes"] + 1).otherwise(m["passes"])
-    part = F.when((F.col(copy) <= m["passes"]) | (m["run_words"] == m["size"]),
-                  F.col(text_col)).otherwise(F.array_join(inside, " "))
-    out = both.withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
+    # words of one shard that are all in its run, or all out of it, are taken alike
+    even = (F.size(m["runs"]) == 1) & (m["taken"] % m["size"] == 0)
+
+    def times(i: Column) -> Column:
+        """How often the word at place ``i`` is taken."""
+        at = m["offset"] + i
+
+        def by(r: Column) -> Column:
+            own = r["last"] - r["first"]
+            turn = F.pmod(F.floor(at / block) - r["first"] - r["start"], own)
+            inside = (at >= r["first"] * block) & (at < r["last"] * block)
+            return F.when(inside, r["passes"] + F.when(turn < r["rest"], 1).otherwise(0)).otherwise(0)
+
+        return F.aggregate(m["runs"], F.lit(0).cast("bigint"), lambda acc, r: acc + by(r))
+
+    each = F.when(~even, F.transform(word_array(F.col(text_col)), lambda w, i: F.struct(
+        w.alias("w"), times(i).alias("n"))))
+    both = both.withColumn(nth, each)
+    copies = F.when(even, F.expr(f"`{mix}`.taken div `{mix}`.size")).otherwise(F.array_max(
+        F.transform(nth, lambda x: x["n"])))
+    out = both.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), copies.cast("bigint"))))
+    part = F.when(even | F.forall(nth, lambda x: x["n"] >= F.col(copy)), F.col(text_col)).otherwise(
+        F.array_join(F.transform(F.filter(nth, lambda x: x["n"] >= F.col(copy)), lambda x: x["w"]), " "))
     out = out.withColumn(text_col, part)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(text_col)).cast("bigint"))
