@@ -23,12 +23,13 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, dictionary: bool = True) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back:
-    later steps neither recompute it nor depend on the executors that made it."""
+    later steps neither recompute it nor depend on the executors that made it.
+    Columns of digests are written faster without ``dictionary`` pages."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -117,7 +117,7 @@ def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFra
     spots = F.transform("words", lambda w, i: F.xxhash64("leaf", i, w))
     hashed = different.select("leaf", "line", "n", spots.alias("spots"))
     hashed = stored(hashed.withColumn("whole", F.aggregate(
-        "spots", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))), "leaf-spots")
+        "spots", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))), "leaf-spots", dictionary=False)
     rare = (hashed.select("n", F.explode("spots").alias("spot")).groupBy("spot").agg(F.sum("n").alias("n"))
             .filter(F.col("n") < min_docs).select("spot"))
     # a rare spot has fewer than min_docs lines; no column beside the line's is shuffled
@@ -130,7 +130,7 @@ def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFra
         "leaf", "line", "n", "spots", most.alias("most"),
         F.coalesce("open", F.array().cast("array<int>")).alias("open"),
         F.col("whole").bitwiseXOR(F.coalesce("change", F.lit(0))).alias("tree"))
-    own = stored(own.filter(F.size("open") <= F.col("most")), "leaf-patterns")
+    own = stored(own.filter(F.size("open") <= F.col("most")), "leaf-patterns", dictionary=False)
     shared = own.groupBy("tree").agg(F.sum("n").alias("n"))
     enough = shared.filter(F.col("n") >= min_docs)
     settled = own.join(enough.select("tree"), "tree", "left_semi").select("line", "tree")
@@ -140,7 +140,7 @@ def templates(different: DataFrame, similarity: float, min_docs: int) -> DataFra
         "leaf", "line", "n", "tree", "open", F.posexplode("spots").alias("at", "spot"))
     choices = stored(choices.filter(~F.array_contains("open", F.col("at"))).select(
         "line", "n", "at", F.col("tree").bitwiseXOR(F.col("spot")).bitwiseXOR(_any(F.col("at"))).alias("tree"))
-        .unionByName(left.select("line", "n", F.lit(-1).alias("at"), "tree")), "leaf-choices")
+        .unionByName(left.select("line", "n", F.lit(-1).alias("at"), "tree")), "leaf-choices", dictionary=False)
     agreed = (choices.select("tree", "n").unionByName(enough.select("tree", "n"))
               .groupBy("tree").agg(F.sum("n").alias("agree")).filter(F.col("agree") >= min_docs))
     best = choices.join(agreed, "tree").groupBy("line").agg(
@@ -152,19 +152,19 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   depth: int = DEPTH, similarity: float = SIMILARITY,
                   min_docs: int = MIN_DOCS, long_words: int = LONG_WORDS) -> DataFrame:
     """(rk, drop): per row key the line numbers that go."""
-    lines = stored(_lines(docs, id_col, text_col, depth, long_words), "lines")
+    lines = stored(_lines(docs, id_col, text_col, depth, long_words), "lines", dictionary=False)
     own = line_templates(lines, docs, id_col, text_col, similarity, min_docs)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "rk", "line_no")
     marked = lines.join(own, "line", "left").withColumn("template", F.when(
         F.col("tree").isNotNull(), F.concat(F.lit("t"), F.col("tree").cast("string")).cast("binary")).otherwise(F.col("line"))).select("id", "rk", "line_no", "template")
-    marked = stored(marked, "templates")
+    marked = stored(marked, "templates", dictionary=False)
 
     def later(rows: DataFrame, by: str, least: int) -> DataFrame:
         # most lines stand in one document only; what is counted by document is little
         several = (rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("rk").alias("lo"),
                                         F.max("rk").alias("hi"))
                    .filter((F.col("n") >= least) & (F.col("lo") != F.col("hi"))).select(by))
-        rows = stored(rows.join(several, by, "left_semi"), "several")
+        rows = stored(rows.join(several, by, "left_semi"), "several", dictionary=False)
         recurring = (rows.groupBy(by, "rk").agg(F.min(place).alias("first"))
                      .groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
                      .filter(F.col("n") >= least))
