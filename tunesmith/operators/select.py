@@ -13,15 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunesmith.operators.order import precedes, sort_keys
+from tunesmith.operators.order import SortKey, precedes, sort_keys
 from tunesmith.operators.position import ranged_keys
 from tunesmith.session import scratch_table
 from tunesmith.streaming.files import require_static
 
-SortKeys = list
 
-
-def cut_keys(keyed: DataFrame, keys: SortKeys, names: list[str], wanted) -> DataFrame:
+def cut_keys(keyed: DataFrame, keys: list[SortKey], names: list[str], wanted) -> DataFrame:
     """(names..., keep) with the key of each group's last wanted row, and how
     many of the rows with that key are wanted; the group is the first of
     ``names``.  ``wanted`` gives the number of rows from the group's size."""
