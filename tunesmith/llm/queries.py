@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunesmith.llm import common
+from tunesmith.llm import common, oracle
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -102,7 +102,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op13_merkle_manifest")
+@query("op13_merkle_manifest", oracle.MERKLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -111,13 +111,13 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(common.documents(spark, sf_dir), tamper=third)
 
 
-@query("op11_threshold_topk")
+@query("op11_threshold_topk", oracle.TOP_PRODUCTS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.topk import top_products
     return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=5, every=50)
 
 
-@query("op12_prefix_trie")
+@query("op12_prefix_trie", oracle.PREFIX_TRIE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunesmith.llm.trie import prefix_trie
     return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
