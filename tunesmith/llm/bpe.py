@@ -337,9 +337,12 @@ def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs
              .toArrow().combine_chunks())
     ids = table["ids"].combine_chunks()
     ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    # one string: the driver keeps the value as long as the broadcast
+    words = table["word"].combine_chunks()
+    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+    # one string, joined in Arrow: no string object for each word on the driver
+    words = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
     return spark.sparkContext.broadcast(
-        (" ".join(table["word"].to_pylist()), np.asarray(ids.value_lengths(), np.int64),
+        (words, np.asarray(ids.value_lengths(), np.int64),
          ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
 
