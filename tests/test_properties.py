@@ -118,3 +118,36 @@ def test_clipped_counts_match_counters():
             got = clipped_counts([h for h, _ in rows], [r for _, r in rows]).tolist()
             assert got == [[0] * 4 if h is None or r is None else counted(h, r) for h, r in rows]
     assert clipped_counts([], []).shape == (0, 4)
+
+
+def test_score_helpers_hold_a_run_of_rows_not_a_batch():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from tunesmith.operators.evaluate import (
+        RUN_ITEMS, _runs, clipped_counts, clipped_matches, lcs_length)
+
+    h = [("abcd efgh " * 60) + str(i) for i in range(8000)]
+    h[0], h[1], h[2] = None, "", "x" * (3 * RUN_ITEMS)
+    r = [("bcde fghx " * 60) + str(i % 7) for i in range(8000)]
+    r[3] = None
+    a, b = pa.array(h), pa.array(r)
+    runs = list(_runs(a, b))
+    assert [x for run in runs for x in run[0].to_pylist()] == h
+    assert all(len(x) == 1 or sum(len(v or "") for side in (x, y) for v in side.to_pylist())
+               <= RUN_ITEMS + 3 * RUN_ITEMS + 700 for x, y in runs)
+    tracemalloc.start()
+    got = clipped_matches.func(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 11 million characters: one sort of all of them would hold some 1,000 MB
+    assert peak < 350e6
+    some = [0, 1, 3, 4, 5, 7999]
+    assert np.array_equal(np.array([got[i].as_py() for i in some]),
+                          clipped_counts([h[i] for i in some], [r[i] for i in some]))
+    words = [None if x is None else x.split()[:50] for x in h[3:2000]], [
+        None if x is None else x.split()[:50] for x in r[3:2000]]
+    got = lcs_length.func(*(pa.array(w, pa.list_(pa.string())) for w in words)).to_pylist()
+    assert got[0] == 0 and got[1:5] == [py_lcs(x, y) for x, y in zip(words[0][1:5], words[1][1:5])]
+    assert clipped_matches.func(a.slice(0, 0), b.slice(0, 0)).to_pylist() == []

@@ -7,23 +7,31 @@ Definitions (fixed here, the packages the scripts call are not in the tree):
   overlap / |ref|, ``F = 2pr/(p+r)``, 0 without overlap; per-row set work,
   no shuffle.
 * ROUGE-L: longest common word subsequence, same F.  The dynamic programme
-  runs in an Arrow-batched pandas UDF (numpy, one vector op per word);
-  rows are distributed, nothing is capped.
+  runs in an Arrow UDF (numpy, one vector op per word); rows are distributed,
+  nothing is capped.
 * BLEU-4 on characters (Papineni 2002) with smoothing method 3 (Chen &
   Cherry 2014): clipped n-gram counts for n = 1..4; the k-th zero precision
   (from n = 1) becomes ``1 / (2^k * max(1, den_n))``; 0 when no unigram
   matches; brevity penalty ``exp(1 - ref/hyp)`` when hyp <= ref.  Clipped
-  counts come from one sort of all n-grams of an Arrow batch (no shuffle); a
+  counts come from one sort of all n-grams of a run of rows (no shuffle); a
   pure-JVM variant groups by (row, n, n-gram) instead.
 
+Both helpers work through an Arrow batch in runs of about ``RUN_ITEMS``
+characters or words, so a worker's memory follows its longest row, not the
+batch size.
+
 All scores are x100 and rounded to 4 digits per row; means are taken after
 rounding.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -32,6 +40,8 @@ from tunesmith.functions.text import chars, ngram_keys, words
 from tunesmith.session import ship_package
 
 BLEU_ORDER = 4
+#: bytes of text, or words, of both sides that a helper holds at a time (a row may have more)
+RUN_ITEMS = 1 << 19
 
 
 def pair_predictions(preds: DataFrame, refs: DataFrame, key) -> DataFrame:
@@ -85,6 +95,17 @@ def rouge_n(pairs: DataFrame, n: int, pred="predict", ref="labels",
     return tmp.withColumn(out or f"rouge_{n}", score).drop("__hw", "__rw", "__hs", "__rs", "__ov")
 
 
+def _runs(h: pa.Array, r: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Consecutive rows of both sides, about ``RUN_ITEMS`` items or one row."""
+    listed = pa.types.is_list(h.type) or pa.types.is_large_list(h.type)
+    length = pc.list_value_length if listed else pc.binary_length
+    items = sum(np.asarray(pc.fill_null(length(x), 0)).astype(np.int64) for x in (h, r))
+    run = (np.cumsum(items) - items) // RUN_ITEMS
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(h)]
+    for low, high in zip(cuts, cuts[1:]):
+        yield h.slice(low, high - low), r.slice(low, high - low)
+
+
 def _lcs(a, b) -> int:
     if a is None or b is None or len(a) == 0 or len(b) == 0:
         return 0
@@ -104,10 +125,11 @@ def _lcs(a, b) -> int:
     return int(prev[-1])
 
 
-@F.pandas_udf(IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(IntegerType())
+def lcs_length(a: pa.Array, b: pa.Array) -> pa.Array:
     """Longest common subsequence length of two token arrays (Arrow batches)."""
-    return pd.Series([_lcs(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pa.array([_lcs(x, y) for run in _runs(a, b)
+                     for x, y in zip(*(side.to_numpy(zero_copy_only=False) for side in run))], pa.int32())
 
 
 def rouge_l(pairs: DataFrame, pred="predict", ref="labels", mode: str = "word",
@@ -173,10 +195,14 @@ def clipped_counts(h: list, r: list, max_n: int = BLEU_ORDER) -> np.ndarray:
     return out
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def clipped_matches(h: pd.Series, r: pd.Series) -> pd.Series:
+@F.arrow_udf(ArrayType(IntegerType()))
+def clipped_matches(h: pa.Array, r: pa.Array) -> pa.Array:
     """Per-row clipped n-gram match counts (n = 1..4), Arrow batches."""
-    return pd.Series(list(clipped_counts(list(h), list(r)).astype(np.int32)))
+    counts = [clipped_counts(*(list(side.to_numpy(zero_copy_only=False)) for side in run))
+              for run in _runs(h, r)]
+    flat = np.concatenate([np.zeros(0), *[c.ravel() for c in counts]]).astype(np.int32)
+    ends = np.arange(len(h) + 1, dtype=np.int32) * BLEU_ORDER
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def _bleu_score(matches, hyp_len: Column, ref_len: Column) -> Column:
