@@ -141,3 +141,37 @@ def test_positions_of_ties_nulls_and_orders(spark):
         ("t", 20), ("a", 2), ("b", 1), ("x", 2), ("z", 1), (None, 1)}
     assert FL.cap(df, 3, [F.col("k").desc()]).collect() == [(7, "t")] * 3
     assert FL.cap(df, 0, ["k"]).count() == 0 and FL.cap(df.limit(0), 3, ["k"]).count() == 0
+
+
+def test_ngram_index_shuffles_grams_once_in_few_numbers(spark, monkeypatch):
+    from pyspark.sql import readwriter
+    from tunesmith.operators import ngram as NG
+
+    plans, save = [], readwriter.DataFrameWriter.saveAsTable
+
+    def saved(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return save(self, *args, **options)
+
+    monkeypatch.setattr(readwriter.DataFrameWriter, "saveAsTable", saved)
+    for low, high in ((0, 30), (-5, 2000), (0, 2 ** 31 - 1), (-2 ** 31, 2 ** 31 - 1)):
+        seqs = [(k % 4, [None if low < 0 and (i + k) % 9 == 0 else
+                         (low, high, low + 1, low + 2)[(i * i + k) % 4] for i in range(20 + k)])
+                for k in range(6)]
+        df = spark.createDataFrame(seqs, "k int, input_ids array<int>")
+        index = NG.NgramIndex.build(df, "k", buckets=4)
+        want = {}
+        for k, ids in seqs:
+            for n in (1, 2, 3):
+                for p in range(len(ids) - n - 10 + 1):
+                    gram = ",".join(str(x) for x in ids[p:p + n] if x is not None)
+                    follow = ids[p + n:p + n + 10]
+                    hit = (k, p, [(x is not None, x or 0) for x in follow])
+                    if gram not in want or hit < want[gram][0]:
+                        want[gram] = hit, follow
+        got = {r.gram: r.hit for r in index.table.collect()}
+        assert {g: (h.place.k, h.place.at, h.following) for g, h in got.items()} == {
+            g: (hit[0], hit[1], follow) for g, (hit, follow) in want.items()}
+        index.drop()
+        assert plans[-1].count("Exchange hashpartitioning(gram") == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -16,18 +16,22 @@ from __future__ import annotations
 
 import re
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunesmith.functions import arrays as A
 from tunesmith.operators.lookup import resolve
-from tunesmith.session import scratch_path
+from tunesmith.session import scratch_path, scratch_table
 from tunesmith.streaming.files import require_static
 
 #: buckets of an index
 BUCKETS = 64
+#: n-grams that a task sorts before it sends them on, about
+TASK_GRAMS = 1 << 21
 
 
 def continuation(df: DataFrame, ids="input_ids", max_ngram: int = 3,
@@ -41,6 +45,41 @@ def continuation(df: DataFrame, ids="input_ids", max_ngram: int = 3,
     return rows.withColumn(out, found).drop("__size", *[f"__last{n}" for n in ns])
 
 
+def _packing(least, most, count: int):
+    """How ``count`` ids from ``least`` to ``most`` go into few 64-bit numbers
+    that sort as the ids do (null first): functions that give the numbers of an
+    array and the array of such numbers; None if numbers would save nothing."""
+    if not isinstance(least, int) or (bits := (most - least + 1).bit_length()) > 31:
+        return None
+    per = 63 // bits
+    groups = [range(i, min(i + per, count)) for i in range(0, count, per)]
+
+    def pack(ids) -> list:
+        codes = [F.coalesce(F.get(ids, i).cast("bigint") - (least - 1), F.lit(0).cast("bigint"))
+                 for i in range(count)]
+        return [reduce(lambda a, b: F.shiftleft(a, bits).bitwiseOR(b), [codes[i] for i in group])
+                for group in groups]
+
+    def unpack(numbers: list):
+        codes = [F.shiftright(n, bits * (group[-1] - i)).bitwiseAND((1 << bits) - 1)
+                 for n, group in zip(numbers, groups) for i in group]
+        return F.array(*[F.when(c > 0, c + (least - 1)) for c in codes])
+
+    return pack, unpack
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """Groups of what runs inside are dealt to ``n`` partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @dataclass
 class NgramIndex:
     """``table``: gram (its ids, joined by commas), hit (struct of place, that is
@@ -60,29 +99,43 @@ class NgramIndex:
         """Index all sequences of ``df``.  "Earliest" goes by ``key`` (nulls
         first), then by position; of sequences with one key the smaller
         continuation counts.  Grams are reduced before they are shuffled, so a
-        gram that all sequences hold is one row for each task.  ``path`` keeps
-        the index for later sessions (:meth:`load`)."""
+        gram that all sequences hold is one row for each task.  They are shuffled
+        once, with the ids that follow packed into few numbers, from tasks small
+        enough to sort in memory.  ``path`` keeps the index for later sessions
+        (:meth:`load`)."""
         require_static(df, "NgramIndex.build")
         if num_pred <= max_ngram:
             raise ValueError("num_pred must exceed max_ngram, or a suffix could continue itself")
         keys = (key,) if isinstance(key, str) else tuple(key)
         spark = df.sparkSession
-        sized = df.select(*keys, F.col(ids).alias("__ids"), F.size(ids).alias("__size"))
+        sized = scratch_table(df.select(*keys, F.col(ids).alias("__ids"), F.size(ids).alias("__size")),
+                              "ngram-sequences")
+        least, most, total = sized.agg(F.min(F.array_min("__ids")), F.max(F.array_max("__ids")),
+                                       F.sum("__size")).first()
+        packing = _packing(least, most, num_pred)
+        tasks = max(spark.sparkContext.defaultParallelism, -(-(total or 0) * max_ngram // TASK_GRAMS))
         starts = F.when(F.col("__size") > num_pred, F.sequence(
             F.lit(0), F.col("__size") - num_pred - 1)).otherwise(A.empty_ints())
-        at = sized.select("*", F.explode(starts).alias("at"))
+        at = sized.repartition(tasks).select("*", F.explode(starts).alias("at"))
         grams = at.select(*keys, "at", "__ids", F.explode(F.sequence(
             F.lit(1), F.least(F.lit(max_ngram), F.col("__size") - num_pred - F.col("at")))).alias("__n"))
-        grams = grams.select(A.ids_text(F.slice("__ids", F.col("at") + 1, F.col("__n"))).alias("gram"), F.struct(
-            *keys, "at", F.slice("__ids", F.col("at") + F.col("__n") + 1, num_pred)
-            .alias("following")).alias("first"))
-        first = grams.groupBy("gram").agg(F.min("first").alias("first")).select("gram", F.struct(
+        grams = grams.select(*keys, "at", A.ids_text(F.slice("__ids", F.col("at") + 1, F.col("__n"))).alias("gram"),
+                             F.slice("__ids", F.col("at") + F.col("__n") + 1, num_pred).alias("following"))
+        rest = [n.alias(f"__f{i}") for i, n in enumerate(packing[0]("following"))] if packing else [
+            F.col("following")]
+        first = grams.select("gram", F.struct(*keys, "at", *rest).alias("first")).groupBy("gram").agg(
+            F.min("first").alias("first"))
+        following = packing[1]([F.col(f"first.__f{i}") for i in range(len(rest))]).cast(
+            sized.schema["__ids"].dataType) if packing else F.col("first.following")
+        first = first.select("gram", F.struct(
             F.struct(*[F.col("first")[c].alias(c) for c in (*keys, "at")]).alias("place"),
-            F.col("first.following").alias("following")).alias("hit"))
+            following.alias("following")).alias("hit"))
         path = path or scratch_path(spark, "ngram-index")
         name = f"ngrams_{uuid.uuid4().hex[:12]}"
-        (first.repartition(buckets, "gram").write.bucketBy(buckets, "gram").sortBy("gram")
-         .option("path", path).mode("overwrite").saveAsTable(name))
+        # grouped into as many partitions as buckets, so what is grouped need not be dealt again
+        with _shuffle_partitions(spark, buckets):
+            (first.repartition(buckets, "gram").write.bucketBy(buckets, "gram").sortBy("gram")
+             .option("path", path).mode("overwrite").saveAsTable(name))
         return cls(spark.table(name), name, path, keys, max_ngram, num_pred)
 
     @classmethod
