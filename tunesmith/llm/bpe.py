@@ -30,6 +30,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -170,10 +171,11 @@ def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 @lru_cache(maxsize=1)
-def _known(words: str, pattern: str) -> tuple[dict[str, int], dict[str, bytes]]:
+def _known(words: bytes, pattern: str) -> tuple[dict[str, int], dict[str, bytes]]:
     """Places of the cache's words, and an empty memo of parts made of such
     words alone.  A Python worker keeps both for its next tasks."""
-    return {bytes.fromhex(w).decode(): i for i, w in enumerate(words.split())}, {}
+    return {bytes.fromhex(w.group().decode()).decode(): i
+            for i, w in enumerate(re.finditer(rb"[0-9a-f]+", words))}, {}
 
 
 def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.DataType,
@@ -212,12 +214,20 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                 memo[part] = data
             return data
 
-        cut = [split_chunks(t) for t in texts]
         known: dict[str, bytes] = {}
-        for p in {p for c in cut for p in c[1:]}:
-            known[p] = memo.get(" " + p) or places(" " + p)
-        index = [(places(c[0]) if c[0] else b"") + b"".join([known[p] for p in c[1:]])
-                 for c in cut]
+
+        def coded(text: str) -> bytes:
+            first, *rest = split_chunks(text)
+            out = [places(first)] if first else []
+            for p in rest:
+                data = known.get(p)
+                if data is None:
+                    data = known[p] = memo.get(" " + p) or places(" " + p)
+                out.append(data)
+            return b"".join(out)
+
+        # one document after the other: only the batch's distinct parts are held
+        index = [coded(t) for t in texts]
         return pa.RecordBatch.from_arrays(
             [pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([index], schema.field(1).type),
              pa.array([words], schema.field(2).type), pa.array([longer], schema.field(3).type)],
@@ -225,7 +235,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {p: i for i, p in enumerate(pieces) if p}
-        common, memo = _known(head.value[0], pattern)
+        common, memo = _known(head[0].value, pattern)
         ids, texts, held = [], [], 0
         slices = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
         for batch in slices:
@@ -248,7 +258,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 def _assembler(id_col: str, head, pieces: list[bytes] | None = None):
     """Ids per document; with ``pieces`` packed ids and decoded bytes instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, head_sizes, head_flat = head.value
+        head_sizes, head_flat = head[1].value
         table = None if pieces is None else pa.array(pieces, pa.large_binary())
         for batch in batches:
             for r in range(batch.num_rows):
@@ -293,33 +303,45 @@ def _unpacked(ids: np.ndarray, bounds: np.ndarray, table: pa.Array) -> list[pa.A
             pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())]
 
 
-def _word_counts(pattern: str):
+def _word_counts(pattern: str, chars: int = 1 << 22):
+    """Matches and their counts, put out for about ``chars`` characters at a time."""
+    def counted(parts: Counter, find) -> pa.RecordBatch:
+        counts: Counter = Counter()
+        for part, n in parts.items():
+            for m in find(part):
+                counts[m] += n
+        kept = [(m.encode().hex(), n) for m, n in counts.items()
+                if len(m.encode()) <= FOLD_BYTES]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([w for w, _ in kept], pa.string()),
+             pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         find = regex.compile(pattern).findall
+        parts: Counter = Counter()
+        held = 0
         for batch in batches:
-            parts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                head, *rest = split_chunks(text or "")
-                parts[head] += 1
-                parts.update([" " + p for p in rest])
-            counts: Counter = Counter()
-            for part, n in parts.items():
-                for m in find(part):
-                    counts[m] += n
-            kept = [(m.encode().hex(), n) for m, n in counts.items()
-                    if len(m.encode()) <= FOLD_BYTES]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in kept], pa.string()),
-                 pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
+            for low in range(0, batch.num_rows, 512):
+                for text in batch.column(0).slice(low, 512).to_pylist():
+                    head, *rest = split_chunks(text or "")
+                    parts[head] += 1
+                    parts.update([" " + p for p in rest])
+                    held += len(text or "")
+                    if held >= chars:
+                        yield counted(parts, find)
+                        parts, held = Counter(), 0
+        if parts:
+            yield counted(parts, find)
     return run
 
 
 def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs: int,
           head_words: int):
-    """Broadcast (words, id counts, ids) of the sample's most frequent words."""
+    """Broadcasts of the sample's most frequent words, and of their id counts and ids."""
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     # about head_docs rows: a Bernoulli sample with a fixed seed
     sample = docs.sample(fraction=min(1.0, head_docs / max(docs.count(), 1)), seed=7)
     counts = stored(sample.select(text_col).mapInArrow(_word_counts(pattern), "word string, n bigint")
@@ -331,7 +353,7 @@ def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs
             break
         room, least = room - row["count"], row["n"]
     if least is None:
-        return spark.sparkContext.broadcast(("", np.zeros(0, np.int64), np.zeros(0, np.int32)))
+        return share(b""), share((np.zeros(0, np.int64), np.zeros(0, np.int32)))
     table = (counts.filter(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
              .select("word", _let(ranks, lambda r: fold_merges(F.col("word"), r)).alias("ids"))
              .toArrow().combine_chunks())
@@ -340,10 +362,10 @@ def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs
     words = table["word"].combine_chunks()
     words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
     # one string, joined in Arrow: no string object for each word on the driver
-    words = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
-    return spark.sparkContext.broadcast(
-        (words, np.asarray(ids.value_lengths(), np.int64),
-         ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
+    words = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py().encode()
+    # apart, as each of the two steps needs one of them only
+    return share(words), share((np.asarray(ids.value_lengths(), np.int64),
+                                ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
 
 def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, text_col: str,
