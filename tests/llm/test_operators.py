@@ -193,6 +193,42 @@ def test_bpe_batch_memory():
     assert len(set(batch.column(1)[0].as_py())) == 1
 
 
+def test_bpe_folds_by_pair_table(spark):
+    """Folded states have the heap's ids, also where a whole word's rank is not
+    what its merges give; the ranks stand in a joined row, not in the plan."""
+    import random
+
+    import pyarrow as pa
+
+    from tunesmith.llm.bpe import _starter, _word_ids, merge_long, merged, pair_table
+    dice = random.Random(3)
+    pieces = [bytes([b]) for b in range(256)]
+    while len(pieces) < 700:
+        piece = bytes(dice.choice(b"abc") for _ in range(dice.randint(2, 6)))
+        if piece not in pieces:
+            pieces.append(piece)
+    pieces[300:] = dice.sample(pieces[300:], 400)
+    words = [bytes(dice.choice(b"abcd") for _ in range(dice.randint(1, 32))) for _ in range(400)]
+    rows = spark.createDataFrame(pa.table({"states": pa.ListArray.from_arrays(
+        [0, 150, 150, 400], _starter(pieces)(words))}))
+    out = merged(rows, *pair_table(pieces))
+    assert len(out._jdf.queryExecution().toString()) < 50_000
+    ids, sizes = _word_ids(out.toArrow()["states"].combine_chunks().flatten())
+    ranks = {p: i for i, p in enumerate(pieces)}
+    want = [merge_long(w, ranks) for w in words]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert sizes.tolist() == [len(w) for w in want]
+
+
+def test_bpe_plan_has_no_ranks(docs):
+    import public_tokenizers as P
+
+    from tunesmith.llm.bpe import digests
+    out = digests(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    # the driver keeps plans as text: with the ranks in them some MB for each
+    assert len(out._jdf.queryExecution().toString()) < 50_000
+
+
 def test_bpe_word_counts_in_pieces():
     """Counts go out by characters, not by Arrow batch; their sums are the same."""
     import public_tokenizers as P

@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding.
 
 A batch of documents becomes one row: the distinct matches of the public
-pattern in it (as hexadecimal byte strings), and per document the indexes of
-its matches.  Spark higher-order functions then fold the ranked merges over
-the bytes of every distinct match: the adjacent pair of the lowest rank is
-joined, again and again, until no pair has a rank.  The rank map is a literal
-of the plan, an array of small maps addressed by hash (a single map literal
-would be searched from end to end for every pair).  Ids are put together per
-document from the indexes; decoding concatenates the byte pieces of the ids.
+pattern in it (as arrays of their bytes' ids and of the ranks between them),
+and per document the indexes of its matches.  Spark higher-order functions
+then fold the ranked merges over every distinct match: the adjacent pair of
+the lowest rank is joined, again and again, until no pair has a rank.  The
+ranks of pairs are a table of one row, joined to the batches by broadcast and
+addressed by the ids of the pair; neither strings nor maps are searched.  Ids
+are put together per document from the indexes; decoding concatenates the
+byte pieces of the ids.
 
 The fold costs the square of a match's length, so matches of more than
 ``FOLD_BYTES`` bytes are merged with a heap in the same pass; the ids are the
@@ -29,17 +30,14 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -48,9 +46,12 @@ from tunesmith.llm.chunks import split_chunks
 from tunesmith.llm.common import prepare, stored
 
 FOLD_BYTES = 32
-_BUCKETS = 1 << 14
-#: above every rank
-_NONE = 1 << 31
+#: of an id or rank; pairs take three times as many
+_BITS = 20
+_LOW = (1 << _BITS) - 1
+#: no pair, above every pair; the mark of a piece, above both
+_NONE = 1 << 3 * _BITS
+_PIECE = 2 * _NONE
 _MEMO = 60_000
 HEAD_DOCS = 1 << 15
 HEAD_WORDS = 250_000
@@ -66,24 +67,84 @@ def load_ranks(path: str) -> list[bytes]:
     return pieces
 
 
-def _bucket(key: str) -> int:
-    digest = xxhash.xxh64_intdigest(key.encode(), 42)
-    return (digest - (1 << 64) if digest >> 63 else digest) % _BUCKETS
+def pair_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of all pairs of pieces that make a piece, as two arrays.
 
-
-def rank_literal(pieces: list[bytes]) -> Column:
-    """array<map<hex, rank>>: the ranks, spread by hash."""
-    buckets: list[dict] = [{} for _ in range(_BUCKETS)]
-    for rank, piece in enumerate(pieces):
-        if piece:
-            key = piece.hex()
-            buckets[_bucket(key)][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-
-
-def _rank(ranks: Column, key: Column) -> Column:
-    slot = F.pmod(F.xxhash64(key), F.lit(_BUCKETS)).cast("int")
-    return F.element_at(F.get(ranks, slot), key)
+    The pair (left, right) stands at ``shifts[left] + right`` of the second
+    array, as left, right and rank of ``_BITS`` bits each; other places hold
+    other pairs or ``_NONE``.  The id after the last one stands for a word's end.
+    """
+    if len(pieces) >= 1 << _BITS:
+        raise ValueError(f"more than {(1 << _BITS) - 1} ranks")
+    ranks = {p: i for i, p in enumerate(pieces) if p}
+    rights: dict[int, list[tuple[int, int]]] = {}
+    for piece, rank in ranks.items():
+        for at in range(1, len(piece)):
+            left, right = ranks.get(piece[:at]), ranks.get(piece[at:])
+            if left is not None and right is not None:
+                rights.setdefault(left, []).append((right, rank))
+    n, size, draw = len(pieces), 1 << 16, np.random.default_rng(42)
+    while size < 5 * sum(map(len, rights.values())):
+        size *= 2
+    shifts, pairs = np.zeros(n + 1, np.int32), np.full(size + n + 1, _NONE, np.int64)
+    # full rows first; a place is tried at random until the whole row is free there
+    for left, row in sorted(rights.items(), key=lambda r: (-len(r[1]), r[0])):
+        right, rank = np.array(row, np.int64).T
+        fits, tries = np.zeros(0, np.int64), 8
+        while not len(fits):
+            tried, tries = draw.integers(0, size, tries), min(2 * tries, 1 << 10)
+            for place in right:
+                tried = tried[pairs[tried + place] == _NONE]
+                if not len(tried):
+                    break
+            fits = tried
+        shifts[left] = fits[0]
+        pairs[fits[0] + right] = left << 2 * _BITS | right << _BITS | rank
+    return shifts, pairs
+
+
+def _starter(pieces: list[bytes]):
+    """Function from words (bytes) to the states that ``merged`` starts from."""
+    ranks = {p: i for i, p in enumerate(pieces) if p}
+    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+    double = np.full(1 << 16, _NONE, np.int64)
+    for piece, rank in ranks.items():
+        if len(piece) == 2:
+            double[piece[0] << 8 | piece[1]] = rank
+
+    def start(words: list[bytes]) -> pa.Array:
+        # few at a time: the arrays in between are ten times as large as the words
+        return pa.concat_arrays([some(words[i:i + 4096]) for i in range(0, len(words) or 1, 4096)])
+
+    def some(words: list[bytes]) -> pa.Array:
+        whole = np.array([ranks.get(w, -1) for w in words], np.int64)
+        sizes = np.where(whole < 0, np.array([len(w) for w in words], np.int64), 1)
+        data = np.frombuffer(b"".join([w if r < 0 else w[:1] for w, r in zip(words, whole.tolist())]),
+                             np.uint8).astype(np.int64)
+        ids, last = np.repeat(whole, sizes), np.cumsum(sizes) - 1
+        ids = np.where(ids < 0, single[data], ids)
+        if (ids < 0).any():
+            raise ValueError("a byte has no rank")
+        between = np.r_[double[data[:-1] << 8 | data[1:]], _NONE][:len(data)]
+        between[last] = _NONE
+        # end, none, piece, boundary, piece, ..., piece, none, end
+        offsets = np.r_[0, np.cumsum(2 * sizes + 3)]
+        state = np.full(offsets[-1], _NONE, np.int64)
+        at = 2 * np.arange(len(ids)) + 3 * np.repeat(np.arange(len(words)), sizes) + 2
+        state[at], state[at + 1] = ids | _PIECE, between
+        state[offsets[:-1]] = state[offsets[1:] - 1] = len(pieces) | _PIECE
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(state))
+    return start
+
+
+def _word_ids(states: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words one after the other, and the number of ids of each."""
+    values = states.flatten().to_numpy(zero_copy_only=False)
+    sizes = np.asarray(states.value_lengths(), np.int64)
+    ends = np.cumsum(sizes)
+    inner = np.ones(len(values), bool)
+    inner[ends - 1] = inner[ends - sizes] = False
+    return (values[inner] & _LOW).astype(np.int32), sizes - 2
 
 
 def _let(value: Column, body) -> Column:
@@ -91,49 +152,46 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """Ids of one match given as a hexadecimal byte string.
+def fold_merges(start: Column, shifts: Column, pairs: Column) -> Column:
+    """Pieces of one match after all its merges, between the ends.
 
-    The state has a number for every boundary between two pieces: the rank of
-    the piece that they would make (``_NONE``: no rank) and, in the low six
-    bits, the boundary's place.  The least number is the next merge; its
-    boundary goes and the two beside it get new ranks.
+    The state has the pieces' ids (``_PIECE`` and above) and between each two
+    of them the rank of the piece that they would make (``1 << _BITS`` or more:
+    no rank).  The least number is the next merge: piece, rank and piece become
+    one piece whose id is that rank, and the ranks on its two sides are new.
     """
-    size = (F.length(word) / 2).cast("int")
-    none = F.array().cast("array<bigint>")
-
-    def piece(low: Column, high: Column) -> Column:
-        return _rank(ranks, F.substring(word, low * 2 + 1, (high - low) * 2))
-
-    def boundary(low: Column, at: Column, high: Column) -> Column:
-        return F.coalesce(piece(low, high).cast("bigint"), F.lit(_NONE)) * 64 + at
-
-    def place(known: Column, i: Column, outside: Column) -> Column:
-        return F.coalesce(F.get(known, i).bitwiseAND(63).cast("int"), outside)
-
-    def without(known: Column, k: Column) -> Column:
-        low, high = place(known, k - 2, F.lit(0)), place(known, k, size)
-        left = F.when(k > 1, F.array(boundary(place(known, k - 3, F.lit(0)), low, high)))
-        right = F.when(k < F.size(known), F.array(
-            boundary(low, high, place(known, k + 1, size))))
-        return F.concat(F.slice(known, F.lit(1), F.greatest(k - 2, F.lit(0))),
-                        F.coalesce(left, none), F.coalesce(right, none),
-                        F.slice(known, k + 2, F.size(known)))
+    def rank(left: Column, left_id: Column, right: Column, right_id: Column) -> Column:
+        # of another pair or none the upper bits stay; shifts drop the mark of pieces
+        found = F.get(pairs, F.get(shifts, left_id.cast("int")) + right_id.cast("int"))
+        return found.bitwiseXOR(F.shiftleft(left, 2 * _BITS)).bitwiseXOR(F.shiftleft(right, _BITS))
+
+    def joined(known: Column, x: Column, k: Column) -> Column:
+        left, right = F.get(known, k - 4), F.get(known, k + 2)
+        return F.concat(
+            F.slice(known, F.lit(1), k - 3),
+            F.array(rank(left, left.bitwiseAND(_LOW), x, x), x.bitwiseOR(_PIECE),
+                    rank(x, x, right, right.bitwiseAND(_LOW))),
+            F.slice(known, k + 3, F.size(known)))
 
     def merge(known: Column, _: Column) -> Column:
         return _let(F.array_min(known), lambda x: F.when(
-            x < _NONE * 64, _let(F.array_position(known, x).cast("int"),
-                                 lambda k: without(known, k))).otherwise(known))
+            x < 1 << _BITS, _let(F.array_position(known, x).cast("int"),
+                                 lambda k: joined(known, x, k))).otherwise(known))
 
-    def ids(known: Column) -> Column:
-        ends = F.concat(F.transform(known, lambda x: x.bitwiseAND(63).cast("int")), F.array(size))
-        return _let(ends, lambda e: F.transform(e, lambda high, i: piece(
-            F.coalesce(F.get(e, i - 1), F.lit(0)), high)))
+    # one piece less at each step
+    done = F.aggregate(F.sequence(F.lit(1), F.shiftright(F.size(start) - 3, 1)), start, merge)
+    return F.filter(done, lambda x: x >= _PIECE)
 
-    start = F.when(size > 1, F.transform(
-        F.sequence(F.lit(1), size - 1), lambda at: boundary(at - 1, at, at + 1))).otherwise(none)
-    return _let(_rank(ranks, word), lambda whole: F.when(whole.isNotNull(), F.array(whole))
-                .otherwise(F.aggregate(F.sequence(F.lit(1), size), start, merge, ids)))
+
+def merged(rows: DataFrame, shifts: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """``rows`` with the column ``states`` folded.  The ranks are a table of one
+    row, joined to the rows of batches: nothing of them stands in the plan."""
+    table = rows.sparkSession.createDataFrame(pa.table(
+        {"shifts": pa.array([shifts], pa.list_(pa.int32())),
+         "pairs": pa.array([pairs], pa.list_(pa.int64()))}))
+    folded = F.transform("states", lambda s: fold_merges(s, F.col("shifts"), F.col("pairs")))
+    return rows.crossJoin(F.broadcast(table)).select(
+        *[folded.alias(c) if c == "states" else c for c in rows.columns])
 
 
 def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -170,21 +228,28 @@ def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[t] for t in toks if t is not None]
 
 
-@lru_cache(maxsize=1)
+#: what ``_known`` gave last
+_LAST: dict[tuple[bytes, str], tuple[dict[str, int], dict[str, bytes]]] = {}
+
+
 def _known(words: bytes, pattern: str) -> tuple[dict[str, int], dict[str, bytes]]:
     """Places of the cache's words, and an empty memo of parts made of such
-    words alone.  A Python worker keeps both for its next tasks."""
-    return {bytes.fromhex(w.group().decode()).decode(): i
-            for i, w in enumerate(re.finditer(rb"[0-9a-f]+", words))}, {}
+    words alone.  A Python worker keeps both for its next tasks, never two."""
+    if (words, pattern) not in _LAST:
+        _LAST.clear()
+        _LAST[words, pattern] = ({bytes.fromhex(w.group().decode()).decode(): i
+                                  for i, w in enumerate(re.finditer(rb"[0-9a-f]+", words))}, {})
+    return _LAST[words, pattern]
 
 
 def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.DataType,
              head):
     schema = pa.schema([("ids", pa.list_(id_type)), ("index", pa.list_(pa.binary())),
-                        ("words", pa.list_(pa.string())),
+                        ("states", pa.list_(pa.list_(pa.int64()))),
                         ("longer", pa.list_(pa.list_(pa.int32())))])
 
-    def row(ids: pa.Array, texts: list, ranks: dict, common: dict, memo: dict) -> pa.RecordBatch:
+    def row(ids: pa.Array, texts: list, ranks: dict, start, common: dict,
+            memo: dict) -> pa.RecordBatch:
         import regex
 
         find = regex.compile(pattern).findall
@@ -202,7 +267,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                     data = m.encode()
                     if len(data) <= FOLD_BYTES:
                         at = n_common + len(words)
-                        words.append(data.hex())
+                        words.append(data)
                     else:
                         longer.append(merge_long(data, ranks))
                         at = -len(longer)
@@ -228,13 +293,16 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 
         # one document after the other: only the batch's distinct parts are held
         index = [coded(t) for t in texts]
+        known.clear()
+        place.clear()
         return pa.RecordBatch.from_arrays(
             [pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([index], schema.field(1).type),
-             pa.array([words], schema.field(2).type), pa.array([longer], schema.field(3).type)],
-            schema=schema)
+             pa.ListArray.from_arrays([0, len(words)], start(words)),
+             pa.array([longer], schema.field(3).type)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {p: i for i, p in enumerate(pieces) if p}
+        start = _starter(pieces)
         common, memo = _known(head[0].value, pattern)
         ids, texts, held = [], [], 0
         slices = (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512))
@@ -245,13 +313,14 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
                 held += len(text)
                 if held >= batch_chars:
                     ids.append(batch.column(0).slice(low, i + 1 - low))
-                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks, common, memo)
+                    yield row(pa.concat_arrays(ids), texts + values[low:i + 1], ranks, start, common,
+                              memo)
                     ids, texts, held, low = [], [], 0, i + 1
             if low < len(values):
                 ids.append(batch.column(0).slice(low))
                 texts += values[low:]
         if texts:
-            yield row(pa.concat_arrays(ids), texts, ranks, common, memo)
+            yield row(pa.concat_arrays(ids), texts, ranks, start, common, memo)
     return run
 
 
@@ -262,12 +331,12 @@ def _assembler(id_col: str, head, pieces: list[bytes] | None = None):
         table = None if pieces is None else pa.array(pieces, pa.large_binary())
         for batch in batches:
             for r in range(batch.num_rows):
-                names, index, folded, longer = (c[r].values for c in batch.columns)
+                names, index, states, longer = (c[r].values for c in batch.columns)
                 # a negative place counts from the end, where the longer ones are reversed
-                back = pa.array(np.arange(len(longer))[::-1])
-                both = pa.concat_arrays([folded, longer.take(back)])
-                flat = np.r_[head_flat, both.flatten().to_numpy(zero_copy_only=False)]
-                sizes = np.r_[head_sizes, np.asarray(both.value_lengths().fill_null(0))].astype(
+                longer = longer.take(pa.array(np.arange(len(longer))[::-1]))
+                folded, folded_sizes = _word_ids(states)
+                flat = np.r_[head_flat, folded, longer.flatten().to_numpy(zero_copy_only=False)]
+                sizes = np.r_[head_sizes, folded_sizes, np.asarray(longer.value_lengths())].astype(
                     np.int64)
                 starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
                 for low in range(0, len(names), 256):
@@ -337,8 +406,8 @@ def _word_counts(pattern: str, chars: int = 1 << 22):
     return run
 
 
-def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs: int,
-          head_words: int):
+def _head(docs: DataFrame, pattern: str, pieces: list[bytes], table: tuple, text_col: str,
+          head_docs: int, head_words: int):
     """Broadcasts of the sample's most frequent words, and of their id counts and ids."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -354,18 +423,33 @@ def _head(docs: DataFrame, pattern: str, ranks: Column, text_col: str, head_docs
         room, least = room - row["count"], row["n"]
     if least is None:
         return share(b""), share((np.zeros(0, np.int64), np.zeros(0, np.int32)))
-    table = (counts.filter(F.col("n") >= least).repartition(spark.sparkContext.defaultParallelism)
-             .select("word", _let(ranks, lambda r: fold_merges(F.col("word"), r)).alias("ids"))
-             .toArrow().combine_chunks())
-    ids = table["ids"].combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    words = table["word"].combine_chunks()
-    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-    # one string, joined in Arrow: no string object for each word on the driver
-    words = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py().encode()
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = _starter(pieces)
+        for batch in batches:
+            words = batch.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " "),
+                 pa.ListArray.from_arrays([0, len(words)], start(
+                     [bytes.fromhex(w) for w in words.to_pylist()]))], ["words", "states"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids, sizes = _word_ids(batch.column(1)[r].values)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(r, 1), pa.array([ids.tobytes()]),
+                     pa.array([sizes.tobytes()])], ["words", "ids", "sizes"])
+
+    rows = (counts.filter(F.col("n") >= least).select("word")
+            .repartition(spark.sparkContext.defaultParallelism)
+            .mapInArrow(states, "words string, states array<array<bigint>>"))
+    # one row for thousands of words: no string object for each word on the driver
+    done = merged(rows, *table).mapInArrow(
+        packed, "words string, ids binary, sizes binary").toArrow()
+    words, ids, sizes = (done[c].to_pylist() for c in done.column_names)
     # apart, as each of the two steps needs one of them only
-    return share(words), share((np.asarray(ids.value_lengths(), np.int64),
-                                ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
+    return share(" ".join(words).encode()), share((np.frombuffer(b"".join(sizes), np.int64),
+                                                   np.frombuffer(b"".join(ids), np.int32)))
 
 
 def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, text_col: str,
@@ -374,15 +458,13 @@ def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, tex
     prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     asked = docs.select(F.col(id_col), F.col(text_col))
-    ranks = rank_literal(pieces)
-    head = _head(asked, pattern, ranks, text_col, head_docs, head_words)
+    table = pair_table(pieces)
+    head = _head(asked, pattern, pieces, table, text_col, head_docs, head_words)
     rows = asked.mapInArrow(
         _batcher(pattern, pieces, batch_chars, to_arrow_type(kind), head),
-        f"ids array<{kind.simpleString()}>, index array<binary>, words array<string>, "
+        f"ids array<{kind.simpleString()}>, index array<binary>, states array<array<bigint>>, "
         "longer array<array<int>>")
-    # the literal stands in the plan once
-    folded = _let(ranks, lambda r: F.transform(F.col("words"), lambda w: fold_merges(w, r)))
-    return rows.select("ids", "index", folded.alias("folded"), "longer"), head
+    return merged(rows, *table), head
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
