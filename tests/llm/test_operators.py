@@ -220,6 +220,29 @@ def test_bpe_folds_by_pair_table(spark):
     assert sizes.tolist() == [len(w) for w in want]
 
 
+def test_bpe_state_is_narrow(spark):
+    """A state has one element for each piece and the two ends, before and after
+    the fold, and the fold takes none out by slices; of equal ranks the first
+    pair merges, also where two different pairs make one piece."""
+    import pyarrow as pa
+
+    from tunesmith.llm.bpe import _starter, _word_ids, merge_long, merged, pair_table
+    pieces = [bytes([b]) for b in range(256)] + [b"ba", b"ab", b"aba", b"bab", b"abab"]
+    words = [b"a", b"c", b"abaab", b"ababa", b"aababab", b"b" * 32, b"ab" * 16, b"babaabab"]
+    states = _starter(pieces)(words)
+    assert states.value_lengths().to_pylist() == [3 if w in pieces else len(w) + 2 for w in words]
+    rows = spark.createDataFrame(pa.table({"states": pa.ListArray.from_arrays([0, 8], states)}))
+    out = merged(rows, *pair_table(pieces))
+    assert "slice(" not in out._jdf.queryExecution().toString()
+    folded = out.toArrow()["states"].combine_chunks().flatten()
+    ranks = {p: i for i, p in enumerate(pieces)}
+    want = [merge_long(w, ranks) for w in words]
+    ids, sizes = _word_ids(folded)
+    assert ids.tolist() == [i for w in want for i in w]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert folded.value_lengths().to_pylist() == [len(w) + 2 for w in want]
+
+
 def test_bpe_plan_has_no_ranks(docs):
     import public_tokenizers as P
 

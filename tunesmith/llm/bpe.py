@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
 A batch of documents becomes one row: the distinct matches of the public
-pattern in it (as arrays of their bytes' ids and of the ranks between them),
+pattern in it (as arrays of the pairs of adjacent pieces, with their ranks),
 and per document the indexes of its matches.  Spark higher-order functions
 then fold the ranked merges over every distinct match: the adjacent pair of
 the lowest rank is joined, again and again, until no pair has a rank.  The
@@ -46,12 +46,13 @@ from tunesmith.llm.chunks import split_chunks
 from tunesmith.llm.common import prepare, stored
 
 FOLD_BYTES = 32
-#: of an id or rank; pairs take three times as many
+#: of an id, rank or place.  An element of a state is a pair of adjacent pieces:
+#: rank, place in the word and right id, from the upper bits down
 _BITS = 20
 _LOW = (1 << _BITS) - 1
-#: no pair, above every pair; the mark of a piece, above both
-_NONE = 1 << 3 * _BITS
-_PIECE = 2 * _NONE
+_PLACE = _LOW << _BITS
+#: the rank of no piece, above every rank
+_NONE = _LOW << 2 * _BITS
 _MEMO = 60_000
 HEAD_DOCS = 1 << 15
 HEAD_WORDS = 250_000
@@ -71,8 +72,8 @@ def pair_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ranks of all pairs of pieces that make a piece, as two arrays.
 
     The pair (left, right) stands at ``shifts[left] + right`` of the second
-    array, as left, right and rank of ``_BITS`` bits each; other places hold
-    other pairs or ``_NONE``.  The id after the last one stands for a word's end.
+    array, as rank, left and right of ``_BITS`` bits each; other places hold
+    other pairs or -1.  The id after the last one stands for a word's end.
     """
     if len(pieces) >= 1 << _BITS:
         raise ValueError(f"more than {(1 << _BITS) - 1} ranks")
@@ -86,7 +87,7 @@ def pair_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n, size, draw = len(pieces), 1 << 16, np.random.default_rng(42)
     while size < 5 * sum(map(len, rights.values())):
         size *= 2
-    shifts, pairs = np.zeros(n + 1, np.int32), np.full(size + n + 1, _NONE, np.int64)
+    shifts, pairs = np.zeros(n + 1, np.int32), np.full(size + n + 1, -1, np.int64)
     # full rows first; a place is tried at random until the whole row is free there
     for left, row in sorted(rights.items(), key=lambda r: (-len(r[1]), r[0])):
         right, rank = np.array(row, np.int64).T
@@ -94,12 +95,12 @@ def pair_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         while not len(fits):
             tried, tries = draw.integers(0, size, tries), min(2 * tries, 1 << 10)
             for place in right:
-                tried = tried[pairs[tried + place] == _NONE]
+                tried = tried[pairs[tried + place] < 0]
                 if not len(tried):
                     break
             fits = tried
         shifts[left] = fits[0]
-        pairs[fits[0] + right] = left << 2 * _BITS | right << _BITS | rank
+        pairs[fits[0] + right] = rank << 2 * _BITS | left << _BITS | right
     return shifts, pairs
 
 
@@ -107,7 +108,7 @@ def _starter(pieces: list[bytes]):
     """Function from words (bytes) to the states that ``merged`` starts from."""
     ranks = {p: i for i, p in enumerate(pieces) if p}
     single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
-    double = np.full(1 << 16, _NONE, np.int64)
+    double = np.full(1 << 16, _LOW, np.int64)
     for piece, rank in ranks.items():
         if len(piece) == 2:
             double[piece[0] << 8 | piece[1]] = rank
@@ -125,14 +126,15 @@ def _starter(pieces: list[bytes]):
         ids = np.where(ids < 0, single[data], ids)
         if (ids < 0).any():
             raise ValueError("a byte has no rank")
-        between = np.r_[double[data[:-1] << 8 | data[1:]], _NONE][:len(data)]
-        between[last] = _NONE
-        # end, none, piece, boundary, piece, ..., piece, none, end
-        offsets = np.r_[0, np.cumsum(2 * sizes + 3)]
-        state = np.full(offsets[-1], _NONE, np.int64)
-        at = 2 * np.arange(len(ids)) + 3 * np.repeat(np.arange(len(words)), sizes) + 2
-        state[at], state[at + 1] = ids | _PIECE, between
-        state[offsets[:-1]] = state[offsets[1:] - 1] = len(pieces) | _PIECE
+        between = np.r_[double[data[:-1] << 8 | data[1:]], _LOW][:len(data)]
+        between[last] = _LOW
+        # the end before the word, its pieces, the end behind it, each as a pair's right side
+        offsets = np.r_[0, np.cumsum(sizes + 2)]
+        at = np.arange(len(ids)) + 2 * np.repeat(np.arange(len(words)), sizes) + 1
+        right, rank = np.full(offsets[-1], len(pieces), np.int64), np.full(offsets[-1], _LOW, np.int64)
+        right[at], rank[at + 1] = ids, between
+        place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes + 2)
+        state = rank << 2 * _BITS | place << _BITS | right
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(state))
     return start
 
@@ -153,34 +155,33 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(start: Column, shifts: Column, pairs: Column) -> Column:
-    """Pieces of one match after all its merges, between the ends.
+    """Pairs of adjacent pieces of one match after all its merges.
 
-    The state has the pieces' ids (``_PIECE`` and above) and between each two
-    of them the rank of the piece that they would make (``1 << _BITS`` or more:
-    no rank).  The least number is the next merge: piece, rank and piece become
-    one piece whose id is that rank, and the ranks on its two sides are new.
+    The least element is the next merge: of the lowest rank, and the first in
+    the word of those.  It goes, and its two neighbours meet the new piece, whose
+    id is that rank.  Places are those of the first state, so no two elements
+    are equal: neighbours are taken out by value, which costs less than slices.
     """
-    def rank(left: Column, left_id: Column, right: Column, right_id: Column) -> Column:
-        # of another pair or none the upper bits stay; shifts drop the mark of pieces
-        found = F.get(pairs, F.get(shifts, left_id.cast("int")) + right_id.cast("int"))
-        return found.bitwiseXOR(F.shiftleft(left, 2 * _BITS)).bitwiseXOR(F.shiftleft(right, _BITS))
+    def pair(left: Column, right: Column, old: Column) -> Column:
+        both = F.shiftleft(left, _BITS).bitwiseOR(right)
+        found = F.get(pairs, F.get(shifts, left.cast("int")) + right.cast("int"))
+        # of another pair or none: no rank
+        return F.when(found.bitwiseAND(_PLACE | _LOW) == both, found.bitwiseAND(_NONE | _LOW)).otherwise(
+            right.bitwiseOR(_NONE)).bitwiseOR(old.bitwiseAND(_PLACE))
 
     def joined(known: Column, x: Column, k: Column) -> Column:
-        left, right = F.get(known, k - 4), F.get(known, k + 2)
-        return F.concat(
-            F.slice(known, F.lit(1), k - 3),
-            F.array(rank(left, left.bitwiseAND(_LOW), x, x), x.bitwiseOR(_PIECE),
-                    rank(x, x, right, right.bitwiseAND(_LOW))),
-            F.slice(known, k + 3, F.size(known)))
+        left, right, new = F.get(known, k - 2), F.get(known, k), F.shiftright(x, 2 * _BITS)
+        others = F.array_remove(F.array_remove(F.array_remove(known, x), left), right)
+        before = pair(F.get(known, k - 3).bitwiseAND(_LOW), new, left)
+        after = pair(new, right.bitwiseAND(_LOW), right)
+        return F.array_insert(F.array_insert(others, k - 1, before), k, after)
 
     def merge(known: Column, _: Column) -> Column:
-        return _let(F.array_min(known), lambda x: F.when(
-            x < 1 << _BITS, _let(F.array_position(known, x).cast("int"),
-                                 lambda k: joined(known, x, k))).otherwise(known))
+        return _let(F.array_position(known, F.array_min(known)).cast("int"), lambda k: F.when(
+            F.get(known, k - 1) < _NONE, joined(known, F.get(known, k - 1), k)).otherwise(known))
 
-    # one piece less at each step
-    done = F.aggregate(F.sequence(F.lit(1), F.shiftright(F.size(start) - 3, 1)), start, merge)
-    return F.filter(done, lambda x: x >= _PIECE)
+    # one pair less at each step
+    return F.aggregate(F.sequence(F.lit(4), F.size(start)), start, merge)
 
 
 def merged(rows: DataFrame, shifts: np.ndarray, pairs: np.ndarray) -> DataFrame:
