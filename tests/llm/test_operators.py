@@ -243,6 +243,28 @@ def test_bpe_state_is_narrow(spark):
     assert folded.value_lengths().to_pylist() == [len(w) + 2 for w in want]
 
 
+def test_bpe_memory_of_workers(spark, docs):
+    """Texts go to Python in small batches whatever the session says, and a
+    worker that assembles holds no word cache."""
+    from types import SimpleNamespace
+
+    import public_tokenizers as P
+
+    from tunesmith.llm import bpe
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, path = spark.conf.get(name), P.path("byte_bpe_multi_50k.tiktoken")
+    try:
+        for own, want in (("10000", "1024"), ("0", "1024"), ("100", "100")):
+            spark.conf.set(name, own)
+            bpe.encode(docs, path, P.PATTERN)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
+    bpe._known(b"61 62", P.PATTERN)
+    head = (None, SimpleNamespace(value=(np.zeros(0, np.int64), np.zeros(0, np.int32))))
+    assert bpe._LAST and not list(bpe._assembler("doc_id", head)(iter([]))) and not bpe._LAST
+
+
 def test_bpe_plan_has_no_ranks(docs):
     import public_tokenizers as P
 

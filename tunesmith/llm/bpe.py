@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -56,6 +56,8 @@ _NONE = _LOW << 2 * _BITS
 _MEMO = 60_000
 HEAD_DOCS = 1 << 15
 HEAD_WORDS = 250_000
+#: rows of texts that go to Python at once, as in ``build_session``
+ARROW_ROWS = 1024
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -235,7 +237,8 @@ _LAST: dict[tuple[bytes, str], tuple[dict[str, int], dict[str, bytes]]] = {}
 
 def _known(words: bytes, pattern: str) -> tuple[dict[str, int], dict[str, bytes]]:
     """Places of the cache's words, and an empty memo of parts made of such
-    words alone.  A Python worker keeps both for its next tasks, never two."""
+    words alone.  A Python worker keeps both for its next tasks, never two, and
+    drops them when it turns to assembling."""
     if (words, pattern) not in _LAST:
         _LAST.clear()
         _LAST[words, pattern] = ({bytes.fromhex(w.group().decode()).decode(): i
@@ -328,6 +331,7 @@ def _batcher(pattern: str, pieces: list[bytes], batch_chars: int, id_type: pa.Da
 def _assembler(id_col: str, head, pieces: list[bytes] | None = None):
     """Ids per document; with ``pieces`` packed ids and decoded bytes instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _LAST.clear()
         head_sizes, head_flat = head[1].value
         table = None if pieces is None else pa.array(pieces, pa.large_binary())
         for batch in batches:
@@ -453,10 +457,19 @@ def _head(docs: DataFrame, pattern: str, pieces: list[bytes], table: tuple, text
                                                    np.frombuffer(b"".join(ids), np.int32)))
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """At most ``ARROW_ROWS`` rows in an Arrow batch of the session: the default,
+    10,000 whole texts, is held in the JVM's buffers and twice in a Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, text_col: str,
             batch_chars: int, head_docs: int, head_words: int):
     """Rows of batches with the ids of their distinct matches, and the cache."""
     prepare(docs.sparkSession)
+    _bound_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     asked = docs.select(F.col(id_col), F.col(text_col))
     table = pair_table(pieces)
@@ -469,7 +482,7 @@ def _folded(docs: DataFrame, pieces: list[bytes], pattern: str, id_col: str, tex
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = HEAD_DOCS,
+           text_col: str = "text", batch_chars: int = 1 << 21, head_docs: int = HEAD_DOCS,
            head_words: int = HEAD_WORDS) -> DataFrame:
     """id, n_tokens and input_ids of every text."""
     folded, head = _folded(docs, load_ranks(ranks_path), pattern, id_col, text_col, batch_chars,
@@ -480,7 +493,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", batch_chars: int = 1 << 22, head_docs: int = HEAD_DOCS,
+               text_col: str = "text", batch_chars: int = 1 << 21, head_docs: int = HEAD_DOCS,
                head_words: int = HEAD_WORDS) -> DataFrame:
     """id, n_tokens, ids_bytes (32-bit little-endian ids) and the bytes that
     the ids decode to, in one pass."""
